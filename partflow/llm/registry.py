@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate
+from partflow.llm import decontaminate, mixing, warc
 
 
 def queries() -> dict:
     return {
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op7_warc": warc.op7_warc,
+        "op8_mix_sources": mixing.op8_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_decontaminate": decontaminate.OP4_SQL,
+        "op7_warc": warc.OP7_SQL,
     }

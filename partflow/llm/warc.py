@@ -164,7 +164,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
             for row in batch.itertuples(index=False):
                 if file is None:
                     path = f"{uuid.uuid4().hex}.warc.gz"
-                    file, size = fs.open_output_stream(f"{base}/{path}"), 0
+                    file, size = fs.open_output_stream(f"{base}/{path}", compression=None), 0
                 number = lambda x: None if pd.isna(x) else int(x)
                 size += file.write(
                     encode_record(number(row.page_id), row.url, bytes(row.payload), number(row.refers_to), bool(row.is_revisit))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, mixing, warc
+from partflow.llm import decontaminate, line_dedup, mixing, warc
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op7_warc": warc.op7_warc,
         "op8_mix_sources": mixing.op8_mix_sources,
@@ -15,6 +16,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": line_dedup.OP1_SQL,
         "op4_decontaminate": decontaminate.OP4_SQL,
         "op7_warc": warc.OP7_SQL,
     }

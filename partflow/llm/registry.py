@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, line_dedup, mixing, warc
+from partflow.llm import decontaminate, line_dedup, mixing, near_dup, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op7_warc": warc.op7_warc,
+        "op10_near_dup": near_dup.op10_near_dup,
         "op8_mix_sources": mixing.op8_mix_sources,
     }
 
@@ -18,5 +19,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.OP1_SQL,
         "op4_decontaminate": decontaminate.OP4_SQL,
+        "op10_near_dup": near_dup.OP10_SQL,
         "op7_warc": warc.OP7_SQL,
     }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, line_dedup, mixing, near_dup, warc
+from partflow.llm import decontaminate, line_dedup, mixing, near_dup, substring_dedup, warc
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_substring_dedup": substring_dedup.op2_substring_dedup,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op7_warc": warc.op7_warc,
         "op10_near_dup": near_dup.op10_near_dup,
@@ -18,6 +19,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.OP1_SQL,
+        "op2_substring_dedup": substring_dedup.OP2_SQL,
         "op4_decontaminate": decontaminate.OP4_SQL,
         "op10_near_dup": near_dup.OP10_SQL,
         "op7_warc": warc.OP7_SQL,

@@ -1,6 +1,6 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Documents fall into blocks by hash (at most ``BLOCKS`` a source), the blocks of a source stand in a
+Documents fall into blocks by hash (as many a source as the shards ask for), the blocks of a source stand in a
 permuted order, and a source is taken in whole passes plus a prefix of that order which is cut to
 the word in one last block. The block copies are then dealt to output shards: the root holds all of
 them, every node hands its left half an exact number of copies, drawn from its sources without
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from partflow.llm.common import drop_written, table, text_hash, written
 
-BLOCKS, BLOCK_ROWS, SEED = 1024, 64, 20
+#: Blocks a source has at most (the more, the more shards), and rows a block has about.
+BLOCKS, BLOCKS_PER_SHARD, BLOCK_ROWS, SEED = 1024, 16, 64, 20
+SHARD_WORDS, LEAST_SHARDS = 50_000_000, 16
 MOST_TIMES = 3
 #: Block and choice tables are broadcast up to this many rows (of some 100 bytes).
 BROADCAST_ROWS = 200_000
@@ -63,10 +65,10 @@ def _some(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def mix(documents: DataFrame, weights: dict | None = None, shards: int = 16, seed: int = SEED) -> DataFrame:
+def mix(documents: DataFrame, weights: dict | None = None, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """The input's rows and columns with size, source_size, target, taken (words) and shards.
 
-    weights: by source; otherwise the sources in code point order, null last, weigh 1, 2, 3, 1, ...
+    shards: how many, by default one for 50 million words. weights: by source; otherwise the sources in code point order, null last, weigh 1, 2, 3, 1, ...
     ``shards`` lists a shard number for each copy that the mix takes of a row, so a row may be taken
     0 to 3 times; ``in_shards`` lays the copies out. A null or empty text has size 0 and is not
     taken. A null source is a source like others. Rows that repeat a doc_id and text of a source
@@ -81,11 +83,13 @@ def mix(documents: DataFrame, weights: dict | None = None, shards: int = 16, see
     found = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     given = [float(weights[r["source"]]) if weights else 1.0 + i % 3 for i, r in enumerate(found)]
+    shards = shards or max(LEAST_SHARDS, -(-sum(r["size"] for r in found) // SHARD_WORDS))
+    most = max(BLOCKS, BLOCKS_PER_SHARD * shards)
     targets = share([r["size"] for r in found], given, float(sum(r["size"] for r in found)))
     plan = []
     for i, (r, t) in enumerate(zip(found, targets)):
         passes = min(MOST_TIMES, int(t // r["size"])) if r["size"] else 0
-        plan.append((r["source"], i, min(BLOCKS, -(-r["n"] // BLOCK_ROWS)), r["size"], t, passes, t - passes * r["size"]))
+        plan.append((r["source"], i, min(most, -(-r["n"] // BLOCK_ROWS)), r["size"], t, passes, t - passes * r["size"]))
     spark = documents.sparkSession
     plan = _some(
         spark.createDataFrame(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, line_dedup, mixing, near_dup, substring_dedup, warc
+from partflow.llm import decontaminate, language_id, line_dedup, mixing, near_dup, substring_dedup, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_language_id": language_id.op5_language_id,
         "op7_warc": warc.op7_warc,
         "op10_near_dup": near_dup.op10_near_dup,
         "op8_mix_sources": mixing.op8_mix_sources,

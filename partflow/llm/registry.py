@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, language_id, line_dedup, mixing, near_dup, substring_dedup, warc
+from partflow.llm import decontaminate, language_id, line_dedup, matroska, mixing, near_dup, substring_dedup, warc
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+        "op3_matroska": matroska.op3_matroska,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_language_id": language_id.op5_language_id,
         "op7_warc": warc.op7_warc,

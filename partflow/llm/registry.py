@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, language_id, line_dedup, matroska, mixing, near_dup, substring_dedup, warc
+from partflow.llm import decontaminate, html_extract, language_id, line_dedup, matroska, mixing, near_dup, substring_dedup, warc
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_language_id": language_id.op5_language_id,
         "op7_warc": warc.op7_warc,
         "op10_near_dup": near_dup.op10_near_dup,
+        "op9_html_extract": html_extract.op9_html_extract,
         "op8_mix_sources": mixing.op8_mix_sources,
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, html_extract, language_id, line_dedup, matroska, mixing, near_dup, substring_dedup, warc
+from partflow.llm import decontaminate, html_extract, language_id, line_dedup, lm, matroska, mixing, near_dup, substring_dedup, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_matroska": matroska.op3_matroska,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_language_id": language_id.op5_language_id,
+        "op6_lm_scoring": lm.op6_lm_scoring,
         "op7_warc": warc.op7_warc,
         "op10_near_dup": near_dup.op10_near_dup,
         "op9_html_extract": html_extract.op9_html_extract,

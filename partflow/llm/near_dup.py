@@ -7,12 +7,13 @@
 3. In every band bucket, nodes are proposed against the bucket's smallest node. A pair whose
    sketches allow the similarity is decided on the full sets.
 4. Where a bucket still holds nodes of several components, its nodes are compared across components
-   in blocks by their sketches: the nearest few of each first, then all. A bucket that one component
+   in blocks by finer sketches of more samples: the nearest few of each first, then all. A bucket that one component
    fills costs nothing, so groups of copies are never expanded into pairs.
 5. Components of the links are the groups.
 
 A link is missed only if no band of its texts agrees (probability ``(1 - s**rows)**bands``: about
-1e-6 at a similarity of 0.8 with the defaults, less above) or if a sketch is off by six deviations.
+1e-6 at a similarity of 0.8 with the defaults, less above) or if a sketch is off by four deviations (3e-5 at
+0.8, and far less above, where most links are).
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 from partflow.llm.common import components, drop_written, table, text_hash, written
 
 SHINGLE, BANDS, ROWS, PERCENT = 2, 45, 6, 80
-SKETCH_BITS, BLOCK, NEAREST = 512, 128, (8, 128)
+#: Samples and bits: the sketches of all nodes fold the samples of their bands into SKETCH_BITS; those
+#: of nodes that have to be compared in blocks are finer.
+SKETCH_BITS, FINE_SAMPLES, FINE_BITS, DEVIATIONS = 512, 2048, 4096, 4
+BLOCK, NEAREST = 128, (8, 128)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -83,6 +87,28 @@ def _samplers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return a[:, None], rng.integers(0, 2**64, count, dtype=np.uint64)[:, None]
 
 
+def _odd(least: np.ndarray, bits: int) -> np.ndarray:
+    """Odd sketches of rows of MinHash samples, as 64-bit words: the parity of the samples on each bit."""
+    order = np.arange(least.shape[1], dtype=np.uint64) * _M1
+    bit = (_mixed(least ^ order) >> np.uint64(40)) % np.uint64(bits)
+    flat = bit.astype(np.int64) + np.arange(len(least))[:, None] * bits
+    odd = np.bincount(flat.ravel(), minlength=len(least) * bits).reshape(-1, bits) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x).view(np.int64).ravel()))
+
+
+def _least(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of each sampler's hashes of x."""
+    out = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
+    for j in range(0, len(x), 512):
+        np.minimum(out, (a * x[j : j + 512] + b).min(axis=1), out=out)
+    return out
+
+
 def signatures(items: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """Rows (id, n, set_hash, bands, sketch) for items (id, text); n is the size of the shingle set."""
     count = bands * rows
@@ -90,29 +116,20 @@ def signatures(items: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     def sign(batches):
         a, b = _samplers(count)
         hashes = _Hashes()
-        order = np.arange(count, dtype=np.uint64) * _M1
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 n, digests = np.zeros(part.num_rows, np.int64), []
-                least = np.full((part.num_rows, count), np.iinfo(np.uint64).max, np.uint64)
+                least = np.empty((part.num_rows, count), np.uint64)
                 for i, text in enumerate(part.column("text")):
                     x = hashed_set(words_of(text.as_py()), k, hashes)
                     n[i] = len(x)
                     digests.append(xxhash.xxh3_128_digest(x.tobytes()))
-                    for j in range(0, len(x), 512):
-                        np.minimum(least[i], (a * x[j : j + 512] + b).min(axis=1), out=least[i])
+                    least[i] = _least(x, a, b)
                 keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (part.num_rows, 1))
                 for r in range(rows):
                     keys = _mixed(keys * _M2 + least[:, r::rows])
-                bit = (_mixed(least ^ order) >> np.uint64(40)) % np.uint64(SKETCH_BITS)
-                flat = bit.astype(np.int64) + np.arange(part.num_rows)[:, None] * SKETCH_BITS
-                odd = np.bincount(flat.ravel(), minlength=part.num_rows * SKETCH_BITS).reshape(-1, SKETCH_BITS) & 1
-                sketch = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
-                lists = lambda x: pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(np.ascontiguousarray(x).view(np.int64).ravel())
-                )
-                columns = [part.column("id"), pa.array(n), pa.array(digests, pa.binary()), lists(keys), lists(sketch)]
+                columns = [part.column("id"), pa.array(n), pa.array(digests, pa.binary()), _lists(keys), _lists(_odd(least, SKETCH_BITS))]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_hash", "bands", "sketch"])
 
     kind = items.schema["id"].dataType.simpleString()
@@ -120,12 +137,33 @@ def signatures(items: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return items.select("id", "text").mapInArrow(sign, schema)
 
 
-def most_differing(samples: int, percent: int) -> int:
-    """Bits in which sketches of sets with this similarity differ, six deviations above the mean."""
+def fine_sketches(texts: DataFrame, k: int) -> DataFrame:
+    """Rows (node, sketch) for texts (node, text), of FINE_SAMPLES in FINE_BITS."""
+
+    def sketch(batches):
+        a, b = _samplers(FINE_SAMPLES)
+        hashes = _Hashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                least = np.stack([_least(hashed_set(words_of(t.as_py()), k, hashes), a, b) for t in part.column("text")])
+                yield pa.RecordBatch.from_arrays([part.column("node"), _lists(_odd(least, FINE_BITS))], ["node", "sketch"])
+
+    return texts.select("node", "text").mapInArrow(sketch, "node long, sketch array<long>")
+
+
+def most_differing(samples: int, bits: int, percent: int) -> int:
+    """Bits in which the sketches of sets with this similarity differ, DEVIATIONS above the mean.
+
+    The samples in which the sets differ vary binomially, and each adds two parities; the bits that
+    these leave odd vary as an occupancy.
+    """
     s = percent / 100
-    s -= 6 * (s * (1 - s) / samples) ** 0.5
-    mean = SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** (2 * samples * (1 - s))) / 2
-    return int(mean + 6 * (SKETCH_BITS / 4) ** 0.5 / 2)
+    load = 2 * samples * (1 - s) / bits
+    mean = bits * (1 - np.exp(-2 * load)) / 2
+    from_samples = 2 * (samples * s * (1 - s)) ** 0.5 * np.exp(-2 * load)
+    from_bits = (bits * ((1 - np.exp(-4 * load)) / 4 - load * np.exp(-4 * load))) ** 0.5
+    return int(np.ceil(mean + DEVIATIONS * np.hypot(from_samples, from_bits)))
 
 
 def differing(a: str, b: str) -> Column:
@@ -151,6 +189,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInPandas(confirm, "a long, b long, link boolean")
 
 
+def _open_nodes(members: DataFrame) -> DataFrame:
+    """The nodes of buckets with three nodes or more in more than one component (two have been compared)."""
+    c = F.col("component")
+    open_ = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(c).alias("x"), F.max(c).alias("y"))
+    return members.join(open_.filter("n > 2 and x <> y").select("bucket"), "bucket", "left_semi").select("node").distinct()
+
+
 def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) -> DataFrame:
     """Pairs (a, b) of nodes in one bucket and different components that their sketches allow.
 
@@ -212,7 +257,7 @@ def near_groups(
     texts without words, and nulls, have no shingles and are linked with nothing. ids may be of any
     type with an order, repeat and be null in parts; each row of items gets a row.
     """
-    most = most_differing(bands * rows, percent) if sketched else SKETCH_BITS
+    most = most_differing(bands * rows, SKETCH_BITS, percent) if sketched else SKETCH_BITS
     signed = written(signatures(items, k, bands, rows), "signed")
     nodes = written(
         signed.filter("n > 0")
@@ -231,13 +276,15 @@ def near_groups(
     texts = written(texts.groupBy("first", "node").agg(F.first("text").alias("text")), "texts")
 
     proposed = met.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = None
-    component = None
+    tested = component = fine = None
     for nearest in (0, *NEAREST):
         if nearest:
             members = met.select("bucket", "node").join(component, "node", "left")
             members = members.select("bucket", "node", F.coalesce("component", "node").alias("component"))
-            proposed = _across(members, sketches, nearest, most).join(tested, ["a", "b"], "left_anti")
+            if fine is None:
+                fine = written(fine_sketches(texts.join(_open_nodes(members), "node", "left_semi"), k), "fine")
+            proposed = _across(members, fine, nearest, most_differing(FINE_SAMPLES, FINE_BITS, percent))
+            proposed = proposed.join(tested, ["a", "b"], "left_anti")
         else:
             of = lambda side: sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"s_{side}"))
             proposed = proposed.join(of("a"), "a").join(of("b"), "b").filter(differing("s_a", "s_b") <= most).select("a", "b")

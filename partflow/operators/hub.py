@@ -87,7 +87,7 @@ class Hub:
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
     def _current(self, table: str) -> str | None:
-        pointer = f"{self.folder}/{table}/_current"
+        pointer = f"{self.folder}/{table}/CURRENT"
         fs, where = self._fs(pointer)
         return self.spark.read.text(pointer).first()[0] if fs.exists(where) else None
 
@@ -99,7 +99,7 @@ class Hub:
         """Writes a new version, points to it and returns it."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.folder}/{table}/{version}")
-        pointer = f"{self.folder}/{table}/_current"
+        pointer = f"{self.folder}/{table}/CURRENT"
         fs, new = self._fs(f"{pointer}-{version}")
         out = fs.create(new, True)
         out.write(bytearray(version.encode()))

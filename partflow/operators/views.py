@@ -135,10 +135,9 @@ def blocked_work_orders(work_orders: DataFrame, parts: DataFrame, snapshots: Dat
 
 
 def early_warning_lead(risk_history: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Hours from a part's first high risk to its first day without stock, where the risk came first."""
+    """Hours from a part's first high risk to its first day without stock in some warehouse, where the risk came first."""
     first = risk_history.filter(F.col("risk_band").isin("CRITICAL", "HIGH")).groupBy("part_number").agg(F.min("scored_at").alias("first_high_risk_at"))
-    out = snapshots.groupBy("part_number", "snapshot_date").agg(F.sum("qty_available").alias("q")).filter("q <= 0")
-    out = out.groupBy("part_number").agg(F.min("snapshot_date").alias("first_stockout_date"))
+    out = snapshots.filter("qty_available <= 0").groupBy("part_number").agg(F.min("snapshot_date").alias("first_stockout_date"))
     end = F.col("first_stockout_date").cast("timestamp")
     return (
         first.join(out, "part_number")

@@ -85,7 +85,7 @@ def risk_sql(as_of: str, upto: str | None = None) -> str:
       FROM (
         SELECT part_number, criticality, ata_chapter, unit_cost_usd, qty_available, monthly_demand, firm_wo_demand, aog_wo_demand,
           CASE WHEN monthly_demand > 0 THEN round_even(cover, 1) ELSE 9999 END AS days_of_cover,
-          CASE criticality WHEN 'NO_GO' THEN 1.0 WHEN 'GO_IF' THEN 0.55 WHEN 'GO' THEN 0.15 ELSE 0.5 END AS f_criticality,
+          CASE criticality WHEN 'NO_GO' THEN 1.0::DOUBLE WHEN 'GO_IF' THEN 0.55::DOUBLE WHEN 'GO' THEN 0.15::DOUBLE ELSE 0.5::DOUBLE END AS f_criticality,
           CASE WHEN monthly_demand > 0 THEN least(greatest((daily * 45 - qty_available) / (daily * 45), 0), 1) ELSE 0 END AS f_coverage,
           CASE WHEN cover IS NULL OR cover >= 45 THEN 0 WHEN next_receipt IS NULL THEN 1
             ELSE least(greatest((date_diff('day', {as_of}, next_receipt) - cover) / 45.0, 0), 1) END AS f_replenishment,
@@ -160,8 +160,8 @@ CTE = {
       FROM (SELECT * FROM cards_ QUALIFY row_number() OVER (PARTITION BY supplier_id ORDER BY as_of_date DESC) = 1) AS l JOIN suppliers_ AS s USING (supplier_id)""",
     "snapshots_": " UNION ALL ".join(f"SELECT *, {_ADS[d]} AS snapshot_date FROM ({inventory_sql(_ADS[d], _ADS[d])})" for d in DATES),
     "risks_": " UNION ALL ".join(f"SELECT * FROM ({risk_sql(_ADS[d], _ADS[d])})" for d in DATES),
-    "blocked_": f"""SELECT w.work_order_id, w.aircraft_reg, w.wo_type, w.opened_date, date_diff('day', w.opened_date, {AS_OF}) AS days_open, w.part_number, p.description, p.criticality,
-      w.qty_required, coalesce(s.q, 0) AS qty_available, w.qty_required - coalesce(s.q, 0) AS shortfall, r.aog_risk_score, r.risk_band, r.primary_driver, po.promised_date AS next_receipt_date
+    "blocked_": f"""SELECT w.work_order_id, w.aircraft_reg, w.wo_type, w.opened_date, date_diff('day', w.opened_date, {AS_OF})::INT AS days_open, w.part_number, p.description, p.criticality,
+      w.qty_required, coalesce(s.q, 0)::BIGINT AS qty_available, w.qty_required - coalesce(s.q, 0) AS shortfall, r.aog_risk_score, r.risk_band, r.primary_driver, po.promised_date AS next_receipt_date
       FROM work_ AS w JOIN parts_ AS p USING (part_number)
       LEFT JOIN (SELECT part_number, sum(qty_available) AS q FROM snapshots_ WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots_) GROUP BY 1) AS s USING (part_number)
       LEFT JOIN (SELECT * FROM risks_ WHERE scored_at = (SELECT max(scored_at) FROM risks_)) AS r USING (part_number)
@@ -216,7 +216,7 @@ o AS (SELECT {key_sql('part_number')} AS part_key, min(days) AS days, min(unit_p
 i AS (SELECT {key_sql('part_number')} AS part_key, sum(qty_available) AS q, sum(qty_on_hand) AS h, count(DISTINCT warehouse_id) AS n FROM inventory_ GROUP BY 1),
 master AS (
   SELECT part_key, coalesce(master, part_key) AS master_part_key, part_number AS erp_part_number, description, ata_chapter, criticality, round(unit_cost_usd, 6) AS unit_cost_usd, repairable_flag,
-    days AS best_quoted_lead_time_days, round(price, 6) AS best_supplier_price_usd, coalesce(o.n, 0) AS supplier_count, coalesce(o.q, 0)::DOUBLE AS supplier_qty_available,
+    days::INT AS best_quoted_lead_time_days, round(price, 6) AS best_supplier_price_usd, coalesce(o.n, 0) AS supplier_count, coalesce(o.q, 0)::DOUBLE AS supplier_qty_available,
     coalesce(i.q, 0)::BIGINT AS qty_available, coalesce(i.h, 0)::DOUBLE AS qty_on_hand, coalesce(i.n, 0) AS stocking_locations, sha256(coalesce(master, part_key))[1:16] AS part_uid,
     master IS NOT NULL AS is_superseded, coalesce(o.n, 0) <= 1 AS single_source_flag
   FROM (SELECT part_key FROM k UNION SELECT part_key FROM o UNION SELECT part_key FROM i) LEFT JOIN top USING (part_key) LEFT JOIN k USING (part_key) LEFT JOIN o USING (part_key) LEFT JOIN i USING (part_key))
@@ -260,10 +260,10 @@ ORACLES = {
       UNION ALL SELECT 'fleet_otd_pct', NULL, round(100 * avg(on_time_rate), 3) FROM card_ UNION ALL SELECT 'median_warning_hours', NULL, round(median(warning_hours), 3) FROM early_
       UNION ALL SELECT 'warned_in_time', NULL, count(*) FILTER (warning_hours >= 72) FROM early_ UNION ALL SELECT 'no_go_warned', NULL, count(*) FILTER (criticality = 'NO_GO') FROM early_
       UNION ALL SELECT 'parts_unified', NULL, count(DISTINCT part_number) FROM risk_ """,
-    "demand_features": f"""SELECT f.part_number, month, demand_qty, lag_1, lag_2, lag_3, lag_6, lag_12, tenure_months, months_since_demand,
-      {', '.join(r(f'roll_mean_{n} roll_std_{n} roll_max_{n} roll_nonzero_{n}') for n in (3, 6, 12))}, round(CASE WHEN roll_mean_12 <> 0 THEN roll_mean_3 / roll_mean_12 END, 4) AS momentum_3_12,
-      month(month) AS month_num, round(sin(2 * pi() * month(month) / 12), 4) AS month_sin, round(cos(2 * pi() * month(month) / 12), 4) AS month_cos, coalesce(code, -1) AS ata_chapter,
-      CASE criticality WHEN 'NO_GO' THEN 2 WHEN 'GO_IF' THEN 1 WHEN 'GO' THEN 0 ELSE -1 END AS criticality_code, round(ln(1 + coalesce(unit_cost_usd, 0)), 4) AS log_unit_cost,
+    "demand_features": f"""SELECT f.part_number, month, demand_qty, lag_1, lag_2, lag_3, lag_6, lag_12, tenure_months::INT AS tenure_months, months_since_demand::INT AS months_since_demand,
+      {', '.join(r(f'roll_mean_{n} roll_std_{n} roll_max_{n} roll_nonzero_{n}', 8) for n in (3, 6, 12))}, round(CASE WHEN roll_mean_12 <> 0 THEN roll_mean_3 / roll_mean_12 END, 8) AS momentum_3_12,
+      month(month)::INT AS month_num, round(sin(2 * pi() * month(month) / 12), 8) + 0.0 AS month_sin, round(cos(2 * pi() * month(month) / 12), 8) + 0.0 AS month_cos, coalesce(code, -1)::INT AS ata_chapter,
+      CASE criticality WHEN 'NO_GO' THEN 2 WHEN 'GO_IF' THEN 1 WHEN 'GO' THEN 0 ELSE -1 END AS criticality_code, round(ln(1 + coalesce(unit_cost_usd, 0)), 8) AS log_unit_cost,
       CASE WHEN repairable_flag THEN 1 ELSE 0 END AS repairable_flag
       FROM features_ AS f LEFT JOIN parts_ USING (part_number) LEFT JOIN (SELECT ata_chapter, row_number() OVER (ORDER BY ata_chapter) - 1 AS code FROM (SELECT DISTINCT ata_chapter FROM parts_ )) USING (ata_chapter)""",
     "demand_profile": f"SELECT part_number, months_observed, {r('monthly_demand demand_std')}, zero_month_pct, peak_month_qty, round(avg_nonzero_qty, 4) AS avg_nonzero_qty, pattern, forecastable FROM profile_ ",
@@ -290,7 +290,7 @@ ORACLES = {
     "blocked_work_orders": "SELECT * FROM blocked_ ",
     "early_warning_lead": """SELECT part_number, s AS first_stockout_date, date_diff('hour', a::TIMESTAMP, s::TIMESTAMP) AS warning_lead_hours
       FROM (SELECT part_number, min(scored_at) AS a FROM risks_ WHERE risk_band IN ('CRITICAL', 'HIGH') GROUP BY 1)
-      JOIN (SELECT part_number, min(snapshot_date) AS s FROM (SELECT part_number, snapshot_date FROM snapshots_ GROUP BY 1, 2 HAVING sum(qty_available) <= 0) GROUP BY 1) USING (part_number) WHERE a < s""",
+      JOIN (SELECT part_number, min(snapshot_date) AS s FROM snapshots_ WHERE qty_available <= 0 GROUP BY 1) USING (part_number) WHERE a < s""",
     "parts_to_rescore": "SELECT DISTINCT part_number FROM blocked_ WHERE wo_type = 'AOG' OR aog_risk_score >= 60",
     "alert_candidates": f"""SELECT part_number, criticality, aog_risk_score, risk_band, qty_available, days_of_cover, primary_driver, {_ACTION} AS recommended_action,
       format('[{{}}] {{}} ({{}}) score {{:.1f}}, {{:.0f}} available, {{:.0f}}d cover -> {{}}', risk_band, part_number, criticality, aog_risk_score::DOUBLE, qty_available::DOUBLE, round(days_of_cover::DOUBLE), {_ACTION}) AS alert_text
@@ -305,13 +305,13 @@ ORACLES = {
     "stream_upsert": "SELECT part_number, max(alert_id) AS alert_id, arg_max(score, alert_id) AS score FROM candidates_ GROUP BY 1",
     "source_status": "SELECT warehouse_id AS source, true AS ok, count(*) AS rows FROM inventory_ GROUP BY 1 UNION ALL SELECT 'WH-gone', false, 0",
     "scan_erp": "SELECT CASE WHEN p_partkey = 0 THEN repeat('0', 18) ELSE CAST(p_partkey AS VARCHAR) END AS part_number, p_name AS description, p_type AS material_type, p_brand AS material_group, 1.5::DOUBLE AS net_weight_kg, CASE WHEN p_size % 7 <> 0 THEN p_size::DOUBLE END AS shelf_life_months, 'ERP' AS source_system FROM part",
-    "scan_erp_orders": "SELECT '' || CAST(part_number[4:] AS INT) AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
+    "scan_erp_orders": "SELECT CASE WHEN part_number = 'PN-000000' THEN repeat('0', 18) ELSE '' || CAST(part_number[4:] AS INT) END AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
     "scan_erp_work_orders": "SELECT work_order_id, wo_type, aircraft_reg AS equipment_id, opened_date, status FROM work_ ",
     "scan_customs_xml": "SELECT awb, po_number, part_number, quantity, clearance_status, estimated_clearance_days::DOUBLE AS estimated_clearance_days FROM customs_ ",
     "scan_edi_850": "SELECT po_number, CAST(po_line AS VARCHAR) AS po_line, quantity, 'EA' AS uom, part_number, order_date FROM orders_ WHERE part_number < 'PN-000050'",
     "scan_edi_856": "SELECT po_number AS shipment_id, po_number, part_number, actual_delivery_date AS ship_date, supplier_id AS carrier, quantity AS quantity_shipped FROM orders_ WHERE part_number < 'PN-000050' AND status = 'DELIVERED'",
     "scan_supplier_json": "SELECT supplier_id, 'NE' AS condition_code, '2001-08-02 00:00' AS retrieved, count(*) AS n, sum(quantity) AS qty_available, min(days)::DOUBLE AS best_lead_time FROM offers_ GROUP BY 1",
-    "scan_order_status": "SELECT supplier_id, status, count(*) AS n, CAST(max(promised_date) + 1 AS DATE) AS last_promised, 0 AS revised FROM orders_ WHERE order_date >= DATE '2001-01-01' GROUP BY 1, 2",
+    "scan_order_status": "SELECT supplier_id, status, count(*) AS n, CAST(max(promised_date) + 1 AS DATE) AS last_promised, 0::BIGINT AS revised FROM orders_ WHERE order_date >= DATE '2001-01-01' GROUP BY 1, 2",
     "scan_wms": "SELECT s AS source_system, warehouse_id, count(*) AS n, sum(qty_available)::BIGINT AS qty_available FROM inventory_ , (SELECT unnest(['WMS_CLOUD', 'WMS_FILES']) AS s) GROUP BY 1, 2",
 }
 

@@ -172,7 +172,7 @@ def run_kpis(spark, d):
 
 
 def demand_features(spark, d):
-    return rounded(demand.build_features(_history(spark, d), V.parts(spark, d)))
+    return rounded(demand.build_features(_history(spark, d), V.parts(spark, d)), 8)
 
 
 def demand_profile(spark, d):
@@ -348,12 +348,9 @@ def scan_erp_work_orders(spark, d):
 
 def scan_customs_xml(spark, d):
     folder = _folder(spark, "customs")
-    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(f"</{name}>"))
-    row = F.concat(
-        F.lit('<Shipment awb="'), "awb", F.lit('" poRef="'), "po_number", F.lit('">'), tag("PartNumber", "part_number"), tag("Quantity", "quantity"),
-        tag("ClearanceStatus", "clearance_status"), tag("EstimatedClearanceDays", "estimated_clearance_days"), F.lit("</Shipment>"),
-    )
-    V.customs(spark, d).select(row.alias("value")).write.text(folder)
+    names = {"awb": "_awb", "po_number": "_poRef", "part_number": "PartNumber", "quantity": "Quantity", "clearance_status": "ClearanceStatus", "estimated_clearance_days": "EstimatedClearanceDays"}
+    rows = V.customs(spark, d).withColumnsRenamed(names)
+    rows.write.format("xml").option("rootTag", "Manifest").option("rowTag", "Shipment").save(folder)
     return feeds.read_customs(spark, folder).drop("hold_reason")
 
 

@@ -157,5 +157,5 @@ def supersessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alert_stream_rows(events: DataFrame) -> DataFrame:
     """Alert candidates from events: a part is a user, an error a candidate, its value the score."""
     return events.filter("event_type = 'error'").select(
-        F.col("user_id").alias("part_number"), F.col("ts").alias("alert_ts"), F.col("event_id").alias("alert_id"), F.col("value").alias("score")
+        F.col("user_id").alias("part_number"), F.col("ts").cast("timestamp").alias("alert_ts"), F.col("event_id").alias("alert_id"), F.col("value").alias("score")
     )

@@ -36,7 +36,16 @@ def words_of(text: str | None) -> list[str]:
 def load_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
     with open(path, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    return {p: i for i, p in enumerate(p for p in pieces if len(p) <= LONGEST_PIECE)}
+    return with_beginnings(p for p in pieces if len(p) <= LONGEST_PIECE)
+
+
+def with_beginnings(pieces) -> dict[bytes, int]:
+    """Numbers of the pieces; -1 for what only begins one, so that a search knows when to stop."""
+    out = {p: i for i, p in enumerate(pieces)}
+    for p in list(out):
+        for n in range(1, len(p)):
+            out.setdefault(p[:n], -1)
+    return out
 
 
 class Lattice:
@@ -49,9 +58,11 @@ class Lattice:
         for i, w in enumerate(coded):
             n = len(w)
             for start in range(n):
-                for end in range(start + 1, min(n, start + LONGEST_PIECE) + 1):
+                for end in range(start + 1, n + 1):
                     p = get(w[start:end])
-                    if p is not None:
+                    if p is None:
+                        break  # nor does a longer piece begin so
+                    if p >= 0:
                         rows.append((end, i, start, p))
         edges = np.array(rows, dtype=np.int64).reshape(-1, 4)
         edges = edges[np.argsort(edges[:, 0], kind="stable")]
@@ -109,7 +120,8 @@ def fit(counts: list[tuple[str, str, int]], pieces: dict[bytes, int], rounds: in
     weight = np.zeros((len(words), len(langs)))
     for lang, word, n in counts:
         weight[place[word], column[lang]] += n
-    p = np.full((len(pieces), len(langs)), 1 / max(1, len(pieces)))
+    n_pieces = max(pieces.values(), default=-1) + 1
+    p = np.full((n_pieces, len(langs)), 1 / max(1, n_pieces))
     parts = [slice(i, i + 20_000) for i in range(0, len(words), 20_000)]
     lattices = [Lattice(words[part], pieces) for part in parts] if langs else []
     for _ in range(rounds if langs else 0):
@@ -139,7 +151,7 @@ def training_counts(documents: DataFrame, lang: Column, per_language: int = TRAI
 class Scorer:
     """Scores texts; remembers the scores of words."""
 
-    def __init__(self, langs: list[str], p: np.ndarray, pieces: dict[bytes, int], memory: int = 200_000):
+    def __init__(self, langs: list[str], p: np.ndarray, pieces: dict[bytes, int], memory: int = 500_000):
         self.langs, self.p, self.pieces, self.memory = langs, p, pieces, memory
         self.place: dict[str, int] = {}
         self.known = np.zeros((memory, len(langs)))

@@ -41,7 +41,7 @@ def lines_to_delete(rows, least):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_line_dedup_is_brute_force(spark, seed):
     df = documents(spark, some_texts(seed))
     got = line_dedup.dedup_lines(df, 10).collect()

@@ -1,3 +1,6 @@
+import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices: threads cost more than they give
 import pathlib
 import sys
 import tempfile

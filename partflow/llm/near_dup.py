@@ -201,6 +201,8 @@ def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) ->
 
     members: (bucket, node, component). The nodes outside a bucket's largest component are compared
     in blocks with each other and with that component; each node proposes its ``nearest`` of a block.
+    A pair is looked at in the first of the buckets that it shares, so that it comes once. sketches:
+    (node, sketch, bands).
     """
     sizes = members.groupBy("bucket", "component").count()
     sizes = sizes.groupBy("bucket").agg(
@@ -228,6 +230,7 @@ def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) ->
 
     def propose(group: pd.DataFrame) -> pd.DataFrame:
         bits = np.array(group.sketch.tolist(), dtype=np.int64).view(np.uint64)
+        bands, bucket = np.array(group.bands.tolist(), dtype=np.int64), group.bucket.iloc[0]
         node, part, main = group.node.to_numpy(), group.component.to_numpy(), group.in_main.to_numpy(bool)
         left = np.flatnonzero(~main)
         right = np.flatnonzero(main) if main.any() else left
@@ -235,12 +238,14 @@ def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) ->
         for i in left:
             apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1)
             ok = np.flatnonzero((part[right] != part[i]) & (apart <= most))
+            first = (bands[right[ok]] == bands[i]).argmax(axis=1)
+            ok = ok[bands[i][first] == bucket]
             ok = ok[np.lexsort((node[right[ok]], apart[ok]))][:nearest]
             found += [(min(node[i], node[j]), max(node[i], node[j])) for j in right[ok]]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     grouped = rows.groupBy("bucket", "key.with_main", "key.i", "key.j")
-    return grouped.applyInPandas(propose, "a long, b long").distinct()
+    return grouped.applyInPandas(propose, "a long, b long")
 
 
 def near_groups(
@@ -282,7 +287,8 @@ def near_groups(
             members = met.select("bucket", "node").join(component, "node", "left")
             members = members.select("bucket", "node", F.coalesce("component", "node").alias("component"))
             if fine is None:
-                fine = written(fine_sketches(texts.join(_open_nodes(members), "node", "left_semi"), k), "fine")
+                fine = fine_sketches(texts.join(_open_nodes(members), "node", "left_semi"), k)
+                fine = written(fine.join(nodes.select("node", "bands"), "node"), "fine")
             proposed = _across(members, fine, nearest, most_differing(FINE_SAMPLES, FINE_BITS, percent))
             proposed = proposed.join(tested, ["a", "b"], "left_anti")
         else:

@@ -55,7 +55,9 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     lines: rows (id, k, h1, h2, words); doc is the id of the document's first line, start a k.
     """
+    # Groups are written before they join: a join of two plain shuffles can split the rows of a hot line.
     groups = lines.groupBy("h1", "h2").agg(F.min("id").alias("n0"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    groups = written(groups, "groups")
     base = written(
         lines.join(groups, ["h1", "h2"]).select((F.col("id") - F.col("k")).alias("doc"), "k", "words", "n0"), "level"
     )
@@ -96,6 +98,7 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .filter("c > 1")
             .drop("c")
         )
+        groups = written(groups, "groups")
         longer = written(keyed.join(groups, ["a", "b"], "left").drop("a", "b", "further"), "level")
         drop_written(base)
         base, level = longer, level + 1
@@ -118,8 +121,9 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = written(runs, "named")
     drop_written(base)
     firsts = runs.groupBy("a", "b", "length").agg(F.min(F.col("doc") + F.col("start")).alias("first"), F.count("*").alias("c"))
+    firsts = written(firsts.filter("c > 1"), "firsts")
     return (
-        runs.join(firsts.filter("c > 1"), ["a", "b", "length"])
+        runs.join(firsts, ["a", "b", "length"])
         .filter(F.col("doc") + F.col("start") > F.col("first"))
         .select("doc", "start", "length", "first")
     )

@@ -274,7 +274,8 @@ def near_groups(
     sketches = nodes.select("node", "sketch")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    met = written(met.join(shared, "bucket"), "met")
+    # Written first: a join of two plain shuffles can split a hot bucket.
+    met = written(met.join(written(shared, "shared"), "bucket"), "met")
 
     texts = nodes.select("node", "first").join(met.select("node").distinct(), "node", "left_semi")
     texts = texts.join(items.select("id", "text"), F.col("first") == F.col("id"))
@@ -307,6 +308,7 @@ def near_groups(
     rows_of = rows_of.join(component, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
     rows_of = written(rows_of, "groups")
     smallest = rows_of.filter("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
+    smallest = written(smallest, "smallest")
     return rows_of.join(smallest, "group", "left").select("id", "n", F.coalesce("smallest", "id").alias("component"))
 
 

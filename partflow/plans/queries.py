@@ -354,9 +354,13 @@ def scan_customs_xml(spark, d):
     return feeds.read_customs(spark, folder).drop("hold_reason")
 
 
-def scan_edi_850(spark, d):
+#: The parts that the SQL of the EDI queries compares.
+IN_SQL = "part_number < 'PN-000050'"
+
+
+def _edi_850(spark, d):
     folder = _folder(spark, "edi")
-    lines = V.purchase_orders(spark, d).filter("part_number < 'PN-000050'")
+    lines = V.purchase_orders(spark, d)
     line = F.concat_ws("*", F.lit("PO1"), F.col("po_line").cast("string"), F.col("quantity").cast("string"), F.lit("EA"), F.lit("1.0"), F.lit(""), F.lit("XX"), F.lit("0"), F.lit("BP"), "part_number")
     head = F.concat_ws("*", F.lit("BEG"), F.lit("00"), F.lit("SA"), "po_number", F.lit(""), F.date_format("order_date", "yyyyMMdd"))
     text = lines.groupBy("po_number", "order_date").agg(F.array_join(F.sort_array(F.collect_list(line)), "~").alias("l"))
@@ -364,9 +368,13 @@ def scan_edi_850(spark, d):
     return feeds.read_edi_850(spark, folder).drop("unit_price_usd", "source_system")
 
 
-def scan_edi_856(spark, d):
+def scan_edi_850(spark, d):
+    return _edi_850(spark, d).filter(IN_SQL)  # after parsing: all lines are written and parsed
+
+
+def _edi_856(spark, d):
     folder = _folder(spark, "edi")
-    lines = V.purchase_orders(spark, d).filter("part_number < 'PN-000050' AND status = 'DELIVERED'")
+    lines = V.purchase_orders(spark, d).filter("status = 'DELIVERED'")
     item = F.concat_ws("~", F.concat_ws("*", F.lit("LIN"), F.lit("1"), F.lit("VP"), "part_number"), F.concat_ws("*", F.lit("SN1"), F.lit("1"), F.col("quantity").cast("string")))
     text = lines.groupBy("po_number", "supplier_id", "actual_delivery_date").agg(F.array_join(F.sort_array(F.collect_list(item)), "~").alias("l"))
     head = F.concat(F.lit("ST*856*1~BSN*00*"), "po_number", F.lit("*"), F.date_format("actual_delivery_date", "yyyyMMdd"), F.lit("~TD5*1*2*"), "supplier_id", F.lit("~PRF*"), "po_number", F.lit("~"))
@@ -374,6 +382,10 @@ def scan_edi_856(spark, d):
     return feeds.read_edi_856(spark, folder).drop("source_system")
 
 
+def scan_edi_856(spark, d):
+    return _edi_856(spark, d).filter(IN_SQL)
+
+
 def scan_supplier_json(spark, d):
     folder = _folder(spark, "supplier")
     item = F.struct(F.col("part_number").alias("partNumber"), F.col("quantity").alias("quantityAvailable"), F.datediff("promised_date", "order_date").cast("double").alias("leadTimeDays"))

@@ -7,8 +7,8 @@
 3. In every band bucket, nodes are proposed against the bucket's smallest node. A pair whose
    sketches allow the similarity is decided on the full sets.
 4. Where a bucket still holds nodes of several components, its nodes are compared across components
-   in blocks by finer sketches of more samples: the nearest few of each first, then all. A bucket that one component
-   fills costs nothing, so groups of copies are never expanded into pairs.
+   in blocks by finer sketches of more samples: the nearest few of each first, then more, then all that the
+   sketches allow. A bucket that one component fills costs nothing, so groups of copies are never expanded into pairs.
 5. Components of the links are the groups.
 
 A link is missed only if no band of its texts agrees (probability ``(1 - s**rows)**bands``: about
@@ -31,7 +31,8 @@ SHINGLE, BANDS, ROWS, PERCENT = 2, 45, 6, 80
 #: Samples and bits: the sketches of all nodes fold the samples of their bands into SKETCH_BITS; those
 #: of nodes that have to be compared in blocks are finer.
 SKETCH_BITS, FINE_SAMPLES, FINE_BITS, DEVIATIONS = 512, 2048, 4096, 4
-BLOCK, NEAREST = 128, (8, 128)
+#: What each node proposes of a block, round by round; None is all, and ends the rounds.
+BLOCK, NEAREST = 128, (8, 128, None)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -196,12 +197,12 @@ def _open_nodes(members: DataFrame) -> DataFrame:
     return members.join(open_.filter("n > 2 and x <> y").select("bucket"), "bucket", "left_semi").select("node").distinct()
 
 
-def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket and different components that their sketches allow.
+def _across(members: DataFrame, sketches: DataFrame, nearest: int | None, most: int) -> DataFrame:
+    """Pairs (a, b, more) of nodes in one bucket and different components that their sketches allow.
 
     members: (bucket, node, component). The nodes outside a bucket's largest component are compared
-    in blocks with each other and with that component; each node proposes its ``nearest`` of a block.
-    A pair is looked at in the first of the buckets that it shares, so that it comes once. sketches:
+    in blocks with each other and with that component; each node proposes its ``nearest`` of a block
+    (None: all), with more where that leaves any out. A pair is looked at in the first of the buckets that it shares, so that it comes once. sketches:
     (node, sketch, bands).
     """
     sizes = members.groupBy("bucket", "component").count()
@@ -225,27 +226,30 @@ def _across(members: DataFrame, sketches: DataFrame, nearest: int, most: int) ->
             F.transform(upto("n_rest"), lambda j: key(False, F.least(F.col("own"), j), F.greatest(F.col("own"), j))),
         )
     )
-    rows = rows.withColumn("own", own).select("bucket", "node", "component", "in_main", F.explode(keys).alias("key"))
+    rows = rows.withColumn("own", own).select("bucket", "node", "component", "in_main", "own", F.explode(keys).alias("key"))
+    rows = rows.withColumn("kind", F.when(F.col("key.with_main"), 0).when(F.col("key.i") == F.col("key.j"), 1).otherwise(2))
     rows = rows.join(sketches, "node")
 
     def propose(group: pd.DataFrame) -> pd.DataFrame:
         bits = np.array(group.sketch.tolist(), dtype=np.int64).view(np.uint64)
         bands, bucket = np.array(group.bands.tolist(), dtype=np.int64), group.bucket.iloc[0]
         node, part, main = group.node.to_numpy(), group.component.to_numpy(), group.in_main.to_numpy(bool)
-        left = np.flatnonzero(~main)
-        right = np.flatnonzero(main) if main.any() else left
-        found = []
-        for i in left:
+        own, kind, left, found = group.own.to_numpy(), group.kind.iloc[0], np.flatnonzero(~main), {}
+        for i in left:  # with the largest component's block, with its own block, or with another
+            right = np.flatnonzero(main) if kind == 0 else left if kind == 1 else left[own[left] != own[i]]
             apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1)
             ok = np.flatnonzero((part[right] != part[i]) & (apart <= most))
             first = (bands[right[ok]] == bands[i]).argmax(axis=1)
             ok = ok[bands[i][first] == bucket]
+            more = nearest is not None and len(ok) > nearest
             ok = ok[np.lexsort((node[right[ok]], apart[ok]))][:nearest]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in right[ok]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+            for j in right[ok]:
+                pair = (min(node[i], node[j]), max(node[i], node[j]))
+                found[pair] = found.get(pair, False) or more
+        return pd.DataFrame([(*x, more) for x, more in found.items()], columns=["a", "b", "more"]).astype({"a": np.int64, "b": np.int64, "more": bool})
 
     grouped = rows.groupBy("bucket", "key.with_main", "key.i", "key.j")
-    return grouped.applyInPandas(propose, "a long, b long")
+    return grouped.applyInPandas(propose, "a long, b long, more boolean")
 
 
 def near_groups(
@@ -284,24 +288,29 @@ def near_groups(
     proposed = met.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     tested = component = fine = None
     for nearest in (0, *NEAREST):
-        if nearest:
+        more = True
+        if nearest != 0:
             members = met.select("bucket", "node").join(component, "node", "left")
             members = members.select("bucket", "node", F.coalesce("component", "node").alias("component"))
             if fine is None:
                 fine = fine_sketches(texts.join(_open_nodes(members), "node", "left_semi"), k)
                 fine = written(fine.join(nodes.select("node", "bands"), "node"), "fine")
-            proposed = _across(members, fine, nearest, most_differing(FINE_SAMPLES, FINE_BITS, percent))
-            proposed = proposed.join(tested, ["a", "b"], "left_anti")
+            found = written(_across(members, fine, nearest, most_differing(FINE_SAMPLES, FINE_BITS, percent)), "found")
+            more = not found.filter("more").isEmpty()
+            proposed = found.select("a", "b").join(tested, ["a", "b"], "left_anti")
         else:
             of = lambda side: sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"s_{side}"))
             proposed = proposed.join(of("a"), "a").join(of("b"), "b").filter(differing("s_a", "s_b") <= most).select("a", "b")
         proposed = written(proposed, "pairs")
-        if nearest and proposed.isEmpty():
-            break
-        new = written(_confirmed(proposed, texts, k, percent), "tested")
+        if nearest != 0:
+            drop_written(found)
+        if nearest == 0 or not proposed.isEmpty():
+            new = written(_confirmed(proposed, texts, k, percent), "tested")
+            tested = new if tested is None else written(tested.union(new), "tested")
+            component = components(tested.filter("link").select("a", "b"))
         drop_written(proposed)
-        tested = new if tested is None else written(tested.union(new), "tested")
-        component = components(tested.filter("link").select("a", "b"))
+        if not more:  # no node left out any of a block: all pairs have been tested
+            break
     drop_written(met, texts)
 
     rows_of = signed.select("id", "n", "set_hash").join(nodes.select("set_hash", "node"), "set_hash", "left")

@@ -133,6 +133,29 @@ def test_near_duplicates_of_repeated_rows_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id, r.kept) for r in rows) == [(-1, None, True), (3, None, False), (3, None, False), (9, 9, True)]
 
 
+def near_misses(n):
+    """n texts, alike in 80 of 102 words; but the first two in 81 of 101."""
+    core = " ".join(f"core{i}" for i in range(80))
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(10))
+    return [f"{core} both {own(i)}" for i in range(2)] + [f"{core} {own(i)} own{i}" for i in range(2, n)]
+
+
+def test_a_link_among_many_near_misses_is_found(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "NEAREST", (1, *near_dup.NEAREST[2:]))
+    rows = near_dup.near_duplicates(documents(spark, near_misses(320)), k=1).collect()
+    assert sorted(r.component_id for r in rows) == [0, 0, *range(2, 320)]
+
+
+def test_the_last_round_proposes_each_pair_once(spark):
+    assert near_dup.NEAREST[-1] is None
+    members = spark.range(400).selectExpr("7L AS bucket", "id AS node", "greatest(id, 30) AS component")
+    sketches = members.selectExpr("node", "array(0L) AS sketch", "array(7L) AS bands")
+    apart = [(a, b) for b in range(400) for a in range(b) if max(a, 30) != max(b, 30)]
+    pairs = near_dup._across(members, sketches, None, 0).collect()
+    assert sorted((r.a, r.b) for r in pairs) == sorted(apart) and not any(r.more for r in pairs)
+    assert any(r.more for r in near_dup._across(members, sketches, 8, 0).collect())
+
+
 def test_sketches_estimate_high_similarities():
     import numpy as np
 

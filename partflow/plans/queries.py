@@ -354,6 +354,8 @@ def scan_customs_xml(spark, d):
     return feeds.read_customs(spark, folder).drop("hold_reason")
 
 
+#: Rows of a JSON page, about.
+PAGE = 1000
 #: The parts that the SQL of the EDI queries compares.
 IN_SQL = "part_number < 'PN-000050'"
 
@@ -386,10 +388,17 @@ def scan_edi_856(spark, d):
     return _edi_856(spark, d).filter(IN_SQL)
 
 
+def _paged(rows, key, *order):
+    """The rows with a page: so many of each key's that one holds some PAGE rows, dealt by a hash of order."""
+    pages = rows.groupBy(key).agg(F.ceil(F.count("*") / PAGE).alias("pages"))
+    return rows.join(F.broadcast(pages), key).withColumn("page", F.pmod(F.xxhash64(*order), F.col("pages"))).drop("pages")
+
+
 def scan_supplier_json(spark, d):
     folder = _folder(spark, "supplier")
     item = F.struct(F.col("part_number").alias("partNumber"), F.col("quantity").alias("quantityAvailable"), F.datediff("promised_date", "order_date").cast("double").alias("leadTimeDays"))
-    pages = V.purchase_orders(spark, d).filter("status = 'OPEN'").groupBy("supplier_id").agg(F.collect_list(item).alias("i"))
+    lines = _paged(V.purchase_orders(spark, d).filter("status = 'OPEN'"), "supplier_id", "po_number", "po_line")
+    pages = lines.groupBy("supplier_id", "page").agg(F.collect_list(item).alias("i"))
     odd = F.substring("supplier_id", 5, 5).cast("int") % 2 == 1
     pages = pages.select(F.col("supplier_id").alias("supplierId"), F.lit("2001-08-02T02:00:00+02:00").alias("retrievedAt"), F.when(odd, F.col("i")).alias("items"), F.when(~odd, F.col("i")).alias("data"))
     pages.write.json(folder)
@@ -403,8 +412,9 @@ def scan_order_status(spark, d):
         F.col("po_number").alias("purchaseOrderNumber"), F.col("part_number").alias("partNumber"), "quantity", "status", F.concat(F.col("promised_date").cast("string"), F.lit("T23:00:00-02:00")).alias("promisedShipDate"),
         F.lit("soon").alias("revisedShipDate"), F.concat(F.col("order_date").cast("string"), F.lit("T00:00:00Z")).alias("modified"),
     )
-    pages = V.purchase_orders(spark, d).groupBy(F.col("supplier_id").alias("supplierId")).agg(F.collect_list(item).alias("items"))
-    pages.write.json(folder)
+    lines = _paged(V.purchase_orders(spark, d), "supplier_id", "po_number", "po_line")
+    pages = lines.groupBy(F.col("supplier_id").alias("supplierId"), "page").agg(F.collect_list(item).alias("items"))
+    pages.drop("page").write.json(folder)
     found = feeds.read_order_status(spark, folder, datetime.datetime(2001, 1, 1))
     return found.groupBy("supplier_id", "status").agg(F.count("*").alias("n"), F.max(F.col("promised_date").cast("date")).alias("last_promised"), F.count("revised_date").alias("revised"))
 
@@ -413,7 +423,8 @@ def scan_wms(spark, d):
     folder = _folder(spark, "wms")
     rows = V.inventory(spark, d).withColumns({c: F.col(c).cast("string") for c in ("expiry_date", "last_counted")})
     camel = {k: v[0] for k, v in stock.ALIASES.items() if k in rows.columns}
-    rows.withColumnsRenamed(camel).groupBy("warehouseId").agg(F.collect_list(F.struct(*[F.col(c) for c in camel.values()])).alias("items")).select("items").write.json(f"{folder}/json")
+    rows = _paged(rows, "warehouse_id", "part_number")
+    rows.withColumnsRenamed(camel).groupBy("warehouseId", "page").agg(F.collect_list(F.struct(*[F.col(c) for c in camel.values()])).alias("items")).select("items").write.json(f"{folder}/json")
     V.inventory(spark, d).write.parquet(f"{folder}/parquet")
     both, _ = feeds.stage_all(
         spark,

@@ -148,7 +148,7 @@ class DemandModel:
         self.pipeline.write().overwrite().save(path)
 
 
-def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_months: int = 6, kind: str = "gbt", rules: Rules = RULES, trees: int = 20) -> DemandModel:
+def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_months: int = 6, kind: str = "gbt", rules: Rules = RULES, trees: int = 600, rate: float = 0.05, depth: int = 6) -> DemandModel:
     """Boosted trees on log1p with smearing (or a Poisson regression), tested on the last months of all parts."""
     start = split_month(history, test_months)
     features = build_features(history, parts, rules)
@@ -158,7 +158,7 @@ def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_
     inputs = columns + [c for c in rows.columns if c.endswith("_missing")]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     if kind == "gbt":
-        learner = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42)
+        learner = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=42)
     else:
         learner = GeneralizedLinearRegression(labelCol="demand_qty", family="poisson", link="log", regParam=0.01)
     train = rows.filter(F.col("month") < F.lit(start))

@@ -187,7 +187,7 @@ def naive_forecast_metrics(spark, d):
 
 
 def _model(spark, d):
-    return demand.train_demand_model(_history(spark, d), V.parts(spark, d), trees=5)
+    return demand.train_demand_model(_history(spark, d), V.parts(spark, d))
 
 
 def demand_model(spark, d):

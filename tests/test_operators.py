@@ -208,6 +208,19 @@ def test_model_learns_and_forecasts(spark, tmp_path):
         demand.train_demand_model(h.filter("month < '2018-11-01'"))
 
 
+def test_registered_model_has_the_reference_parameters(monkeypatch):
+    import inspect
+
+    from partflow.plans import queries as plans
+
+    default = {k: p.default for k, p in inspect.signature(demand.train_demand_model).parameters.items()}
+    assert (default["trees"], default["rate"], default["depth"]) == (600, 0.05, 6)
+    monkeypatch.setattr(plans, "_history", lambda *_: "history")
+    monkeypatch.setattr(plans.V, "parts", lambda *_: "parts")
+    monkeypatch.setattr(demand, "train_demand_model", lambda *args, **given: (args, given))
+    assert plans._model(None, None) == (("history", "parts"), {})
+
+
 def test_latest_snapshot_and_first_alert(spark):
     rows = [("A", dt.date(2024, 1, 1), 5), ("A", dt.date(2024, 2, 1), 0), ("B", dt.date(2024, 1, 1), 1)]
     df = spark.createDataFrame(rows, "part_number string, snapshot_date date, qty_available int")

@@ -28,14 +28,21 @@ def text_hash(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share. Only a local session may leave it unset, and gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def shuffles(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions, for rows whose work does not follow their bytes."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Cuts the lineage: writes the rows to the shared folder and returns a scan of them."""
     spark = df.sparkSession
@@ -94,5 +101,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         labels = new
         if new.filter(F.col("old") != F.col("component")).isEmpty():
             drop_written(both)
-            return labels.select("node", "component")
+            out = labels.select("node", "component")
+            out._partflow_path = labels._partflow_path
+            return out
     raise RuntimeError(f"components need more than {max_rounds} rounds")

@@ -1,19 +1,22 @@
 """Near-duplicate texts: MinHash banding, candidates weighed by odd sketches, links confirmed on full sets.
 
 1. Each text becomes the set of its distinct word shingles; equal sets are one node.
-2. A node's MinHash samples give band keys, and fold into an odd sketch: a bitmap that keeps the
-   parity of how many samples fell on each bit. The bits in which two sketches differ number about
-   the samples in which their sets differ, which gives high similarities precisely.
+2. A set is thrown into SAMPLES bins, round after round, until each bin has an element: the first to
+   come is the bin's MinHash sample, so that one pass over a set gives all samples. Samples give band
+   keys, and fold into an odd sketch: a bitmap that keeps the parity of how many samples fell on each
+   bit. The bits in which two sketches differ number about the samples in which their sets differ,
+   which gives high similarities precisely.
 3. In every band bucket, nodes are proposed against the bucket's smallest node. A pair whose
-   sketches allow the similarity is decided on the full sets.
-4. Where a bucket still holds nodes of several components, its nodes are compared across components
-   in blocks by finer sketches of more samples: the nearest few of each first, then more, then all that the
-   sketches allow. A bucket that one component fills costs nothing, so groups of copies are never expanded into pairs.
+   sketches allow the similarity is decided on the full sets. Of buckets with the same nodes, one counts.
+4. Where a bucket still holds nodes of several components, the nodes outside its largest component
+   are compared with all others of the bucket, in tasks of at most two blocks of BLOCK nodes. Each node
+   first proposes the NEAREST that its sketch allows; buckets with more are taken again, with all. Pairs
+   within a component are never proposed, so groups of copies are never expanded into pairs.
 5. Components of the links are the groups.
 
 A link is missed only if no band of its texts agrees (probability ``(1 - s**rows)**bands``: about
-1e-6 at a similarity of 0.8 with the defaults, less above) or if a sketch is off by four deviations (3e-5 at
-0.8, and far less above, where most links are).
+1e-6 at a similarity of 0.8 with the defaults, less above) or if a sketch is off by five deviations
+(3e-7 at 0.8, and far less above). Sizes of sets and similarities are exact.
 """
 
 from __future__ import annotations
@@ -25,14 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import components, drop_written, table, text_hash, written
+from partflow.llm.common import components, drop_written, shuffles, table, text_hash, written
 
 SHINGLE, BANDS, ROWS, PERCENT = 2, 45, 6, 80
-#: Samples and bits: the sketches of all nodes fold the samples of their bands into SKETCH_BITS; those
-#: of nodes that have to be compared in blocks are finer.
-SKETCH_BITS, FINE_SAMPLES, FINE_BITS, DEVIATIONS = 512, 2048, 4096, 4
-#: What each node proposes of a block, round by round; None is all, and ends the rounds.
-BLOCK, NEAREST = 128, (8, 128, None)
+#: Samples of a set (a power of two), the bits that they fold into, and how far off a sketch may be.
+SAMPLES, SKETCH_BITS, DEVIATIONS = 1024, 2048, 5
+#: Nodes of a block, and what each node proposes at first of the blocks that it meets.
+BLOCK, NEAREST = 4096, 8
+#: Texts that a task hashes at once.
+AT_ONCE = 200
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -70,22 +74,73 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def hashed_set(words: list[bytes], k: int, hashes: _Hashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles."""
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if not len(ids):
-        return ids
-    n = min(k, len(ids))
-    h = np.full(len(ids) - n + 1, n, dtype=np.uint64)
-    for j in range(n):
-        h = _mixed(h * _M2 + ids[j : len(ids) - n + 1 + j])
-    return np.unique(h)
+def hashed_sets(texts: list[str | None], k: int, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct 64-bit shingle hashes of all texts, one text after the other, and where each begins."""
+    words = [words_of(t) for t in texts]
+    count = np.fromiter(map(len, words), np.int64, len(words))
+    ids = np.fromiter((hashes[w] for each in words for w in each), np.uint64, int(count.sum()))
+    width = np.minimum(count, k)  # of a text's shingles
+    shingles = count - width + (count > 0)
+    text_of = np.repeat(np.arange(len(words)), shingles)
+    begin = np.cumsum(count) - count
+    at = np.arange(len(text_of)) - np.repeat(np.cumsum(shingles) - shingles - begin, shingles)
+    h = width[text_of].astype(np.uint64)
+    for j in range(k):
+        longer = width[text_of] > j
+        if longer.all():
+            h = _mixed(h * _M2 + ids[at + j])
+        else:
+            h[longer] = _mixed(h[longer] * _M2 + ids[at[longer] + j])
+    order = np.lexsort((h, text_of))
+    h = h[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (text_of[1:] != text_of[:-1])
+    return h[first], np.concatenate([[0], np.cumsum(np.bincount(text_of[first], minlength=len(words)))])
+
 
+def hashed_set(text: str | None, k: int) -> np.ndarray:
+    return hashed_sets([text], k, _Hashes())[0]
 
-def _samplers(count: int) -> tuple[np.ndarray, np.ndarray]:
+
+def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(7)
     a = rng.integers(0, 2**64, count, dtype=np.uint64) | np.uint64(1)
-    return a[:, None], rng.integers(0, 2**64, count, dtype=np.uint64)[:, None]
+    return a, rng.integers(0, 2**64, count, dtype=np.uint64)
+
+
+#: Rounds that have multipliers of their own; a set of one element needs all but a few of so many.
+ROUNDS = 16 * SAMPLES
+
+
+def samples_of(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """SAMPLES MinHash samples of a set x of sorted hashes: the element that came first to each bin.
+
+    Of those of one round, the smallest comes first. Bins that ROUNDS rounds leave empty (with one
+    element, one bin in ten million) keep 0.
+    """
+    out = np.zeros(SAMPLES, np.uint64)
+    if not len(x):
+        return out
+    shift, done, wanted = np.uint64(64 - SAMPLES.bit_length() + 1), 0, np.arange(SAMPLES)
+    while len(wanted) and done < ROUNDS:
+        upto = min(ROUNDS, done + max(1, int(SAMPLES * (np.log(len(wanted)) + 2) // len(x))))
+        bins = ((a[done:upto, None] * x + b[done:upto, None]) >> shift).astype(np.int64).ravel()
+        comes = np.full(SAMPLES, -1)
+        comes[bins[::-1]] = np.arange(len(bins) - 1, -1, -1)
+        found = wanted[comes[wanted] >= 0]
+        out[found] = x[comes[found] % len(x)]
+        wanted, done = wanted[comes[wanted] < 0], upto
+    return out
+
+
+def _least(h: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each text the smallest value of each multiplier, of texts with shingles: a row for each text."""
+    out = np.zeros((len(starts) - 1, len(a)), np.uint64)
+    full = np.flatnonzero(np.diff(starts))
+    if len(full):
+        for j in range(len(a)):
+            out[full, j] = np.minimum.reduceat(h * a[j] + b[j], starts[:-1][full])
+    return out
 
 
 def _odd(least: np.ndarray, bits: int) -> np.ndarray:
@@ -102,53 +157,56 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x).view(np.int64).ravel()))
 
 
-def _least(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest of each sampler's hashes of x."""
-    out = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for j in range(0, len(x), 512):
-        np.minimum(out, (a * x[j : j + 512] + b).min(axis=1), out=out)
-    return out
+def _sketched(h: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.stack([samples_of(h[i:j], a, b) for i, j in zip(starts[:-1], starts[1:])])
 
 
-def signatures(items: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """Rows (id, n, set_hash, bands, sketch) for items (id, text); n is the size of the shingle set."""
+def signatures(items: DataFrame, k: int, bands: int, rows: int, sketched: bool = True) -> DataFrame:
+    """Rows (id, n, set_hash, bands, sketch) for items (id, text); n is the size of the shingle set.
+
+    Without sketches, each sample has a multiplier of its own, which is less work for few samples.
+    """
     count = bands * rows
 
     def sign(batches):
-        a, b = _samplers(count)
+        a, b = _multipliers(ROUNDS if sketched else count)
         hashes = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                n, digests = np.zeros(part.num_rows, np.int64), []
-                least = np.empty((part.num_rows, count), np.uint64)
-                for i, text in enumerate(part.column("text")):
-                    x = hashed_set(words_of(text.as_py()), k, hashes)
-                    n[i] = len(x)
-                    digests.append(xxhash.xxh3_128_digest(x.tobytes()))
-                    least[i] = _least(x, a, b)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                h, starts = hashed_sets(part.column("text").to_pylist(), k, hashes)
+                n = np.diff(starts)
+                sums = np.zeros((part.num_rows, 2), np.uint64)
+                if len(h):
+                    for i, x in enumerate((h, _mixed(h ^ _M1))):
+                        sums[n > 0, i] = np.add.reduceat(x, starts[:-1][n > 0])
+                least = _sketched(h, starts, a, b) if sketched else _least(h, starts, a, b)
                 keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (part.num_rows, 1))
                 for r in range(rows):
-                    keys = _mixed(keys * _M2 + least[:, r::rows])
-                columns = [part.column("id"), pa.array(n), pa.array(digests, pa.binary()), _lists(keys), _lists(_odd(least, SKETCH_BITS))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_hash", "bands", "sketch"])
+                    keys = _mixed(keys * _M2 + least[:, r:count:rows])
+                sketch = _lists(_odd(least, SKETCH_BITS)) if sketched else pa.nulls(part.num_rows, pa.list_(pa.int64()))
+                digest = pa.array([x.tobytes() for x in sums], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array(n), digest, _lists(keys), sketch], ["id", "n", "set_hash", "bands", "sketch"]
+                )
 
     kind = items.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n long, set_hash binary, bands array<long>, sketch array<long>"
     return items.select("id", "text").mapInArrow(sign, schema)
 
 
-def fine_sketches(texts: DataFrame, k: int) -> DataFrame:
-    """Rows (node, sketch) for texts (node, text), of FINE_SAMPLES in FINE_BITS."""
+def sketches_of(texts: DataFrame, k: int) -> DataFrame:
+    """Rows (node, sketch) for texts (node, text)."""
 
     def sketch(batches):
-        a, b = _samplers(FINE_SAMPLES)
+        a, b = _multipliers(ROUNDS)
         hashes = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                least = np.stack([_least(hashed_set(words_of(t.as_py()), k, hashes), a, b) for t in part.column("text")])
-                yield pa.RecordBatch.from_arrays([part.column("node"), _lists(_odd(least, FINE_BITS))], ["node", "sketch"])
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                h, starts = hashed_sets(part.column("text").to_pylist(), k, hashes)
+                odd = _lists(_odd(_sketched(h, starts, a, b), SKETCH_BITS))
+                yield pa.RecordBatch.from_arrays([part.column("node"), odd], ["node", "sketch"])
 
     return texts.select("node", "text").mapInArrow(sketch, "node long, sketch array<long>")
 
@@ -190,20 +248,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInPandas(confirm, "a long, b long, link boolean")
 
 
-def _open_nodes(members: DataFrame) -> DataFrame:
-    """The nodes of buckets with three nodes or more in more than one component (two have been compared)."""
-    c = F.col("component")
-    open_ = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(c).alias("x"), F.max(c).alias("y"))
-    return members.join(open_.filter("n > 2 and x <> y").select("bucket"), "bucket", "left_semi").select("node").distinct()
+def _open(members: DataFrame) -> DataFrame:
+    """Of members (bucket, node, component) those in buckets of several components: with in_main, n_main and n_rest.
 
-
-def _across(members: DataFrame, sketches: DataFrame, nearest: int | None, most: int) -> DataFrame:
-    """Pairs (a, b, more) of nodes in one bucket and different components that their sketches allow.
-
-    members: (bucket, node, component). The nodes outside a bucket's largest component are compared
-    in blocks with each other and with that component; each node proposes its ``nearest`` of a block
-    (None: all), with more where that leaves any out. A pair is looked at in the first of the buckets that it shares, so that it comes once. sketches:
-    (node, sketch, bands).
+    in_main marks the bucket's largest component, which has n_main blocks, all others together n_rest.
+    Two nodes of a bucket have been compared already.
     """
     sizes = members.groupBy("bucket", "component").count()
     sizes = sizes.groupBy("bucket").agg(
@@ -216,40 +265,85 @@ def _across(members: DataFrame, sketches: DataFrame, nearest: int | None, most:
         blocks(F.col("top.count")).alias("n_main"),
         blocks(F.col("total") - F.col("top.count")).alias("n_rest"),
     )
-    rows = members.join(sizes, "bucket").withColumn("in_main", F.col("component") == F.col("main"))
+    rows = members.join(written(sizes, "sizes"), "bucket")
+    return rows.withColumn("in_main", F.col("component") == F.col("main")).drop("main")
+
+
+def _across(rows: DataFrame, marks: DataFrame, nearest: int | None, most: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes in one bucket and different components that their sketches and sizes allow.
+
+    rows: as of ``_open``; marks: (node, n, sketch, buckets). A node outside the bucket's largest
+    component proposes its ``nearest`` of the blocks that it meets (None: all); a bucket where that
+    leaves any out comes in a row (null, null, bucket). A pair is looked at in the smallest of the
+    buckets that both have, so that it comes once.
+    """
     own = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("in_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
+    rows = rows.withColumn("own", own)
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    key = lambda with_main, i, j: F.struct(F.lit(with_main).alias("with_main"), i.alias("i"), j.alias("j"))
-    keys = F.when(F.col("in_main"), F.transform(upto("n_rest"), lambda i: key(True, i, F.col("own")))).otherwise(
+    key = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    others = F.filter(upto("n_rest"), lambda j: j != F.col("own"))
+    keys = F.when(F.col("in_main"), F.transform(upto("n_rest"), lambda j: key(F.col("own"), j))).otherwise(
         F.concat(
-            F.transform(upto("n_main"), lambda j: key(True, F.col("own"), j)),
-            F.transform(upto("n_rest"), lambda j: key(False, F.least(F.col("own"), j), F.greatest(F.col("own"), j))),
+            F.transform(upto("n_main"), lambda i: key(i, F.col("own"))),
+            F.transform(others, lambda j: key(-1 - F.least(F.col("own"), j), F.greatest(F.col("own"), j))),
         )
     )
-    rows = rows.withColumn("own", own).select("bucket", "node", "component", "in_main", "own", F.explode(keys).alias("key"))
-    rows = rows.withColumn("kind", F.when(F.col("key.with_main"), 0).when(F.col("key.i") == F.col("key.j"), 1).otherwise(2))
-    rows = rows.join(sketches, "node")
-
-    def propose(group: pd.DataFrame) -> pd.DataFrame:
-        bits = np.array(group.sketch.tolist(), dtype=np.int64).view(np.uint64)
-        bands, bucket = np.array(group.bands.tolist(), dtype=np.int64), group.bucket.iloc[0]
-        node, part, main = group.node.to_numpy(), group.component.to_numpy(), group.in_main.to_numpy(bool)
-        own, kind, left, found = group.own.to_numpy(), group.kind.iloc[0], np.flatnonzero(~main), {}
-        for i in left:  # with the largest component's block, with its own block, or with another
-            right = np.flatnonzero(main) if kind == 0 else left if kind == 1 else left[own[left] != own[i]]
-            apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1)
-            ok = np.flatnonzero((part[right] != part[i]) & (apart <= most))
-            first = (bands[right[ok]] == bands[i]).argmax(axis=1)
-            ok = ok[bands[i][first] == bucket]
-            more = nearest is not None and len(ok) > nearest
-            ok = ok[np.lexsort((node[right[ok]], apart[ok]))][:nearest]
-            for j in right[ok]:
-                pair = (min(node[i], node[j]), max(node[i], node[j]))
-                found[pair] = found.get(pair, False) or more
-        return pd.DataFrame([(*x, more) for x, more in found.items()], columns=["a", "b", "more"]).astype({"a": np.int64, "b": np.int64, "more": bool})
-
-    grouped = rows.groupBy("bucket", "key.with_main", "key.i", "key.j")
-    return grouped.applyInPandas(propose, "a long, b long, more boolean")
+    rows = rows.select("bucket", "node", "component", "in_main", "own", F.explode(keys).alias("key")).join(marks, "node")
+    rows = rows.select("bucket", "key.i", "key.j", "node", "component", "in_main", "own", "n", "sketch", "buckets")
+    rows = rows.repartition(shuffles(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def of_group(group: pa.Table) -> tuple[list[tuple[int, int]], bool]:
+        column = lambda name: group.column(name).to_numpy()
+        node, part, main, own, n = (column(x) for x in ("node", "component", "in_main", "own", "n"))
+        main, bucket, i = main.astype(bool), group.column("bucket")[0].as_py(), group.column("i")[0].as_py()
+        left = np.flatnonzero(~main if i >= 0 else own == -1 - i)
+        right = np.arange(len(node)) if i == 0 else np.flatnonzero(main if i > 0 else own != -1 - i)
+        if not len(left) or not len(right):
+            return [], False
+        bits = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        lists, of, found, more = group.column("buckets"), {}, set(), False
+
+        def common(x: int) -> set[int]:
+            if x not in of:
+                of[x] = set(lists[x].as_py())
+            return of[x]
+
+        step = max(1, 65_536 // len(right))
+        for at in range(0, len(left), step):
+            l = left[at : at + step, None]  # noqa: E741
+            apart = np.bitwise_count(bits[l] ^ bits[right]).sum(axis=2)
+            ok = (part[l] != part[right]) & (apart <= most) & (100 * np.minimum(n[l], n[right]) >= percent * np.maximum(n[l], n[right]))
+            for at_l in np.flatnonzero(ok.any(axis=1)):
+                x, near = int(l[at_l, 0]), np.flatnonzero(ok[at_l])
+                near = [y for y in near[np.lexsort((node[right[near]], apart[at_l, near]))] if min(common(x) & common(int(right[y]))) == bucket]
+                more |= nearest is not None and len(near) > nearest
+                for y in right[near[:nearest]] if near else ():
+                    found.add((min(node[x], node[y]), max(node[x], node[y])))
+        return list(found), more
+
+    def propose(batches):
+        held = None
+        for batch in (*batches, None):
+            if batch is not None:
+                held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            if held is None or not len(held):
+                continue
+            keys = [held.column(c).to_numpy() for c in ("bucket", "i", "j")]
+            ends = [*(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1), *([len(held)] if batch is None else [])]
+            at, pairs, full = 0, [], []
+            for end in ends:
+                found, more = of_group(held.slice(at, end - at))
+                pairs += found
+                full += [keys[0][at]] * more
+                at = end
+            held = held.slice(at)
+            of = lambda x, nulls_before, nulls_after: pa.array([None] * nulls_before + x + [None] * nulls_after, pa.int64())
+            a, b = ([int(p[side]) for p in pairs] for side in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [of(a, 0, len(full)), of(b, 0, len(full)), of([int(x) for x in full], len(pairs), 0)], ["a", "b", "more"]
+            )
+
+    return rows.mapInArrow(propose, "a long, b long, more long")
 
 
 def near_groups(
@@ -264,60 +358,72 @@ def near_groups(
 
     Items are linked if 100 * intersection >= percent * union of their sets of k-word shingles;
     texts without words, and nulls, have no shingles and are linked with nothing. ids may be of any
-    type with an order, repeat and be null in parts; each row of items gets a row.
+    type with an order, repeat and be null in parts; each row of items gets a row. A text is held
+    whole by the task that hashes it, together with AT_ONCE - 1 others.
+
+    With ``sketched``, all nodes get sketches, which weigh each pair. Without, as for short texts, pairs are
+    decided on their sets at once, and only nodes that have to be compared in blocks get sketches.
     """
-    most = most_differing(bands * rows, SKETCH_BITS, percent) if sketched else SKETCH_BITS
-    signed = written(signatures(items, k, bands, rows), "signed")
+    most = most_differing(SAMPLES, SKETCH_BITS, percent)
+    signed = written(signatures(items, k, bands, rows, sketched), "signed")
     nodes = written(
         signed.filter("n > 0")
-        .groupBy("set_hash")
+        .groupBy("set_hash", "n")
         .agg(F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    sketches = nodes.select("node", "sketch")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    shared = met.groupBy("bucket").agg(
+        F.min("node").alias("hub"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("same")
+    )
+    shared = shared.filter("c > 1").groupBy("hub", "c", "same").agg(F.min("bucket").alias("bucket")).select("bucket", "hub", "c")
     # Written first: a join of two plain shuffles can split a hot bucket.
-    met = written(met.join(written(shared, "shared"), "bucket"), "met")
+    shared = written(shared, "shared")
+    met = written(met.join(shared, "bucket"), "met")
 
     texts = nodes.select("node", "first").join(met.select("node").distinct(), "node", "left_semi")
     texts = texts.join(items.select("id", "text"), F.col("first") == F.col("id"))
     texts = written(texts.groupBy("first", "node").agg(F.first("text").alias("text")), "texts")
 
     proposed = met.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = component = fine = None
-    for nearest in (0, *NEAREST):
-        more = True
-        if nearest != 0:
-            members = met.select("bucket", "node").join(component, "node", "left")
-            members = members.select("bucket", "node", F.coalesce("component", "node").alias("component"))
-            if fine is None:
-                fine = fine_sketches(texts.join(_open_nodes(members), "node", "left_semi"), k)
-                fine = written(fine.join(nodes.select("node", "bands"), "node"), "fine")
-            found = written(_across(members, fine, nearest, most_differing(FINE_SAMPLES, FINE_BITS, percent)), "found")
-            more = not found.filter("more").isEmpty()
-            proposed = found.select("a", "b").join(tested, ["a", "b"], "left_anti")
-        else:
-            of = lambda side: sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"s_{side}"))
-            proposed = proposed.join(of("a"), "a").join(of("b"), "b").filter(differing("s_a", "s_b") <= most).select("a", "b")
-        proposed = written(proposed, "pairs")
-        if nearest != 0:
-            drop_written(found)
-        if nearest == 0 or not proposed.isEmpty():
-            new = written(_confirmed(proposed, texts, k, percent), "tested")
-            tested = new if tested is None else written(tested.union(new), "tested")
+    of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+    proposed = proposed.join(of("a"), "a").join(of("b"), "b")
+    proposed = proposed.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    proposed = proposed.filter(differing("s_a", "s_b") <= most) if sketched else proposed
+    tested = written(_confirmed(proposed, texts, k, percent), "tested")
+    component = components(tested.filter("link").select("a", "b"))
+
+    def members(of: DataFrame) -> DataFrame:
+        found = of.select("bucket", "node").join(component, "node", "left")
+        return found.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+
+    rows_open = written(_open(members(met.filter("c > 2"))), "open")
+    if not rows_open.isEmpty():
+        buckets = rows_open.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+        marks = nodes.select("node", "n", *(["sketch"] if sketched else [])).join(buckets, "node")
+        if not sketched:
+            marks = marks.join(sketches_of(texts.join(buckets, "node", "left_semi"), k), "node")
+        marks = written(marks, "marks")
+        for nearest in (NEAREST, None):
+            found = written(_across(rows_open, marks, nearest, most, percent), "found")
+            new = found.filter("more is null").select("a", "b").join(tested, ["a", "b"], "left_anti")
+            new = written(_confirmed(new, texts, k, percent), "tested")
+            tested = written(tested.union(new), "tested")
             component = components(tested.filter("link").select("a", "b"))
-        drop_written(proposed)
-        if not more:  # no node left out any of a block: all pairs have been tested
-            break
-    drop_written(met, texts)
-
-    rows_of = signed.select("id", "n", "set_hash").join(nodes.select("set_hash", "node"), "set_hash", "left")
+            full = found.filter("more is not null").select(F.col("more").alias("bucket")).distinct()
+            if nearest is None or full.isEmpty():
+                break
+            rows_open = written(_open(members(rows_open.join(full, "bucket", "left_semi"))), "open")
+        drop_written(marks, found, new)
+    drop_written(met, texts, rows_open, shared)
+
+    rows_of = signed.select("id", "n", "set_hash").join(nodes.select("set_hash", "n", "node"), ["set_hash", "n"], "left")
     rows_of = rows_of.join(component, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
     rows_of = written(rows_of, "groups")
     smallest = rows_of.filter("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
     smallest = written(smallest, "smallest")
+    drop_written(signed, nodes, tested, component)
     return rows_of.join(smallest, "group", "left").select("id", "n", F.coalesce("smallest", "id").alias("component"))
 
 
@@ -326,8 +432,15 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
 
     component_id is the smallest doc_id of the group (a null one is smaller than any), kept marks
     the rows that have it. Null texts and texts without words form groups of their own. Repeated
-    rows are in one group. Other columns are ignored; an empty table gives an empty result.
+    rows are in one group; of equal doc_ids with different texts, the smaller text_key comes first.
+    Texts of any length are taken whole. Other columns are ignored, whatever their names; an empty
+    table gives an empty result.
     """
+    return _found(documents, k, percent).drop("first")
+
+
+def _found(documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """``near_duplicates``, with first: whether the row is of the group's smallest (doc_id, text_key)."""
     items = documents.select(F.struct("doc_id", text_hash(F.col("text")).alias("text_key")).alias("id"), "text")
     found = near_groups(items, k=k, percent=percent)
     return found.select(
@@ -335,15 +448,28 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
         F.col("n").alias("n_shingles"),
         F.col("component.doc_id").alias("component_id"),
         F.col("id.doc_id").eqNullSafe(F.col("component.doc_id")).alias("kept"),
+        F.col("id").eqNullSafe(F.col("component")).alias("first"),
     )
 
 
-def drop_near_duplicates(documents: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The input's rows without the documents whose group has a smaller doc_id."""
-    gone = near_duplicates(documents, k, percent).filter(~F.col("kept")).select("doc_id", "text_key").distinct()
-    gone = gone.withColumnsRenamed({"doc_id": "__d", "text_key": "__k"})
-    key = text_hash(documents["text"])
-    return documents.join(gone, documents["doc_id"].eqNullSafe(F.col("__d")) & (key == F.col("__k")), "left_anti")
+def drop_near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The input's rows and columns, one document of each group of near duplicates.
+
+    The document with the smallest (doc_id, text hash) stays, nulls before numbers, and of rows that
+    repeat both one. Rows without words all stay. Columns of any names are kept; an empty table gives an empty result.
+    """
+    found = _found(documents, k, percent).groupBy("doc_id", "text_key").agg(
+        F.first("first").alias("first"), ((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("repeated")
+    )
+    found = written(found.filter("not first or repeated"), "dropped")
+    marked = found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "first", "repeated")
+    same = documents["doc_id"].eqNullSafe(F.col("__d")) & (text_hash(documents["text"]) == F.col("__k"))
+    left = documents.join(marked, same, "left_anti")
+    again = marked.filter("first and repeated").drop("first", "repeated")
+    if again.isEmpty():
+        return left
+    again = documents.join(again, same).dropDuplicates(["__d", "__k"]).select(*documents.columns)
+    return left.unionByName(again)
 
 
 def op10_near_dup(spark, sf_dir: str) -> DataFrame:

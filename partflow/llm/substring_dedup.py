@@ -22,11 +22,13 @@ def paragraph_groups(documents: DataFrame, min_words: int = MIN_WORDS, percent:
     """Rows (doc_id, text_key, line_no, words, first): paragraphs of min_words words or more, and their component.
 
     first is the component's smallest (doc_id, text_key, line_no), nulls before numbers: the
-    paragraph that stays. Rows that repeat a doc_id and text give one set of paragraphs.
+    paragraph that stays. Rows that repeat a doc_id and text give one set of paragraphs. Lines of any
+    length are taken whole; other columns are ignored, whatever their names.
     """
     lines = documents.select("doc_id", text_hash(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")))
     words = F.regexp_count("col", F.lit(_WORD))
-    items = lines.filter(words >= min_words).select(
+    # min_words words take so many characters: most short lines go without the pattern.
+    items = lines.filter((F.char_length("col") >= 2 * min_words - 1) & (words >= min_words)).select(
         F.struct("doc_id", "text_key", F.col("pos").alias("line_no")).alias("id"), F.col("col").alias("text")
     )
     found = near_groups(items, SHINGLE, BANDS, ROWS, percent, sketched=False)

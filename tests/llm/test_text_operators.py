@@ -133,40 +133,82 @@ def test_near_duplicates_of_repeated_rows_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id, r.kept) for r in rows) == [(-1, None, True), (3, None, False), (3, None, False), (9, 9, True)]
 
 
-def near_misses(n):
-    """n texts, alike in 80 of 102 words; but the first two in 81 of 101."""
+def test_whole_groups_leave_one_document(spark):
+    text = "a b c d e f g h"
+    df = documents(spark, [(3, text), (3, text), (None, text), (None, text), (None, text + " "), (9, "x y"), (9, "x y"), (4, None), (4, None), (5, "")])
+    left = near_dup.drop_near_duplicates(df).collect()
+    assert sorted((r.doc_id or -1, (r.text or "").strip()) for r in left) == [(-1, text), (4, ""), (4, ""), (5, ""), (9, "x y")]
+
+
+def test_other_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "a b c", 7, 8, 9), (2, "a b c", 7, 8, 9)], "doc_id long, text string, kept long, component_id long, node long")
+    out = near_dup.drop_near_duplicates(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(1, "a b c", 7, 8, 9)]
+
+
+def test_very_long_texts_are_taken_whole(spark):
+    words = [f"w{i}" for i in range(120_000)]
+    texts = [" ".join(words), " ".join(words[:-3] + ["x", "y", "z"]), " ".join(words[:90_000]), " ".join(words[:95_000]) + " q" * 9]
+    want, sets = groups_by_definition(texts, 2, 80)
+    rows = sorted(near_dup.near_duplicates(documents(spark, texts)).collect(), key=lambda r: r.doc_id)
+    assert [r.component_id for r in rows] == want and [r.n_shingles for r in rows] == [len(s) for s in sets]
+
+
+def near_misses(pairs, singles=0):
+    """One group of texts that share 80 words: two of a pair have 81 of 101 words in common, all others 80 of 102."""
     core = " ".join(f"core{i}" for i in range(80))
     own = lambda i: " ".join(f"own{i}x{j}" for j in range(10))
-    return [f"{core} both {own(i)}" for i in range(2)] + [f"{core} {own(i)} own{i}" for i in range(2, n)]
+    return [f"{core} both{i // 2} {own(i)}" for i in range(2 * pairs)] + [f"{core} {own(i)} own{i}" for i in range(2 * pairs, 2 * pairs + singles)]
 
 
-def test_a_link_among_many_near_misses_is_found(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "NEAREST", (1, *near_dup.NEAREST[2:]))
-    rows = near_dup.near_duplicates(documents(spark, near_misses(320)), k=1).collect()
-    assert sorted(r.component_id for r in rows) == [0, 0, *range(2, 320)]
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 50])
+def test_links_among_many_near_misses_are_found(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    n = 300 if block > 50 else 80
+    rows = near_dup.near_duplicates(documents(spark, near_misses(n, 40)), k=1).collect()
+    assert sorted(r.component_id for r in rows) == sorted([i // 2 * 2 for i in range(2 * n)] + list(range(2 * n, 2 * n + 40)))
 
 
-def test_the_last_round_proposes_each_pair_once(spark):
-    assert near_dup.NEAREST[-1] is None
+def of_one_bucket(spark):
     members = spark.range(400).selectExpr("7L AS bucket", "id AS node", "greatest(id, 30) AS component")
-    sketches = members.selectExpr("node", "array(0L) AS sketch", "array(7L) AS bands")
+    marks = members.selectExpr("node", "10L AS n", "array(0L) AS sketch", "array(7L, 9L) AS buckets")
+    return near_dup._open(members), marks
+
+
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 128])
+def test_all_pairs_across_components_come_once(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
     apart = [(a, b) for b in range(400) for a in range(b) if max(a, 30) != max(b, 30)]
-    pairs = near_dup._across(members, sketches, None, 0).collect()
-    assert sorted((r.a, r.b) for r in pairs) == sorted(apart) and not any(r.more for r in pairs)
-    assert any(r.more for r in near_dup._across(members, sketches, 8, 0).collect())
+    pairs = near_dup._across(*of_one_bucket(spark), None, 0, 80).collect()
+    assert sorted((r.a, r.b) for r in pairs) == sorted(apart) and all(r.more is None for r in pairs)
+    few = near_dup._across(*of_one_bucket(spark), 8, 0, 80).collect()
+    assert {r.more for r in few if r.a is None} == {7} and len(few) < 400 * 8 * (1 if block > 400 else 8)
 
 
-def test_sketches_estimate_high_similarities():
+def test_samples_and_sketches_estimate_similarities():
     import numpy as np
 
     rng = np.random.default_rng(0)
-    a, b = near_dup._samplers(near_dup.FINE_SAMPLES)
-    most = near_dup.most_differing(near_dup.FINE_SAMPLES, near_dup.FINE_BITS, 80)
-    for s, close in ((0.9, True), (0.82, True), (0.6, False)):
-        both = int(800 * s / (1 + s))
-        x = rng.integers(0, 2**63, 800 - both, dtype=np.uint64)
-        words = near_dup._odd(np.stack([near_dup._least(x[:400], a, b), near_dup._least(x[400 - both :], a, b)]), near_dup.FINE_BITS).view(np.uint64)
-        assert (np.bitwise_count(words[0] ^ words[1]).sum() <= most) == close
+    a, b = near_dup._multipliers(near_dup.ROUNDS)
+    most = near_dup.most_differing(near_dup.SAMPLES, near_dup.SKETCH_BITS, 80)
+    for size in (1, 10, 400, 30_000):
+        for s, close in ((0.9, True), (0.8, True), (0.6, False)):
+            both = round(2 * size * s / (1 + s))
+            x = rng.integers(0, 2**63, 2 * size - both, dtype=np.uint64)
+            s = both / len(x)
+            samples = np.stack([near_dup.samples_of(np.sort(y), a, b) for y in (x[:size], x[size - both :])])
+            assert np.isin(samples[0], x[:size]).all() and abs((samples[0] == samples[1]).mean() - s) < 0.06
+            words = near_dup._odd(samples, near_dup.SKETCH_BITS).view(np.uint64)
+            assert size == 1 or (np.bitwise_count(words[0] ^ words[1]).sum() <= most) == close
+
+
+def test_shingles_of_many_texts_at_once():
+    texts = near_copies(1) + [" ".join("ab" * 9), "x"]
+    for k in (1, 2, 5):
+        h, starts = near_dup.hashed_sets(texts, k, near_dup._Hashes())
+        for i, text in enumerate(texts):
+            assert h[starts[i] : starts[i + 1]].tolist() == near_dup.hashed_set(text, k).tolist()
+            assert starts[i + 1] - starts[i] == len(near_dup.shingle_set(text, k))
 
 
 def test_paragraphs_near_copies_go(spark):

@@ -9,9 +9,9 @@
 3. In every band bucket, nodes are proposed against the bucket's smallest node. A pair whose
    sketches allow the similarity is decided on the full sets. Of buckets with the same nodes, one counts.
 4. Where a bucket still holds nodes of several components, the nodes outside its largest component
-   are compared with all others of the bucket, in tasks of at most two blocks of BLOCK nodes. Each node
-   first proposes the NEAREST that its sketch allows; buckets with more are taken again, with all. Pairs
-   within a component are never proposed, so groups of copies are never expanded into pairs.
+   are compared with all others of the bucket, in tasks of at most two blocks. Sketches and sizes choose
+   the pairs, full sets decide them in the task, and only links that join components leave it: a
+   group of copies, or of near misses, is never expanded into rows of pairs.
 5. Components of the links are the groups.
 
 A link is missed only if no band of its texts agrees (probability ``(1 - s**rows)**bands``: about
@@ -33,8 +33,8 @@ from partflow.llm.common import components, drop_written, shuffles, table, text_
 SHINGLE, BANDS, ROWS, PERCENT = 2, 45, 6, 80
 #: Samples of a set (a power of two), the bits that they fold into, and how far off a sketch may be.
 SAMPLES, SKETCH_BITS, DEVIATIONS = 1024, 2048, 5
-#: Nodes of a block, and what each node proposes at first of the blocks that it meets.
-BLOCK, NEAREST = 4096, 8
+#: A block has about so many nodes and shingles at most.
+BLOCK_NODES, BLOCK_SHINGLES = 4096, 1_000_000
 #: Texts that a task hashes at once.
 AT_ONCE = 200
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -195,20 +195,21 @@ def signatures(items: DataFrame, k: int, bands: int, rows: int, sketched: bool =
     return items.select("id", "text").mapInArrow(sign, schema)
 
 
-def sketches_of(texts: DataFrame, k: int) -> DataFrame:
-    """Rows (node, sketch) for texts (node, text)."""
+def sets_of(texts: DataFrame, k: int) -> DataFrame:
+    """Rows (node, shingles, sketch) for texts (node, text): the sorted shingle hashes of each."""
 
-    def sketch(batches):
+    def hashed(batches):
         a, b = _multipliers(ROUNDS)
         hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(at, AT_ONCE)
                 h, starts = hashed_sets(part.column("text").to_pylist(), k, hashes)
-                odd = _lists(_odd(_sketched(h, starts, a, b), SKETCH_BITS))
-                yield pa.RecordBatch.from_arrays([part.column("node"), odd], ["node", "sketch"])
+                shingles = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(h.view(np.int64)))
+                columns = [part.column("node"), shingles, _lists(_odd(_sketched(h, starts, a, b), SKETCH_BITS))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "sketch"])
 
-    return texts.select("node", "text").mapInArrow(sketch, "node long, sketch array<long>")
+    return texts.select("node", "text").mapInArrow(hashed, "node long, shingles array<long>, sketch array<long>")
 
 
 def most_differing(samples: int, bits: int, percent: int) -> int:
@@ -249,33 +250,33 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """Of members (bucket, node, component) those in buckets of several components: with in_main, n_main and n_rest.
+    """Of members (bucket, node, n, component) those in buckets of several components: with in_main, n_main and n_rest.
 
     in_main marks the bucket's largest component, which has n_main blocks, all others together n_rest.
     Two nodes of a bucket have been compared already.
     """
-    sizes = members.groupBy("bucket", "component").count()
+    blocks = lambda nodes, shingles: F.ceil(F.greatest(nodes / BLOCK_NODES, shingles / BLOCK_SHINGLES)).cast("int")
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
     sizes = sizes.groupBy("bucket").agg(
-        F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("total"), F.count("*").alias("parts")
+        F.max(F.struct("c", "component", "n")).alias("top"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.count("*").alias("parts")
     )
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = sizes.filter("parts > 1 and total > 2").select(
+    sizes = sizes.filter("parts > 1 and c > 2").select(
         "bucket",
         F.col("top.component").alias("main"),
-        blocks(F.col("top.count")).alias("n_main"),
-        blocks(F.col("total") - F.col("top.count")).alias("n_rest"),
+        blocks(F.col("top.c"), F.col("top.n")).alias("n_main"),
+        blocks(F.col("c") - F.col("top.c"), F.col("n") - F.col("top.n")).alias("n_rest"),
     )
     rows = members.join(written(sizes, "sizes"), "bucket")
-    return rows.withColumn("in_main", F.col("component") == F.col("main")).drop("main")
+    return rows.withColumn("in_main", F.col("component") == F.col("main")).drop("main", "n")
 
 
-def _across(rows: DataFrame, marks: DataFrame, nearest: int | None, most: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket and different components that their sketches and sizes allow.
+def _across(rows: DataFrame, marks: DataFrame, most: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components which the buckets of rows hold.
 
-    rows: as of ``_open``; marks: (node, n, sketch, buckets). A node outside the bucket's largest
-    component proposes its ``nearest`` of the blocks that it meets (None: all); a bucket where that
-    leaves any out comes in a row (null, null, bucket). A pair is looked at in the smallest of the
-    buckets that both have, so that it comes once.
+    rows: as of ``_open``; marks: (node, shingles, sketch, buckets). Each node outside a bucket's
+    largest component is weighed against the nodes of other components, by size and sketch, in the
+    smallest of the buckets that both have, so that a pair comes up once; what passes is decided on the
+    full sets. A task leaves out links within components that it has joined already.
     """
     own = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("in_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -289,61 +290,81 @@ def _across(rows: DataFrame, marks: DataFrame, nearest: int | None, most: int, p
         )
     )
     rows = rows.select("bucket", "node", "component", "in_main", "own", F.explode(keys).alias("key")).join(marks, "node")
-    rows = rows.select("bucket", "key.i", "key.j", "node", "component", "in_main", "own", "n", "sketch", "buckets")
+    rows = rows.select("bucket", "key.i", "key.j", "node", "component", "in_main", "own", "shingles", "sketch", "buckets")
     rows = rows.repartition(shuffles(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
-    def of_group(group: pa.Table) -> tuple[list[tuple[int, int]], bool]:
+    def links_of(group: pa.Table) -> list[tuple[int, int]]:
         column = lambda name: group.column(name).to_numpy()
-        node, part, main, own, n = (column(x) for x in ("node", "component", "in_main", "own", "n"))
+        node, part, main, own = (column(x) for x in ("node", "component", "in_main", "own"))
         main, bucket, i = main.astype(bool), group.column("bucket")[0].as_py(), group.column("i")[0].as_py()
+        # Rest with main, and a rest block with itself beside the first block of main; or two rest blocks.
         left = np.flatnonzero(~main if i >= 0 else own == -1 - i)
         right = np.arange(len(node)) if i == 0 else np.flatnonzero(main if i > 0 else own != -1 - i)
         if not len(left) or not len(right):
-            return [], False
-        bits = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-        lists, of, found, more = group.column("buckets"), {}, set(), False
-
-        def common(x: int) -> set[int]:
-            if x not in of:
-                of[x] = set(lists[x].as_py())
-            return of[x]
+            return []
+        lists = group.column("shingles").combine_chunks()
+        at_set, shingles = lists.offsets.to_numpy(), lists.values.to_numpy()
+        n, bits = np.diff(at_set), group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        names, buckets, roots, found = group.column("buckets"), {}, {}, []
+
+        def root(x: int) -> int:
+            while roots.get(x, x) != x:
+                x = roots[x] = roots.get(roots[x], roots[x])
+            return x
+
+        def meet_here(x: int, y: int) -> bool:
+            for z in (x, y):
+                if z not in buckets:
+                    buckets[z] = set(names[z].as_py())
+            return min(buckets[x] & buckets[y]) == bucket
+
+        def common(x: int, ys: np.ndarray) -> np.ndarray:
+            """The sizes of the intersections of x's set with each of ys'."""
+            of_x = np.sort(shingles[at_set[x] : at_set[x + 1]])
+            each = np.concatenate([shingles[at_set[y] : at_set[y + 1]] for y in ys])
+            same = of_x[np.searchsorted(of_x, each).clip(max=len(of_x) - 1)] == each
+            return np.add.reduceat(same, np.cumsum(n[ys]) - n[ys], dtype=np.int64)
 
         step = max(1, 65_536 // len(right))
         for at in range(0, len(left), step):
             l = left[at : at + step, None]  # noqa: E741
-            apart = np.bitwise_count(bits[l] ^ bits[right]).sum(axis=2)
-            ok = (part[l] != part[right]) & (apart <= most) & (100 * np.minimum(n[l], n[right]) >= percent * np.maximum(n[l], n[right]))
-            for at_l in np.flatnonzero(ok.any(axis=1)):
-                x, near = int(l[at_l, 0]), np.flatnonzero(ok[at_l])
-                near = [y for y in near[np.lexsort((node[right[near]], apart[at_l, near]))] if min(common(x) & common(int(right[y]))) == bucket]
-                more |= nearest is not None and len(near) > nearest
-                for y in right[near[:nearest]] if near else ():
-                    found.add((min(node[x], node[y]), max(node[x], node[y])))
-        return list(found), more
-
-    def propose(batches):
+            ok = (part[l] != part[right]) & (100 * np.minimum(n[l], n[right]) >= percent * np.maximum(n[l], n[right]))
+            ok &= np.bitwise_count(bits[l] ^ bits[right]).sum(axis=2) <= most
+            for k in np.flatnonzero(ok.any(axis=1)):
+                x = int(l[k, 0])
+                ys = [y for y in right[ok[k]].tolist() if root(part[x]) != root(part[y]) and meet_here(x, y)]
+                for cut in range(0, len(ys), 1000):
+                    y = np.array(ys[cut : cut + 1000])
+                    both = common(x, y)
+                    for z in y[100 * both >= percent * (n[x] + n[y] - both)].tolist():
+                        a, b = sorted((root(part[x]), root(part[z])))
+                        if a != b:
+                            roots[b] = a
+                            found.append((int(node[x]), int(node[z])))
+        return found
+
+    def join_up(batches):
         held = None
-        for batch in (*batches, None):
+        for batch in _and_end(batches):
             if batch is not None:
                 held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
             if held is None or not len(held):
                 continue
             keys = [held.column(c).to_numpy() for c in ("bucket", "i", "j")]
-            ends = [*(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1), *([len(held)] if batch is None else [])]
-            at, pairs, full = 0, [], []
-            for end in ends:
-                found, more = of_group(held.slice(at, end - at))
-                pairs += found
-                full += [keys[0][at]] * more
+            ends = (np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist() + [len(held)] * (batch is None)
+            at, links = 0, []
+            for end in ends:  # the last group may go on in the next batch
+                links += links_of(held.slice(at, end - at).combine_chunks())
                 at = end
             held = held.slice(at)
-            of = lambda x, nulls_before, nulls_after: pa.array([None] * nulls_before + x + [None] * nulls_after, pa.int64())
-            a, b = ([int(p[side]) for p in pairs] for side in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [of(a, 0, len(full)), of(b, 0, len(full)), of([int(x) for x in full], len(pairs), 0)], ["a", "b", "more"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([x[side] for x in links], pa.int64()) for side in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(join_up, "a long, b long")
+
 
-    return rows.mapInArrow(propose, "a long, b long, more long")
+def _and_end(batches):
+    yield from batches
+    yield None
 
 
 def near_groups(
@@ -358,8 +379,8 @@ def near_groups(
 
     Items are linked if 100 * intersection >= percent * union of their sets of k-word shingles;
     texts without words, and nulls, have no shingles and are linked with nothing. ids may be of any
-    type with an order, repeat and be null in parts; each row of items gets a row. A text is held
-    whole by the task that hashes it, together with AT_ONCE - 1 others.
+    type with an order, repeat and be null in parts; each row of items gets a row. A task holds a text
+    whole when it hashes it, together with AT_ONCE - 1 others.
 
     With ``sketched``, all nodes get sketches, which weigh each pair. Without, as for short texts, pairs are
     decided on their sets at once, and only nodes that have to be compared in blocks get sketches.
@@ -373,7 +394,7 @@ def near_groups(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    met = nodes.select("node", F.explode("bands").alias("bucket"))
+    met = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = met.groupBy("bucket").agg(
         F.min("node").alias("hub"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("same")
     )
@@ -395,27 +416,17 @@ def near_groups(
     component = components(tested.filter("link").select("a", "b"))
 
     def members(of: DataFrame) -> DataFrame:
-        found = of.select("bucket", "node").join(component, "node", "left")
-        return found.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        found = of.select("bucket", "node", "n").join(component, "node", "left")
+        return found.select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
 
     rows_open = written(_open(members(met.filter("c > 2"))), "open")
+    links = tested.filter("link").select("a", "b")
     if not rows_open.isEmpty():
         buckets = rows_open.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
-        marks = nodes.select("node", "n", *(["sketch"] if sketched else [])).join(buckets, "node")
-        if not sketched:
-            marks = marks.join(sketches_of(texts.join(buckets, "node", "left_semi"), k), "node")
-        marks = written(marks, "marks")
-        for nearest in (NEAREST, None):
-            found = written(_across(rows_open, marks, nearest, most, percent), "found")
-            new = found.filter("more is null").select("a", "b").join(tested, ["a", "b"], "left_anti")
-            new = written(_confirmed(new, texts, k, percent), "tested")
-            tested = written(tested.union(new), "tested")
-            component = components(tested.filter("link").select("a", "b"))
-            full = found.filter("more is not null").select(F.col("more").alias("bucket")).distinct()
-            if nearest is None or full.isEmpty():
-                break
-            rows_open = written(_open(members(rows_open.join(full, "bucket", "left_semi"))), "open")
-        drop_written(marks, found, new)
+        marks = written(sets_of(texts.join(buckets, "node", "left_semi"), k).join(buckets, "node"), "marks")
+        links = links.union(written(_across(rows_open, marks, most, percent), "across"))
+        component = components(links)
+        drop_written(marks)
     drop_written(met, texts, rows_open, shared)
 
     rows_of = signed.select("id", "n", "set_hash").join(nodes.select("set_hash", "n", "node"), ["set_hash", "n"], "left")
@@ -423,7 +434,7 @@ def near_groups(
     rows_of = written(rows_of, "groups")
     smallest = rows_of.filter("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
     smallest = written(smallest, "smallest")
-    drop_written(signed, nodes, tested, component)
+    drop_written(signed, nodes, tested)
     return rows_of.join(smallest, "group", "left").select("id", "n", F.coalesce("smallest", "id").alias("component"))
 
 

@@ -161,28 +161,27 @@ def near_misses(pairs, singles=0):
     return [f"{core} both{i // 2} {own(i)}" for i in range(2 * pairs)] + [f"{core} {own(i)} own{i}" for i in range(2 * pairs, 2 * pairs + singles)]
 
 
-@pytest.mark.parametrize("block", [near_dup.BLOCK, 50])
+@pytest.mark.parametrize("block", [near_dup.BLOCK_NODES, 50])
 def test_links_among_many_near_misses_are_found(spark, monkeypatch, block):
-    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", block)
     n = 300 if block > 50 else 80
     rows = near_dup.near_duplicates(documents(spark, near_misses(n, 40)), k=1).collect()
     assert sorted(r.component_id for r in rows) == sorted([i // 2 * 2 for i in range(2 * n)] + list(range(2 * n, 2 * n + 40)))
 
 
-def of_one_bucket(spark):
-    members = spark.range(400).selectExpr("7L AS bucket", "id AS node", "greatest(id, 30) AS component")
-    marks = members.selectExpr("node", "10L AS n", "array(0L) AS sketch", "array(7L, 9L) AS buckets")
-    return near_dup._open(members), marks
-
-
-@pytest.mark.parametrize("block", [near_dup.BLOCK, 128])
-def test_all_pairs_across_components_come_once(spark, monkeypatch, block):
-    monkeypatch.setattr(near_dup, "BLOCK", block)
-    apart = [(a, b) for b in range(400) for a in range(b) if max(a, 30) != max(b, 30)]
-    pairs = near_dup._across(*of_one_bucket(spark), None, 0, 80).collect()
-    assert sorted((r.a, r.b) for r in pairs) == sorted(apart) and all(r.more is None for r in pairs)
-    few = near_dup._across(*of_one_bucket(spark), 8, 0, 80).collect()
-    assert {r.more for r in few if r.a is None} == {7} and len(few) < 400 * 8 * (1 if block > 400 else 8)
+@pytest.mark.parametrize("block", [near_dup.BLOCK_NODES, 16])
+def test_components_of_a_bucket_are_joined_by_few_links(spark, monkeypatch, block):
+    """Nodes 0 to 99 in one bucket, two in common: equal sets of even nodes, of odd nodes, and of 90 and more none."""
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", block)
+    members = spark.range(100).selectExpr("7L AS bucket", "id AS node", "10L AS n", "greatest(id, 30) AS component")
+    sets = "transform(sequence(1L, 10L), x -> if(id >= 90, id * 100 + x, x + 10 * (id % 2)))"
+    marks = spark.range(100).selectExpr("id AS node", f"{sets} AS shingles", "array(0L) AS sketch", "array(9L, 7L) AS buckets")
+    links = [(r.a, r.b) for r in near_dup._across(near_dup._open(members), marks, 0, 80).collect()]
+    part = near_dup.components(spark.createDataFrame(links + [(i, 30) for i in range(30)], "a long, b long"))
+    got = {r.node: r.component for r in part.collect()}
+    assert {got[i] for i in range(90)} == {0} and not any(i in got for i in range(90, 100))
+    assert len(links) == len(set(links)) and all(a % 2 == b % 2 and max(a, b) < 90 for a, b in links)
+    assert len(links) < (90 if block > 50 else 90 * 8)
 
 
 def test_samples_and_sketches_estimate_similarities():

@@ -77,38 +77,72 @@ def test_texts_without_letters_are_undecided(spark):
 # --- language model
 
 
-def test_lm_base_scores_by_definition(spark):
+def by_definition(model, counts, texts):
+    """The log10 probability of each text, with a softmax of each level for each token."""
+    v, d = model.vocabulary, lm.FEATURES
+    n_rest = sum(c for w, c in counts.items() if w not in v.words and w != b"\n")
+    v_rest = sum(1 for w in counts if w not in v.words and w != b"\n")
+    number = {w: i for i, w in enumerate(v.words)}
+    out = []
+    for text in texts:
+        words = [*(text or "").encode().lower().split(), b"\n"]
+        before, last, total = v.end, v.end, 0.0
+        for w in words:
+            i = v.end if w == b"\n" else number.get(w, v.other)
+            x = model.q[before].astype(float) @ model.m1 + model.q[last].astype(float) @ model.m2
+            k = next(k for k in range(len(v.cut)) if v.cut[k] <= i < v.cut[k + 1])
+            s = np.exp(model.rc.astype(float) @ x + model.bc)
+            inside = np.arange(v.cut[k], v.cut[k + 1])
+            t = np.exp(model.r[inside].astype(float) @ x + model.b[inside]) if len(inside) > 1 else np.ones(1)
+            p = s[k] / s.sum() * t[i - v.cut[k]] / t.sum()
+            if i == v.other:
+                p *= (counts[w] + 0.1) / (n_rest + 0.1 * (v_rest + 1))
+            total, before, last = total + math.log10(p), last, i
+        out.append(total)
+    assert model.m1.shape == model.m2.shape == (d, d)
+    return out
+
+
+def test_lm_scores_by_definition(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60)
-    extra = spark.createDataFrame([(None, None), (-1, ""), (-2, "unseenword zzz"), (-3, "Eins ZWEI\tdrei\nvier")], "doc_id long, text string")
-    docs = docs.union(extra)
+    extra = spark.createDataFrame([(None, None), (-1, ""), (-2, "unseenword zzz"), (-3, "Eins ZWEI\tdrei\nvier"), (-4, "lang " * 50_000)], "doc_id long, text string")
+    docs = docs.union(extra).union(extra.limit(1)).withColumn("score", F.lit("clash"))
     held = language_id.bucket_of(F.col("doc_id"), 10) == 0
     rows = docs.select("doc_id", "text", held.alias("h")).collect()
     tokens = lambda t: (t or "").encode().lower().split() + [b"\n"]
     c = collections.Counter(w for r in rows if not r.h for w in tokens(r.text))
     n, v = sum(c.values()), len(c)
-    got = {(r.doc_id): r for r in lm.score_texts(docs, ~held, steps=40).collect()}
-    assert len(got) == len(rows)
-    for r in rows:
+    models, fit = [], lm.fit
+    monkeypatch.setattr(lm, "fit", lambda *x: models.append(fit(*x)) or models[-1])
+    found = lm.score_texts(docs, ~held, most_words=60, least_count=3).collect()
+    assert len(found) == len(rows)
+    got = {r.doc_id: r for r in found}
+    assert len(models[0].vocabulary.words) == 60
+    want = by_definition(models[0], c, [r.text for r in rows])
+    for r, score in zip(rows, want):
         t = tokens(r.text)
         g = got[r.doc_id]
         assert (g.n_tokens, g.n_known, g.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
-        assert g.base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), abs=1e-6)
-        assert g.score <= 0
-    assert lm.score_texts(docs.limit(0), F.lit(True), steps=1).count() == 0
-    assert lm.score_texts(docs.limit(3), F.lit(False)).filter("n_known > 0").isEmpty()
+        assert g.base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), rel=1e-6)
+        assert g.score == pytest.approx(score, rel=1e-4)
+    assert lm.score_texts(docs.limit(0), F.lit(True)).count() == 0
+    assert lm.score_texts(docs.limit(3), F.lit(False)).filter("n_known > 0 or score > 0").isEmpty()
 
 
-def test_lm_learns_context_and_is_normalised():
-    rng = np.random.default_rng(0)
-    c = np.full(30_002, lm.END)
-    for i in range(2, len(c)):  # what follows depends on the token before
-        c[i] = (c[i - 1] * 7 + rng.integers(0, 3)) % 40
-    code = (c[:-2] * lm.CLASSES + c[1:-1]) * lm.CLASSES + c[2:]
-    model = lm.fit(*np.unique(code[:25_000], return_counts=True), steps=600)
-    assert np.allclose(np.exp(model).sum(axis=2), 1, atol=1e-4)
-    share = np.bincount(c[2:25_002], minlength=lm.CLASSES) / 25_000
-    assert model.ravel()[code[25_000:]].mean() > np.log(share[c[25_002:]] + 1e-9).mean() + 1
-    assert np.allclose(lm.fit(np.array([], int), np.array([], int)), -math.log(lm.CLASSES))
+def test_lm_is_normalised_and_beats_unigrams_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    held = language_id.bucket_of(F.col("doc_id"), 10) == 0
+    words = collections.Counter(w for r in docs.filter(~held).collect() for w in lm.words_of(r.text))
+    top = [(w, n) for w, n in words.most_common() if n >= 20]
+    vocabulary = lm.Vocabulary.of([w for w, _ in top], np.array([n for _, n in top]), sum(words.values()) - sum(n for _, n in top), 900)
+    assert len(top) > 1000 and vocabulary.cut[-1] == len(top) + 2
+    model = lm.fit(docs.filter(~held), vocabulary)
+    rng, every = np.random.default_rng(0), np.arange(len(top) + 2)
+    for before, last in rng.integers(0, len(every), (20, 2)):
+        p = np.exp(model.log_probabilities(np.full(len(every), before), np.full(len(every), last), every))
+        assert p.min() > 0 and p.sum() == pytest.approx(1, abs=1e-4)
+    tokens, _, found = lm.score_of(model, [r.text for r in docs.filter(held).collect()])
+    assert found.mean() / math.log(10) > np.log10(vocabulary.share[tokens]).mean() + 0.1
 
 
 # --- pages

@@ -4,12 +4,15 @@ Every language has probabilities for the pieces of one fixed public byte-level v
 of a word is its probability summed over all its segmentations into pieces, which a forward pass
 computes for all languages at once; a text's score is the product over its words. Probabilities are
 fitted by expectation-maximisation, with a forward and a backward pass over the same segmentations.
+Words whose probabilities leave the range of doubles on the way take the same passes with logarithms,
+so that no word is cut, however long, and no script is beyond the model.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +25,13 @@ from partflow.llm.common import table
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: The model is fitted on about this many documents of each language: a bound, whatever the corpus.
 TRAIN_DOCUMENTS = 300
-ROUNDS, PSEUDO_COUNT, LONGEST_PIECE, LONGEST_WORD = 4, 0.02, 16, 256
+ROUNDS, PSEUDO_COUNT = 4, 0.02
 UNDECIDED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = 12.0  # keeps the forward pass in range: about the reciprocal probability of a byte
+_RANGE = 1e-140, 1e140  # outside, a pass takes logarithms
+#: Bytes of the words of a lattice, with the padding to its longest word.
+LATTICE_BYTES = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -36,7 +42,7 @@ def words_of(text: str | None) -> list[str]:
 def load_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
     with open(path, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    return with_beginnings(p for p in pieces if len(p) <= LONGEST_PIECE)
+    return with_beginnings(dict.fromkeys([*pieces, *(bytes([b]) for b in range(256))]))  # every word has a segmentation
 
 
 def with_beginnings(pieces) -> dict[bytes, int]:
@@ -78,38 +84,90 @@ class Lattice:
         alpha[:, 0] = 1
         for t in range(1, self.longest + 1):
             e = slice(self.cut[t], self.cut[t + 1])
-            step = alpha[self.word[e], self.start[e]] * p[self.piece[e]] * self.scale[e, None]
+            with np.errstate(over="ignore", invalid="ignore"):
+                step = alpha[self.word[e], self.start[e]] * p[self.piece[e]] * self.scale[e, None]
             for k in range(langs):
                 alpha[:, t, k] = np.bincount(self.word[e], step[:, k], n)
         return alpha
 
-    def log_likelihood(self, p: np.ndarray) -> np.ndarray:
+    def in_range(self, alpha: np.ndarray) -> np.ndarray:
+        """The words whose values all stay far from the smallest and the largest doubles."""
+        inside = np.arange(self.longest + 1)[None, :, None] <= self.size[:, None, None]
+        values = np.where(inside, alpha, 1.0).reshape(len(alpha), -1)
+        return (values.min(axis=1, initial=1.0) > _RANGE[0]) & (values.max(axis=1, initial=1.0) < _RANGE[1])
+
+    def forward_log(self, log_p: np.ndarray, backward: bool = False) -> np.ndarray:
+        """log of the summed probability of the bytes before (backward: from) each position: [word, position, language]."""
+        n, langs = len(self.size), log_p.shape[1]
+        out = np.full((n, self.longest + 1, langs), -np.inf)
+        out[np.arange(n), self.size if backward else 0] = 0
+        to, source = (self.start, self.end) if backward else (self.end, self.start)
+        order = np.lexsort((self.word, -to if backward else to))
+        places, first = np.unique(-to[order] if backward else to[order], return_index=True)
+        for place, a, b in zip(np.abs(places), first, [*first[1:], len(order)]):
+            e = order[a:b]
+            step = out[self.word[e], source[e]] + log_p[self.piece[e]]
+            starts = np.flatnonzero(np.diff(self.word[e], prepend=-1))
+            top = np.maximum.reduceat(step, starts)
+            top[np.isneginf(top)] = 0
+            each = np.repeat(top, np.diff(starts, append=len(e)), axis=0)
+            with np.errstate(divide="ignore"):
+                out[self.word[e][starts], place] = top + np.log(np.add.reduceat(np.exp(step - each), starts))
+        return out
+
+    def log_likelihood(self, p: np.ndarray, words: list[str], pieces: dict[bytes, int]) -> np.ndarray:
         """log P(word | language), an array (word, language)."""
-        alpha = self.forward(p)[np.arange(len(self.size)), self.size]
-        return np.log(np.maximum(alpha, 1e-300)) - (self.size * np.log(_BASE))[:, None]
-
-    def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        alpha = self.forward(p)
+        rows = np.arange(len(self.size))
+        ok = self.in_range(alpha)
+        with np.errstate(divide="ignore"):
+            out = np.log(alpha[rows, self.size]) - (self.size * np.log(_BASE))[:, None]
+            log_p = None if ok.all() else np.log(p)
+        for i in np.flatnonzero(~ok):
+            one = Lattice([words[i]], pieces)
+            out[i] = one.forward_log(log_p)[0, one.size[0]]
+        return out
+
+    def expected(self, p: np.ndarray, weight: np.ndarray, words: list[str], pieces: dict[bytes, int]) -> np.ndarray:
         """Expected counts (piece, language) for words seen ``weight[word, language]`` times."""
         alpha = self.forward(p)
         n, langs = weight.shape
         beta = np.zeros_like(alpha)
         beta[np.arange(n), self.size] = 1
-        total = np.maximum(alpha[np.arange(n), self.size], 1e-300)
         by_start = np.argsort(-self.start, kind="stable")
         cut = np.searchsorted(-self.start[by_start], np.arange(-self.longest, 2))
         for t in range(self.longest - 1, -1, -1):
             e = by_start[cut[self.longest - t] : cut[self.longest - t + 1]]
-            step = beta[self.word[e], self.end[e]] * p[self.piece[e]] * self.scale[e, None]
+            with np.errstate(over="ignore", invalid="ignore"):
+                step = beta[self.word[e], self.end[e]] * p[self.piece[e]] * self.scale[e, None]
             for k in range(langs):
                 beta[:, t, k] += np.bincount(self.word[e], step[:, k], n)
-        share = alpha[self.word, self.start] * beta[self.word, self.end] * p[self.piece] * self.scale[:, None]
-        share *= (weight / total)[self.word]
-        return np.stack([np.bincount(self.piece, share[:, k], len(p)) for k in range(langs)], axis=1)
-
-
-def chunks(word: str) -> list[str]:
-    """A run of letters in parts of LONGEST_WORD at most, so that its lattice stays small."""
-    return [word[i : i + LONGEST_WORD] for i in range(0, len(word), LONGEST_WORD)]
+        ok = self.in_range(alpha) & self.in_range(beta)
+        total = np.where(ok[:, None], alpha[np.arange(n), self.size], 1.0)
+        e = np.flatnonzero(ok[self.word])
+        share = alpha[self.word[e], self.start[e]] * beta[self.word[e], self.end[e]] * p[self.piece[e]] * self.scale[e, None]
+        share *= (weight / total)[self.word[e]]
+        out = np.stack([np.bincount(self.piece[e], share[:, k], len(p)) for k in range(langs)], axis=1)
+        for i in np.flatnonzero(~ok):
+            with np.errstate(divide="ignore"):
+                one, log_p = Lattice([words[i]], pieces), np.log(p)
+            a, z = one.forward_log(log_p), one.forward_log(log_p, backward=True)
+            log_share = a[0, one.start] + z[0, one.end] + log_p[one.piece] - a[0, one.size[0]]
+            np.add.at(out, one.piece, np.exp(log_share) * weight[i])
+        return out
+
+
+def in_lattices(words: list[str], pieces: dict[bytes, int]) -> Iterator[tuple[list[int], list[str], Lattice]]:
+    """The places of the words, the words and their lattice, for parts of words of like length."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    at = 0
+    while at < len(order):
+        upto = at + 1
+        while upto < len(order) and (upto + 1 - at) * (len(words[order[upto]]) + 1) <= LATTICE_BYTES:
+            upto += 1
+        part = [words[i] for i in order[at:upto]]
+        yield order[at:upto], part, Lattice(part, pieces)
+        at = upto
 
 
 def fit(counts: list[tuple[str, str, int]], pieces: dict[bytes, int], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -122,10 +180,9 @@ def fit(counts: list[tuple[str, str, int]], pieces: dict[bytes, int], rounds: in
         weight[place[word], column[lang]] += n
     n_pieces = max(pieces.values(), default=-1) + 1
     p = np.full((n_pieces, len(langs)), 1 / max(1, n_pieces))
-    parts = [slice(i, i + 20_000) for i in range(0, len(words), 20_000)]
-    lattices = [Lattice(words[part], pieces) for part in parts] if langs else []
+    lattices = list(in_lattices(words, pieces)) if langs else []
     for _ in range(rounds if langs else 0):
-        c = sum(x.expected(p, weight[part]) for x, part in zip(lattices, parts)) + PSEUDO_COUNT
+        c = sum(x.expected(p, weight[at], part, pieces) for at, part, x in lattices) + PSEUDO_COUNT
         p = c / c.sum(axis=0)
     return langs, p
 
@@ -141,7 +198,7 @@ def training_counts(documents: DataFrame, lang: Column, per_language: int = TRAI
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, text in zip(batch.lang, batch.text):
-                found = pd.Series([c for w in words_of(text) for c in chunks(w)], dtype=object).value_counts()
+                found = pd.Series(words_of(text), dtype=object).value_counts()
                 yield pd.DataFrame({"lang": name, "word": found.index.astype(str), "n": found.to_numpy()})
 
     found = rows.filter(chosen).select("lang", "text").mapInPandas(count, "lang string, word string, n long")
@@ -157,10 +214,13 @@ class Scorer:
         self.known = np.zeros((memory, len(langs)))
 
     def _learn(self, words: list[str]) -> np.ndarray:
-        return np.concatenate([Lattice(words[i : i + 5000], self.pieces).log_likelihood(self.p) for i in range(0, len(words), 5000)])
+        out = np.empty((len(words), len(self.langs)))
+        for at, part, lattice in in_lattices(words, self.pieces):
+            out[at] = lattice.log_likelihood(self.p, part, self.pieces)
+        return out
 
     def __call__(self, texts) -> tuple[list[str], list[float]]:
-        each = [[c for w in words_of(t) for c in (chunks(w) if len(w) > LONGEST_WORD else (w,))] for t in texts]
+        each = [words_of(t) for t in texts]
         new = sorted({w for words in each for w in words if w not in self.place}) if self.langs else []
         if len(self.place) + len(new) > self.memory:
             self.place = {}
@@ -184,6 +244,17 @@ class Scorer:
         return names, scores
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer_of(name: str, model) -> Scorer:
+    """The scorer of a model, with what it remembers from earlier tasks of this Python worker."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(*model)
+    return _SCORERS[name]
+
+
 def identify(documents: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY, per_language: int = TRAIN_DOCUMENTS) -> DataFrame:
     """The input's rows and columns with lang_pred and score.
 
@@ -191,15 +262,16 @@ def identify(documents: DataFrame, learn_from: Column, vocabulary: str = VOCABUL
     prediction depends on the text alone. score is the probability of the predicted language among
     the learned ones, all equally likely beforehand. A text that is null or has no letter, and any
     text if nothing was learned, is ``und`` with score 0. Of equal scores the first name wins. Rows
-    that repeat are treated alike. Input columns with one of the two names are replaced.
+    that repeat are treated alike. Texts and words of any length and script are taken whole. Input
+    columns with one of the two names are replaced; an empty table gives an empty result.
     """
     pieces = load_pieces(vocabulary)
     langs, p = fit(training_counts(documents.filter(learn_from), F.col("lang"), per_language), pieces)
-    model = documents.sparkSession.sparkContext.broadcast((langs, p, pieces))
+    model, name = documents.sparkSession.sparkContext.broadcast((langs, p, pieces)), uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(*model.value)
+        scorer = scorer_of(name, model.value)
         for texts in series:
             names, scores = [], []
             for i in range(0, len(texts), 250):

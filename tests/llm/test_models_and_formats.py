@@ -37,7 +37,7 @@ def test_forward_pass_sums_all_segmentations():
     rng = np.random.default_rng(0)
     p = rng.dirichlet(np.ones(7), 2).T
     words = ["ab", "aba", "abab", "b", "abbaab"]
-    got = language_id.Lattice(words, pieces).log_likelihood(p)
+    got = language_id.Lattice(words, pieces).log_likelihood(p, words, pieces)
     for i, w in enumerate(words):
         for k in (0, 1):
             assert got[i, k] == pytest.approx(math.log(by_all_segmentations(w, p, pieces, k)))
@@ -49,12 +49,55 @@ def test_each_fitting_round_raises_the_likelihood():
     last = -math.inf
     for rounds in (1, 2, 4, 8):
         _, p = language_id.fit(counts, pieces, rounds)
-        now = sum(n * language_id.Lattice([w], pieces).log_likelihood(p)[0, 0] for _, w, n in counts)
+        now = sum(n * language_id.Lattice([w], pieces).log_likelihood(p, [w], pieces)[0, 0] for _, w, n in counts)
         assert now > last - 0.05
         last = now
     assert p.sum(axis=0) == pytest.approx(1)
 
 
+def in_log_space(word, p, pieces):
+    """log P(word | language) of each language, by the definition's recursion with logarithms."""
+    coded, longest = (" " + word).encode(), max(map(len, pieces))
+    out = np.full((len(coded) + 1, p.shape[1]), -np.inf)
+    out[0] = 0
+    for end in range(1, len(coded) + 1):
+        for start in range(max(0, end - longest), end):
+            i = pieces.get(coded[start:end], -1)
+            if i >= 0:
+                out[end] = np.logaddexp(out[end], out[start] + np.log(p[i]))
+    return out[-1]
+
+
+def test_no_word_is_cut_or_floored():
+    pieces = language_id.load_pieces()
+    assert sum(i >= 0 for i in pieces.values()) == 50_256
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet(np.full(50_256, 0.05), 3).T + 1e-12
+    p /= p.sum(axis=0)
+    words = ["漢" * 100, "x" * 250, "the", "ünï", "".join(rng.choice(list("abcdefghij"), 5000)), "ж" * 90, "ab"]
+    scorer = language_id.Scorer(["a", "b", "c"], p, pieces)
+    got = scorer._learn(words)
+    for w, found in zip(words, got):
+        want = in_log_space(w, p, pieces)
+        assert np.isfinite(found).all() and found == pytest.approx(want, rel=1e-9) and len(set(found)) == 3
+        assert scorer([w]) == ([["a", "b", "c"][int(want.argmax())]], [pytest.approx(1 / np.exp(want - want.max()).sum())])
+
+
+def test_expected_counts_of_long_words_are_those_of_all_segmentations():
+    pieces = language_id.with_beginnings([b" ", b"a", b"b", b"ab"])
+    p = np.array([[0.4, 0.1], [1e-4, 0.3], [1e-4, 0.5], [1e-6, 0.1]])
+    word = "ab" * 300
+    got = language_id.Lattice([word], pieces).expected(p, np.array([[2.0, 1.0]]), [word], pieces)
+    for k, n in ((0, 2), (1, 1)):  # each of the 300 pairs is one piece or two, whatever the others are
+        one = p[3, k] / (p[3, k] + p[1, k] * p[2, k])
+        assert got[:, k] == pytest.approx([n, n * 300 * (1 - one), n * 300 * (1 - one), n * 300 * one])
+
+
+def test_ties_go_to_the_first_name():
+    pieces = language_id.with_beginnings([b" ", b"a"])
+    assert language_id.Scorer(["de", "en"], np.full((2, 2), 0.5), pieces)(["aaa a", None, "1"]) == (["de", "und", "und"], [0.5, 0.0, 0.0])
+
+
 def test_languages_are_told_apart(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").withColumn("score", F.lit("clash"))
     held = language_id.bucket_of(F.col("doc_id"), 3) == 1

@@ -147,7 +147,7 @@ class Lattice:
         e = np.flatnonzero(ok[self.word])
         share = alpha[self.word[e], self.start[e]] * beta[self.word[e], self.end[e]] * p[self.piece[e]] * self.scale[e, None]
         share *= (weight / total)[self.word[e]]
-        out = np.stack([np.bincount(self.piece[e], share[:, k], len(p)) for k in range(langs)], axis=1)
+        out = np.stack([np.bincount(self.piece[e], share[:, k], len(p)) for k in range(langs)], axis=1).astype(float)
         for i in np.flatnonzero(~ok):
             with np.errstate(divide="ignore"):
                 one, log_p = Lattice([words[i]], pieces), np.log(p)

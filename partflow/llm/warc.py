@@ -23,6 +23,8 @@ from partflow.llm.common import shared_dir, table, written
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES, SPLIT_BYTES, READ_BYTES = 256 << 20, 4 << 20, 1 << 18
+#: Ranges are longer than SPLIT_BYTES where there would be more than so many.
+MOST_SPLITS = 200_000
 DATE = "2001-08-02T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 RECORD = (
@@ -59,6 +61,16 @@ def encode_record(page_id, url, payload: bytes, refers_to, is_revisit: bool) ->
     return pack.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + pack.flush()
 
 
+def _sha1_of(digest: str) -> str | None:
+    """The digest in hexadecimal; None if it isn't a SHA-1 in base 32 or base 16."""
+    if not digest.lower().startswith("sha1:"):
+        return None
+    digest = digest[5:]
+    if re.fullmatch(r"[0-9a-fA-F]{40}", digest):
+        return digest.lower()
+    return base64.b32decode(digest.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", digest) else None
+
+
 def decode_record(data: bytes) -> dict | None:
     """The fields of a decompressed record, or None if it isn't a whole WARC record."""
     head, found, rest = data.partition(b"\r\n\r\n")
@@ -74,37 +86,37 @@ def decode_record(data: bytes) -> dict | None:
         http, _, body = body.partition(b"\r\n\r\n")
         m = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
         full = int(m[1]) if m else None
-    digest = fields.get("warc-payload-digest", "")
-    if digest.startswith("sha1:"):
-        digest = base64.b32decode(digest[5:]).hex()
     return {
         "warc_type": fields.get("warc-type"),
         "record_id": fields.get("warc-record-id"),
         "refers_to": fields.get("warc-refers-to"),
         "target_uri": fields.get("warc-target-uri"),
-        "digest": digest or None,
+        "digest": _sha1_of(fields.get("warc-payload-digest", "")),
         "full_length": full if full is not None else len(body),
         "payload": body,
     }
 
 
 class _Bytes:
-    """A file's bytes from a place on, read in blocks as they are asked for."""
+    """A file's bytes, read in blocks as they are asked for and held until they are let go."""
 
     def __init__(self, file, start: int, size: int):
-        self.file, self.first, self.size, self.data = file, start, size, b""
+        self.file, self.first, self.size, self.data = file, start, size, bytearray()
+
+    def let_go(self, place: int) -> None:
+        """What is before place isn't needed again."""
+        del self.data[: place - self.first]
+        self.first = place
 
     def at(self, place: int, n: int) -> bytes:
         """Up to n bytes from place on; fewer only at the file's end."""
-        if place > self.first:  # what is before isn't needed again
-            self.data, self.first = self.data[place - self.first :], place
-        while len(self.data) < n and self.first + len(self.data) < self.size:
+        while self.first + len(self.data) < min(place + n, self.size):
             self.file.seek(self.first + len(self.data))
-            got = self.file.read(max(READ_BYTES, n - len(self.data)))
+            got = self.file.read(max(READ_BYTES, place + n - self.first - len(self.data)))
             if not got:
                 break
             self.data += got
-        return self.data[:n]
+        return bytes(self.data[place - self.first : place - self.first + n])
 
 
 def _member(source: _Bytes, place: int) -> tuple[bytes, int] | None:
@@ -116,7 +128,7 @@ def _member(source: _Bytes, place: int) -> tuple[bytes, int] | None:
     unpack, n = zlib.decompressobj(31), 4096
     try:
         while not unpack.eof:
-            got = source.at(place, used + n)[used:]
+            got = source.at(place + used, n)
             if not got:
                 return None  # cut off
             out.append(unpack.decompress(got))
@@ -133,6 +145,7 @@ def records_in(file, size: int, start: int, end: int) -> Iterator[tuple[int, int
     """Offset, length and fields of the records that start in [start, end)."""
     source, place = _Bytes(file, start, size), start
     while place < end:
+        source.let_go(min(place, source.first + len(source.data)))
         found = _member(source, place)
         fields = decode_record(found[0]) if found else None
         if fields:
@@ -189,8 +202,11 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
 
     full_length is the length that the HTTP header names, for a revisit that of the payload it
     leaves out. Bytes between records, records cut off at a file's end and members that aren't WARC
-    are passed over. An empty table or empty files give no rows.
+    are passed over; a digest that isn't a SHA-1 is null. An empty table or empty files give no rows. A
+    task holds one record at a time whole, of any length, and passes on records in batches of some megabytes.
     """
+    split_bytes = max(split_bytes, -(-(archives.agg(F.sum("size")).first()[0] or 0) // MOST_SPLITS))
+    n_splits = archives.agg(F.sum(F.ceil(F.col("size") / split_bytes))).first()[0] or 1
 
     def read(batches):
         for batch in batches:
@@ -209,8 +225,8 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
 
     starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split_bytes))).alias("start")
     splits = archives.select("path", "size", starts).withColumn("end", F.least("size", F.col("start") + split_bytes))
-    # Without their order, a range's rows are as many as its records; the names only spread the ranges.
-    splits = splits.repartition(F.col("path"), F.col("start"))
+    # As many tasks as ranges: the rows that name them are too small for Spark to tell how much each task reads.
+    splits = splits.repartition(int(n_splits), F.col("path"), F.col("start"))
     return splits.select("path", "size", "start", "end").mapInPandas(read, RECORD)
 
 
@@ -219,7 +235,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
 
     Null html is an empty payload. Of equal payloads of least_bytes or more, the row with the
     largest page_id is the response (each row, if that page_id repeats) and the others revisit it;
-    a null page_id is smaller than any, and among null ones alone all are responses.
+    a null page_id is smaller than any, and among null ones alone all are responses. Other columns are
+    ignored, whatever their names; an empty table gives an empty result.
     """
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -230,6 +247,10 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
         .filter("n > 1")
         .drop("n")
     )
+    # Written first: a join of two plain shuffles can split the rows of a frequent payload. Small payloads are spread.
+    first = written(first, "responses")
+    key = F.when(F.octet_length("payload") >= least_bytes, F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("page_id", "url")))
+    rows = rows.withColumn("digest", key)
     revisit = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     return rows.join(first, "digest", "left").select(
         "page_id", "url", "payload", revisit.alias("is_revisit"), F.when(revisit, F.col("response")).alias("refers_to")

@@ -257,6 +257,47 @@ def test_warc_round_trip(spark):
         else:
             assert r.full_length == 2000 and not r.payload
     assert warc.read_archives(archives.limit(0)).count() == 0
+    none = warc.write_archives(warc.with_revisits(pages.limit(0)), f"{shared_dir(spark)}/warc-none")
+    assert warc.read_archives(none).count() == 0
+    plan = warc.read_archives(archives, split_bytes=300)._jdf.queryExecution().toString()
+    n = sum(-(-r.size // 300) for r in archives.collect())
+    assert f"hashpartitioning(path" in plan and f", {n})" in plan
+
+
+def test_warc_of_one_payload_on_half_of_all_rows(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", "same " * 400 if i % 2 else None if i % 4 else f"own {i} " * 300) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in warc.op7_warc(spark, str(tmp_path)).collect()}
+    assert len(got) == 400
+    for i, _, text in rows:
+        payload = (text or "").encode()
+        response = max(j for j, _, t in rows if t == text) if len(payload) >= 1000 else i
+        want = (len(payload), hashlib.sha1(payload).hexdigest(), "response" if response == i else "revisit", None if response == i else response)
+        assert (got[i].payload_bytes, got[i].payload_digest, got[i].record_type, got[i].refers_to) == want
+
+
+@pytest.mark.parametrize(("digest", "found"), [("sha1:????", None), ("sha1:AAAA", None), ("md5:00", None), ("sha1:" + "aB" * 20, "ab" * 20), ("", None)])
+def test_foreign_digests(digest, found):
+    record = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Payload-Digest: {digest}\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n".encode()
+    fields = warc.decode_record(record)
+    assert fields["digest"] == found and fields["payload"] == b"hi"
+
+
+def test_long_records_are_read_once():
+    class Counted(io.BytesIO):
+        total = 0
+
+        def read(self, n=-1):
+            got = super().read(n)
+            self.total += len(got)
+            return got
+
+    payload = random.Random(3).randbytes(20_000_000)
+    data = warc.encode_record(1, None, payload, None, False) + warc.encode_record(2, None, b"x", None, False)
+    file = Counted(data)
+    assert [f["record_id"] for _, _, f in warc.records_in(file, len(data), 0, len(data))] == ["<urn:page:1>", "<urn:page:2>"]
+    assert file.total < 1.1 * len(data)
 
 
 # --- media

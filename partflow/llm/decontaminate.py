@@ -1,23 +1,23 @@
 """Benchmark decontamination by winnowing, with DataFrame functions only.
 
-Both sides are cut into words. Five-word hashes are computed by doubling (pairs, pairs of pairs,
-one more), and each window of six of them, which spans ten words, keeps its smallest hash: equal
-ten-word spans have equal fingerprints, so every shared span of ten words is found. Fingerprints of
-documents meet those of the benchmark in a join; each meeting is confirmed on the ten words, and
-confirmed windows are merged into spans.
+Both sides are cut into words and hashed in five-word grams. Of each window of six grams, which spans
+ten words, the smallest hash is kept: the fingerprints of a text are the grams that are the smallest of
+some window. Two texts that share ten words share the smallest gram among them, so every such span has
+a fingerprint in common. Documents' fingerprints meet those of the benchmark in a join, and each hit is
+extended word by word to both sides: runs of ten equal words or more are contaminated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partflow.llm.common import lower_ascii, text_hash
+from partflow.llm.common import lower_ascii, table, text_hash, written
 
 WINDOW, GRAM = 10, 5
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Benchmark windows are broadcast up to this many (some 200 bytes each), else both sides are shuffled.
-BROADCAST_WINDOWS = 200_000
+#: The benchmark's words and fingerprints are broadcast up to this many bytes, else both sides are shuffled.
+BROADCAST_BYTES = 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -31,16 +31,26 @@ def _pairs(df: DataFrame, new: str, left: str, right: str, shift: int, merge) ->
 
 
 def winnowed(df: DataFrame) -> DataFrame:
-    """Adds fp: for each ten-word window of ``words``, the smallest hash of its five-word grams."""
+    """Adds fp, for each five-word gram of ``words`` its hash if it is a fingerprint, else null.
+
+    A gram is one if it is the smallest of a window of six, that is if the largest of the minima of
+    the windows around it is its own hash. Texts of fewer than ten words have none.
+    """
     hashed = lambda a, b: F.xxhash64(a, b)
-    least = lambda a, b: F.least(a, b)
+    least, most = lambda a, b: F.least(a, b), lambda a, b: F.greatest(a, b)
     df = df.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
     df = _pairs(df, "h2", "h1", "h1", 1, hashed)
     df = _pairs(df, "h4", "h2", "h2", 2, hashed)
     df = _pairs(df, "h5", "h4", "h1", 4, hashed).drop("h1", "h2", "h4")
-    df = _pairs(df, "m2", "h5", "h5", 1, least).drop("h5")
+    df = _pairs(df, "m2", "h5", "h5", 1, least)
     df = _pairs(df, "m4", "m2", "m2", 2, least)
-    return _pairs(df, "fp", "m4", "m2", 4, least).drop("m2", "m4")
+    df = _pairs(df, "m6", "m4", "m2", 4, least).drop("m2", "m4")
+    edge = F.array_repeat(F.lit(-(2**63)).cast("long"), WINDOW - GRAM)
+    df = df.withColumn("m6", F.when(F.size("m6") > 0, F.concat(edge, "m6", edge)).otherwise(F.slice("m6", 1, 0)))
+    df = _pairs(df, "x2", "m6", "m6", 1, most)
+    df = _pairs(df, "x4", "x2", "x2", 2, most)
+    df = _pairs(df, "x6", "x4", "x2", 4, most).drop("m6", "x2", "x4")
+    return df.withColumn("fp", F.zip_with(F.slice("h5", F.lit(1), F.size("x6")), "x6", lambda h, x: F.when(h == x, h))).drop("h5", "x6")
 
 
 def _short(words: str, n: int) -> Column:
@@ -50,94 +60,92 @@ def _short(words: str, n: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, F.lit(n))))
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Rows (n, fp, win, items): each distinct window of the items, its words joined by spaces."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("words"))
-    long = (
-        winnowed(items.filter(F.size("words") >= WINDOW))
-        .select("item_id", "words", F.posexplode_outer("fp").alias("s", "fp"))
-        .select(
-            "item_id",
-            F.lit(WINDOW).alias("n"),
-            "fp",
-            F.array_join(F.slice("words", F.col("s") + 1, F.lit(WINDOW)), " ").alias("win"),
-        )
-    )
-    short = items.filter((F.size("words") > 0) & (F.size("words") < WINDOW)).select(
-        "item_id", F.size("words").alias("n"), F.xxhash64("words").alias("fp"), F.array_join("words", " ").alias("win")
-    )
-    return long.union(short).groupBy("n", "fp", "win").agg(F.collect_set("item_id").alias("items"))
+def _equal(a: Column, b: Column) -> Column:
+    """How many words a and b have in common from their beginning on."""
+    differs = F.array_position(F.zip_with(a, b, lambda x, y: x == y), False)
+    return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
+
+
+def _extended(hits: DataFrame) -> DataFrame:
+    """hits (doc_id, text_key, words, p, item_id, item, q) as runs (doc_id, text_key, s, e, item_id) of ten words or more.
+
+    p and q are where words and item have a gram in common, counted from 0.
+    """
+    p, q = F.col("p"), F.col("q")
+    before = F.least(p, q)
+    left = lambda x, at: F.reverse(F.slice(x, at - before + 1, before))
+    after = F.least(F.size("words") - p, F.size("item") - q)
+    right = lambda x, at: F.slice(x, at + 1, after)
+    runs = hits.withColumn("s", p - _equal(left("words", p), left("item", q))).withColumn("e", p + _equal(right("words", p), right("item", q)))
+    return runs.filter(F.col("e") - F.col("s") >= WINDOW).select("doc_id", "text_key", "s", "e", "item_id")
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document row: doc_id, text_key, n_words, spans, items.
 
     spans: the document's words inside a benchmark window, as sorted structs (start, end), end
     excluded, overlapping windows merged. items: ids of the items with a window in the document.
     Null and empty texts have no words and no spans. Items without words match nothing; an item
-    without an id marks words but adds no id. Repeated rows get a row each; other columns of either
-    table are ignored.
+    without an id marks words but adds no id. Repeated rows get a row each; texts of any length are
+    taken whole; other columns of either table are ignored, whatever their names. Empty tables give no
+    rows, or rows without spans.
     """
-    docs = documents.select("doc_id", text_hash(F.col("text")).alias("text_key"), words_of(F.col("text")).alias("words"))
-    windows = benchmark_windows(benchmark)
-    known = windows.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("n")).alias("lengths")).first()
-    lengths = [n for n in known["lengths"] if n < WINDOW]
-    # A list of windows for each window length; the first holds a mark that stands for the document.
-    mark = windows.sparkSession.range(1).select(
-        F.lit(0).alias("n"), F.lit(0).cast("long").alias("fp"), F.lit("").alias("win"),
-        F.array().cast(windows.schema["items"].dataType).alias("items"),
-    )
-    windows = windows.union(mark)
-    by_length = F.array(F.array(F.lit(0).cast("long")), F.col("fp"), *[_short("words", n) for n in lengths])
+    key = F.col("doc_id"), text_hash(F.col("text")).alias("text_key")
+    docs = documents.select(*key, words_of(F.col("text")).alias("words"))
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("item")).filter(F.size("item") > 0)
+    items = written(items.withColumn("number", F.monotonically_increasing_id()), "items")
+    prints = winnowed(items.filter(F.size("item") >= WINDOW).select("number", F.col("item").alias("words")))
     # The outer forms keep Spark from deriving a filter of the arrays, which would repeat how they are computed.
-    length_of = F.element_at(F.array(*[F.lit(n) for n in (0, WINDOW, *lengths)]), F.col("l") + 1)
-    probes = (
-        winnowed(docs)
-        .select("doc_id", "text_key", "words", F.size("words").alias("n_words"), F.posexplode_outer(by_length).alias("l", "f"))
-        .select("doc_id", "text_key", "words", "n_words", length_of.alias("n"), F.posexplode_outer("f").alias("s", "fp"))
-    )
-    same = F.array_join(F.slice("words", F.col("s") + 1, F.col("n")), " ") == F.col("win")
-    if known["n"] <= broadcast_windows:
-        hits = probes.join(F.broadcast(windows), ["n", "fp"]).filter((F.col("n") == 0) | same)
+    prints = prints.select("number", F.posexplode_outer("fp").alias("q", "fp")).filter("fp is not null")
+    prints = written(prints, "prints")
+    texts = items.agg(F.sum(F.aggregate("item", F.lit(0), lambda n, w: n + F.octet_length(w) + 24))).first()[0] or 0
+    small = texts + 64 * prints.count() <= broadcast_bytes
+
+    probes = winnowed(docs).select("doc_id", "text_key", "words", F.posexplode_outer("fp").alias("p", "fp"))
+    if small:
+        hits = probes.join(F.broadcast(prints), "fp").join(F.broadcast(items.select("number", "item_id", "item")), "number")
     else:
-        met = probes.drop("words").join(windows, ["n", "fp"])
-        met = met.groupBy("doc_id", "text_key", "n_words").agg(F.collect_list(F.struct("n", "s", "win", "items")).alias("met"))
-        # One row of each repeated document carries the words; the marks in ``met`` count the repeats.
+        # Hits of one document and item with the same shift come in one row: no more of them than the item has words.
+        met = written(probes.filter("fp is not null").select("doc_id", "text_key", "p", "fp").join(prints, "fp"), "met")
+        met = met.groupBy("doc_id", "text_key", "number", (F.col("p") - F.col("q")).alias("shift")).agg(F.collect_set("p").alias("ps"))
+        met = written(met.join(items.select("number", "item_id", "item"), "number"), "met")
         back = docs.dropDuplicates(["doc_id", "text_key"]).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-        hits = (
-            met.join(back, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-            .select("doc_id", "text_key", "n_words", "words", F.inline("met"))
-            .filter((F.col("n") == 0) | same)
-        )
-    real = F.col("n") > 0
-    per_doc = hits.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"),
-        F.count_if(~real).alias("rows"),
-        F.sort_array(F.collect_set(F.when(real, F.struct("s", "n")))).alias("found"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(real, F.col("items"))))).alias("items"),
-    )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    span = lambda start, end: F.array(F.struct(start, end).cast("struct<start:int,end:int>"))
-    last = lambda spans: F.element_at(spans, -1)
-    merged = F.aggregate(
-        "found",
-        empty,
-        lambda spans, w: F.when(
-            (F.size(spans) > 0) & (last(spans)["end"] >= w["s"]),
-            F.concat(
-                F.slice(spans, F.lit(1), F.greatest(F.size(spans) - 1, F.lit(0))),
-                span(last(spans)["start"], F.greatest(last(spans)["end"], w["s"] + w["n"])),
-            ),
-        ).otherwise(F.concat(spans, span(w["s"], w["s"] + w["n"]))),
-    )
-    return per_doc.select(
-        "doc_id", "text_key", "n_words", merged.alias("spans"), "items", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int")))
-    ).drop("col")
+        hits = met.join(back, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+        hits = hits.select("doc_id", "text_key", "words", "item_id", "item", "shift", F.explode("ps").alias("p")).withColumn("q", F.col("p") - F.col("shift"))
+    runs = _extended(hits)
+
+    # Shorter items are windows as they are.
+    short = items.filter(F.size("item") < WINDOW).select("item_id", F.size("item").alias("n"), F.xxhash64("item").alias("fp"), "item")
+    lengths = sorted(r["n"] for r in short.select("n").distinct().collect())  # nine at most
+    if lengths:
+        hashes = F.array(*[_short("words", n) for n in lengths])
+        probes = docs.select("doc_id", "text_key", "words", F.posexplode_outer(hashes).alias("l", "fps"))
+        probes = probes.withColumn("n", F.element_at(F.array(*[F.lit(n) for n in lengths]), F.col("l") + 1))
+        probes = probes.select("doc_id", "text_key", "words", "n", F.posexplode_outer("fps").alias("s", "fp"))
+        if small:
+            found = probes.join(F.broadcast(short), ["n", "fp"]).filter(F.slice("words", F.col("s") + 1, F.col("n")) == F.col("item"))
+        else:
+            window = F.slice("words", F.col("s") + 1, F.col("n")).alias("window")
+            found = probes.select("doc_id", "text_key", "n", "s", "fp", window).join(written(short, "short"), ["n", "fp"]).filter("window = item")
+        runs = runs.union(found.select("doc_id", "text_key", "s", (F.col("s") + F.col("n")).alias("e"), "item_id"))
+
+    runs = written(runs.distinct(), "runs")
+    in_order = Window.partitionBy("doc_id", "text_key").orderBy("s", "e")
+    merged = runs.select("doc_id", "text_key", "s", "e").distinct()
+    merged = merged.withColumn("upto", F.max("e").over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
+    merged = merged.withColumn("span", F.count_if(F.col("upto").isNull() | (F.col("upto") < F.col("s"))).over(in_order))
+    merged = merged.groupBy("doc_id", "text_key", "span").agg(F.min("s").alias("start"), F.max("e").alias("end"))
+    merged = merged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    ids = runs.groupBy("doc_id", "text_key").agg(F.collect_set("item_id").alias("items"))
+    found = merged.join(ids.withColumnsRenamed({"doc_id": "d", "text_key": "k"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+    found = found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "spans", "items")
+    all_docs = docs.select("doc_id", "text_key", F.size("words").alias("n_words"))
+    out = all_docs.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k")), "left")
+    none = lambda c: F.array().cast(found.schema[c].dataType)
+    return out.select("doc_id", "text_key", "n_words", *[F.coalesce(c, none(c)).alias(c) for c in ("spans", "items")])
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
-    from partflow.llm.common import table
-
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]))
     ids = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")

@@ -250,6 +250,31 @@ def test_decontamination_is_brute_force(spark, broadcast):
     assert len(by_id[0]) == 2
 
 
+def test_fingerprints_are_the_smallest_of_each_window(spark):
+    rng = random.Random(8)
+    texts = [rng.choices("abcdefgh", k=n) for n in (0, 9, 10, 11, 40, 200)] + [["z"] * 30]
+    rows = decontaminate.winnowed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, words array<string>")).collect()
+    for r in rows:
+        w, fp = texts[r.i], {p for p, h in enumerate(r.fp) if h is not None}
+        assert len(r.fp) == (len(w) - 4 if len(w) >= 10 else 0)
+        for a in range(len(w) - 9):  # each ten words have a fingerprint, the same one wherever they stand
+            assert fp & set(range(a, a + 6))
+        if len(w) == 200:
+            assert len(fp) < 80
+
+
+def test_long_shared_spans_among_clashing_columns(spark):
+    rng = random.Random(9)
+    item = [f"w{rng.randint(0, 500)}" for _ in range(3000)]
+    text = ["start", *item[100:2900], "x", *item[5:14], "y", *item[20:30], "end"] + ["pad"] * 50_000
+    df = spark.createDataFrame([(1, " ".join(text), 5, 6, 7)], "doc_id long, text string, item_id int, words int, fp int")
+    bench = spark.createDataFrame([(3, " ".join(item), 1)], "item_id long, text string, doc_id int")
+    for limit in (1 << 20, -1):
+        got = decontaminate.contamination(df, bench, limit).collect()
+        assert len(got) == 1 and got[0]["items"] == [3] and got[0].n_words == len(text)
+        assert [tuple(x) for x in got[0].spans] == [(1, 2801), (2812, 2822)]
+
+
 def test_shares_reach_caps():
     assert mixing.share([10, 10, 10], [1, 2, 3], 30) == pytest.approx([5, 10, 15])
     assert mixing.share([1, 100], [9, 1], 101) == pytest.approx([3, 98])

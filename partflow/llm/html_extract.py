@@ -5,8 +5,10 @@ of a block are its ancestors' tags and the words of their class, id and role, an
 (length, share of links, punctuation, place). The field labels each block as main text or not, with
 weights for neighbouring labels; it is fitted on labelled pages and decoded by Viterbi.
 
-Labelled pages: a sample of the pages themselves, where an ``article`` element marks the main text,
-and the same texts set in layouts of other kinds, where the layout knows each block's role.
+Labelled pages: a sample of the pages themselves, where an ``article`` element marks the main text
+but for comments, forms, asides and notices in it, and the same texts set in layouts of other kinds
+and as bare pages, where each block's role is known. If no page of the sample has an article, its long blocks
+without links are set in layouts.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,16 +32,25 @@ TRAIN_PAGES = 400
 STEPS, RATE, PENALTY = 250, 0.2, 1e-3
 
 # Element names of HTML.
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "title", "textarea", "select", "math"}
+TEXT_ONLY = {"script", "style", "iframe", "title", "textarea", "xmp", "noembed", "noframes"}  # without an end tag, to the page's end
+DROPPED = {"noscript", "template", "svg", "object", "canvas", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-INLINE = {
-    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
-    "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+BLOCKS = {
+    "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "colgroup", "dd", "details", "dialog", "dir", "div", "dl", "dt",
+    "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend",
+    "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 _ENDS_P = re.compile(r"p|h[1-6]|div|ul|ol|dl|table|blockquote|pre|section|article|aside|nav|header|footer|main|form|figure|hr|address|fieldset")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+#: Parts of an article that are not its text, by element and by words of class, id and role.
+NOT_MAIN = {"aside", "nav", "form", "footer", "dialog"}
+NOT_MAIN_MARKS = {
+    "ad", "ads", "adsbygoogle", "advert", "advertisement", "comment", "commentlist", "comments", "consent", "cookie", "discussion", "gdpr", "modal", "newsletter", "notice",
+    "paywall", "popular", "popup", "promo", "recommended", "related", "replies", "reply", "respond", "responses", "share", "sidebar", "signup", "social", "sponsored", "subscribe", "trending",
+}
+# In a tag, a quote opens a value only after an equals sign; elsewhere it is a character like others.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""", re.S)
+_MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _LABEL = re.compile(r'\bdata-main\s*=\s*"1"')
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -47,17 +59,55 @@ _SPACE = re.compile(r"\s+")
 @dataclass
 class Block:
     text: str
-    tags: list[str]
-    marks: set[str]  # words of class, id and role of the ancestors
+    own: str  # the innermost block-level element
+    tags: frozenset[str]  # of the ancestors
+    marks: frozenset[str]  # words of class, id and role of the ancestors
     linked: int  # characters inside links
     main: bool  # marked as main text, in labelled pages
-
-
-def blocks_of(page: str | None) -> list[Block]:
-    """The page's leaf blocks in order, character references decoded, white space made one space, trimmed."""
+    aside: bool  # in an element that is no part of an article's text
+
+
+class _Stack:
+    """The open block-level elements, with counts of what they hold, so that a block costs no walk through them."""
+
+    def __init__(self, known: set[str] | None):
+        self.known, self.open, self.tags, self.marks, self.main, self.aside = known, [], Counter(), Counter(), 0, 0
+        self.seen: tuple | None = None
+
+    def push(self, tag: str, attributes: str) -> None:
+        marks = {w.lower() for x in _MARKS.finditer(attributes) for w in _PARTS.findall(x[2] or x[3] or x[4] or "")}
+        aside = tag in NOT_MAIN or not NOT_MAIN_MARKS.isdisjoint(marks)
+        marks = marks if self.known is None else marks & self.known
+        item = tag, marks, bool(_LABEL.search(attributes)), aside
+        self.open.append(item)
+        self.tags[tag] += 1
+        self.marks.update(marks)
+        self.main, self.aside, self.seen = self.main + item[2], self.aside + aside, None
+
+    def pop(self) -> str:
+        tag, marks, main, aside = self.open.pop()
+        for counts, names in ((self.tags, (tag,)), (self.marks, marks)):
+            for name in names:
+                counts[name] -= 1
+                if not counts[name]:
+                    del counts[name]
+        self.main, self.aside, self.seen = self.main - main, self.aside - aside, None
+        return tag
+
+    def names(self) -> tuple[str, frozenset[str], frozenset[str]]:
+        if self.seen is None:
+            self.seen = self.open[-1][0] if self.open else "", frozenset(self.tags), frozenset(self.marks)
+        return self.seen
+
+
+def blocks_of(page: str | None, known: set[str] | None = None) -> list[Block]:
+    """The page's leaf blocks in order, character references decoded, white space made one space, trimmed.
+
+    known: the marks that matter (None: all). Elements that are not block-level, unknown ones too, stand in
+    their block's text.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, set[str], bool]] = []
-    text: list[str] = []
+    stack, text = _Stack(known), []
     links = linked = 0
     page = page or ""
 
@@ -65,8 +115,7 @@ def blocks_of(page: str | None) -> list[Block]:
         nonlocal linked
         joined = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
         if joined:
-            marks = set().union(*(m for _, m, _ in stack)) if stack else set()
-            found.append(Block(joined, [t for t, _, _ in stack], marks, linked, any(x for _, _, x in stack)))
+            found.append(Block(joined, *stack.names(), linked, stack.main > 0, stack.aside > 0))
         text.clear()
         linked = 0
 
@@ -76,7 +125,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if links:
             linked += len(part)
 
-    at = 0
+    at, no_end = 0, set()  # elements that have no further end tag
     while at < len(page):
         m = _TOKEN.search(page, at)
         if not m:
@@ -87,33 +136,36 @@ def blocks_of(page: str | None) -> list[Block]:
         if not m[2]:
             continue  # a comment or declaration
         tag, closing = m[2].lower(), bool(m[1])
-        if tag in RAW:
-            if not closing and not m[3].rstrip().endswith("/"):
+        if tag in TEXT_ONLY or tag in DROPPED:
+            if not closing and tag not in no_end and not m[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if end:
+                    at = end.end()
+                elif tag in TEXT_ONLY:
+                    break
+                else:
+                    no_end.add(tag)
             continue
         if tag == "br" or (tag in VOID and tag != "hr"):
             text.append(" ")
             continue
-        if tag in INLINE:
+        if tag not in BLOCKS:
             if tag == "a":
                 links = max(0, links - 1) if closing else 1
             continue
         flush()
         links = 0
         if closing:
-            if any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
+            if stack.tags[tag]:
+                while stack.pop() != tag:
                     pass
             continue
         closes = {"p"} if _ENDS_P.fullmatch(tag) else set()
         closes |= _CLOSES.get(tag, set())
-        while stack and stack[-1][0] in closes:
+        while stack.open and stack.open[-1][0] in closes:
             stack.pop()
-        if tag in VOID:
-            continue
-        marks = {w.lower() for x in _MARKS.finditer(m[3]) for w in _PARTS.findall(x[2] or x[3] or x[4] or "")}
-        stack.append((tag, marks, bool(_LABEL.search(m[3]))))
+        if tag not in VOID:
+            stack.push(tag, m[3])
     flush()
     return found
 
@@ -124,9 +176,8 @@ def features_of(blocks: list[Block]) -> list[list[str]]:
     for i, b in enumerate(blocks):
         words = b.text.split()
         share = b.linked / max(1, len(b.text))
-        tags = set(b.tags)
-        f = ["bias", f"own:{b.tags[-1] if b.tags else ''}", f"words:{min(6, len(words).bit_length())}"]
-        f += [f"in:{t}" for t in tags] + [f"mark:{m}" for m in b.marks]
+        f = ["bias", f"own:{b.own}", f"words:{min(6, len(words).bit_length())}"]
+        f += [f"in:{t}" for t in b.tags] + [f"mark:{m}" for m in b.marks]
         f.append(f"links:{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.8 else 3}")
         f.append(f"ends:{b.text[-1] if b.text[-1] in '.!?:,;' else 'w' if b.text[-1].isalnum() else 'x'}")
         f.append(f"commas:{min(3, b.text.count(','))}")
@@ -139,8 +190,10 @@ def features_of(blocks: list[Block]) -> list[list[str]]:
         if i == n - 1:
             f.append("last")
         f.append(f"place:{4 * i // n}")
-        if "article" not in tags and "main" not in tags:
+        if "article" not in b.tags and "main" not in b.tags:
             f.append("no_landmark")
+        if b.aside:
+            f.append("aside")
         out.append(f)
     return out
 
@@ -269,9 +322,10 @@ def set_in_layout(texts: list[str], spare: list[str], seed: int) -> str:
         if rng.random() < 0.06:
             body += "</div>" + rng.choice([ad, aside, notice])() + '<div data-main="1">'
     main = head.replace("<h1", '<h1 data-main="1"') + f'<div data-main="1">{body}</div>'
-    after = "".join(x() for x in rng.sample([ad, aside, remarks, form, notice, nav], rng.randint(0, 4)))
     inside = rng.random() < 0.5
-    wrapped = box(rng.choice(MAIN_WRAPS), main + (after if inside else ""))
+    after = "".join(x() for x in rng.sample([ad, aside, remarks, remarks, form, notice, nav], rng.randint(int(inside), 4)))
+    wraps = [x for x in MAIN_WRAPS if x[0] == "article"] if inside and rng.random() < 0.5 else MAIN_WRAPS
+    wrapped = box(rng.choice(wraps), main + (after if inside else ""))
     before = "".join(x() for x in rng.sample([nav, ad, aside, notice, form], rng.randint(1, 4)))
     top = box(rng.choice(HEADERS), f"<p>{safe(some(1, 1, 5)[0])}</p>" + (nav() if rng.random() < 0.5 else ""))
     end = box(rng.choice(FOOTERS), rng.choice(["&copy; ", ""]) + safe(some(1, 1, 20)[0]))
@@ -280,15 +334,39 @@ def set_in_layout(texts: list[str], spare: list[str], seed: int) -> str:
     return f"<html><head><title>x</title></head><body>{box(('div', rng.choice(['wrapper', 'page', 'container', 'site'])), inner) if rng.random() < 0.4 else inner}</body></html>"
 
 
+def bare_page(texts: list[str], seed: int) -> str:
+    """A page of the texts alone, all main text, in elements of any kind."""
+    rng = random.Random(seed)
+    inner = ""
+    for text in texts:
+        text = entities.escape(text, quote=False)
+        inner += rng.choice(["<p>{}</p>", "<p>{}", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>", "<section>{}</section>", "{}<hr>", "<blockquote><p>{}</p></blockquote>", "<font>{}<br><br></font><p>"]).format(text)
+    inner = f"<h1>{entities.escape(' '.join(texts[0].split()[:8]), quote=False)}</h1>" * (rng.random() < 0.5) + inner
+    return f'<div data-main="1">{inner}</div>' if rng.random() < 0.5 else f'<body data-main="1">{inner}</body>'
+
+
 def labelled(pages: list[str], seed: int = 1) -> Iterator[tuple[list[list[str]], list[int]]]:
-    """Features and labels of the pages with an article element, and of their texts in layouts."""
+    """Features and labels of the pages with an article element, and of their texts in layouts and bare.
+
+    If no page has an article, blocks of 80 characters or more without links are set in layouts.
+    """
     cut = [blocks_of(p) for p in pages]
     spare = [b.text for blocks in cut for b in blocks][:4000]
-    for i, blocks in enumerate(cut):
-        main = [b.text for b in blocks if "article" in b.tags]
-        if main:
-            yield features_of(blocks), [int("article" in b.tags) for b in blocks]
-            made = blocks_of(set_in_layout(main, spare, seed * 1_000_003 + i))
+    marked = [[("article" in b.tags) and not b.aside for b in blocks] for blocks in cut]
+    some = any(map(any, marked))
+    for i, (blocks, labels) in enumerate(zip(cut, marked)):
+        main = [b.text for b, y in zip(blocks, labels) if y or (not some and len(b.text) >= 80 and not b.linked)]
+        if not main:
+            continue
+        if some:
+            yield features_of(blocks), [int(y) for y in labels]
+        rng = random.Random(seed * 7919 + i)
+        pages_made = [set_in_layout(main, spare, seed * 1_000_003 + i)]
+        if i % 3 == 0:
+            long = [x for x in main if len(x) >= 80] or main
+            pages_made.append(bare_page(rng.sample(long, min(len(long), rng.randint(1, 4))), seed * 1_000_003 + i))
+        for page in pages_made:
+            made = blocks_of(page)
             yield features_of(made), [int(b.main) for b in made]
 
 
@@ -306,8 +384,9 @@ def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
 
     Null and empty html, and pages without main text, give an empty text. Unclosed elements end
     where HTML says or with what holds them; a line break is white space inside a block. Without a
-    field one is fitted on a sample of the pages; if none of these has an article element, on
-    nothing, and then every text is empty. An input column named text is replaced.
+    field one is fitted on a sample of the pages (see ``labelled``); if these have no text, on
+    nothing, and then every text is empty. Rows that repeat are treated alike. Pages of any length and
+    depth are taken whole. An input column named text is replaced; an empty table gives an empty result.
     """
     field = field or fit(list(labelled(sample_pages(pages))))
     model = pages.sparkSession.sparkContext.broadcast((field.names, field.node, field.pair))
@@ -315,10 +394,11 @@ def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
     @F.pandas_udf("string")
     def main_text(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = Field(*model.value)
+        marks = {name[5:] for name in known.names if name.startswith("mark:")}
         for htmls in series:
             out = []
             for page in htmls:
-                blocks = blocks_of(page)
+                blocks = blocks_of(page, marks)
                 labels = known.decode(features_of(blocks))
                 out.append("\n\n".join(b.text for b, y in zip(blocks, labels) if y))
             yield pd.Series(out, dtype=object)

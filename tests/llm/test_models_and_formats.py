@@ -216,16 +216,82 @@ def test_main_text_of_held_out_pages(spark):
     for page in htmls[120:]:
         blocks = html_extract.blocks_of(page)
         got = field.decode(html_extract.features_of(blocks))
-        wrong += got != [int("article" in b.tags) for b in blocks]
+        wrong += got != [int("article" in b.tags and not b.aside) for b in blocks]
         total += 1
     assert wrong <= 0.01 * total
-    made = list(html_extract.labelled(htmls[120:180], seed=77))[1::2]
+    made = list(html_extract.labelled([x for x in htmls[120:180] if "<article" in x], seed=77))
     errors = sum(a != b for f, y in made for a, b in zip(field.decode(f), y)) / sum(len(y) for _, y in made)
     assert errors < 0.03
     odd = spark.createDataFrame([(1, None, None, "clash"), (2, "u", "", "clash"), (3, "u", "<nav>menu</nav>", "clash")], "page_id long, url string, html string, text string")
     assert [r.text for r in html_extract.extract(odd, field).orderBy("page_id").collect()] == ["", "", ""]
 
 
+P = [
+    "The river rose by two metres during the night, and the old bridge at the mill had to be closed to all traffic.",
+    "Engineers said on Monday that the pillars were sound, but that the railings would have to be replaced before spring.",
+    "Farmers downstream lost much of their hay; the council has promised help, though nobody could say when it would come.",
+]
+NAV = "<ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><a href=/s>Sport</a></li></ul>"
+HEAD = "<head><title>Bridge closed</title><style>p{color:red}</style><script>var a='<p>no</p>';</script></head>"
+PS = "".join(f"<p>{x}</p>" for x in P)
+FOREIGN = {
+    "bare": f"<html><body>{PS}</body></html>",
+    "mixed elements": f"<table><tr><td>{P[0]}</td></tr></table><p>{P[1]}</p><div>{P[2]}</div>",
+    "blog": f"<html>{HEAD}<body><div id=header><a href=/>My blog</a></div><div class='nav'>{NAV}</div><div class='post'><div class='entry-content'>{PS}</div></div><div id='sidebar'><h3>Archive</h3>{NAV}</div><div id=footer>&copy; 2020 me</div></body></html>",
+    "news": f"<html>{HEAD}<body><header><nav>{NAV}</nav></header><main><article><h1>Bridge closed at the mill</h1>{PS}</article><section class=comments><h3>Comments</h3><div class=comment><p>I saw it happen, what a night that was for us.</p></div></section></main><footer>All rights reserved</footer></body></html>",
+    "comments in the article": f"<html><body><nav>{NAV}</nav><article>{PS}<div class='comments'><p>Great piece, thank you so much for it, I learned a lot.</p></div><form><label>Your name</label><input></form></article></body></html>",
+    "table layout": f"<html>{HEAD}<body><table><tr><td colspan=2>{NAV}</td></tr><tr><td width=100>{NAV}</td><td class=text>{PS}</td></tr></table></body></html>",
+    "html5 sections": f"<html>{HEAD}<body><nav>{NAV}</nav><main><section>{PS}</section></main><aside><h4>Related</h4>{NAV}</aside><footer><p>Imprint</p></footer></body></html>",
+    "cookie banner first": f"<html>{HEAD}<body><div class='cookie-banner consent'><p>We use cookies to improve your visit.</p><button>Accept</button></div><header>{NAV}</header><div class='content'>{PS}</div><div class='newsletter-signup subscribe'><p>Get our letter each week.</p></div><footer>&copy; Paper</footer></body></html>",
+    "odd attributes": f"<html><body><div class=menu>{NAV}</div><div id=main-content><p class=it's>{P[0]}</p><p title=\"a>b\" data-x>{P[1]}</p><p id='x' =\"\">{P[2]}</p></div></body></html>",
+}
+
+
+@pytest.fixture(scope="module")
+def fitted():
+    import pyarrow.parquet as pq
+
+    return html_extract.fit(list(html_extract.labelled(pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()[:150])))
+
+
+@pytest.mark.parametrize("layout", FOREIGN)
+def test_foreign_layouts(fitted, layout):
+    blocks = html_extract.blocks_of(FOREIGN[layout])
+    got = [b.text for b, y in zip(blocks, fitted.decode(html_extract.features_of(blocks))) if y]
+    assert [x for x in got if not x.startswith("Bridge closed")] == P
+
+
+def test_elements_without_end_and_formulas():
+    texts = lambda page: [b.text for b in html_extract.blocks_of(page)]
+    assert texts("<p>a<svg><path d=x><p>b</p>") == ["a", "b"]
+    assert texts("<p>a</p><object><p>b</p><object>c") == ["a", "b", "c"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds <x-note>here</x-note></p>") == ["so x=1 holds here"]
+    assert texts("<p>a</p><textarea>b<p>c") == ["a"]
+    assert texts("<p class=it's>a</p><p title='>'>b</p>") == ["a", "b"]
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+
+    def seconds(page):
+        began = time.process_time()
+        html_extract.blocks_of(page, {"c1", "main"})
+        return time.process_time() - began
+
+    for made in (lambda n: "".join(f"<div class=c{i}>x{i}" for i in range(n)), lambda n: "<svg>" * n + "<p>a b c</p>" * n, lambda n: "<a href='" * n + "</b>" * n):
+        made_small, made_large = made(4000), made(16_000)
+        assert seconds(made_large) < 12 * max(0.02, seconds(made_small))
+
+
+def test_pages_without_articles_and_repeats(spark):
+    rows = [(i, None, FOREIGN[name].replace("article", "div"), "clash") for i, name in enumerate([*FOREIGN, "blog", "blog"])] * 2
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_extract.extract(df).collect()
+    assert len(got) == len(rows) and {len({r.text for r in got if r.page_id == i}) for i in range(len(FOREIGN) + 2)} == {1}
+    assert sum(all(p in r.text for p in P) for r in got) >= 0.6 * len(got)
+    assert html_extract.extract(df.limit(0)).count() == 0
+
+
 # --- archives
 
 

@@ -2,7 +2,8 @@
 
 The parser reads variable-length element ids and sizes (unknown sizes of segments and clusters
 included), clusters, simple blocks and block groups with all three lacings, and cues. A packet is a
-frame: its track, its time, and the bytes of the file that hold it.
+frame: its track, its time, and the bytes of the file that hold it. What is cut off or damaged gives
+no packets, and what comes before it does.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import table, text_hash
+from partflow.llm.common import table, text_hash, written
 
 # Fixed values of the format: element ids.
 EBML, DOC_TYPE, SEGMENT, INFO, SCALE, MUXER, WRITER = 0x1A45DFA3, 0x4282, 0x18538067, 0x1549A966, 0x2AD7B1, 0x4D80, 0x5741
@@ -118,61 +119,88 @@ def elements(data: bytes, at: int, end: int, ends_at: frozenset[int] = frozenset
     """(id, start, end of the content) of the elements in data[at:end].
 
     An element of unknown size lasts until one that can't be in it (a cluster until a cluster or
-    cues), which ``ends_at`` names for the level above.
+    cues), which ``ends_at`` names for the level above. Of those that go on beyond the end only segments and
+    clusters come, up to there. Bytes that begin no element end the level.
     """
     while at < end:
-        kind, start = _vint(data, at, keep_marker=True)
-        if kind in ends_at:
+        try:
+            kind, start = _vint(data, at, keep_marker=True)
+            if kind in ends_at:
+                return
+            n, start = _vint(data, start)
+        except (ValueError, IndexError):
             return
-        n, start = _vint(data, start)
-        if n is None:
-            stop = end
-            if kind == CLUSTER:
-                stop = start
-                for _, _, stop in elements(data, start, end, frozenset({CLUSTER, CUES, TRACKS, INFO})):
-                    pass
-        else:
-            stop = min(start + n, end)  # a file that is cut off
-        yield kind, start, stop
+        if start > end:
+            return
+        stop = end if n is None else start + n
+        if n is None and kind == CLUSTER:
+            stop = start
+            for _, _, stop in elements(data, start, end, frozenset({CLUSTER, CUES, TRACKS, INFO})):
+                pass
+        if stop <= end:
+            yield kind, start, stop
+        elif kind in (SEGMENT, CLUSTER):
+            yield kind, start, end
         at = stop
 
 
 def _lacing_sizes(data: bytes, at: int, end: int, lacing: int) -> tuple[list[int], int]:
-    """The sizes of a block's frames and where the first begins."""
+    """The sizes of a block's frames and where the first begins; a ValueError if they don't fill data[at:end]."""
     if lacing == NO_LACING:
         return [end - at], at
+    if at >= end:
+        raise ValueError("a laced block without a head")
     count, at, sizes = data[at] + 1, at + 1, []
     if lacing == FIXED:
+        if (end - at) % count:
+            raise ValueError("frames of a fixed size don't fill the block")
         return [(end - at) // count] * count, at
     for i in range(count - 1):
         if lacing == XIPH:
             n = 0
-            while data[at] == 255:
+            while at < end and data[at] == 255:
                 n, at = n + 255, at + 1
+            if at >= end:
+                raise ValueError("a size beyond the block")
             n, at = n + data[at], at + 1
         else:
             began = at
+            if at >= end:
+                raise ValueError("a size beyond the block")
             n, at = _vint(data, at)
             if n is None:
                 n = (1 << 7 * (at - began)) - 1
             if i:
                 n += sizes[-1] - ((1 << 7 * (at - began) - 1) - 1)
         sizes.append(n)
-    return sizes + [end - at - sum(sizes)], at
+    sizes.append(end - at - sum(sizes))
+    if min(sizes) < 0:
+        raise ValueError("frames beyond the block")
+    return sizes, at
 
 
 def parse(data: bytes) -> Media:
-    """Tracks, packets in file order, and cues. A block cut off at the file's end gives no packets."""
+    """Tracks, packets in file order, and cues, each position of a cue point on its own.
+
+    A block cut off at the file's end, or whose sizes don't fill it, gives no packets; an element cut
+    off or without what it must hold is passed over. Any bytes give a result, none at all an empty one.
+    """
     media, scale = Media(), 1_000_000
     number = lambda a, b: int.from_bytes(data[a:b], "big")
+    above_cluster = frozenset({CLUSTER, CUES, TRACKS, INFO})
 
     def block(a: int, b: int, cluster_time: int, simple: bool) -> None:
-        track, at = _vint(data, a)
-        relative, flags = struct.unpack_from(">hB", data, at)
-        sizes, at = _lacing_sizes(data, at + 3, b, flags >> 1 & 3)
+        try:
+            track, at = _vint(data, a)
+            if track is None or at + 3 > b:
+                return
+            relative, flags = struct.unpack_from(">hB", data, at)
+            sizes, at = _lacing_sizes(data, at + 3, b, flags >> 1 & 3)
+        except (ValueError, IndexError):
+            return
         frame_ns = 0
         if (rate := media.tracks.get(track, {}).get("rate")) and media.tracks[track].get("depth"):
-            frame_ns = 8e9 / (rate * media.tracks[track]["depth"] * media.tracks[track].get("channels", 1))
+            frame_ns = 8e9 / (rate * media.tracks[track]["depth"] * (media.tracks[track].get("channels") or 1))
         before = 0
         for n in sizes:  # frames after the first follow by their length, where samples have a fixed size
             time = (cluster_time + relative) * scale + round(before * frame_ns)
@@ -187,23 +215,25 @@ def parse(data: bytes) -> Media:
             if kind == INFO:
                 scale = next((number(c, d) for k, c, d in elements(data, a, b) if k == SCALE), scale)
             elif kind == TRACKS:
-                for _, a, b in elements(data, a, b):
+                for k1, a, b in elements(data, a, b):
                     track: dict = {}
-                    for k, c, d in elements(data, a, b):
+                    for k, c, d in elements(data, a, b) if k1 == TRACK else ():
                         if k in (NUMBER, KIND):
                             track["number" if k == NUMBER else "kind"] = number(c, d)
                         elif k == CODEC:
-                            track["codec"] = data[c:d].decode()
+                            track["codec"] = data[c:d].decode("utf-8", "replace")
                         elif k == AUDIO:
                             for k2, e, f in elements(data, c, d):
-                                if k2 == RATE:
-                                    track["rate"] = struct.unpack(">d" if f - e == 8 else ">f", data[e:f])[0]
+                                if k2 == RATE and f - e in (4, 8):
+                                    rate = struct.unpack(">d" if f - e == 8 else ">f", data[e:f])[0]
+                                    track["rate"] = rate if 0 < rate < 1e12 else None
                                 elif k2 in (CHANNELS, DEPTH):
                                     track["channels" if k2 == CHANNELS else "depth"] = number(e, f)
-                    media.tracks[track.get("number", 0)] = track
+                    if "number" in track:
+                        media.tracks[track["number"]] = track
             elif kind == CLUSTER:
                 time = 0
-                for k, c, d in elements(data, a, b, frozenset({CLUSTER, CUES, TRACKS, INFO})):
+                for k, c, d in elements(data, a, b, above_cluster):
                     if k == TIME:
                         time = number(c, d)
                     elif k == SIMPLE:
@@ -213,10 +243,13 @@ def parse(data: bytes) -> Media:
                             if k2 == BLOCK:
                                 block(e, f, time, False)
             elif kind == CUES:
-                for _, a, b in elements(data, a, b):
-                    at = {k: (c, d) for k, c, d in elements(data, a, b)}
-                    place = {k: number(c, d) for k, c, d in elements(data, *at[CUE_PLACE])}
-                    media.cues.append((number(*at[CUE_TIME]) * scale, place[CUE_TRACK], segment + place[CUE_CLUSTER]))
+                for k1, a, b in elements(data, a, b):
+                    parts = list(elements(data, a, b)) if k1 == CUE else []
+                    time = next((number(c, d) for k, c, d in parts if k == CUE_TIME), None)
+                    for k, c, d in parts:
+                        place = {k2: number(e, f) for k2, e, f in elements(data, c, d)} if k == CUE_PLACE else {}
+                        if time is not None and CUE_TRACK in place and CUE_CLUSTER in place:
+                            media.cues.append((time * scale, place[CUE_TRACK], segment + place[CUE_CLUSTER]))
     return media
 
 
@@ -226,7 +259,9 @@ def padded(text: str | None) -> bytes:
 
 
 def feature(samples: bytes, media: Media) -> str:
-    """Packets, cues, milliseconds, and mean, deviation and sign changes of the samples about their middle."""
+    """Packets, cues, milliseconds, and mean, deviation and sign changes of the samples about their middle (0 if none)."""
+    if not samples:
+        return f"packets={len(media.packets)} cues={len(media.cues)} ms=0 mean=0.0000 dev=0.0000 changes=0"
     x = np.frombuffer(samples, dtype=np.uint8).astype(np.int64) - 128
     changes = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
     ms = len(x) * 1000 // SAMPLES_A_SECOND
@@ -236,7 +271,9 @@ def feature(samples: bytes, media: Media) -> str:
 def to_media(documents: DataFrame) -> DataFrame:
     """Rows (doc_id, text_key, n_bytes, media): each text, padded with zeros to 64 bytes, as an audio file.
 
-    A null text is an empty one, and an empty one 64 zeros. Each row gets a row.
+    A null text is an empty one, and an empty one 64 zeros. Each row gets a row, repeated ones too.
+    Texts of any length are taken whole, one at a time. Other columns are ignored, whatever their names; an empty
+    table gives an empty result.
     """
 
     def encode(batches):
@@ -254,8 +291,12 @@ def to_media(documents: DataFrame) -> DataFrame:
 
 
 def packet_table(media: DataFrame) -> DataFrame:
-    """The columns of media but the file itself, with a row for each packet: track, timestamp_ns, offset, size, keyframe."""
-    kept = [c for c in media.columns if c != "media"]
+    """The columns of media but the file itself, with a row for each packet: track, timestamp_ns, offset, size, keyframe.
+
+    Null, empty and damaged files give the packets that they hold whole, if any. Input columns with one
+    of these names are replaced; rows that repeat give their packets each; an empty table gives an empty result.
+    """
+    kept = [c for c in media.columns if c not in ("media", "track", "timestamp_ns", "offset", "size", "keyframe")]
 
     def explode(batches):
         for batch in batches:
@@ -274,14 +315,18 @@ def packet_table(media: DataFrame) -> DataFrame:
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """What the stored bytes hold: doc_id, n_bytes, the payload's and the file's length and digests, and a feature."""
+    """What the stored bytes hold: doc_id, n_bytes, the payload's and the file's length and digests, and a feature.
+
+    A null file is an empty one; empty and damaged files give the payload of the packets that they hold
+    whole. Each row gets a row; other columns are ignored; an empty table gives an empty result.
+    """
 
     def decode(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for m in part.column("media"):
-                    stored = m.as_py()
+                    stored = m.as_py() or b""
                     found = parse(stored)
                     payload = b"".join(stored[p.offset : p.offset + p.size] for p in found.packets)
                     rows.append(
@@ -305,4 +350,4 @@ def read_back(media: DataFrame) -> DataFrame:
 
 
 def op3_matroska(spark, sf_dir: str) -> DataFrame:
-    return read_back(to_media(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return read_back(written(to_media(table(spark, sf_dir, "documents").select("doc_id", "text")), "media"))

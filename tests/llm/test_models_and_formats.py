@@ -411,3 +411,47 @@ def test_media_table(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((text or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
     assert matroska.packet_table(matroska.to_media(df)).agg(F.sum("size")).first()[0] == sum(r.payload_bytes for r in got)
     assert matroska.read_back(matroska.to_media(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("lacing", [matroska.NO_LACING, matroska.XIPH, matroska.EBML_LACING, matroska.FIXED])
+def test_every_prefix_of_a_file_gives_whole_packets_only(lacing):
+    frames = [bytes([i]) * 90 for i in range(4)]
+    if lacing in (matroska.XIPH, matroska.EBML_LACING):
+        frames[1] = b"z" * 300
+    part = frames[:1] if lacing == matroska.NO_LACING else frames
+    simple = matroska.element(matroska.SIMPLE, b"\x81\x00\x00" + bytes([0x80 | lacing << 1]) + matroska.laced(part, lacing))
+    audio = matroska.write_audio(bytes(3000))
+    cut = audio.index(matroska.CLUSTER.to_bytes(4, "big"))
+    data = audio[:cut] + matroska.element(matroska.CLUSTER, matroska._number(matroska.TIME, 1) + simple * 3) + audio[cut:]
+    whole = {(p.offset, p.size) for p in matroska.parse(data).packets}
+    ends = sorted(o + n for o, n in whole)
+    for n in range(len(data)):
+        found = matroska.parse(data[:n]).packets
+        assert {(p.offset, p.size) for p in found} <= whole and all(p.offset + p.size <= n for p in found)
+        assert len(found) >= sum(e <= n for e in ends) - len(part) - 2
+    rng = random.Random(lacing)
+    for _ in range(2000):
+        broken = bytearray(data)
+        for _ in range(rng.randint(1, 6)):
+            broken[rng.randrange(len(broken))] = rng.randrange(256)
+        for p in matroska.parse(bytes(broken)).packets:
+            assert 0 <= p.offset and 0 <= p.size and p.offset + p.size <= len(broken)
+
+
+def test_all_positions_of_a_cue_point_and_odd_codecs():
+    place = lambda track, at: matroska.element(matroska.CUE_PLACE, matroska._number(matroska.CUE_TRACK, track) + matroska._number(matroska.CUE_CLUSTER, at))
+    cues = matroska.element(matroska.CUES, matroska.element(matroska.CUE, matroska._number(matroska.CUE_TIME, 5) + place(1, 9) + place(2, 11)) + matroska.element(matroska.CUE, place(3, 1)))
+    track = matroska.element(matroska.TRACKS, matroska.element(matroska.TRACK, matroska._number(matroska.NUMBER, 2) + matroska.element(matroska.CODEC, b"\xff\xfe")))
+    media = matroska.parse(matroska.element(matroska.SEGMENT, track + cues))
+    assert [(t, k) for t, k, _ in media.cues] == [(5_000_000, 1), (5_000_000, 2)] and media.tracks[2]["codec"] == "\ufffd\ufffd"
+
+
+def test_null_and_damaged_media_cells(spark):
+    whole = matroska.write_audio(b"a" * 64)
+    rows = [(1, 64, whole, 9), (2, 0, None, 9), (3, 0, b"", 9), (4, 0, b"no media", 9), (5, 64, whole[:-30], 9), (1, 64, whole, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary, size int")
+    back = [(r.doc_id, r.payload_bytes, r.media_bytes) for r in matroska.read_back(df).orderBy("doc_id").collect()]
+    assert back == [(1, 64, len(whole)), (1, 64, len(whole)), (2, 0, 0), (3, 0, 0), (4, 0, 8), (5, back[5][1], len(whole) - 30)] and back[5][1] in (0, 64)
+    packets = matroska.packet_table(df)
+    assert packets.columns == ["doc_id", "n_bytes", "track", "timestamp_ns", "offset", "size", "keyframe"]
+    assert {r.doc_id for r in packets.collect()} <= {1, 5} and matroska.packet_table(df.limit(0)).count() == 0

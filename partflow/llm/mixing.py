@@ -7,13 +7,15 @@ them, every node hands its left half an exact number of copies, drawn from its s
 replacement, and a leaf's counts are the quota of each source in one shard. A shard takes the next
 copies of the permuted order, so that shards are disjoint, and is shuffled locally.
 
-Only one row a source comes to the driver (its size, and its quotas); blocks and documents stay on
-the executors.
+The tree's top is split on the driver, down to TOP_NODES nodes at most; tasks split the rest, each node by
+random numbers of its own. One row a source comes to the driver (MOST_SOURCES at most); blocks, documents
+and shards stay on the executors.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ from partflow.llm.common import drop_written, table, text_hash, written
 #: Blocks a source has at most (the more, the more shards), and rows a block has about.
 BLOCKS, BLOCKS_PER_SHARD, BLOCK_ROWS, SEED = 1024, 16, 64, 20
 SHARD_WORDS, LEAST_SHARDS = 50_000_000, 16
-MOST_TIMES = 3
+MOST_TIMES, TOP_NODES = 3, 64
+#: Sources are planned on the driver: host names or other keys without a bound have to be grouped first.
+MOST_SOURCES = 100_000
 #: Block and choice tables are broadcast up to this many rows (of some 100 bytes).
 BROADCAST_ROWS = 200_000
 
@@ -43,22 +47,65 @@ def share(sizes: list[int], weights: list[float], total: float, most: float = MO
     return [target[i] for i in range(len(sizes))]
 
 
-def split_quotas(counts: list[int], shards: int, seed: int = SEED) -> np.ndarray:
+def _halves(have: np.ndarray, first: int, n: int, seed: int) -> list[tuple[np.ndarray, int, int]]:
+    """The two children of the node that has these copies for shards first to first + n - 1."""
+    rng = np.random.default_rng([seed, first, n])
+    half = n // 2
+    left = rng.multivariate_hypergeometric(have, int(have.sum()) * half // n, method="marginals") if len(have) else have
+    return [(left, first, half), (have - left, first + half, n - half)]
+
+
+def split_quotas(counts: list[int], shards: int, seed: int = SEED, first: int = 0) -> np.ndarray:
     """counts[s] block copies of each source over shards: an array (source, shard) with exact row sums."""
-    rng = np.random.default_rng(seed)
     out = np.zeros((len(counts), shards), dtype=np.int64)
+    nodes = [(np.asarray(counts, dtype=np.int64), first, shards)]
+    while nodes:
+        have, at, n = nodes.pop()
+        if n == 1:
+            out[:, at - first] = have
+        else:
+            nodes += _halves(have, at, n, seed)
+    return out
 
-    def node(have: np.ndarray, first: int, n: int) -> None:
-        if n == 1 or not len(have):
-            out[:, first] = have
-            return
-        half = n // 2
-        left = rng.multivariate_hypergeometric(have, int(have.sum()) * half // n, method="marginals")
-        node(left, first, half)
-        node(have - left, first + half, n - half)
 
-    node(np.asarray(counts, dtype=np.int64), 0, shards)
-    return out
+def shard_quotas(spark, counts: list[int], shards: int, seed: int = SEED) -> DataFrame:
+    """Rows (sid, shard, begin, n): the n copies of a source, from begin on, that a shard gets. As ``split_quotas``."""
+    top = [(np.asarray(counts, dtype=np.int64), 0, shards)]
+    while len(top) < TOP_NODES and any(n > 1 for _, _, n in top):
+        top = [x for node in top for x in (_halves(*node, seed) if node[2] > 1 else [node])]
+    begins = np.cumsum([have for have, _, _ in top], axis=0) - np.array([have for have, _, _ in top])
+    rows = [(first, n, have.tolist(), begin.tolist()) for (have, first, n), begin in zip(top, begins)]
+
+    def split(batches):
+        for batch in batches:
+            for first, n, have, begin in zip(*(batch.column(c).to_pylist() for c in ("first", "n", "have", "begin"))):
+                q = split_quotas(have, n, seed, first)
+                at = np.array(begin, np.int64)[:, None] + np.cumsum(q, axis=1) - q
+                sid, shard = np.nonzero(q)
+                columns = [sid.astype(np.int32), (shard + first).astype(np.int32), at[sid, shard], q[sid, shard]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["sid", "shard", "begin", "n"])
+
+    nodes = spark.createDataFrame(rows, "first int, n int, have array<long>, begin array<long>").repartition(len(rows), "first")
+    return nodes.mapInArrow(split, "sid int, shard int, begin long, n long")
+
+
+def ranked(blocks: DataFrame, seed: int) -> DataFrame:
+    """blocks (sid, block, words, ...) with rank and upto (words so far) in the permuted order of each source.
+
+    The order is by ranges, so that a source with very many blocks fills many tasks: places inside a
+    range come from a window over it, what ranges before it hold from sums over all.
+    """
+    blocks = blocks.withColumn("at", F.xxhash64("sid", "block", F.lit(seed)))
+    blocks = blocks.repartitionByRange("sid", "at", "block").sortWithinPartitions("sid", "at", "block")
+    blocks = written(blocks.withColumn("range", F.spark_partition_id()), "ranges")
+    of_range = blocks.groupBy("sid", "range").agg(F.count("*").alias("c"), F.sum("words").alias("w"))
+    before = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    of_range = of_range.select("sid", "range", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_before") for x in ("c", "w")])
+    inside = Window.partitionBy("sid", "range").orderBy("at", "block")
+    upto = F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    found = blocks.withColumns({"rank": F.row_number().over(inside) - 1, "upto": upto}).join(of_range, ["sid", "range"])
+    found = found.withColumns({"rank": F.col("rank") + F.col("c_before"), "upto": F.col("upto") + F.col("w_before")})
+    return found.drop("at", "range", "c_before", "w_before")
 
 
 def _some(df: DataFrame, n: int) -> DataFrame:
@@ -72,15 +119,18 @@ def mix(documents: DataFrame, weights: dict | None = None, shards: int | None =
     ``shards`` lists a shard number for each copy that the mix takes of a row, so a row may be taken
     0 to 3 times; ``in_shards`` lays the copies out. A null or empty text has size 0 and is not
     taken. A null source is a source like others. Rows that repeat a doc_id and text of a source
-    are taken alike. Input columns with one of the five names are replaced. Reruns agree, whatever
-    the partitions. An empty table gives an empty result.
+    are taken alike. Blocks and rows with equal hashes stand in the order of their numbers. Texts of any length
+    are taken whole. Input columns with one of the five names are replaced, others kept. Reruns agree, whatever
+    the partitions. An empty table gives an empty result; more than MOST_SOURCES sources are an error.
     """
     new = ("size", "source_size", "target", "taken", "shards")
     docs = documents.drop(*new).withColumns(
         {"__key": text_hash(F.col("text")), "size": word_count(F.col("text"))}
     )
     slim = written(docs.select("doc_id", "__key", "source", "size"), "sizes")
-    found = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    found = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("size")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     given = [float(weights[r["source"]]) if weights else 1.0 + i % 3 for i, r in enumerate(found)]
     shards = shards or max(LEAST_SHARDS, -(-sum(r["size"] for r in found) // SHARD_WORDS))
@@ -103,11 +153,7 @@ def mix(documents: DataFrame, weights: dict | None = None, shards: int | None =
         df = df.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
         return df.withColumn("block", F.pmod(F.xxhash64("doc_id", "__key", F.lit(seed)), F.col("n_blocks")))
 
-    in_order = Window.partitionBy("sid").orderBy(F.xxhash64("sid", "block", F.lit(seed)), "block")
-    blocks = placed(slim).groupBy("sid", "block", "passes", "rest").agg(F.sum("size").alias("words"))
-    blocks = blocks.withColumn("rank", F.row_number().over(in_order) - 1).withColumn(
-        "upto", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    blocks = ranked(placed(slim).groupBy("sid", "block", "passes", "rest").agg(F.sum("size").alias("words")), seed)
     blocks = written(
         blocks.withColumn("whole", F.col("upto") <= F.col("rest"))
         .withColumn("cut", ~F.col("whole") & (F.col("upto") - F.col("words") < F.col("rest")))
@@ -120,17 +166,15 @@ def mix(documents: DataFrame, weights: dict | None = None, shards: int | None =
         .orderBy("sid")
         .collect()
     )
-    quotas = split_quotas([r["passes"] * r["n"] + r["m"] for r in counts], shards, seed)
-    ends = spark.createDataFrame(
-        [(r["sid"], r["n"], [int(x) for x in np.cumsum(q)]) for r, q in zip(counts, quotas)],
-        "sid int, n_of_source long, ends array<long>",
-    )
-    shard_of = lambda index: F.size(F.filter("ends", lambda e: e <= index))
-    dealt = (
-        blocks.join(_some(ends, len(counts)), "sid")
-        .withColumn("own", F.transform(F.sequence(F.lit(1), F.col("passes") + 1), lambda k: shard_of((k - 1) * F.col("n_of_source") + F.col("rank"))))
-        .select("sid", "block", "whole", "cut", "own")
-    )
+    of_sid = {r["sid"]: r for r in counts}
+    copies = [of_sid[i]["passes"] * of_sid[i]["n"] + of_sid[i]["m"] if i in of_sid else 0 for i in range(len(found))]
+    # Copy number k of a source is that of the block with rank k modulo its number of blocks: as many rows as copies.
+    quotas = shard_quotas(spark, copies, shards, seed)
+    quotas = quotas.select("sid", "shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1)).alias("copy"))
+    many = _some(spark.createDataFrame([(r["sid"], r["n"]) for r in counts], "sid int, n_of_source long"), len(counts))
+    quotas = quotas.join(many, "sid").withColumns({"rank": F.col("copy") % F.col("n_of_source"), "pass": F.floor(F.col("copy") / F.col("n_of_source"))})
+    own = quotas.groupBy("sid", "rank").agg(F.transform(F.sort_array(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("own"))
+    dealt = blocks.join(own, ["sid", "rank"], "left").select("sid", "block", "whole", "cut", F.coalesce("own", F.array().cast("array<int>")).alias("own"))
 
     # In the block where a source's last pass ends: rows in hashed order while they fit, then what still fits the rest.
     units = (

@@ -41,7 +41,7 @@ def test_stages(spark, tmp_path):
     assert set(seen["line_dedup"]) == clean - {44}  # a copy of 6 has no line left
     assert "\n" not in seen["line_dedup"][8].text and seen["line_dedup"][8].n_chars == len(seen["line_dedup"][8].text)
     kept = sorted(seen["line_dedup"].values(), key=lambda r: r.doc_id)
-    sets = [near_dup.shingle_set(r.text, 5) for r in kept]
+    sets = [near_dup.shingle_set(r.text, near_dup.SHINGLE) for r in kept]
     gone = {kept[j].doc_id for j in range(len(kept)) for i in range(j) if near_dup.alike(sets[i], sets[j], 80)}
     assert 40 in gone and set(seen["near_dedup"]) == set(seen["line_dedup"]) - gone
     hit = {r.doc_id for r in seen["near_dedup"].values() if item in r.text.lower()}
@@ -49,3 +49,15 @@ def test_stages(spark, tmp_path):
     mixed = seen["mix_sources"].values()
     assert all(r.taken == r.size * (r.taken // r.size) and r.taken // r.size in (1, 2, 3) for r in mixed)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_stages_on_empty_and_repeated_rows_and_clashing_columns(spark, tmp_path):
+    rows, _ = write(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    odd = docs.union(docs.limit(5)).union(spark.createDataFrame([(None, None, None, None, None), (None, rows[7][1], "de", None, None)], docs.schema))
+    odd = odd.selectExpr("*", "1 AS kept", "2 AS score", "3 AS n_lines", "4 AS node", "5 AS items", "6 AS spans")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(tmp_path))
+        assert out.columns == odd.columns and out.filter("kept <> 1 OR score <> 2 OR n_lines <> 3 OR node <> 4 OR items <> 5 OR spans <> 6").isEmpty()
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), str(tmp_path)).count() == 0

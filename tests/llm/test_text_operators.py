@@ -286,6 +286,78 @@ def test_quotas_are_exact():
     assert q.sum(axis=1).tolist() == [7, 0, 100] and q.min() >= 0 and set(q.sum(axis=0)) <= {13, 14}
 
 
+def test_quotas_in_tasks_are_those_of_the_tree(spark):
+    for counts, shards in (([70, 0, 1000], 200), ([5], 1), ([0, 0], 70)):
+        want = mixing.split_quotas(counts, shards)
+        got = {(r.sid, r.shard): (r.begin, r.n) for r in mixing.shard_quotas(spark, counts, shards).collect()}
+        begin = want.cumsum(axis=1) - want
+        assert got == {(i, j): (begin[i, j], want[i, j]) for i in range(len(counts)) for j in range(shards) if want[i, j]}
+
+
+def test_mix_is_brute_force(spark):
+    """taken and shards of each row, from the hashes and the tree."""
+    rng = random.Random(6)
+    texts = [(rng.choice("aaab"), "w " * rng.randint(0, 30)) for _ in range(700)] + [(None, "w x"), (None, "y")]
+    rows = [(i, t, s, "own") for i, (s, t) in enumerate(texts)] + [(3, texts[3][1], texts[3][0], "own"), (None, "z " * 9, "b", "own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, taken string")
+    shards, seed = 5, mixing.SEED
+    got = {(r.doc_id, r.text): r for r in mixing.mix(df, shards=shards).collect()}
+    hashed = lambda *c: F.xxhash64(*c)
+    key = hashed("text")
+    rows = df.distinct().select("doc_id", "text", "source", hashed("doc_id", key, F.lit(seed)).alias("h"), hashed("doc_id", key, F.lit(seed + 1)).alias("later"), key.alias("k")).collect()
+    repeated = {(3, texts[3][1])}
+    times = lambda r: 2 if (r.doc_id, r.text) in repeated else 1
+    size = lambda r: len(r.text.split())
+    names = ["a", "b", None]
+    sizes = [sum(size(r) * times(r) for r in rows if r.source == s) for s in names]
+    targets = mixing.share(sizes, [1.0, 2.0, 3.0], float(sum(sizes)))
+    at = spark.range(2000).selectExpr("id AS block").withColumn("sid", F.explode(F.array(*map(F.lit, range(3))))).select("sid", "block", hashed("sid", "block", F.lit(seed)).alias("h"))
+    order_of = {(r.sid, r.block): (r.h, r.block) for r in at.collect()}
+    want, copies = {}, []
+    for i, s in enumerate(names):
+        mine = [r for r in rows if r.source == s]
+        n_blocks = -(-sum(map(times, mine)) // mixing.BLOCK_ROWS)
+        passes = min(3, int(targets[i] // sizes[i]))
+        rest, blocks = targets[i] - passes * sizes[i], {}
+        for r in mine:
+            blocks.setdefault(r.h % n_blocks, []).append(r)
+        order, upto, extra, cut = sorted(blocks, key=lambda b: order_of[i, b]), 0, set(), None
+        for b in order:
+            words = sum(size(r) * times(r) for r in blocks[b])
+            if upto + words <= rest:
+                extra |= {(r.doc_id, r.text) for r in blocks[b]}
+            elif upto < rest:
+                cut, left = b, rest - upto
+            upto += words
+        if cut is not None:
+            sofar, total, again = 0, 0, 0
+            ordered = sorted(blocks[cut], key=lambda r: (r.later, r.doc_id is not None, r.doc_id or 0, r.k))
+            for r in ordered:
+                total += size(r) * times(r)
+                if total <= left:
+                    extra.add((r.doc_id, r.text))
+                    sofar = total
+            total = 0
+            for r in ordered:
+                unit = size(r) * times(r)
+                total += unit
+                if total > left and unit <= left - sofar:
+                    again += unit
+                    if again <= left - sofar:
+                        extra.add((r.doc_id, r.text))
+        n_extra = sum(1 for b in order if all((r.doc_id, r.text) in extra for r in blocks[b]) and b != cut) + (cut is not None)
+        copies.append((passes, order, blocks, extra, passes * len(order) + n_extra))
+    quotas = mixing.split_quotas([c[-1] for c in copies], shards)
+    for i, (passes, order, blocks, extra, _) in enumerate(copies):
+        shard_of = [j for j in range(shards) for _ in range(quotas[i, j])]
+        for rank, b in enumerate(order):
+            for r in blocks[b]:
+                n = (passes + ((r.doc_id, r.text) in extra)) if size(r) else 0
+                want[r.doc_id, r.text] = [shard_of[k * len(order) + rank] for k in range(n)]
+    assert {k: list(r.shards) for k, r in got.items()} == want
+    assert all(r.taken == r.size * len(r.shards) for r in got.values())
+
+
 def test_mix_meets_targets_and_reruns_agree(spark):
     rng = random.Random(5)
     texts = [("a", rng.randint(0, 60)) for _ in range(500)] + [("b", rng.randint(1, 40)) for _ in range(100)] + [(None, 30), (None, 5), ("é", 10)]

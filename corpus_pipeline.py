@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
 return the columns of documents.
+
+What all stages do: null and empty texts are rows like others (language ID drops them, as they hold
+no language); rows that repeat are treated alike, but for near-dedup, which keeps one; texts of any length are
+taken whole; further columns, of any names, are kept; an empty table gives an empty one. Ties are
+decided by doc_id and a hash of the text, never by the order of rows.
 """
 
 from __future__ import annotations
@@ -22,19 +27,21 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those whose language can't be told."""
-    found = identify(docs, F.lit(True))
-    return found.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = identify(docs.select("doc_id", "text", "lang", F.struct("*").alias("__row")), F.lit(True))
+    return found.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select("__row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes later copies of repeated line runs, and documents of which nothing else is left."""
-    found = dedup_lines(docs)
+    rest = F.struct(*[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
+    found = dedup_lines(docs.select("doc_id", "text", rest.alias("__rest")))
     left = found.filter((F.col("n_lines") == 0) | (F.col("n_lines") > F.size("deleted")))
-    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return left.select("doc_id", "text", n_chars, "__rest.*").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8)."""
+    """Keeps one document of each group of near duplicates, with the parameters of op10 (two-word shingles, similarity 0.8)."""
     return drop_near_duplicates(docs).select(*docs.columns)
 
 

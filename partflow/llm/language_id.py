@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = 12.0  # keeps the forward pass in range: about the reciprocal probability of a byte
 _RANGE = 1e-140, 1e140  # outside, a pass takes logarithms
 #: Bytes of the words of a lattice, with the padding to its longest word.
-LATTICE_BYTES = 200_000
+LATTICE_BYTES = 100_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -39,40 +38,91 @@ def words_of(text: str | None) -> list[str]:
     return _LETTERS.findall(text.lower()) if text else []
 
 
-def load_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
+def load_pieces(path: str = VOCABULARY) -> Pieces:
     with open(path, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
     return with_beginnings(dict.fromkeys([*pieces, *(bytes([b]) for b in range(256))]))  # every word has a segmentation
 
 
-def with_beginnings(pieces) -> dict[bytes, int]:
-    """Numbers of the pieces; -1 for what only begins one, so that a search knows when to stop."""
-    out = {p: i for i, p in enumerate(pieces)}
-    for p in list(out):
-        for n in range(1, len(p)):
-            out.setdefault(p[:n], -1)
+class Pieces(dict):
+    """Numbers of the pieces; -1 for what only begins one. Also as a table that finds many at once.
+
+    Each beginning is a node; the table holds, for a node and a byte, the node of both together, by
+    linear probing of hashes.
+    """
+
+    def __init__(self, pieces):
+        super().__init__((p, i) for i, p in enumerate(pieces))
+        for p in list(self):
+            for n in range(1, len(p)):
+                self.setdefault(p[:n], -1)
+        node = {b"": 0} | {p: i for i, p in enumerate(self, 1)}
+        keys = np.array([node[p[:-1]] * 256 + p[-1] for p in self], np.int64)
+        self.number = np.array([-1, *self.values()], np.int64)
+        bits = max(10, (8 * len(keys)).bit_length())
+        self.shift, self.key, self.child = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            free = self.key[at] < 0
+            self.key[at[free]] = keys[left[free]]  # of several for one place, one gets it
+            done = self.key[at] == keys[left]
+            self.child[at[done]] = left[done] + 1
+            left, at = left[~done], (at[~done] + 1) % len(self.key)
+
+    def __reduce__(self):
+        return _unpickled, (dict(self), self.__dict__)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def further(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes one byte further on; 0 where no piece begins so."""
+        keys = node * 256 + byte
+        at = self._place(keys)
+        found = self.key[at]
+        out = np.where(found == keys, self.child[at], 0)
+        missed = np.flatnonzero((found != keys) & (found >= 0))
+        while len(missed):
+            at[missed] = (at[missed] + 1) % len(self.key)
+            found = self.key[at[missed]]
+            hit = found == keys[missed]
+            out[missed[hit]] = self.child[at[missed[hit]]]
+            missed = missed[~hit & (found >= 0)]
+        return out
+
+
+def _unpickled(pieces: dict, state: dict) -> Pieces:
+    out = Pieces.__new__(Pieces)
+    out.update(pieces)
+    out.__dict__.update(state)
     return out
 
 
+def with_beginnings(pieces) -> Pieces:
+    return Pieces(pieces)
+
+
 class Lattice:
     """All segmentations of words: edges (word, start, end, piece), ordered by where they end."""
 
-    def __init__(self, words: list[str], pieces: dict[bytes, int]):
+    def __init__(self, words: list[str], pieces: Pieces):
         coded = [(" " + w).encode() for w in words]
         self.size = np.fromiter(map(len, coded), np.int64, len(coded))
-        get, rows = pieces.get, []
-        for i, w in enumerate(coded):
-            n = len(w)
-            for start in range(n):
-                for end in range(start + 1, n + 1):
-                    p = get(w[start:end])
-                    if p is None:
-                        break  # nor does a longer piece begin so
-                    if p >= 0:
-                        rows.append((end, i, start, p))
-        edges = np.array(rows, dtype=np.int64).reshape(-1, 4)
-        edges = edges[np.argsort(edges[:, 0], kind="stable")]
-        self.end, self.word, self.start, self.piece = edges.T
+        text, begins = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64), np.cumsum(self.size) - self.size
+        word = np.repeat(np.arange(len(coded)), self.size)
+        first, node, n, edges = np.arange(len(text)), np.zeros(len(text), np.int64), 0, []
+        while len(first):  # all places at once: those from which a piece goes on for n bytes
+            node = pieces.further(node, text[first + n]).astype(np.int64)
+            n += 1
+            piece = pieces.number[node]
+            is_piece = (node > 0) & (piece >= 0)
+            at, of = first[is_piece], word[first[is_piece]]
+            start = at - begins[of]
+            edges.append(np.stack([start + n, of, start, piece[is_piece]]))
+            more = (node > 0) & (first + n < begins[word[first]] + self.size[word[first]])
+            first, node = first[more], node[more]
+        edges = np.concatenate(edges, axis=1) if edges else np.zeros((4, 0), np.int64)
+        self.end, self.word, self.start, self.piece = edges[:, np.argsort(edges[0], kind="stable")]
         self.longest = int(self.size.max(initial=0))
         self.cut = np.searchsorted(self.end, np.arange(self.longest + 2))
         self.scale = _BASE ** (self.end - self.start)
@@ -115,11 +165,14 @@ class Lattice:
                 out[self.word[e][starts], place] = top + np.log(np.add.reduceat(np.exp(step - each), starts))
         return out
 
-    def log_likelihood(self, p: np.ndarray, words: list[str], pieces: dict[bytes, int]) -> np.ndarray:
+    def log_likelihood(self, p: np.ndarray, words: list[str], pieces: Pieces) -> np.ndarray:
         """log P(word | language), an array (word, language)."""
         alpha = self.forward(p)
         rows = np.arange(len(self.size))
-        ok = self.in_range(alpha)
+        # The bytes one by one are a segmentation: short words can't leave the range.
+        least = min(p[pieces[x]].min() if pieces.get(x := bytes([b]), -1) >= 0 else 0.0 for b in range(256))
+        short = self.longest < 128 and (least * _BASE) ** self.longest > _RANGE[0]
+        ok = np.ones(len(rows), bool) if short else self.in_range(alpha)
         with np.errstate(divide="ignore"):
             out = np.log(alpha[rows, self.size]) - (self.size * np.log(_BASE))[:, None]
             log_p = None if ok.all() else np.log(p)
@@ -128,7 +181,7 @@ class Lattice:
             out[i] = one.forward_log(log_p)[0, one.size[0]]
         return out
 
-    def expected(self, p: np.ndarray, weight: np.ndarray, words: list[str], pieces: dict[bytes, int]) -> np.ndarray:
+    def expected(self, p: np.ndarray, weight: np.ndarray, words: list[str], pieces: Pieces) -> np.ndarray:
         """Expected counts (piece, language) for words seen ``weight[word, language]`` times."""
         alpha = self.forward(p)
         n, langs = weight.shape
@@ -157,7 +210,7 @@ class Lattice:
         return out
 
 
-def in_lattices(words: list[str], pieces: dict[bytes, int]) -> Iterator[tuple[list[int], list[str], Lattice]]:
+def in_lattices(words: list[str], pieces: Pieces) -> Iterator[tuple[list[int], list[str], Lattice]]:
     """The places of the words, the words and their lattice, for parts of words of like length."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     at = 0
@@ -170,7 +223,7 @@ def in_lattices(words: list[str], pieces: dict[bytes, int]) -> Iterator[tuple[li
         at = upto
 
 
-def fit(counts: list[tuple[str, str, int]], pieces: dict[bytes, int], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
+def fit(counts: list[tuple[str, str, int]], pieces: Pieces, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and probabilities (piece, language) from rows (language, word, count)."""
     langs = sorted({lang for lang, _, _ in counts})
     words = sorted({w for _, w, _ in counts})
@@ -208,7 +261,7 @@ def training_counts(documents: DataFrame, lang: Column, per_language: int = TRAI
 class Scorer:
     """Scores texts; remembers the scores of words."""
 
-    def __init__(self, langs: list[str], p: np.ndarray, pieces: dict[bytes, int], memory: int = 500_000):
+    def __init__(self, langs: list[str], p: np.ndarray, pieces: Pieces, memory: int = 200_000):
         self.langs, self.p, self.pieces, self.memory = langs, p, pieces, memory
         self.place: dict[str, int] = {}
         self.known = np.zeros((memory, len(langs)))
@@ -244,17 +297,6 @@ class Scorer:
         return names, scores
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def scorer_of(name: str, model) -> Scorer:
-    """The scorer of a model, with what it remembers from earlier tasks of this Python worker."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(*model)
-    return _SCORERS[name]
-
-
 def identify(documents: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY, per_language: int = TRAIN_DOCUMENTS) -> DataFrame:
     """The input's rows and columns with lang_pred and score.
 
@@ -267,11 +309,11 @@ def identify(documents: DataFrame, learn_from: Column, vocabulary: str = VOCABUL
     """
     pieces = load_pieces(vocabulary)
     langs, p = fit(training_counts(documents.filter(learn_from), F.col("lang"), per_language), pieces)
-    model, name = documents.sparkSession.sparkContext.broadcast((langs, p, pieces)), uuid.uuid4().hex
+    model = documents.sparkSession.sparkContext.broadcast((langs, p, pieces))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = scorer_of(name, model.value)
+        scorer = Scorer(*model.value)
         for texts in series:
             names, scores = [], []
             for i in range(0, len(texts), 250):

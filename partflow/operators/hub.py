@@ -1,8 +1,8 @@
-"""Table maintenance on versioned parquet: upserts, type-2 history, batches that can be rolled back.
+"""Table maintenance on parquet: upserts, type-2 history, batches that can be rolled back, dated results.
 
-A table is a folder of versions; a pointer file names the current one. A write makes a whole new
-version and then replaces the pointer by a rename, so readers see one version or the other, and an
-interrupted write leaves a version that nothing names.
+A table is partitioned by a hash of its keys. An upsert writes its batch once, merges it with the
+partitions that it touches, and overwrites these alone; a run that breaks off is run again with the same
+batch id and has the same effect once.
 """
 
 from __future__ import annotations
@@ -27,13 +27,17 @@ NATURAL_KEYS = {
     "fct_aog_alert_log": ("part_number", "alerted_at"),
 }
 LOAD_ORDER = tuple(NATURAL_KEYS)
+#: Partitions of a table, by a hash of its keys.
+BUCKETS = 32
 TRACKED = ("criticality", "unit_cost_usd", "master_part_number", "is_superseded")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share. Only a local session may leave it unset, and gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -43,16 +47,19 @@ def stamped(df: DataFrame, batch_id: str, loaded_at) -> DataFrame:
     return df.withColumns({"_loaded_at": F.lit(loaded_at).cast("timestamp"), "_batch_id": F.lit(batch_id)})
 
 
-def merged(target: DataFrame, source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, keys: tuple[str, ...], order: str | None = None) -> DataFrame:
     """target with source upserted: matched rows take the source's columns and keep their others; the rest is added.
 
-    Keys must be unique and not null in the source.
+    Keys must be unique and not null in the source. With order, a matched row stays as it is if its order
+    is larger than the source row's.
     """
     keys = list(keys)
     own = [c for c in source.columns if c not in keys]
     renamed = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in own], F.lit(True).alias("__in_source"))
     both = target.join(renamed, keys, "full_outer")
     there = F.col("__in_source").isNotNull()
+    if order is not None:
+        there = there & (F.col(order).isNull() | (F.col(f"__s_{order}") >= F.col(order)))
     columns = [c for c in target.columns if c not in keys] + [c for c in own if c not in target.columns]
 
     def value(c: str):
@@ -86,63 +93,80 @@ class Hub:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def _current(self, table: str) -> str | None:
-        pointer = f"{self.folder}/{table}/CURRENT"
-        fs, where = self._fs(pointer)
-        return self.spark.read.text(pointer).first()[0] if fs.exists(where) else None
+    def _rows(self, table: str) -> DataFrame | None:
+        """The table with its bucket; None if there is none."""
+        fs, where = self._fs(f"{self.folder}/{table}")
+        found = fs.exists(where) and any(x.isDirectory() and x.getPath().getName().startswith("_bucket=") for x in fs.listStatus(where))
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.folder}/{table}") if found else None
 
     def read(self, table: str) -> DataFrame | None:
-        version = self._current(table)
-        return self.spark.read.parquet(f"{self.folder}/{table}/{version}") if version else None
-
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Writes a new version, points to it and returns it."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.folder}/{table}/{version}")
-        pointer = f"{self.folder}/{table}/CURRENT"
-        fs, new = self._fs(f"{pointer}-{version}")
-        out = fs.create(new, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        _, where = self._fs(pointer)
-        if fs.exists(where):
-            fs.delete(where, False)
-        fs.rename(new, where)
-        return self.spark.read.parquet(f"{self.folder}/{table}/{version}")
-
-    def load(self, df: DataFrame, table: str, keys: tuple[str, ...] | None = None, mode: str = "merge") -> int:
-        """Upserts (or appends) df and returns how many rows it had."""
-        n = df.count()
+        rows = self._rows(table)
+        return None if rows is None else rows.drop("_bucket")
+
+    def _staged(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/partflow-staged-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _write(self, table: str, df: DataFrame, mode: str) -> None:
+        rows = df.repartition("_bucket").write.partitionBy("_bucket").option("partitionOverwriteMode", "dynamic")
+        rows.mode(mode).parquet(f"{self.folder}/{table}")
+
+    def load(self, df: DataFrame, table: str, keys: tuple[str, ...] | None = None, mode: str = "merge", order: str | None = None) -> int:
+        """Upserts (or appends) df and returns how many rows it had. order: as of ``merged``."""
+        keys = keys or NATURAL_KEYS.get(table)
+        if mode == "merge" and not keys:
+            raise ValueError(f"no keys for {table}")
+        bucket = F.pmod(F.xxhash64(*(keys if keys and set(keys) <= set(df.columns) else df.columns)), F.lit(BUCKETS)).cast("int")
+        batch = self._staged(stamped(df, self.batch_id, self.loaded_at).withColumn("_bucket", bucket))  # evaluated once
+        n = batch.count()
         if not n:
             return 0
-        df = stamped(df, self.batch_id, self.loaded_at)
-        target = self.read(table)
         if mode == "append":
-            new = df if target is None else target.unionByName(df, allowMissingColumns=True)
-        else:
-            keys = keys or NATURAL_KEYS.get(table)
-            if not keys:
-                raise ValueError(f"no keys for {table}")
-            check_keys(df, keys)
-            new = df if target is None else merged(target, df, keys)
-        self.replace(table, new)
+            self._write(table, batch, "append")
+            return n
+        check_keys(batch, keys)
+        target = self._rows(table)
+        if target is not None:
+            touched = [r["_bucket"] for r in batch.select("_bucket").distinct().collect()]  # BUCKETS at most
+            batch = self._staged(merged(target.filter(F.col("_bucket").isin(touched)), batch, keys, order))
+        self._write(table, batch, "overwrite")
         return n
 
     def load_all(self, frames: dict[str, DataFrame]) -> dict[str, int]:
         """Dimensions first; the tables share a batch."""
-        order = [t for t in LOAD_ORDER if t in frames] + [t for t in frames if t not in LOAD_ORDER]
-        return {t: self.load(frames[t], t, mode="merge" if t in NATURAL_KEYS else "append") for t in order}
+        ordered = [t for t in LOAD_ORDER if t in frames] + [t for t in frames if t not in LOAD_ORDER]
+        return {t: self.load(frames[t], t, mode="merge" if t in NATURAL_KEYS else "append") for t in ordered}
 
     def rollback_batch(self, table: str, batch_id: str) -> int:
         """Deletes the batch's rows (rows that it updated go too) and returns how many."""
-        target = self.read(table)
+        target = self._rows(table)
         if target is None:
             return 0
-        mine = F.col("_batch_id").eqNullSafe(batch_id)
-        n = target.filter(mine).count()
-        if n:
-            self.replace(table, target.filter(~mine))
-        return n
+        mine = F.coalesce(F.col("_batch_id") == batch_id, F.lit(False))
+        found = {r["_bucket"]: (r["n"], r["mine"]) for r in target.groupBy("_bucket").agg(F.count("*").alias("n"), F.count_if(mine).alias("mine")).collect()}
+        touched = [k for k, (n, m) in found.items() if 0 < m < n]
+        if touched:
+            self._write(table, self._staged(target.filter(F.col("_bucket").isin(touched) & ~mine)), "overwrite")
+        for k, (n, m) in found.items():
+            if n == m:  # nothing is left to overwrite it with
+                fs, where = self._fs(f"{self.folder}/{table}/_bucket={k}")
+                fs.delete(where, True)
+        return sum(m for _, m in found.values())
+
+
+def write_results(frames: dict[str, DataFrame], folder: str, run_date: datetime.date) -> None:
+    """Each result of a run as parquet under its name and the run's date; a run of the same date replaces it."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}/run_date={run_date.isoformat()}")
+
+
+def read_results(spark: SparkSession, folder: str, name: str, run_date: datetime.date | None = None) -> DataFrame:
+    """A result with its run_date: of one run, or without a date of the last."""
+    rows = spark.read.option("basePath", f"{folder}/{name}").parquet(f"{folder}/{name}")
+    if run_date is None:
+        run_date = rows.agg(F.max("run_date")).first()[0]
+    return rows.filter(F.col("run_date") == F.lit(run_date))
 
 
 def row_hash(df: DataFrame, tracked: tuple[str, ...] = TRACKED):

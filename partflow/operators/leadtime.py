@@ -31,6 +31,12 @@ def prepare_deliveries(orders: DataFrame, as_of: datetime.date, rules: Rules = R
     )
 
 
+def entry_errors(orders: DataFrame, as_of: datetime.date, rules: Rules = RULES) -> DataFrame:
+    """One row: how many delivered lines of the lookback ``prepare_deliveries`` drops for a negative lead time."""
+    recent = orders.filter(F.col("actual_delivery_date").isNotNull() & (F.col("order_date") >= F.date_sub(F.lit(as_of), rules.lookback_days)))
+    return recent.agg(F.count("*").alias("delivered"), F.count_if(F.col("actual_delivery_date") < F.col("order_date")).alias("negative_lead_times"))
+
+
 def lead_time_profiles(deliveries: DataFrame, as_of: datetime.date, keys: tuple[str, ...] = ("supplier_id",), rules: Rules = RULES) -> DataFrame:
     """One row for each key: recency-weighted quantiles, mean, deviation, on-time rate and slip, trend, confidence.
 
@@ -123,7 +129,7 @@ def supplier_part_lead_times(orders: DataFrame, as_of: datetime.date, rules: Rul
 
 
 def supplier_scorecard(orders: DataFrame, as_of: datetime.date, suppliers: DataFrame | None = None, rules: Rules = RULES) -> DataFrame:
-    """Profiles with on-time, consistency and trend scores, their blend, a tier and the gap to contract."""
+    """Profiles with on-time, consistency and trend scores, their blend, a tier and the gap to contract, worst first."""
     card = lead_time_profiles(prepare_deliveries(orders, as_of, rules), as_of, ("supplier_id",), rules)
     otd = F.col("on_time_rate") * 100
     consistency = (1 - clamped(F.col("volatility_days") / F.greatest(F.col("p50_days"), F.lit(1.0)))) * 100
@@ -141,4 +147,4 @@ def supplier_scorecard(orders: DataFrame, as_of: datetime.date, suppliers: DataF
     if suppliers is not None:
         card = card.join(suppliers.select("supplier_id", "supplier_name", "country", "base_lead_time_days"), "supplier_id", "left")
         card = card.withColumn("contract_gap_days", F.bround(F.col("p80_days") - F.col("base_lead_time_days"), 1))
-    return card
+    return card.orderBy("composite_score", "supplier_id")

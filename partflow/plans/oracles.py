@@ -304,12 +304,16 @@ ORACLES = {
       SELECT part_number, alert_id, score FROM go WHERE out""",
     "stream_upsert": "SELECT part_number, max(alert_id) AS alert_id, arg_max(score, alert_id) AS score FROM candidates_ GROUP BY 1",
     "source_status": "SELECT warehouse_id AS source, true AS ok, count(*) AS rows FROM inventory_ GROUP BY 1 UNION ALL SELECT 'WH-gone', false, 0",
+    "entry_errors": f"SELECT count(*) AS delivered, count(*) FILTER (actual_delivery_date < order_date) AS negative_lead_times FROM orders_ WHERE actual_delivery_date IS NOT NULL AND order_date >= {AS_OF} - 730",
+    "catalog_files": _MASTER + "SELECT ata_chapter, count(*) AS parts, sum(qty_available)::BIGINT AS qty_available, count(DISTINCT part_uid) AS masters FROM master GROUP BY 1",
+    "run_results": f"SELECT supplier_id, composite_score, risk_tier, {AS_OF} AS run_date FROM card_ ",
+    "alert_log": "SELECT part_number, CASE WHEN criticality = 'NO_GO' THEN '06' ELSE '12' END AS hour, aog_risk_score FROM risk_ WHERE aog_risk_score >= 75",
     "scan_erp": "SELECT CASE WHEN p_partkey = 0 THEN repeat('0', 18) ELSE CAST(p_partkey AS VARCHAR) END AS part_number, p_name AS description, p_type AS material_type, p_brand AS material_group, 1.5::DOUBLE AS net_weight_kg, CASE WHEN p_size % 7 <> 0 THEN p_size::DOUBLE END AS shelf_life_months, 'ERP' AS source_system FROM part",
     "scan_erp_orders": "SELECT CASE WHEN part_number = 'PN-000000' THEN repeat('0', 18) ELSE '' || CAST(part_number[4:] AS INT) END AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
     "scan_erp_work_orders": "SELECT work_order_id, wo_type, aircraft_reg AS equipment_id, opened_date, status FROM work_ ",
     "scan_customs_xml": "SELECT awb, po_number, part_number, quantity, clearance_status, estimated_clearance_days::DOUBLE AS estimated_clearance_days FROM customs_ ",
-    "scan_edi_850": "SELECT po_number, CAST(po_line AS VARCHAR) AS po_line, quantity, 'EA' AS uom, part_number, order_date FROM orders_ WHERE part_number < 'PN-000050'",
-    "scan_edi_856": "SELECT po_number AS shipment_id, po_number, part_number, actual_delivery_date AS ship_date, supplier_id AS carrier, quantity AS quantity_shipped FROM orders_ WHERE part_number < 'PN-000050' AND status = 'DELIVERED'",
+    "scan_edi_850": "SELECT po_number, CAST(po_line AS VARCHAR) AS po_line, quantity, 'EA' AS uom, part_number, order_date FROM orders_ ",
+    "scan_edi_856": "SELECT po_number AS shipment_id, po_number, part_number, actual_delivery_date AS ship_date, supplier_id AS carrier, quantity AS quantity_shipped FROM orders_ WHERE status = 'DELIVERED'",
     "scan_supplier_json": "SELECT supplier_id, 'NE' AS condition_code, '2001-08-02 00:00' AS retrieved, count(*) AS n, sum(quantity) AS qty_available, min(days)::DOUBLE AS best_lead_time FROM offers_ GROUP BY 1",
     "scan_order_status": "SELECT supplier_id, status, count(*) AS n, CAST(max(promised_date) + 1 AS DATE) AS last_promised, 0::BIGINT AS revised FROM orders_ WHERE order_date >= DATE '2001-01-01' GROUP BY 1, 2",
     "scan_wms": "SELECT s AS source_system, warehouse_id, count(*) AS n, sum(qty_available)::BIGINT AS qty_available FROM inventory_ , (SELECT unnest(['WMS_CLOUD', 'WMS_FILES']) AS s) GROUP BY 1, 2",

@@ -129,24 +129,24 @@ def _history(spark, d):
     return demand.dense_history(V.demand_observed(spark, d), V.FIRST_MONTH, V.LAST_MONTH)
 
 
-def _inputs(spark, d, as_of=AS_OF, upto=None) -> risk.RiskInputs:
-    return risk.RiskInputs(
+def _inputs(spark, d, as_of=AS_OF, upto=None) -> dict[str, DataFrame]:
+    return dict(
         parts=V.parts(spark, d),
         inventory=_inventory(spark, d, as_of, upto),
-        open_orders=risk.open_orders(V.purchase_orders(spark, d)),
+        orders=risk.open_orders(V.purchase_orders(spark, d)),
         demand=demand.demand_profile(_history(spark, d)),
         supplier_scores=_card(spark, d),
         customs=_customs_risk(spark, d),
-        open_work_orders=V.work_orders(spark, d).filter("status = 'OPEN'"),
+        work_orders=V.work_orders(spark, d).filter("status = 'OPEN'"),
     )
 
 
 def _scored(spark, d, as_of=AS_OF, upto=None):
-    return risk.score_risk(_inputs(spark, d, as_of, upto), as_of)
+    return risk.score_risk(as_of, **_inputs(spark, d, as_of, upto))
 
 
 def aog_factors(spark, d):
-    df = risk.risk_factors(_inputs(spark, d), AS_OF)
+    df = risk.risk_factors(AS_OF, **_inputs(spark, d))
     return rounded(df.select("part_number", "qty_available", "monthly_demand", "firm_wo_demand", "aog_wo_demand", "days_of_cover", *[f"f_{f}" for f in risk.FACTORS]))
 
 
@@ -266,7 +266,11 @@ def _snapshots(spark, d):
 
 
 def _risk_history(spark, d):
-    return stock.union_all([_scored(spark, d, day, day) for day in V.SNAPSHOT_DATES])
+    """The scorings of three days, each written when it was made, as a run does."""
+    folder = _folder(spark, "history")
+    for day in V.SNAPSHOT_DATES:
+        hub.write_results({"risk": _scored(spark, d, day, day)}, folder, day)
+    return spark.read.parquet(f"{folder}/risk").drop("run_date")
 
 
 def risk_heatmap(spark, d):
@@ -356,8 +360,40 @@ def scan_customs_xml(spark, d):
 
 #: Rows of a JSON page, about.
 PAGE = 1000
-#: The parts that the SQL of the EDI queries compares.
-IN_SQL = "part_number < 'PN-000050'"
+
+
+def entry_errors(spark, d):
+    return leadtime.entry_errors(V.purchase_orders(spark, d), AS_OF)
+
+
+def catalog_files(spark, d):
+    folder = _folder(spark, "catalog")
+    catalog.write_catalog(_master(spark, d), folder)
+    read = spark.read.parquet(folder)
+    return read.groupBy("ata_chapter").agg(F.count("*").alias("parts"), F.sum("qty_available").cast("long").alias("qty_available"), F.countDistinct("part_uid").alias("masters"))
+
+
+def run_results(spark, d):
+    folder = _folder(spark, "results")
+    hub.write_results({"scorecard": _card(spark, d).select("supplier_id", "composite_score", "risk_tier")}, folder, AS_OF)
+    return hub.read_results(spark, folder, "scorecard").withColumn("run_date", F.col("run_date").cast("date"))
+
+
+def alert_log(spark, d):
+    """Alerts of two runs in the log: the second run leaves out parts of the cooldown."""
+    log, scored = hub.Hub(spark, _folder(spark, "log"), "b1", NOW), _scored(spark, d)
+    first = risk.alert_candidates(scored).filter(F.col("criticality") == "NO_GO")
+    times = {"first": datetime.datetime(2001, 8, 2, 6), "second": datetime.datetime(2001, 8, 2, 12)}
+    put = lambda rows, at: log.load(rows.select("part_number", F.lit(at).cast("timestamp").alias("alerted_at"), "aog_risk_score"), "fct_aog_alert_log", mode="append")
+    put(first, times["first"])
+    sent = log.read("fct_aog_alert_log")
+    if sent is None:
+        put(risk.alert_candidates(scored), times["second"])
+    else:
+        put(risk.without_recent(risk.alert_candidates(scored), sent, times["second"]), times["second"])
+    out = log.read("fct_aog_alert_log")
+    out = out if out is not None else first.select("part_number", F.lit(None).cast("timestamp").alias("alerted_at"), "aog_risk_score")
+    return out.select("part_number", F.date_format("alerted_at", "HH").alias("hour"), "aog_risk_score")
 
 
 def _edi_850(spark, d):
@@ -371,7 +407,7 @@ def _edi_850(spark, d):
 
 
 def scan_edi_850(spark, d):
-    return _edi_850(spark, d).filter(IN_SQL)  # after parsing: all lines are written and parsed
+    return _edi_850(spark, d)
 
 
 def _edi_856(spark, d):
@@ -385,7 +421,7 @@ def _edi_856(spark, d):
 
 
 def scan_edi_856(spark, d):
-    return _edi_856(spark, d).filter(IN_SQL)
+    return _edi_856(spark, d)
 
 
 def _paged(rows, key, *order):
@@ -449,7 +485,7 @@ QUERIES = [
     supplier_scorecard, normalize_inventory, stock_accuracy, union_inventory, customs_projection, customs_risk, open_orders, aog_factors, aog_risk, recommended_actions, early_warning,
     aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
     latest_scorecard, supplier_trend, single_source_exposure, risk_heatmap, blocked_work_orders, early_warning_lead, parts_to_rescore, alert_candidates, alert_cooldown_batch,
-    alert_cooldown_stream, stream_upsert, source_status, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
+    alert_cooldown_stream, stream_upsert, source_status, entry_errors, catalog_files, run_results, alert_log, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
 ]
 
 

@@ -76,13 +76,13 @@ def without_repeats(stream: DataFrame, key: str, time: str, delay: str = "1 hour
 def upsert_stream(stream: DataFrame, hub: Hub, table: str, keys: tuple[str, ...], order: str, folder: str) -> None:
     """Upserts each micro-batch under a batch id of its own, so that a batch that runs again changes nothing.
 
-    Of a key's rows in a batch the last by order counts.
+    Of a key's rows the last by order counts, whichever batches they come in.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rest = [c for c in batch.columns if c not in keys]
         last = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
-        Hub(batch.sparkSession, hub.folder, f"b{batch_id}", hub.loaded_at).load(last, table, keys)
+        Hub(batch.sparkSession, hub.folder, f"b{batch_id}", hub.loaded_at).load(last, table, keys, order=order)
 
     query = stream.writeStream.foreachBatch(load).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()

@@ -69,17 +69,17 @@ def test_inventory_rules(spark):
 
 
 def inputs(spark, stock_rows, order_rows=(), demand_rows=(("P1", 30.0), ("P2", 30.0)), work=None):
-    return risk.RiskInputs(
+    return dict(
         parts=spark.createDataFrame([("P1", "NO_GO", "A", 10.0), ("P2", "GO", "A", 5.0)], "part_number string, criticality string, ata_chapter string, unit_cost_usd double"),
         inventory=spark.createDataFrame(list(stock_rows), "part_number string, qty_available int"),
-        open_orders=spark.createDataFrame(list(order_rows), "part_number string, expected_date date, supplier_id string, po_number string, po_line int"),
+        orders=spark.createDataFrame(list(order_rows), "part_number string, expected_date date, supplier_id string, po_number string, po_line int"),
         demand=spark.createDataFrame(list(demand_rows), "part_number string, monthly_demand double"),
-        open_work_orders=None if work is None else spark.createDataFrame(work, "part_number string, qty_required double, wo_type string"),
+        work_orders=None if work is None else spark.createDataFrame(work, "part_number string, qty_required double, wo_type string"),
     )
 
 
 def scores(x):
-    return {r.part_number: r for r in risk.score_risk(x, AS_OF).collect()}
+    return {r.part_number: r for r in risk.score_risk(AS_OF, **x).collect()}
 
 
 def test_risk_is_bounded_and_follows_stock_and_criticality(spark):
@@ -101,7 +101,7 @@ def test_grounded_aircraft_scores_100(spark):
 
 
 def test_early_warning_has_stock_that_runs_out(spark):
-    scored = risk.score_risk(inputs(spark, [("P1", 10)]), AS_OF)
+    scored = risk.score_risk(AS_OF, **inputs(spark, [("P1", 10)]))
     rows = risk.early_warning(scored).collect()
     assert [(r.part_number, r.warning_hours, r.projected_stockout_date) for r in rows] == [("P1", 240.0, AS_OF + dt.timedelta(days=10))]
 
@@ -153,6 +153,44 @@ def test_upsert_twice_is_once_and_rollback(spark, tmp_path):
     assert table.load_all({"notes": first, "fct_work_orders": first}) == {"fct_work_orders": 2, "notes": 2}
 
 
+def test_upserts_keep_the_newest_across_batches(spark, tmp_path):
+    table = hub.Hub(spark, str(tmp_path), "b1")
+    rows = lambda *x: spark.createDataFrame(x, "k string, at int, v string")
+    table.load(rows(("a", 5, "new"), ("b", 1, "old")), "t", ("k",), order="at")
+    hub.Hub(spark, str(tmp_path), "b2").load(rows(("a", 3, "late"), ("b", 2, "newer"), ("c", 1, "c")), "t", ("k",), order="at")
+    assert sorted((r.k, r.v) for r in table.read("t").collect()) == [("a", "new"), ("b", "newer"), ("c", "c")]
+
+
+def test_results_by_run_date(spark, tmp_path):
+    day = lambda n: dt.date(2024, 1, n)
+    for n in (1, 2, 2):
+        hub.write_results({"x": spark.range(n).toDF("n")}, str(tmp_path), day(n))
+    assert hub.read_results(spark, str(tmp_path), "x").count() == 2 and hub.read_results(spark, str(tmp_path), "x", day(1)).count() == 1
+
+
+def test_risk_tables_are_checked(spark):
+    x = inputs(spark, [])
+    with pytest.raises(ValueError, match="lacks"):
+        risk.score_risk(AS_OF, **{**x, "inventory": x["parts"]})
+    with pytest.raises(ValueError, match="no "):
+        risk.score_risk(AS_OF, parts=x["parts"])
+    with pytest.raises(TypeError):
+        risk.score_risk(AS_OF, **x, planes=x["parts"])
+
+
+def test_order_of_scores_and_cards(spark):
+    scored = risk.score_risk(AS_OF, **inputs(spark, [("P1", 10), ("P2", 3)]))
+    found = [r.aog_risk_score for r in risk.ranked(scored).collect()]
+    assert found == sorted(found, reverse=True)
+    cover = [r.days_of_cover for r in risk.early_warning(scored).collect()]
+    assert len(cover) == 2 and cover == sorted(cover)
+    rows = [line(i, 10 + 5 * (i % 3), (i % 3) * 9, supplier=f"S{i % 3}") for i in range(30)]
+    cards = [r.composite_score for r in leadtime.supplier_scorecard(orders(spark, rows), AS_OF).collect()]
+    assert len(cards) == 3 and cards == sorted(cards)
+    bad = [line(1, 5, 0), line(2, -3, 0), line(3, 4, 0, age=5000)]
+    assert leadtime.entry_errors(orders(spark, bad), AS_OF).first().asDict() == {"delivered": 2, "negative_lead_times": 1}
+
+
 def test_scd2_keeps_history(spark):
     schema = "part_number string, criticality string, unit_cost_usd double, master_part_number string, is_superseded boolean"
     a = spark.createDataFrame([("P1", "GO", 1.0, "P1", False), ("P2", None, 1.0, "P2", False)], schema)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime
+import json
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partflow.functions.columns import mapped
@@ -145,15 +147,34 @@ class DemandModel:
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """The pipeline, and as JSON what predict needs besides; load reads both."""
+        rest = json.dumps({"columns": self.columns, "smearing": self.smearing, "kind": self.kind, "metrics": self.metrics})
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.active()
+        spark.createDataFrame([(rest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/rest")
+
+    @classmethod
+    def load(cls, path: str) -> DemandModel:
+        rest = json.loads(SparkSession.active().read.text(f"{path}/rest").first()[0])  # one row
+        return cls(PipelineModel.load(f"{path}/pipeline"), **rest)
 
 
 def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_months: int = 6, kind: str = "gbt", rules: Rules = RULES, trees: int = 600, rate: float = 0.05, depth: int = 6) -> DemandModel:
-    """Boosted trees on log1p with smearing (or a Poisson regression), tested on the last months of all parts."""
-    start = split_month(history, test_months)
-    features = build_features(history, parts, rules)
+    """Boosted trees on log1p with smearing (or a Poisson regression), tested on the last months of all parts.
+
+    The features are written once. Training passes over its rows for each level of each tree, so they
+    are dealt to all cores (after the windows they may lie in a few partitions), and the trees' predictions
+    are cut from their lineage in the shared folder.
+    """
+    spark, start = history.sparkSession, split_month(history, test_months)
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    written = f"{folder}/partflow-features-{uuid.uuid4().hex}"
+    build_features(history, parts, rules).filter(F.col("tenure_months") >= rules.least_tenure_months).write.parquet(written)
+    features = spark.read.parquet(written)
     columns = feature_columns(features)
-    rows = _filled(features.filter(F.col("tenure_months") >= rules.least_tenure_months), columns)
+    rows = _filled(features, columns)
     rows = rows.withColumn("target", F.log1p("demand_qty"))
     inputs = columns + [c for c in rows.columns if c.endswith("_missing")]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
@@ -161,14 +182,13 @@ def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_
         learner = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=42)
     else:
         learner = GeneralizedLinearRegression(labelCol="demand_qty", family="poisson", link="log", regParam=0.01)
-    train = rows.filter(F.col("month") < F.lit(start))
+    train = rows.filter(F.col("month") < F.lit(start)).repartition(spark.sparkContext.defaultParallelism, "part_number", "month")
     pipeline = Pipeline(stages=[assembler, learner]).fit(train)
     smearing = 1.0
     if kind == "gbt":
         smearing = pipeline.transform(train).agg(F.avg(F.exp(F.col("target") - F.col("prediction")))).first()[0]
     model = DemandModel(pipeline, columns, smearing, kind, {})
-    test = features.filter((F.col("tenure_months") >= rules.least_tenure_months) & (F.col("month") >= F.lit(start)))
-    model.metrics = forecast_metrics(model.predict(test)).first().asDict()
+    model.metrics = forecast_metrics(model.predict(features.filter(F.col("month") >= F.lit(start)))).first().asDict()
     return model
 
 
@@ -208,3 +228,16 @@ def publishable(model: DemandModel) -> DemandModel:
     if (model.metrics["mase_vs_naive"] or 1) >= 1:
         raise ValueError(f"the model is no better than last month: {model.metrics}")
     return model
+
+
+def refreshed_model(history: DataFrame, path: str, run_date: datetime.date, parts: DataFrame | None = None, **training) -> DemandModel:
+    """The model saved at path; on Sundays, or where none is, one trained anew, which is saved if it is publishable."""
+    if run_date.weekday() != 6:
+        try:
+            return DemandModel.load(path)
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+    model = publishable(train_demand_model(history, parts, **training))
+    model.save(path)
+    return model

@@ -303,7 +303,10 @@ ORACLES = {
         FROM go JOIN o ON o.part_number = go.part_number AND o.n = go.n + 1)
       SELECT part_number, alert_id, score FROM go WHERE out""",
     "stream_upsert": "SELECT part_number, max(alert_id) AS alert_id, arg_max(score, alert_id) AS score FROM candidates_ GROUP BY 1",
-    "source_status": "SELECT warehouse_id AS source, true AS ok, count(*) AS rows FROM inventory_ GROUP BY 1 UNION ALL SELECT 'WH-gone', false, 0",
+    "source_status": """SELECT warehouse_id AS source, true AS ok, count(*) AS rows, NULL AS retrieved FROM inventory_ GROUP BY 1 UNION ALL SELECT 'WH-gone', false, 0, NULL
+      UNION ALL SELECT 'SUPPLIERS', true, count(*), CASE WHEN count(*) > 0 THEN '2001-08-02 00:00' END FROM offers_ """,
+    "rescored_parts": """SELECT part_number, qty_available, days_of_cover, aog_risk_score, risk_band, primary_driver FROM risk_
+      WHERE part_number IN (SELECT part_number FROM work_ WHERE status = 'OPEN' AND wo_type = 'AOG')""",
     "entry_errors": f"SELECT count(*) AS delivered, count(*) FILTER (actual_delivery_date < order_date) AS negative_lead_times FROM orders_ WHERE actual_delivery_date IS NOT NULL AND order_date >= {AS_OF} - 730",
     "catalog_files": _MASTER + "SELECT ata_chapter, count(*) AS parts, sum(qty_available)::BIGINT AS qty_available, count(DISTINCT part_uid) AS masters FROM master GROUP BY 1",
     "run_results": f"SELECT supplier_id, composite_score, risk_tier, {AS_OF} AS run_date FROM card_ ",

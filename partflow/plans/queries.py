@@ -430,7 +430,7 @@ def _paged(rows, key, *order):
     return rows.join(F.broadcast(pages), key).withColumn("page", F.pmod(F.xxhash64(*order), F.col("pages"))).drop("pages")
 
 
-def scan_supplier_json(spark, d):
+def _supplier_pages(spark, d):
     folder = _folder(spark, "supplier")
     item = F.struct(F.col("part_number").alias("partNumber"), F.col("quantity").alias("quantityAvailable"), F.datediff("promised_date", "order_date").cast("double").alias("leadTimeDays"))
     lines = _paged(V.purchase_orders(spark, d).filter("status = 'OPEN'"), "supplier_id", "po_number", "po_line")
@@ -438,7 +438,11 @@ def scan_supplier_json(spark, d):
     odd = F.substring("supplier_id", 5, 5).cast("int") % 2 == 1
     pages = pages.select(F.col("supplier_id").alias("supplierId"), F.lit("2001-08-02T02:00:00+02:00").alias("retrievedAt"), F.when(odd, F.col("i")).alias("items"), F.when(~odd, F.col("i")).alias("data"))
     pages.write.json(folder)
-    found = feeds.read_availability(spark, folder)
+    return folder
+
+
+def scan_supplier_json(spark, d):
+    found = feeds.read_availability(spark, _supplier_pages(spark, d))
     return found.groupBy("supplier_id", "condition_code", F.date_format("retrieved_at", "yyyy-MM-dd HH:mm").alias("retrieved")).agg(F.count("*").alias("n"), F.sum("qty_available").alias("qty_available"), F.min("quoted_lead_time_days").alias("best_lead_time"))
 
 
@@ -477,7 +481,29 @@ def source_status(spark, d):
     folder = _folder(spark, "status")
     wms = {f"WH-{i}": (lambda i=i: _inventory(spark, d).filter(F.col("warehouse_id") == f"WH-{i}")) for i in range(3)}
     wms["WH-gone"] = lambda: spark.read.parquet(f"{folder}/nothing")
-    return feeds.stage_all(spark, wms, folder)[1].select("source", "ok", "rows")
+    offers = {"SUPPLIERS": lambda: feeds.read_availability(spark, _supplier_pages(spark, d))}
+    status = feeds.stage_all(spark, wms, folder)[1].union(feeds.stage_all(spark, offers, folder)[1])
+    return status.select("source", "ok", "rows", F.date_format("retrieved_at", "yyyy-MM-dd HH:mm").alias("retrieved"))
+
+
+def rescored_parts(spark, d):
+    """Parts of open work orders for grounded aircraft, scored again in micro-batches as the orders land."""
+    folder, tables = _folder(spark, "rescore"), _inputs(spark, d)
+    orders = V.work_orders(spark, d)
+    orders.repartition(2).write.parquet(f"{folder}/landed")
+    landed = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    touched = landed.filter("status = 'OPEN' and wo_type = 'AOG'")
+    columns = ["part_number", "qty_available", "days_of_cover", "aog_risk_score", "risk_band", "primary_driver"]
+
+    def rescore(parts):
+        return risk.score_risk(AS_OF, **risk.scoped(tables, parts)).select(*columns)
+
+    def write(scored, batch_id):
+        scored.write.mode("overwrite").parquet(f"{folder}/scored/batch={batch_id}")
+
+    rescore(orders.filter("false")).write.parquet(f"{folder}/scored/batch=-1")
+    alerts.rescore_stream(touched, rescore, write, folder).awaitTermination()
+    return rounded(spark.read.parquet(f"{folder}/scored").select(*columns).distinct())
 
 
 QUERIES = [
@@ -485,7 +511,7 @@ QUERIES = [
     supplier_scorecard, normalize_inventory, stock_accuracy, union_inventory, customs_projection, customs_risk, open_orders, aog_factors, aog_risk, recommended_actions, early_warning,
     aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
     latest_scorecard, supplier_trend, single_source_exposure, risk_heatmap, blocked_work_orders, early_warning_lead, parts_to_rescore, alert_candidates, alert_cooldown_batch,
-    alert_cooldown_stream, stream_upsert, source_status, entry_errors, catalog_files, run_results, alert_log, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
+    alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
 ]
 
 

@@ -89,10 +89,19 @@ def upsert_stream(stream: DataFrame, hub: Hub, table: str, keys: tuple[str, ...]
 
 
 def rescore_stream(events: DataFrame, rescore: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None], folder: str, every: str | None = None):
-    """Scores again the parts that a micro-batch of events touches; every 15 minutes or what is there."""
+    """Scores again the parts that a micro-batch of events touches; every 15 minutes or what is there.
+
+    rescore gets the batch's parts and write its result with the batch's id, under which a batch
+    that runs again is to replace what it wrote. A batch without parts isn't scored.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(rescore(batch.select("part_number").distinct()), batch_id)
+        parts = batch.select("part_number").where("part_number is not null").distinct().persist()
+        try:
+            if not parts.isEmpty():
+                write(rescore(parts), batch_id)
+        finally:
+            parts.unpersist()
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint")
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -178,6 +178,16 @@ def test_risk_tables_are_checked(spark):
         risk.score_risk(AS_OF, **x, planes=x["parts"])
 
 
+def test_scoped_tables_have_these_parts_alone(spark):
+    rows = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "part_number string, qty_available int")
+    cards = spark.createDataFrame([("S", 1.0)], "supplier_id string, on_time_rate double")
+    few = spark.createDataFrame([("B",), ("B",)], "part_number string")
+    out = risk.scoped({"inventory": rows, "supplier_scores": cards, "customs": None}, few)
+    assert [tuple(r) for r in out["inventory"].collect()] == [("B", 2)]
+    assert out["supplier_scores"].count() == 1 and out["customs"] is None
+    assert risk.scoped({"inventory": rows}, few.limit(0))["inventory"].count() == 0
+
+
 def test_order_of_scores_and_cards(spark):
     scored = risk.score_risk(AS_OF, **inputs(spark, [("P1", 10), ("P2", 3)]))
     found = [r.aog_risk_score for r in risk.ranked(scored).collect()]
@@ -239,7 +249,14 @@ def test_model_learns_and_forecasts(spark, tmp_path):
     made = demand.forecast_next(h, model).collect()
     assert len(made) == 12 and all(r.forecast_qty >= 0 for r in made) and {r.forecast_month for r in made} == {dt.date(2022, m, 1) for m in (1, 2, 3)}
     assert model.importances(spark).first().importance > 0
-    model.save(str(tmp_path / "m"))
+    saved = str(tmp_path / "m")
+    sunday, monday = dt.date(2022, 1, 2), dt.date(2022, 1, 3)
+    first = demand.refreshed_model(h, saved, monday, trees=10)  # none is there yet
+    kept = demand.refreshed_model(h.limit(0), saved, monday)
+    assert (kept.columns, kept.smearing, kept.kind, kept.metrics) == (first.columns, first.smearing, first.kind, first.metrics)
+    again = demand.forecast_next(h, kept).collect()
+    assert sorted(again) == sorted(demand.forecast_next(h, first).collect())
+    assert demand.refreshed_model(h, saved, sunday, trees=3).metrics != first.metrics
     poisson = demand.train_demand_model(h, kind="poisson")
     assert poisson.metrics["n_test"] == 24
     with pytest.raises(ValueError):

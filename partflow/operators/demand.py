@@ -18,6 +18,10 @@ from partflow.operators.hub import shared_folder
 from partflow.rules import CRITICALITY_CODE, RULES, Rules
 
 
+#: Training rows that are worth a task of their own.
+LEAST_TASK_ROWS = 20_000
+
+
 def dense_history(observed: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
     """Every part in every month from first to last, without demand where none was observed."""
     months = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MONTH"))).alias("month")
@@ -163,8 +167,8 @@ def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_
     """Boosted trees on log1p with smearing (or a Poisson regression), tested on the last months of all parts.
 
     The features are written once. Training passes over its rows for each level of each tree, so they
-    are dealt to all cores (after the windows they may lie in a few partitions), and the trees' predictions
-    are cut from their lineage in the shared folder.
+    are dealt to all cores (after the windows they may lie in a few partitions; few rows take fewer tasks), and
+    the trees' predictions are cut from their lineage in the shared folder.
     """
     spark, start = history.sparkSession, split_month(history, test_months)
     folder = shared_folder(spark)
@@ -182,7 +186,9 @@ def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_
         learner = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=42)
     else:
         learner = GeneralizedLinearRegression(labelCol="demand_qty", family="poisson", link="log", regParam=0.01)
-    train = rows.filter(F.col("month") < F.lit(start)).repartition(spark.sparkContext.defaultParallelism, "part_number", "month")
+    train = rows.filter(F.col("month") < F.lit(start))
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, train.count() // LEAST_TASK_ROWS))
+    train = train.repartition(tasks, "part_number", "month")
     pipeline = Pipeline(stages=[assembler, learner]).fit(train)
     smearing = 1.0
     if kind == "gbt":

@@ -276,7 +276,7 @@ ORACLES = {
     "current_parts": "SELECT part_number, criticality, unit_cost_usd FROM dim_ WHERE is_current",
     "parts_by_chapter": """SELECT ata_chapter, ata_chapter_name, count(*) AS part_count, count(*) FILTER (criticality = 'NO_GO') AS no_go_parts, count(*) FILTER (single_source_flag) AS single_sourced_parts,
       round(avg(unit_cost_usd), 2) AS avg_unit_cost_usd FROM parts_ GROUP BY 1, 2""",
-    "latest_scorecard": f"SELECT supplier_id, supplier_name, country, approved_vendor, as_of_date, n_deliveries, base_lead_time_days, round(contract_gap_days, 4) AS contract_gap_days, {r('p80_days on_time_rate volatility_days trend_days_per_year')}, composite_score, risk_tier, confidence FROM latest_ ",
+    "latest_scorecard": f"SELECT supplier_id, supplier_name, country, approved_vendor, as_of_date, n_deliveries, base_lead_time_days, round(contract_gap_days, 4) AS contract_gap_days, {r('p80_days on_time_rate volatility_days trend_days_per_year')}, round(on_time_rate * 100, 1) AS on_time_pct, composite_score, risk_tier, confidence FROM latest_ ",
     "supplier_trend": """SELECT supplier_id, qtr, round(s, 1) AS avg_score, round(s - lag(s) OVER (PARTITION BY supplier_id ORDER BY qtr), 1) AS score_delta_qoq
       FROM (SELECT supplier_id, CAST(date_trunc('quarter', as_of_date) AS DATE) AS qtr, avg(composite_score) AS s FROM cards_ GROUP BY 1, 2)""",
     "single_source_exposure": """SELECT p.part_number, p.description, p.criticality, round(p.unit_cost_usd, 3) AS unit_cost_usd, s.supplier_id, s.supplier_name, s.composite_score, s.risk_tier, round(s.p80_days, 3) AS p80_days
@@ -314,9 +314,9 @@ ORACLES = {
     "scan_erp": "SELECT CASE WHEN p_partkey = 0 THEN repeat('0', 18) ELSE CAST(p_partkey AS VARCHAR) END AS part_number, p_name AS description, p_type AS material_type, p_brand AS material_group, 1.5::DOUBLE AS net_weight_kg, CASE WHEN p_size % 7 <> 0 THEN p_size::DOUBLE END AS shelf_life_months, 'ERP' AS source_system FROM part",
     "scan_erp_orders": "SELECT CASE WHEN part_number = 'PN-000000' THEN repeat('0', 18) ELSE '' || CAST(part_number[4:] AS INT) END AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
     "scan_erp_work_orders": "SELECT work_order_id, wo_type, aircraft_reg AS equipment_id, opened_date, status FROM work_ ",
-    "scan_customs_xml": "SELECT awb, po_number, part_number, quantity, clearance_status, estimated_clearance_days::DOUBLE AS estimated_clearance_days FROM customs_ ",
-    "scan_edi_850": "SELECT po_number, CAST(po_line AS VARCHAR) AS po_line, quantity, 'EA' AS uom, part_number, order_date FROM orders_ ",
-    "scan_edi_856": "SELECT po_number AS shipment_id, po_number, part_number, actual_delivery_date AS ship_date, supplier_id AS carrier, quantity AS quantity_shipped FROM orders_ WHERE status = 'DELIVERED'",
+    "scan_customs_xml": "SELECT awb, po_number, part_number, quantity, clearance_status, estimated_clearance_days::DOUBLE AS estimated_clearance_days, CASE WHEN clearance_status = 'HELD' THEN 'papers of ' || awb ELSE '' END AS hold_reason FROM customs_ ",
+    "scan_edi_850": "SELECT po_number, CAST(po_line AS VARCHAR) AS po_line, quantity, 'EA' AS uom, 1.0::DOUBLE AS unit_price_usd, part_number, order_date, 'EDI_850' AS source_system FROM orders_ ",
+    "scan_edi_856": "SELECT po_number AS shipment_id, po_number, part_number, actual_delivery_date AS ship_date, supplier_id AS carrier, quantity AS quantity_shipped, 'EDI_856' AS source_system FROM orders_ WHERE status = 'DELIVERED'",
     "scan_supplier_json": "SELECT supplier_id, 'NE' AS condition_code, '2001-08-02 00:00' AS retrieved, count(*) AS n, sum(quantity) AS qty_available, min(days)::DOUBLE AS best_lead_time FROM offers_ GROUP BY 1",
     "scan_order_status": "SELECT supplier_id, status, count(*) AS n, CAST(max(promised_date) + 1 AS DATE) AS last_promised, 0::BIGINT AS revised FROM orders_ WHERE order_date >= DATE '2001-01-01' GROUP BY 1, 2",
     "scan_wms": "SELECT s AS source_system, warehouse_id, count(*) AS n, sum(qty_available)::BIGINT AS qty_available FROM inventory_ , (SELECT unnest(['WMS_CLOUD', 'WMS_FILES']) AS s) GROUP BY 1, 2",

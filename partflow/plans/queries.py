@@ -249,7 +249,7 @@ def _cards(spark, d):
 
 
 def latest_scorecard(spark, d):
-    return rounded(views.latest_scorecard(_cards(spark, d), V.suppliers(spark, d)).drop("on_time_pct"))
+    return rounded(views.latest_scorecard(_cards(spark, d), V.suppliers(spark, d)))
 
 
 def supplier_trend(spark, d):
@@ -353,9 +353,10 @@ def scan_erp_work_orders(spark, d):
 def scan_customs_xml(spark, d):
     folder = _folder(spark, "customs")
     names = {"awb": "_awb", "po_number": "_poRef", "part_number": "PartNumber", "quantity": "Quantity", "clearance_status": "ClearanceStatus", "estimated_clearance_days": "EstimatedClearanceDays"}
-    rows = V.customs(spark, d).withColumnsRenamed(names)
+    held = F.when(F.col("clearance_status") == "HELD", F.concat(F.lit("papers of "), "awb"))
+    rows = V.customs(spark, d).withColumn("HoldReason", held).withColumnsRenamed(names)
     rows.write.format("xml").option("rootTag", "Manifest").option("rowTag", "Shipment").save(folder)
-    return feeds.read_customs(spark, folder).drop("hold_reason")
+    return feeds.read_customs(spark, folder)
 
 
 #: Rows of a JSON page, about.
@@ -403,7 +404,7 @@ def _edi_850(spark, d):
     head = F.concat_ws("*", F.lit("BEG"), F.lit("00"), F.lit("SA"), "po_number", F.lit(""), F.date_format("order_date", "yyyyMMdd"))
     text = lines.groupBy("po_number", "order_date").agg(F.array_join(F.sort_array(F.collect_list(line)), "~").alias("l"))
     text.select(F.concat(F.lit("ST*850*1~"), head, F.lit("~"), "l", F.lit("~SE*1*1~")).alias("value")).write.text(folder)
-    return feeds.read_edi_850(spark, folder).drop("unit_price_usd", "source_system")
+    return feeds.read_edi_850(spark, folder)
 
 
 def scan_edi_850(spark, d):
@@ -417,7 +418,7 @@ def _edi_856(spark, d):
     text = lines.groupBy("po_number", "supplier_id", "actual_delivery_date").agg(F.array_join(F.sort_array(F.collect_list(item)), "~").alias("l"))
     head = F.concat(F.lit("ST*856*1~BSN*00*"), "po_number", F.lit("*"), F.date_format("actual_delivery_date", "yyyyMMdd"), F.lit("~TD5*1*2*"), "supplier_id", F.lit("~PRF*"), "po_number", F.lit("~"))
     text.select(F.concat(head, "l", F.lit("~SE*1*1~")).alias("value")).write.text(folder)
-    return feeds.read_edi_856(spark, folder).drop("source_system")
+    return feeds.read_edi_856(spark, folder)
 
 
 def scan_edi_856(spark, d):

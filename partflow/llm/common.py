@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Spark's setting that deletes a query's shuffle files at its end, not when the driver's garbage collection finds them.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +46,18 @@ def shuffles(spark: SparkSession) -> int:
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """Cuts the lineage: writes the rows to the shared folder and returns a scan of them."""
+    """Cuts the lineage: writes the rows to the shared folder and returns a scan of them.
+
+    The shuffle files of the write are deleted with its end, as only the table is read from then on.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/partflow-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._partflow_path = path
     return out

@@ -394,6 +394,8 @@ def near_groups(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
+    ids = written(signed.select("id", "n", "set_hash"), "ids")
+    drop_written(signed)
     met = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = met.groupBy("bucket").agg(
         F.min("node").alias("hub"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("same")
@@ -429,12 +431,12 @@ def near_groups(
         drop_written(marks)
     drop_written(met, texts, rows_open, shared)
 
-    rows_of = signed.select("id", "n", "set_hash").join(nodes.select("set_hash", "n", "node"), ["set_hash", "n"], "left")
+    rows_of = ids.join(nodes.select("set_hash", "n", "node"), ["set_hash", "n"], "left")
     rows_of = rows_of.join(component, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
     rows_of = written(rows_of, "groups")
     smallest = rows_of.filter("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
     smallest = written(smallest, "smallest")
-    drop_written(signed, nodes, tested)
+    drop_written(ids, nodes, tested)
     return rows_of.join(smallest, "group", "left").select("id", "n", F.coalesce("smallest", "id").alias("component"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from partflow.llm import decontaminate, html_extract, language_id, line_dedup, lm, matroska, mixing, near_dup, substring_dedup, warc
+from partflow.llm import (
+    decontaminate, embedding_dedup, html_extract, language_id, line_dedup, lm, matroska, mixing, near_dup, periodic_runs, substring_dedup, warc,
+)
 
 
 def queries() -> dict:
@@ -17,6 +19,8 @@ def queries() -> dict:
         "op10_near_dup": near_dup.op10_near_dup,
         "op9_html_extract": html_extract.op9_html_extract,
         "op8_mix_sources": mixing.op8_mix_sources,
+        "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+        "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
     }
 
 
@@ -27,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate.OP4_SQL,
         "op10_near_dup": near_dup.OP10_SQL,
         "op7_warc": warc.OP7_SQL,
+        "op12_periodic_runs": periodic_runs.OP12_SQL,
+        "op13_embedding_dedup": embedding_dedup.OP13_SQL,
     }

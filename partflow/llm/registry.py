@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from partflow.llm import (
-    decontaminate, embedding_dedup, html_extract, language_id, line_dedup, lm, matroska, mixing, near_dup, periodic_runs, substring_dedup, warc,
+    decontaminate, embedding_dedup, html_extract, language_id, lexical_search, line_dedup, lm, matroska, mixing, near_dup, periodic_runs, substring_dedup, warc,
 )
 
 
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_near_dup": near_dup.op10_near_dup,
         "op9_html_extract": html_extract.op9_html_extract,
         "op8_mix_sources": mixing.op8_mix_sources,
+        "op11_lexical_search": lexical_search.op11_lexical_search,
         "op12_periodic_runs": periodic_runs.op12_periodic_runs,
         "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
     }
@@ -31,6 +32,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate.OP4_SQL,
         "op10_near_dup": near_dup.OP10_SQL,
         "op7_warc": warc.OP7_SQL,
+        "op11_lexical_search": lexical_search.OP11_SQL,
         "op12_periodic_runs": periodic_runs.OP12_SQL,
         "op13_embedding_dedup": embedding_dedup.OP13_SQL,
     }

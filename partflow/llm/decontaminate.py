@@ -4,7 +4,10 @@ Both sides are cut into words and hashed in five-word grams. Of each window of s
 ten words, the smallest hash is kept: the fingerprints of a text are the grams that are the smallest of
 some window. Two texts that share ten words share the smallest gram among them, so every such span has
 a fingerprint in common. Documents' fingerprints meet those of the benchmark in a join, and each hit is
-extended word by word to both sides: runs of ten equal words or more are contaminated.
+extended word by word to both sides: runs of ten equal words or more are contaminated. The windows that a gram
+is the fingerprint of reach five words to each side of it, and no hit is extended further: the next fingerprint
+takes over there. So what a benchmark fingerprint needs is these words, and places with the same ones, as in
+a text that repeats a word or a line that many items have, are one fingerprint.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partflow.llm.common import lower_ascii, table, text_hash, written
+from partflow.llm.common import drop_written, lower_ascii, table, text_hash, written
 
 WINDOW, GRAM = 10, 5
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -66,18 +69,22 @@ def _equal(a: Column, b: Column) -> Column:
     return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
 
 
+def _around(words: str, p: Column) -> tuple[Column, Column]:
+    """The words before the gram at p, backwards, and those after it, as far as its windows reach."""
+    reach = WINDOW - GRAM
+    before = F.least(p, F.lit(reach))
+    return F.reverse(F.slice(words, p - before + 1, before)), F.slice(words, p + GRAM + 1, F.lit(reach))
+
+
 def _extended(hits: DataFrame) -> DataFrame:
-    """hits (doc_id, text_key, words, p, item_id, item, q) as runs (doc_id, text_key, s, e, item_id) of ten words or more.
+    """hits (doc_id, text_key, words, p, place, before, after) as runs (doc_id, text_key, s, e, place) of ten words or more.
 
-    p and q are where words and item have a gram in common, counted from 0.
+    p is where words has a gram in common with a benchmark place, counted from 0; before and after are the words around the place.
     """
-    p, q = F.col("p"), F.col("q")
-    before = F.least(p, q)
-    left = lambda x, at: F.reverse(F.slice(x, at - before + 1, before))
-    after = F.least(F.size("words") - p, F.size("item") - q)
-    right = lambda x, at: F.slice(x, at + 1, after)
-    runs = hits.withColumn("s", p - _equal(left("words", p), left("item", q))).withColumn("e", p + _equal(right("words", p), right("item", q)))
-    return runs.filter(F.col("e") - F.col("s") >= WINDOW).select("doc_id", "text_key", "s", "e", "item_id")
+    p = F.col("p")
+    before, after = _around("words", p)
+    runs = hits.withColumn("s", p - _equal(before, F.col("before"))).withColumn("e", p + GRAM + _equal(after, F.col("after")))
+    return runs.filter(F.col("e") - F.col("s") >= WINDOW).select("doc_id", "text_key", "s", "e", "place")
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -94,28 +101,34 @@ def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: i
     docs = documents.select(*key, words_of(F.col("text")).alias("words"))
     items = benchmark.select("item_id", words_of(F.col("text")).alias("item")).filter(F.size("item") > 0)
     items = written(items.withColumn("number", F.monotonically_increasing_id()), "items")
-    prints = winnowed(items.filter(F.size("item") >= WINDOW).select("number", F.col("item").alias("words")))
+    prints = winnowed(items.filter(F.size("item") >= WINDOW).select("item_id", F.col("item").alias("words")))
     # The outer forms keep Spark from deriving a filter of the arrays, which would repeat how they are computed.
-    prints = prints.select("number", F.posexplode_outer("fp").alias("q", "fp")).filter("fp is not null")
-    prints = written(prints, "prints")
-    texts = items.agg(F.sum(F.aggregate("item", F.lit(0), lambda n, w: n + F.octet_length(w) + 24))).first()[0] or 0
-    small = texts + 64 * prints.count() <= broadcast_bytes
+    prints = prints.select("item_id", "words", F.posexplode_outer("fp").alias("q", "fp")).filter("fp is not null")
+    before, after = _around("words", F.col("q"))
+    prints = written(prints.select("item_id", "fp", before.alias("before"), after.alias("after")).distinct(), "prints")
+    around = ["fp", "before", "after"]
+    places = written(prints.groupBy(*around).agg(F.count("*").alias("items")).withColumn("place", F.monotonically_increasing_id()), "places")
+    of_place = prints.join(places, around).select("place", "item_id")
+    size = lambda words: F.aggregate(words, F.lit(0), lambda n, w: n + F.octet_length(w) + 24)
+    short = items.filter(F.size("item") < WINDOW)
+    nbytes = sum(x.first()[0] or 0 for x in (places.agg(F.sum(size("before") + size("after") + 64)), short.agg(F.sum(size("item") + 64))))
+    small, done = nbytes <= broadcast_bytes, [items, prints, places]
 
     probes = winnowed(docs).select("doc_id", "text_key", "words", F.posexplode_outer("fp").alias("p", "fp"))
+    places = places.select("place", *around)
     if small:
-        hits = probes.join(F.broadcast(prints), "fp").join(F.broadcast(items.select("number", "item_id", "item")), "number")
+        hits = probes.join(F.broadcast(places), "fp")
     else:
-        # Hits of one document and item with the same shift come in one row: no more of them than the item has words.
-        met = written(probes.filter("fp is not null").select("doc_id", "text_key", "p", "fp").join(prints, "fp"), "met")
-        met = met.groupBy("doc_id", "text_key", "number", (F.col("p") - F.col("q")).alias("shift")).agg(F.collect_set("p").alias("ps"))
-        met = written(met.join(items.select("number", "item_id", "item"), "number"), "met")
+        met = written(probes.filter("fp is not null").select("doc_id", "text_key", "p", "fp").join(places, "fp"), "met")
+        done.append(met)
         back = docs.dropDuplicates(["doc_id", "text_key"]).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
         hits = met.join(back, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-        hits = hits.select("doc_id", "text_key", "words", "item_id", "item", "shift", F.explode("ps").alias("p")).withColumn("q", F.col("p") - F.col("shift"))
     runs = _extended(hits)
 
     # Shorter items are windows as they are.
-    short = items.filter(F.size("item") < WINDOW).select("item_id", F.size("item").alias("n"), F.xxhash64("item").alias("fp"), "item")
+    short = short.groupBy("item").agg(F.max("number").alias("number"))  # equal items are one place
+    of_short = items.join(short.withColumnRenamed("number", "place"), "item").select("place", "item_id")
+    short = short.select((-1 - F.col("number")).alias("place"), F.size("item").alias("n"), F.xxhash64("item").alias("fp"), "item")
     lengths = sorted(r["n"] for r in short.select("n").distinct().collect())  # nine at most
     if lengths:
         hashes = F.array(*[_short("words", n) for n in lengths])
@@ -126,8 +139,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: i
             found = probes.join(F.broadcast(short), ["n", "fp"]).filter(F.slice("words", F.col("s") + 1, F.col("n")) == F.col("item"))
         else:
             window = F.slice("words", F.col("s") + 1, F.col("n")).alias("window")
-            found = probes.select("doc_id", "text_key", "n", "s", "fp", window).join(written(short, "short"), ["n", "fp"]).filter("window = item")
-        runs = runs.union(found.select("doc_id", "text_key", "s", (F.col("s") + F.col("n")).alias("e"), "item_id"))
+            done.append(written(short, "short"))
+            found = probes.select("doc_id", "text_key", "n", "s", "fp", window).join(done[-1], ["n", "fp"]).filter("window = item")
+        runs = runs.union(found.select("doc_id", "text_key", "s", (F.col("s") + F.col("n")).alias("e"), "place"))
+        of_place = of_place.union(of_short.select(-1 - F.col("place"), "item_id"))
 
     runs = written(runs.distinct(), "runs")
     in_order = Window.partitionBy("doc_id", "text_key").orderBy("s", "e")
@@ -136,9 +151,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: i
     merged = merged.withColumn("span", F.count_if(F.col("upto").isNull() | (F.col("upto") < F.col("s"))).over(in_order))
     merged = merged.groupBy("doc_id", "text_key", "span").agg(F.min("s").alias("start"), F.max("e").alias("end"))
     merged = merged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    ids = runs.groupBy("doc_id", "text_key").agg(F.collect_set("item_id").alias("items"))
+    ids = runs.select("doc_id", "text_key", "place").distinct().join(of_place, "place").groupBy("doc_id", "text_key").agg(F.collect_set("item_id").alias("items"))
     found = merged.join(ids.withColumnsRenamed({"doc_id": "d", "text_key": "k"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    found = found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "spans", "items")
+    found = written(found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "spans", "items"), "contaminated")
+    drop_written(runs, *done)
     all_docs = docs.select("doc_id", "text_key", F.size("words").alias("n_words"))
     out = all_docs.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k")), "left")
     none = lambda c: F.array().cast(found.schema[c].dataType)

@@ -7,7 +7,7 @@ a fingerprint in common. Documents' fingerprints meet those of the benchmark in
 extended word by word to both sides: runs of ten equal words or more are contaminated. The windows that a gram
 is the fingerprint of reach five words to each side of it, and no hit is extended further: the next fingerprint
 takes over there. So what a benchmark fingerprint needs is these words, and places with the same ones, as in
-a text that repeats a word or a line that many items have, are one fingerprint.
+a text that repeats a word or a line that many items have, are one place, named by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -77,14 +77,15 @@ def _around(words: str, p: Column) -> tuple[Column, Column]:
 
 
 def _extended(hits: DataFrame) -> DataFrame:
-    """hits (doc_id, text_key, words, p, place, before, after) as runs (doc_id, text_key, s, e, place) of ten words or more.
+    """hits (doc_id, text_key, p, own_before, own_after, place, before, after) as runs (doc_id, text_key, s, e, place) of ten words or more.
 
-    p is where words has a gram in common with a benchmark place, counted from 0; before and after are the words around the place.
+    p is where the document has a gram in common with a benchmark place, counted from 0; before and after are the words
+    around the place, own_before and own_after those around p.
     """
-    p = F.col("p")
-    before, after = _around("words", p)
-    runs = hits.withColumn("s", p - _equal(before, F.col("before"))).withColumn("e", p + GRAM + _equal(after, F.col("after")))
-    return runs.filter(F.col("e") - F.col("s") >= WINDOW).select("doc_id", "text_key", "s", "e", "place")
+    start = F.col("p") - _equal(F.col("own_before"), F.col("before"))
+    end = F.col("p") + GRAM + _equal(F.col("own_after"), F.col("after"))
+    runs = hits.select("doc_id", "text_key", start.alias("s"), end.alias("e"), "place")
+    return runs.filter(F.col("e") - F.col("s") >= WINDOW)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -105,25 +106,32 @@ def contamination(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: i
     # The outer forms keep Spark from deriving a filter of the arrays, which would repeat how they are computed.
     prints = prints.select("item_id", "words", F.posexplode_outer("fp").alias("q", "fp")).filter("fp is not null")
     before, after = _around("words", F.col("q"))
-    prints = written(prints.select("item_id", "fp", before.alias("before"), after.alias("after")).distinct(), "prints")
     around = ["fp", "before", "after"]
-    places = written(prints.groupBy(*around).agg(F.count("*").alias("items")).withColumn("place", F.monotonically_increasing_id()), "places")
-    of_place = prints.join(places, around).select("place", "item_id")
+    prints = prints.select("item_id", "fp", before.alias("before"), after.alias("after")).distinct()
+    prints = written(prints.withColumn("place", F.xxhash64(*around)), "prints")
+    places, of_place = prints.select("place", *around).distinct(), prints.select("place", "item_id")
     size = lambda words: F.aggregate(words, F.lit(0), lambda n, w: n + F.octet_length(w) + 24)
     short = items.filter(F.size("item") < WINDOW)
-    nbytes = sum(x.first()[0] or 0 for x in (places.agg(F.sum(size("before") + size("after") + 64)), short.agg(F.sum(size("item") + 64))))
-    small, done = nbytes <= broadcast_bytes, [items, prints, places]
-
-    probes = winnowed(docs).select("doc_id", "text_key", "words", F.posexplode_outer("fp").alias("p", "fp"))
-    places = places.select("place", *around)
-    if small:
-        hits = probes.join(F.broadcast(places), "fp")
-    else:
-        met = written(probes.filter("fp is not null").select("doc_id", "text_key", "p", "fp").join(places, "fp"), "met")
-        done.append(met)
-        back = docs.dropDuplicates(["doc_id", "text_key"]).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-        hits = met.join(back, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    runs = _extended(hits)
+    nbytes = sum(x.first()[0] or 0 for x in (prints.agg(F.sum(size("before") + size("after") + 64)), short.agg(F.sum(size("item") + 64))))
+    small, done = nbytes <= broadcast_bytes, [items, prints]
+
+    # The text goes along with no fingerprint: the few documents that have a known one are looked at again.
+    probes = winnowed(docs).select("doc_id", "text_key", F.posexplode_outer("fp").alias("p", "fp")).filter("fp is not null")
+    within = F.broadcast if small else lambda df: df
+    met = probes.join(within(places.select("fp").distinct()), "fp", "left_semi")
+    met = written(met.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("p", "fp")).alias("at")), "met")
+    done.append(met)
+    few = (met.agg(F.sum(64 + 24 * F.size("at"))).first()[0] or 0) <= broadcast_bytes
+    of_met = met.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"), "at")
+    again = documents.select(*key, "text").join(F.broadcast(of_met) if few else of_met, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k")))
+    again = again.select("doc_id", "text_key", "at", words_of(F.col("text")).alias("words"))
+
+    def around_hit(x: Column) -> Column:
+        own_before, own_after = _around("words", x["p"])
+        return F.struct(x["p"].alias("p"), x["fp"].alias("fp"), own_before.alias("own_before"), own_after.alias("own_after"))
+
+    hits = again.select("doc_id", "text_key", F.explode_outer(F.transform("at", around_hit)).alias("x")).filter("x is not null").select("doc_id", "text_key", "x.*")
+    runs = _extended(hits.join(within(places), "fp"))
 
     # Shorter items are windows as they are.
     short = short.groupBy("item").agg(F.max("number").alias("number"))  # equal items are one place

@@ -380,3 +380,24 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     copies = mixing.in_shards(mixed)
     assert copies.count() == sum(len(r.shards) for r in got)
     assert copies.select("shard", F.spark_partition_id().alias("p")).distinct().groupBy("shard").count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("word", ["z ", "a b ", "a b c d e f g "])
+def test_decontamination_of_repeated_words(spark, word, limit):
+    """Each gram of a text that repeats words is a fingerprint; places with the same words around them are one."""
+    df, bench = documents(spark, [word * 4000, "q " + word * 9, None]), spark.createDataFrame([(1, word * 5000), (2, word * 12), (None, word * 3000)], "item_id long, text string")
+    found = {r.doc_id: (r.n_words, [tuple(s) for s in r.spans], sorted(r.items)) for r in decontaminate.contamination(df, bench, limit).collect()}
+    n = len(word.split())
+    short = 9 * n
+    assert found[0] == (4000 * n, [(0, 4000 * n)], [1, 2])
+    assert found[1] == (1 + short, [(1, 1 + short)] if short >= 10 else [], [1, 2] if short >= 10 else [])
+    assert found[2] == (0, [], [])
+
+
+def test_long_shared_spans(spark):
+    rng = random.Random(4)
+    span = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(20_000))
+    df = documents(spark, ["x y " + span + " z", span[:1000]])
+    (a, b) = decontaminate.contamination(df, spark.createDataFrame([(5, span, 1)], "item_id long, text string, doc_id int")).orderBy("doc_id").collect()
+    assert [tuple(s) for s in a.spans] == [(2, 20_002)] and a.items == [5] and len(b.spans) == 1

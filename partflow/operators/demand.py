@@ -6,20 +6,27 @@ import datetime
 import json
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.errors import AnalysisException
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from partflow.functions.columns import mapped
+from partflow.operators.boosting import Booster
 from partflow.operators.hub import shared_folder
 from partflow.rules import CRITICALITY_CODE, RULES, Rules
 
 
-#: Training rows that are worth a task of their own.
-LEAST_TASK_ROWS = 20_000
+#: Training rows of a booster, about: a group of them is in one task's memory.
+GROUP_ROWS = 16_384
+#: Boosters whose mean is a row's prediction, and rows that a task predicts, about.
+VOTES, ROWS_AT_ONCE = 8, 4096
 
 
 def dense_history(observed: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
@@ -127,100 +134,193 @@ def forecast_metrics(df: DataFrame, predicted: str = "predicted") -> DataFrame:
 
 
 def _filled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Trees take no missing values: 0 instead, and whether there was one."""
+    """For linear models, which take no missing values: 0 instead, and whether there was one."""
     missing = [c for c in columns if c.startswith(("roll_std", "momentum"))]
     return df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in missing}).fillna(0, columns)
 
 
+def _dealt(df: DataFrame, groups: int, name: str) -> DataFrame:
+    return df.withColumn(name, F.pmod(F.xxhash64("part_number", "month"), F.lit(groups)).cast("int"))
+
+
+def _matrix(table: pa.Table, columns: list[str]) -> np.ndarray:
+    """The columns as doubles, NaN where they are null."""
+    return np.column_stack([pc.cast(table.column(c), pa.float64()).to_numpy() for c in columns]).astype(float)
+
+
+def boosted_trees(rows: DataFrame, columns: list[str], trees: int, rate: float, depth: int) -> DataFrame:
+    """Rows (group, booster, gains): rows with demand_qty are dealt by a hash to groups of some GROUP_ROWS, and each is boosted in a task.
+
+    A group's rows are sorted before, so that the result doesn't hang on how rows lie in partitions.
+    """
+    groups = max(1, -(-rows.count() // GROUP_ROWS))
+
+    def fit(key, table):
+        table = table.sort_by([("part_number", "ascending"), ("month", "ascending")])
+        y = pc.cast(table.column("demand_qty"), pa.float64()).to_numpy().astype(float)
+        made = Booster.fit(_matrix(table, columns), y, trees, rate, depth, key[0].as_py())
+        return pa.table({"group": pa.array([key[0].as_py()], pa.int32()), "booster": [made.to_bytes()], "gains": pa.array([made.gains.tolist()], pa.list_(pa.float64()))})
+
+    dealt = _dealt(rows.select("part_number", "month", "demand_qty", *columns), groups, "__group")
+    # A task for each group: the few groups of a small table would meet in few partitions by hash.
+    dealt = dealt.repartition(min(groups, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "__group")
+    return dealt.groupBy("__group").applyInArrow(fit, "group int, booster binary, gains array<double>")
+
+
 class DemandModel:
-    """A fitted pipeline on log1p of demand (or on demand itself, for Poisson) and its correction."""
+    """Boosters in a table (kind gbt), or a pipeline fitted on demand itself (kind poisson)."""
 
-    def __init__(self, pipeline: PipelineModel, columns: list[str], smearing: float, kind: str, metrics: dict):
-        self.pipeline, self.columns, self.smearing, self.kind, self.metrics = pipeline, columns, smearing, kind, metrics
+    def __init__(self, columns: list[str], smearing: float, kind: str, metrics: dict, groups: int = 0, boosters: DataFrame | None = None, pipeline: PipelineModel | None = None):
+        self.columns, self.smearing, self.kind, self.metrics = columns, smearing, kind, metrics
+        self.groups, self.boosters, self.pipeline = groups, boosters, pipeline
 
     def predict(self, features: DataFrame) -> DataFrame:
+        """features with predicted, the expected demand."""
+        if self.kind == "gbt":
+            return self._voted(features)
         out = self.pipeline.transform(_filled(features, self.columns))
-        raw = F.exp(F.col("prediction")) * self.smearing - 1 if self.kind == "gbt" else F.col("prediction")
-        return out.withColumn("predicted", F.greatest(raw, F.lit(0.0))).drop("features", "prediction")
+        return out.withColumn("predicted", F.col("prediction") * self.smearing).drop("features", "prediction")
+
+    def _voted(self, features: DataFrame) -> DataFrame:
+        """The mean of VOTES boosters: rows are dealt to blocks of so many, and in a block to tasks, where they meet their boosters.
+
+        So a row costs the same whatever the number of boosters.
+        """
+        blocks = max(1, self.groups // VOTES)
+        parts = max(1, -(-features.count() // (blocks * ROWS_AT_ONCE)))
+        rows = _dealt(features, blocks * parts, "__block")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+        # Where the number of boosters isn't a multiple of VOTES, the last block has more.
+        of_block = F.least(F.floor(F.col("group") / VOTES), F.lit(blocks - 1)).cast("int")
+        boosters = self.boosters.select("booster", "group", of_block.alias("__b"), copies.alias("__p"))
+        boosters = boosters.select((F.col("__b") * parts + F.col("__p")).cast("int").alias("__block"), "group", "booster")
+        columns = self.columns
+
+        def vote(left, right):
+            left = left.drop_columns(["__block"])
+            x = _matrix(left, columns)
+            found = [Booster.from_bytes(b.as_py()).predict(x) for b in right.sort_by("group").column("booster")] if len(left) else []
+            return left.append_column("predicted", pa.array(np.mean(found, axis=0) if found else [], pa.float64()))
+
+        schema = StructType([*features.schema.fields, StructField("predicted", DoubleType())])
+        return rows.groupBy("__block").cogroup(boosters.groupBy("__block")).applyInArrow(vote, schema)
 
     def importances(self, spark) -> DataFrame:
-        """Features by importance, largest first (for the linear model, by the size of the coefficient)."""
-        names, last = self.pipeline.stages[0].getInputCols(), self.pipeline.stages[-1]
-        values = last.featureImportances if self.kind == "gbt" else last.coefficients
-        rows = [(n, float(abs(v))) for n, v in zip(names, values.toArray())]
+        """Features by importance, largest first: their share of the gain (for the linear model, the size of the coefficient)."""
+        if self.kind == "gbt":
+            gains = self.boosters.select(F.posexplode("gains").alias("k", "gain")).groupBy("k").agg(F.sum("gain").alias("gain"))
+            gains = sorted((r["k"], r["gain"]) for r in gains.collect())  # a row a feature
+            total = sum(g for _, g in gains) or 1.0
+            rows = [(self.columns[k], g / total) for k, g in gains]
+        else:
+            names, last = self.pipeline.stages[0].getInputCols(), self.pipeline.stages[-1]
+            rows = [(n, float(abs(v))) for n, v in zip(names, last.coefficients.toArray())]
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
     def save(self, path: str) -> None:
-        """The pipeline, and as JSON what predict needs besides; load reads both."""
-        rest = json.dumps({"columns": self.columns, "smearing": self.smearing, "kind": self.kind, "metrics": self.metrics})
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = SparkSession.active()
-        spark.createDataFrame([(rest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/rest")
+        """The boosters or the pipeline, and as JSON what predict needs besides; load reads both."""
+        if self.kind == "gbt":
+            self.boosters.write.mode("overwrite").parquet(f"{path}/boosters")
+        else:
+            self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        rest = json.dumps({"columns": self.columns, "smearing": self.smearing, "kind": self.kind, "metrics": self.metrics, "groups": self.groups})
+        SparkSession.active().createDataFrame([(rest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/rest")
 
     @classmethod
     def load(cls, path: str) -> DemandModel:
-        rest = json.loads(SparkSession.active().read.text(f"{path}/rest").first()[0])  # one row
-        return cls(PipelineModel.load(f"{path}/pipeline"), **rest)
+        spark = SparkSession.active()
+        rest = json.loads(spark.read.text(f"{path}/rest").first()[0])  # one row
+        if rest["kind"] == "gbt":
+            return cls(**rest, boosters=spark.read.parquet(f"{path}/boosters"))
+        return cls(**rest, pipeline=PipelineModel.load(f"{path}/pipeline"))
+
+
+class LinearModel:
+    """A given model of log1p of demand: an intercept and coefficients of features, missing ones being 0.
+
+    As the mean of a logarithm isn't the logarithm of a mean, predictions are multiplied by the mean
+    of exp of the residuals on past rows (``smeared``).
+    """
+
+    def __init__(self, intercept: float, coefficients: dict[str, float], smearing: float = 1.0):
+        self.intercept, self.coefficients, self.smearing = intercept, coefficients, smearing
+
+    def _log(self):
+        out = F.lit(self.intercept)
+        for c, k in self.coefficients.items():
+            out = out + k * F.coalesce(F.col(c), F.lit(0.0))
+        return out
+
+    def smeared(self, past: DataFrame) -> LinearModel:
+        residual = F.log1p("demand_qty") - self._log()
+        return LinearModel(self.intercept, self.coefficients, past.agg(F.avg(F.exp(residual))).first()[0] or 1.0)
+
+    def predict(self, features: DataFrame) -> DataFrame:
+        return features.withColumn("predicted", F.greatest(F.expm1(self._log()) * self.smearing, F.lit(0.0)))
+
+    def importances(self, past: DataFrame) -> DataFrame:
+        """Features by what a standard deviation of theirs on past rows moves the logarithm, largest first."""
+        moved = [F.struct(F.lit(c).alias("feature"), (abs(k) * F.stddev_samp(F.coalesce(F.col(c).cast("double"), F.lit(0.0)))).alias("importance")) for c, k in self.coefficients.items()]
+        return past.agg(F.array(*moved).alias("m")).select(F.inline("m")).orderBy(F.desc("importance"), "feature")
+
+
+def training_rows(features: DataFrame, start: datetime.date, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
+    """The rows before start, and those from it on; both of parts that were there long enough."""
+    rows = features.filter(F.col("tenure_months") >= rules.least_tenure_months)
+    return rows.filter(F.col("month") < F.lit(start)), rows.filter(F.col("month") >= F.lit(start))
 
 
 def train_demand_model(history: DataFrame, parts: DataFrame | None = None, test_months: int = 6, kind: str = "gbt", rules: Rules = RULES, trees: int = 600, rate: float = 0.05, depth: int = 6) -> DemandModel:
-    """Boosted trees on log1p with smearing (or a Poisson regression), tested on the last months of all parts.
+    """Trees boosted under a Poisson loss in bounded groups (or a Poisson regression), tested on the last months of all parts.
 
-    The features are written once. Training passes over its rows for each level of each tree, so they
-    are dealt to all cores (after the windows they may lie in a few partitions; few rows take fewer tasks), and
-    the trees' predictions are cut from their lineage in the shared folder.
+    The features are written once, and so are the boosters.
     """
     spark, start = history.sparkSession, split_month(history, test_months)
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    written = f"{folder}/partflow-features-{uuid.uuid4().hex}"
-    build_features(history, parts, rules).filter(F.col("tenure_months") >= rules.least_tenure_months).write.parquet(written)
-    features = spark.read.parquet(written)
-    columns = feature_columns(features)
-    rows = _filled(features, columns)
-    rows = rows.withColumn("target", F.log1p("demand_qty"))
-    inputs = columns + [c for c in rows.columns if c.endswith("_missing")]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    folder = f"{shared_folder(spark)}/partflow-model-{uuid.uuid4().hex}"
+    build_features(history, parts, rules).filter(F.col("tenure_months") >= rules.least_tenure_months).write.parquet(f"{folder}/features")
+    train, test = training_rows(spark.read.parquet(f"{folder}/features"), start, rules)
+    columns = feature_columns(train)
     if kind == "gbt":
-        learner = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=42)
+        boosted_trees(train, columns, trees, rate, depth).write.parquet(f"{folder}/boosters")
+        boosters = spark.read.parquet(f"{folder}/boosters")
+        model = DemandModel(columns, 1.0, kind, {}, boosters.count(), boosters)
     else:
+        rows = _filled(train, columns)
+        inputs = columns + [c for c in rows.columns if c.endswith("_missing")]
         learner = GeneralizedLinearRegression(labelCol="demand_qty", family="poisson", link="log", regParam=0.01)
-    train = rows.filter(F.col("month") < F.lit(start))
-    tasks = max(1, min(spark.sparkContext.defaultParallelism, train.count() // LEAST_TASK_ROWS))
-    train = train.repartition(tasks, "part_number", "month")
-    pipeline = Pipeline(stages=[assembler, learner]).fit(train)
-    smearing = 1.0
-    if kind == "gbt":
-        smearing = pipeline.transform(train).agg(F.avg(F.exp(F.col("target") - F.col("prediction")))).first()[0]
-    model = DemandModel(pipeline, columns, smearing, kind, {})
-    model.metrics = forecast_metrics(model.predict(features.filter(F.col("month") >= F.lit(start)))).first().asDict()
+        model = DemandModel(columns, 1.0, kind, {}, pipeline=Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), learner]).fit(rows))
+    model.metrics = forecast_metrics(model.predict(test)).first().asDict()
     return model
 
 
-def forecast_next(history: DataFrame, model: DemandModel, parts: DataFrame | None = None, horizon: int = 3, rules: Rules = RULES) -> DataFrame:
+def forecast_next(history: DataFrame, model: DemandModel | LinearModel, parts: DataFrame | None = None, horizon: int = 3, rules: Rules = RULES) -> DataFrame:
     """Rows (part_number, forecast_month, horizon_step, forecast_qty): each month is forecast from those before it.
 
-    Each step needs the last year alone; its result is written to the shared folder, so that the
-    plan doesn't grow with the horizon. tenure counts on from the whole history.
+    Each step needs the last year alone, and of the history before it how long a part was there and how
+    long without demand, which are carried on. A step's result is written to the shared folder, so that the plan
+    doesn't grow with the horizon.
     """
     spark = history.sparkSession
     last = history.agg(F.max("month")).first()[0]
     keep = max((*rules.lags, *rules.windows)) + 1
     work = history.filter(F.col("month") > F.add_months(F.lit(last), -keep)).select("part_number", "month", "demand_qty")
-    tenure = history.groupBy("part_number").agg(F.count("*").alias("__before"))
+    moved = history.groupBy("part_number").agg(F.max(F.when(F.col("demand_qty") > 0, F.col("month"))).alias("__moved"))
+    quiet = F.count_if(F.col("__moved").isNull() | (F.col("month") > F.col("__moved")))
+    state = history.join(moved, "part_number").groupBy("part_number").agg(F.count("*").alias("__before"), quiet.alias("__since"))
     folder, out = f"{shared_folder(spark)}/partflow-forecast-{uuid.uuid4().hex}", None
     for step in range(1, horizon + 1):
         month = F.add_months(F.lit(last), step)
         future = work.select("part_number").distinct().select("part_number", month.alias("month"), F.lit(None).cast("double").alias("demand_qty"))
         features = build_features(work.unionByName(future), parts, rules).filter(F.col("month") == month)
-        features = features.join(tenure, "part_number").withColumn("tenure_months", (F.col("__before") + step - 1).cast("int")).drop("__before")
+        features = features.join(state, "part_number").withColumns({"tenure_months": F.col("__before").cast("int"), "months_since_demand": F.col("__since").cast("int")})
         made = model.predict(features).select(
-            "part_number", F.col("month").alias("forecast_month"), F.lit(step).alias("horizon_step"), F.bround("predicted", 2).alias("forecast_qty")
+            "part_number", F.col("month").alias("forecast_month"), F.lit(step).alias("horizon_step"), F.bround("predicted", 2).alias("forecast_qty"), "__before", "__since"
         )
         made.write.parquet(f"{folder}/{step}")
         made = spark.read.parquet(f"{folder}/{step}")
         work = work.unionByName(made.select("part_number", F.col("forecast_month").alias("month"), F.col("forecast_qty").alias("demand_qty")))
+        state = made.select("part_number", (F.col("__before") + 1).alias("__before"), F.when(F.col("forecast_qty") > 0, 0).otherwise(F.col("__since") + 1).alias("__since"))
+        made = made.drop("__before", "__since")
         out = made if out is None else out.unionByName(made)
     return out
 

@@ -1,18 +1,19 @@
 """Table maintenance on parquet: upserts, type-2 history, batches that can be rolled back, dated results.
 
-A table is partitioned by a hash of its keys. An upsert writes its batch once, merges it with the
-partitions that it touches, and overwrites these alone; a run that breaks off is run again with the same
-batch id and has the same effect once.
+A table is dealt to buckets by a hash of its keys, whose number grows with its rows. An upsert writes its batch
+once, merges it with the buckets that it touches, and publishes these together.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Natural keys.
 NATURAL_KEYS = {
@@ -27,8 +28,8 @@ NATURAL_KEYS = {
     "fct_aog_alert_log": ("part_number", "alerted_at"),
 }
 LOAD_ORDER = tuple(NATURAL_KEYS)
-#: Partitions of a table, by a hash of its keys.
-BUCKETS = 32
+#: A table has so many buckets at least, and twice or more as many when they hold more rows on average.
+LEAST_BUCKETS, BUCKET_ROWS = 8, 1_000_000
 TRACKED = ("criticality", "unit_cost_usd", "master_part_number", "is_superseded")
 
 
@@ -82,7 +83,13 @@ def check_keys(source: DataFrame, keys: tuple[str, ...]) -> None:
 
 
 class Hub:
-    """Tables under a folder that driver and executors share."""
+    """Tables under a folder that driver and executors share, and whose file system renames a file atomically.
+
+    A table is the folders of its buckets that its file ``_published`` names. A load writes the buckets that it
+    touches to new folders and then replaces that file by a rename: readers see all of a load or nothing, and
+    one that breaks off anywhere leaves the table as it was or as it was to be. What is named no more stays for
+    one load longer, for readers that began before. One load at a time writes a table.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, batch_id: str | None = None, loaded_at=None):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -93,44 +100,108 @@ class Hub:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def _rows(self, table: str) -> DataFrame | None:
-        """The table with its bucket; None if there is none."""
+    def _state(self, table: str) -> dict | None:
+        """n, the number of buckets; schema; buckets, the folders' versions by bucket. None if there is no table."""
+        fs, where = self._fs(f"{self.folder}/{table}/_published")
+        if not fs.exists(where):
+            return None
+        stream = fs.open(where)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, table: str, state: dict) -> None:
+        fs, new = self._fs(f"{self.folder}/{table}/_new-{uuid.uuid4().hex}")
+        stream = fs.create(new, True)
+        stream.write(bytearray(json.dumps(state).encode()))
+        stream.close()
+        jvm, (_, at) = self.spark._jvm, self._fs(f"{self.folder}/{table}/_published")
+        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self.spark._jsc.hadoopConfiguration()).rename(new, at, how)
+
+    def _delete(self, path: str) -> None:
+        fs, where = self._fs(path)
+        fs.delete(where, True)
+
+    def _clean(self, table: str, *states: dict | None) -> None:
+        """Deletes the folders that none of the states names."""
+        named = {(v, k) for state in states if state for k, versions in state["buckets"].items() for v in versions}
         fs, where = self._fs(f"{self.folder}/{table}")
-        found = fs.exists(where) and any(x.isDirectory() and x.getPath().getName().startswith("_bucket=") for x in fs.listStatus(where))
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.folder}/{table}") if found else None
+        for version in [x.getPath() for x in fs.listStatus(where) if x.getPath().getName().startswith("_v=")]:
+            there = [x.getPath().getName() for x in fs.listStatus(version) if x.getPath().getName().startswith("_bucket=")]
+            v = version.getName().removeprefix("_v=")
+            gone = [x for x in there if (v, x.removeprefix("_bucket=")) not in named]
+            for x in gone if len(gone) < len(there) else [""]:
+                self._delete(f"{self.folder}/{table}/_v={v}/{x}".rstrip("/"))
+
+    def _rows(self, table: str, state: dict, buckets: list[str] | None = None) -> DataFrame:
+        """The rows of a state with their bucket, of all buckets or of these."""
+        schema = StructType.fromJson(state["schema"]).add("_bucket", IntegerType())
+        paths = [f"{self.folder}/{table}/_v={v}/_bucket={k}" for k, versions in state["buckets"].items() if buckets is None or k in buckets for v in versions]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).option("basePath", f"{self.folder}/{table}").parquet(*paths)
+        return found.select(*schema.names)
 
     def read(self, table: str) -> DataFrame | None:
-        rows = self._rows(table)
-        return None if rows is None else rows.drop("_bucket")
+        """The table, None if there is none."""
+        state = self._state(table)
+        return None if state is None else self._rows(table, state).drop("_bucket")
 
-    def _staged(self, df: DataFrame) -> DataFrame:
-        path = f"{shared_folder(self.spark)}/partflow-staged-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
-    def _write(self, table: str, df: DataFrame, mode: str) -> None:
-        rows = df.repartition("_bucket").write.partitionBy("_bucket").option("partitionOverwriteMode", "dynamic")
-        rows.mode(mode).parquet(f"{self.folder}/{table}")
+    def _write(self, table: str, df: DataFrame) -> str:
+        """Writes rows with their bucket to folders of a new version, which is returned."""
+        version = uuid.uuid4().hex
+        df.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.folder}/{table}/_v={version}")
+        return version
 
     def load(self, df: DataFrame, table: str, keys: tuple[str, ...] | None = None, mode: str = "merge", order: str | None = None) -> int:
-        """Upserts (or appends) df and returns how many rows it had. order: as of ``merged``."""
+        """Upserts (or appends) df and returns how many rows it had. order: as of ``merged``.
+
+        An upsert that is run again with its batch id changes nothing; an append adds its rows again.
+        """
         keys = keys or NATURAL_KEYS.get(table)
         if mode == "merge" and not keys:
             raise ValueError(f"no keys for {table}")
-        bucket = F.pmod(F.xxhash64(*(keys if keys and set(keys) <= set(df.columns) else df.columns)), F.lit(BUCKETS)).cast("int")
-        batch = self._staged(stamped(df, self.batch_id, self.loaded_at).withColumn("_bucket", bucket))  # evaluated once
-        n = batch.count()
+        staged = f"{shared_folder(self.spark)}/partflow-staged-{uuid.uuid4().hex}"
+        stamped(df, self.batch_id, self.loaded_at).write.parquet(staged)  # evaluated once
+        try:
+            return self._load(self.spark.read.parquet(staged), table, keys, mode, order)
+        finally:
+            self._delete(staged)
+
+    def _load(self, batch: DataFrame, table: str, keys: tuple[str, ...] | None, mode: str, order: str | None) -> int:
+        n, old = batch.count(), self._state(table)
         if not n:
             return 0
-        if mode == "append":
-            self._write(table, batch, "append")
-            return n
-        check_keys(batch, keys)
-        target = self._rows(table)
-        if target is not None:
-            touched = [r["_bucket"] for r in batch.select("_bucket").distinct().collect()]  # BUCKETS at most
-            batch = self._staged(merged(target.filter(F.col("_bucket").isin(touched)), batch, keys, order))
-        self._write(table, batch, "overwrite")
+        if mode == "merge":
+            check_keys(batch, keys)
+        by = keys if keys and set(keys) <= set(batch.columns) else batch.columns
+        target = None if old is None else self._rows(table, old)
+        rows = n + (0 if target is None else target.count())  # from the files' footers
+        buckets = max(LEAST_BUCKETS, 1 << max(0, -(-2 * rows // BUCKET_ROWS) - 1).bit_length())
+        grown = old is not None and mode == "merge" and rows > BUCKET_ROWS * old["n"]
+        if old is not None and not grown:
+            buckets = old["n"]
+        bucket = F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int")
+        batch = batch.withColumn("_bucket", bucket)
+        touched = [str(r["_bucket"]) for r in batch.select("_bucket").distinct().collect()]  # as many as buckets at most
+        kept = {} if old is None else dict(old["buckets"])
+        if mode == "merge" and old is not None:
+            there = target.withColumn("_bucket", bucket) if grown else self._rows(table, old, touched)
+            batch, kept = merged(there, batch, keys, order), {} if grown else {k: v for k, v in kept.items() if k not in touched}
+        fields = {f.name: f for f in StructType.fromJson(old["schema"]).fields} if old is not None else {}
+        fields |= {f.name: StructField(f.name, f.dataType) for f in batch.schema.fields if f.name != "_bucket" and f.name not in fields}
+        version = self._write(table, batch)
+        written = [str(k) for k in range(buckets)] if grown else touched
+        fs, _ = self._fs(f"{self.folder}/{table}")
+        for k in written:
+            if fs.exists(self._fs(f"{self.folder}/{table}/_v={version}/_bucket={k}")[1]):
+                kept[k] = [*kept.get(k, []), version]
+        new = {"n": buckets, "schema": StructType(list(fields.values())).jsonValue(), "buckets": kept}
+        self._publish(table, new)
+        self._clean(table, new, old)
         return n
 
     def load_all(self, frames: dict[str, DataFrame]) -> dict[str, int]:
@@ -140,18 +211,19 @@ class Hub:
 
     def rollback_batch(self, table: str, batch_id: str) -> int:
         """Deletes the batch's rows (rows that it updated go too) and returns how many."""
-        target = self._rows(table)
-        if target is None:
+        old = self._state(table)
+        if old is None:
             return 0
-        mine = F.coalesce(F.col("_batch_id") == batch_id, F.lit(False))
-        found = {r["_bucket"]: (r["n"], r["mine"]) for r in target.groupBy("_bucket").agg(F.count("*").alias("n"), F.count_if(mine).alias("mine")).collect()}
-        touched = [k for k, (n, m) in found.items() if 0 < m < n]
-        if touched:
-            self._write(table, self._staged(target.filter(F.col("_bucket").isin(touched) & ~mine)), "overwrite")
-        for k, (n, m) in found.items():
-            if n == m:  # nothing is left to overwrite it with
-                fs, where = self._fs(f"{self.folder}/{table}/_bucket={k}")
-                fs.delete(where, True)
+        target, mine = self._rows(table, old), F.coalesce(F.col("_batch_id") == batch_id, F.lit(False))
+        found = {str(r["_bucket"]): (r["n"], r["mine"]) for r in target.groupBy("_bucket").agg(F.count("*").alias("n"), F.count_if(mine).alias("mine")).collect()}
+        kept = {k: v for k, v in old["buckets"].items() if not found.get(k, (0, 0))[1]}
+        left = [k for k, (n, m) in found.items() if 0 < m < n]
+        if left:
+            version = self._write(table, self._rows(table, old, left).filter(~mine))
+            kept |= {k: [version] for k in left}
+        new = {**old, "buckets": kept}
+        self._publish(table, new)
+        self._clean(table, new, old)
         return sum(m for _, m in found.values())
 
 

@@ -51,6 +51,30 @@ def profile_sql(keys: str, deliveries: str, as_of: str) -> str:
     GROUP BY {keys}"""
 
 
+def features_sql(history: str) -> str:
+    lags = ", ".join(f"lag(demand_qty, {k}) OVER w AS lag_{k}" for k in (1, 2, 3, 6, 12))
+    rolling = ", ".join(
+        f"avg(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_mean_{n}, stddev_samp(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_std_{n}, max(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_max_{n}, avg(had) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS roll_nonzero_{n}"
+        for n in (3, 6, 12)
+    )
+    return f"""SELECT part_number, month, demand_qty, {lags}, {rolling}, row_number() OVER w - 1 AS tenure_months,
+        row_number() OVER w - coalesce(max(CASE WHEN had = 1 THEN rn END) OVER (w ROWS UNBOUNDED PRECEDING), 1) AS months_since_demand
+      FROM (SELECT *, row_number() OVER (PARTITION BY part_number ORDER BY month) AS rn, CASE WHEN lag(demand_qty) OVER (PARTITION BY part_number ORDER BY month) > 0 THEN 1 ELSE 0 END AS had FROM {history} )
+      WINDOW w AS (PARTITION BY part_number ORDER BY month)"""
+
+
+#: Terms of the given linear model (``queries.LINEAR``).
+_TERMS = {
+    "lag_1": (0.004, "coalesce(lag_1, 0)"), "lag_12": (0.002, "coalesce(lag_12, 0)"), "roll_mean_3": (0.006, "coalesce(roll_mean_3, 0)"), "roll_mean_12": (0.01, "coalesce(roll_mean_12, 0)"),
+    "roll_std_6": (0.001, "coalesce(roll_std_6, 0)"), "roll_nonzero_6": (0.6, "coalesce(roll_nonzero_6, 0)"), "months_since_demand": (-0.02, "months_since_demand"),
+    "month_sin": (0.05, "sin(2 * pi() * month(month) / 12)"), "log_unit_cost": (0.01, "ln(1 + coalesce(unit_cost_usd, 0))"),
+}
+
+
+def linear_sql(features: str) -> str:
+    return f"SELECT *, 0.4::DOUBLE + {' + '.join(f'({k}::DOUBLE) * ({x})' for k, x in _TERMS.values())} AS y FROM {features} LEFT JOIN (SELECT part_number, unit_cost_usd FROM parts_ ) USING (part_number)"
+
+
 def deliveries_sql(as_of: str) -> str:
     return f"""
     SELECT * FROM (
@@ -169,11 +193,15 @@ CTE = {
       WHERE w.status = 'OPEN' AND w.qty_required > coalesce(s.q, 0)
       QUALIFY row_number() OVER (PARTITION BY w.work_order_id ORDER BY po.promised_date NULLS LAST) = 1""",
     "offers_": "SELECT part_number, supplier_id, unit_price_usd, quantity, date_diff('day', order_date, promised_date) AS days FROM orders_ WHERE status = 'OPEN'",
-    "features_": "SELECT part_number, month, demand_qty, " + ", ".join(f"lag(demand_qty, {k}) OVER w AS lag_{k}" for k in (1, 2, 3, 6, 12)) + ", "
-    + ", ".join(f"avg(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_mean_{n}, stddev_samp(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_std_{n}, max(demand_qty) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS roll_max_{n}, avg(had) OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS roll_nonzero_{n}" for n in (3, 6, 12))
-    + """, row_number() OVER w - 1 AS tenure_months, row_number() OVER w - coalesce(max(CASE WHEN had = 1 THEN rn END) OVER (w ROWS UNBOUNDED PRECEDING), 1) AS months_since_demand
-      FROM (SELECT *, row_number() OVER (PARTITION BY part_number ORDER BY month) AS rn, CASE WHEN lag(demand_qty) OVER (PARTITION BY part_number ORDER BY month) > 0 THEN 1 ELSE 0 END AS had FROM history_)
-      WINDOW w AS (PARTITION BY part_number ORDER BY month)""",
+    "features_": features_sql("history_"),
+    "linear_": linear_sql("features_"),
+    "smear_": "SELECT avg(exp(ln(1 + demand_qty) - y)) AS smearing FROM linear_ WHERE tenure_months >= 12 AND month < DATE '2001-02-01'",
+    **{name: text for k in (1, 2, 3) for name, text in (
+        (f"before_{k}_", "SELECT part_number, month, demand_qty FROM history_ " + "".join(f" UNION ALL SELECT part_number, forecast_month, forecast_qty FROM step_{j}_ " for j in range(1, k)) + f" UNION ALL SELECT DISTINCT part_number, DATE '2001-{7 + k:02d}-01', CAST(NULL AS DOUBLE) FROM history_ "),
+        (f"features_{k}_", f"SELECT * FROM ({features_sql(f'before_{k}_')}) WHERE month = DATE '2001-{7 + k:02d}-01'"),
+        (f"linear_{k}_", linear_sql(f"features_{k}_")),
+        (f"step_{k}_", f"SELECT part_number, month AS forecast_month, {k} AS horizon_step, round_even(greatest((exp(y) - 1) * smearing, 0), 2) AS forecast_qty FROM linear_{k}_ , smear_ "),
+    )},
     "candidates_": "SELECT user_id AS part_number, ts AS alert_ts, event_id AS alert_id, value AS score FROM events WHERE event_type = 'error'",
     "first_": "SELECT po_number, po_line, min(quantity) AS quantity, max(status) AS status FROM orders_ GROUP BY 1, 2",
     "base_": "SELECT part_number, criticality, unit_cost_usd, part_number AS master_part_number, false AS is_superseded, p_partkey % 7 = 0 AS changed, p_partkey % 10 <> 9 AS early FROM parts_",
@@ -269,6 +297,11 @@ ORACLES = {
     "demand_profile": f"SELECT part_number, months_observed, {r('monthly_demand demand_std')}, zero_month_pct, peak_month_qty, round(avg_nonzero_qty, 4) AS avg_nonzero_qty, pattern, forecastable FROM profile_ ",
     "naive_forecast_metrics": """SELECT count(*) AS n_test, round(avg(abs(g)), 4) AS mae, round(sqrt(avg(g * g)), 4) AS rmse, round(avg(g), 4) AS bias, round(avg(abs(z)), 4) AS naive_mae,
       round(avg(abs(g)) / avg(abs(z)), 4) AS mase_vs_naive FROM (SELECT coalesce(roll_mean_12, 0) - demand_qty AS g, coalesce(lag_1, 0) - demand_qty AS z FROM features_ WHERE tenure_months >= 12 AND month >= DATE '2001-02-01')""",
+    "linear_model": " UNION ALL ".join(f"SELECT '{c}' AS feature, round(abs({k}) * stddev_samp(({x})::DOUBLE), 6) AS importance, (SELECT round(smearing, 6) FROM smear_ ) AS smearing FROM linear_ WHERE tenure_months >= 12 AND month < DATE '2001-02-01'" for c, (k, x) in _TERMS.items()),
+    "linear_metrics": """SELECT count(*) AS n_test, round(avg(abs(g)), 4) AS mae, round(sqrt(avg(g * g)), 4) AS rmse, round(avg(g), 4) AS bias, round(avg(abs(z)), 4) AS naive_mae, round(avg(abs(g)) / avg(abs(z)), 4) AS mase_vs_naive
+      FROM (SELECT greatest((exp(y) - 1) * smearing, 0) - demand_qty AS g, coalesce(lag_1, 0) - demand_qty AS z FROM linear_ , smear_ WHERE tenure_months >= 12 AND month >= DATE '2001-02-01')""",
+    "linear_forecast": """SELECT f.*, pattern, forecastable FROM (SELECT * FROM step_1_ UNION ALL SELECT * FROM step_2_ UNION ALL SELECT * FROM step_3_ ) AS f LEFT JOIN profile_ USING (part_number)""",
+    "nearest_demand": "SELECT part_number, forecast_qty FROM step_1_ ",
     "upsert_orders": """SELECT po_number, po_line, CASE WHEN po_line <= 2 THEN quantity + 1 ELSE quantity END AS quantity, status, CASE WHEN po_line <= 2 THEN 'b2' ELSE 'b1' END AS _batch_id FROM first_
       UNION ALL SELECT po_number, po_line + 100, quantity, NULL, 'b2' FROM first_ WHERE po_line = 3""",
     "rollback_batch": "SELECT po_number, po_line, quantity, status, 'b1' AS _batch_id FROM first_ WHERE po_line > 2",

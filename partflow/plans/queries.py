@@ -199,6 +199,39 @@ def demand_forecast(spark, d):
     return made.join(demand.demand_profile(_history(spark, d)).select("part_number", "pattern", "forecastable"), "part_number", "left")
 
 
+#: A given model, so that what surrounds a trained one can be told in SQL.
+LINEAR = demand.LinearModel(0.4, {"lag_1": 0.004, "lag_12": 0.002, "roll_mean_3": 0.006, "roll_mean_12": 0.01, "roll_std_6": 0.001, "roll_nonzero_6": 0.6, "months_since_demand": -0.02, "month_sin": 0.05, "log_unit_cost": 0.01})
+
+
+def _linear(spark, d):
+    """The given model with its smearing, the rows before the test months, and those of them."""
+    history = _history(spark, d)
+    past, test = demand.training_rows(demand.build_features(history, V.parts(spark, d)), demand.split_month(history))
+    return LINEAR.smeared(past), past, test
+
+
+def linear_model(spark, d):
+    model, past, _ = _linear(spark, d)
+    return rounded(model.importances(past).withColumn("smearing", F.lit(model.smearing)), 6)
+
+
+def linear_metrics(spark, d):
+    model, _, test = _linear(spark, d)
+    return rounded(demand.forecast_metrics(model.predict(test)))
+
+
+def _linear_next(spark, d):
+    return demand.forecast_next(_history(spark, d), _linear(spark, d)[0], V.parts(spark, d))
+
+
+def linear_forecast(spark, d):
+    return _linear_next(spark, d).join(demand.demand_profile(_history(spark, d)).select("part_number", "pattern", "forecastable"), "part_number", "left")
+
+
+def nearest_demand(spark, d):
+    return demand.nearest_demand(_linear_next(spark, d))
+
+
 def _order_batches(spark, d):
     first = V.purchase_orders(spark, d).groupBy("po_number", "po_line").agg(F.min("quantity").alias("quantity"), F.max("status").alias("status"))
     new = F.col("po_line") + 100
@@ -510,7 +543,7 @@ def rescored_parts(spark, d):
 QUERIES = [
     normalize_part_numbers, unpad_material_numbers, part_master, catalog_coverage, supersession_closure, salted_join, prepare_deliveries, lead_time_profiles, supplier_part_lead_times,
     supplier_scorecard, normalize_inventory, stock_accuracy, union_inventory, customs_projection, customs_risk, open_orders, aog_factors, aog_risk, recommended_actions, early_warning,
-    aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
+    aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, linear_model, linear_metrics, linear_forecast, nearest_demand, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
     latest_scorecard, supplier_trend, single_source_exposure, risk_heatmap, blocked_work_orders, early_warning_lead, parts_to_rescore, alert_candidates, alert_cooldown_batch,
     alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
 ]

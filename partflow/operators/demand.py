@@ -67,11 +67,11 @@ def build_features(history: DataFrame, parts: DataFrame | None = None, rules: Ru
     ).drop("__had", "__run")
     if parts is None:
         return df
-    codes = parts.filter("ata_chapter is not null").select("ata_chapter").distinct()
-    codes = codes.withColumn("ata_code", F.dense_rank().over(Window.orderBy("ata_chapter")) - 1)  # a row for each chapter
-    attributes = parts.join(codes, "ata_chapter", "left").select(
+    chapters = parts.agg(F.array_sort(F.collect_set("ata_chapter")).alias("__chapters"))  # one row, of some hundred names
+    place = F.array_position("__chapters", F.col("ata_chapter")).cast("int")
+    attributes = parts.join(F.broadcast(chapters)).select(
         "part_number",
-        F.coalesce("ata_code", F.lit(-1)).alias("ata_chapter"),
+        F.coalesce(place - 1, F.lit(-1)).alias("ata_chapter"),
         F.coalesce(mapped(F.col("criticality"), CRITICALITY_CODE), F.lit(-1)).alias("criticality_code"),
         F.log1p(F.coalesce("unit_cost_usd", F.lit(0.0))).alias("log_unit_cost"),
         F.coalesce(F.col("repairable_flag"), F.lit(False)).cast("int").alias("repairable_flag"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from partflow.functions.columns import clamped, recency_weight, supplier_tier
@@ -14,17 +14,22 @@ QUANTILES = {"p50_days": 0.50, "p80_days": 0.80, "p95_days": 0.95}
 MEASURES = ("n_deliveries", *QUANTILES, "mean_days", "volatility_days", "on_time_rate", "avg_slip_days", "trend_days_per_year")
 
 
-def prepare_deliveries(orders: DataFrame, as_of: datetime.date, rules: Rules = RULES) -> DataFrame:
+def _error_counts() -> list:
+    return [F.count(F.lit(1)).alias("delivered"), F.count_if(F.col("actual_delivery_date") < F.col("order_date")).alias("negative_lead_times")]
+
+
+def prepare_deliveries(orders: DataFrame, as_of: datetime.date, rules: Rules = RULES, observed: Observation | None = None) -> DataFrame:
     """Delivered lines ordered within the lookback, with lead time, slip and on_time.
 
-    Lines with a negative lead time are entry errors and go. A line without a promised date has no
-    slip and isn't on time.
+    Lines with a negative lead time are entry errors and go; observed, where one is given, gets the counts delivered and
+    negative_lead_times when the result is first read. A line without a promised date has no slip and isn't on time.
     """
     slip = F.datediff("actual_delivery_date", "promised_date")
+    recent = orders.filter(F.col("actual_delivery_date").isNotNull()).filter(F.col("order_date") >= F.date_sub(F.lit(as_of), rules.lookback_days))
+    if observed is not None:
+        recent = recent.observe(observed, *_error_counts())
     return (
-        orders.filter(F.col("actual_delivery_date").isNotNull())
-        .filter(F.col("order_date") >= F.date_sub(F.lit(as_of), rules.lookback_days))
-        .withColumn("actual_lead_time_days", F.datediff("actual_delivery_date", "order_date"))
+        recent.withColumn("actual_lead_time_days", F.datediff("actual_delivery_date", "order_date"))
         .filter(F.col("actual_lead_time_days") >= 0)
         .withColumn("slip_days", slip)
         .withColumn("on_time", F.coalesce(slip.between(-rules.early_tolerance_days, rules.late_tolerance_days), F.lit(False)))
@@ -34,7 +39,16 @@ def prepare_deliveries(orders: DataFrame, as_of: datetime.date, rules: Rules = R
 def entry_errors(orders: DataFrame, as_of: datetime.date, rules: Rules = RULES) -> DataFrame:
     """One row: how many delivered lines of the lookback ``prepare_deliveries`` drops for a negative lead time."""
     recent = orders.filter(F.col("actual_delivery_date").isNotNull() & (F.col("order_date") >= F.date_sub(F.lit(as_of), rules.lookback_days)))
-    return recent.agg(F.count("*").alias("delivered"), F.count_if(F.col("actual_delivery_date") < F.col("order_date")).alias("negative_lead_times"))
+    return recent.agg(*_error_counts())
+
+
+def written_deliveries(orders: DataFrame, as_of: datetime.date, path: str, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
+    """``prepare_deliveries`` written to path and read again, and ``entry_errors`` of the same scan."""
+    spark, observed = orders.sparkSession, Observation()
+    prepare_deliveries(orders, as_of, rules, observed).write.mode("overwrite").parquet(path)
+    counts = observed.get
+    errors = spark.createDataFrame([(counts["delivered"], counts["negative_lead_times"])], "delivered long, negative_lead_times long")
+    return spark.read.parquet(path), errors
 
 
 def lead_time_profiles(deliveries: DataFrame, as_of: datetime.date, keys: tuple[str, ...] = ("supplier_id",), rules: Rules = RULES) -> DataFrame:

@@ -243,7 +243,7 @@ k AS (SELECT {key_sql('part_number')} AS part_key, * FROM parts_ JOIN (SELECT p_
 o AS (SELECT {key_sql('part_number')} AS part_key, min(days) AS days, min(unit_price_usd) AS price, count(DISTINCT supplier_id) AS n, sum(quantity) AS q FROM offers_ GROUP BY 1),
 i AS (SELECT {key_sql('part_number')} AS part_key, sum(qty_available) AS q, sum(qty_on_hand) AS h, count(DISTINCT warehouse_id) AS n FROM inventory_ GROUP BY 1),
 master AS (
-  SELECT part_key, coalesce(master, part_key) AS master_part_key, part_number AS erp_part_number, description, ata_chapter, criticality, round(unit_cost_usd, 6) AS unit_cost_usd, repairable_flag,
+  SELECT part_key, shelf AS shelf_life_months, coalesce(master, part_key) AS master_part_key, part_number AS erp_part_number, description, ata_chapter, criticality, round(unit_cost_usd, 6) AS unit_cost_usd, repairable_flag,
     days::INT AS best_quoted_lead_time_days, round(price, 6) AS best_supplier_price_usd, coalesce(o.n, 0) AS supplier_count, coalesce(o.q, 0)::DOUBLE AS supplier_qty_available,
     coalesce(i.q, 0)::BIGINT AS qty_available, coalesce(i.h, 0)::DOUBLE AS qty_on_hand, coalesce(i.n, 0) AS stocking_locations, sha256(coalesce(master, part_key))[1:16] AS part_uid,
     master IS NOT NULL AS is_superseded, coalesce(o.n, 0) <= 1 AS single_source_flag
@@ -310,8 +310,8 @@ ORACLES = {
     "parts_by_chapter": """SELECT ata_chapter, ata_chapter_name, count(*) AS part_count, count(*) FILTER (criticality = 'NO_GO') AS no_go_parts, count(*) FILTER (single_source_flag) AS single_sourced_parts,
       round(avg(unit_cost_usd), 2) AS avg_unit_cost_usd FROM parts_ GROUP BY 1, 2""",
     "latest_scorecard": f"SELECT supplier_id, supplier_name, country, approved_vendor, as_of_date, n_deliveries, base_lead_time_days, round(contract_gap_days, 4) AS contract_gap_days, {r('p80_days on_time_rate volatility_days trend_days_per_year')}, round(on_time_rate * 100, 1) AS on_time_pct, composite_score, risk_tier, confidence FROM latest_ ",
-    "supplier_trend": """SELECT supplier_id, qtr, round(s, 1) AS avg_score, round(s - lag(s) OVER (PARTITION BY supplier_id ORDER BY qtr), 1) AS score_delta_qoq
-      FROM (SELECT supplier_id, CAST(date_trunc('quarter', as_of_date) AS DATE) AS qtr, avg(composite_score) AS s FROM cards_ GROUP BY 1, 2)""",
+    "supplier_trend": """SELECT supplier_id, qtr, round(s, 1) AS avg_score, round(o, 1) AS avg_otd_pct, round(s - lag(s) OVER (PARTITION BY supplier_id ORDER BY qtr), 1) AS score_delta_qoq
+      FROM (SELECT supplier_id, CAST(date_trunc('quarter', as_of_date) AS DATE) AS qtr, avg(composite_score) AS s, avg(on_time_rate) * 100 AS o FROM cards_ GROUP BY 1, 2)""",
     "single_source_exposure": """SELECT p.part_number, p.description, p.criticality, round(p.unit_cost_usd, 3) AS unit_cost_usd, s.supplier_id, s.supplier_name, s.composite_score, s.risk_tier, round(s.p80_days, 3) AS p80_days
       FROM parts_ AS p JOIN orders_ AS o USING (part_number) JOIN latest_ AS s ON s.supplier_id = o.supplier_id
       WHERE p.single_source_flag AND p.criticality IN ('NO_GO', 'GO_IF') AND s.risk_tier IN ('CRITICAL', 'WATCH')
@@ -344,6 +344,14 @@ ORACLES = {
     "catalog_files": _MASTER + "SELECT ata_chapter, count(*) AS parts, sum(qty_available)::BIGINT AS qty_available, count(DISTINCT part_uid) AS masters FROM master GROUP BY 1",
     "run_results": f"SELECT supplier_id, composite_score, risk_tier, {AS_OF} AS run_date FROM card_ ",
     "alert_log": "SELECT part_number, CASE WHEN criticality = 'NO_GO' THEN '06' ELSE '12' END AS hour, aog_risk_score FROM risk_ WHERE aog_risk_score >= 75",
+    "replayed_alert_log": "SELECT part_number, strftime(alert_ts, '%Y-%m-%d %H:%M:%S.%g') AS alerted_at, max(alert_id) AS alert_id, arg_max(score, alert_id) AS score FROM candidates_ GROUP BY 1, 2",
+    "delivered_once": "SELECT part_number, alert_id, score FROM candidates_ ",
+    "projected_open_orders": "SELECT po_number, po_line, part_number, CAST(CASE WHEN po_line % 2 = 0 THEN promised_date + CAST(po_line AS INT) ELSE promised_date END AS DATE) AS expected_date FROM orders_ WHERE status = 'OPEN'",
+    "loaded_tables": """SELECT 0 AS place, 'dim_parts' AS "table", count(*) AS loaded, count(*) AS rows FROM parts_ UNION ALL SELECT 1, 'fct_work_orders', count(*), count(*) FROM work_
+      UNION ALL SELECT 2, 'notes', count(*), count(*) FROM customs_ WHERE clearance_status = 'HELD'""",
+    "publication_gate": """SELECT coalesce(nullif(avg(abs(g)) / nullif(avg(abs(z)), 0), 0), 1) < 1 AS published, count(*) AS n_test
+      FROM (SELECT greatest((exp(y) - 1) * smearing, 0) - demand_qty AS g, coalesce(lag_1, 0) - demand_qty AS z FROM linear_ , smear_ WHERE tenure_months >= 12 AND month >= DATE '2001-02-01')""",
+    "scan_wms_jdbc": "SELECT warehouse_id, condition_code, count(*) AS n, sum(qty_available)::BIGINT AS qty_available, max(last_counted) AS last_counted FROM inventory_ WHERE qty_on_hand > 0 GROUP BY 1, 2",
     "scan_erp": "SELECT CASE WHEN p_partkey = 0 THEN repeat('0', 18) ELSE CAST(p_partkey AS VARCHAR) END AS part_number, p_name AS description, p_type AS material_type, p_brand AS material_group, 1.5::DOUBLE AS net_weight_kg, CASE WHEN p_size % 7 <> 0 THEN p_size::DOUBLE END AS shelf_life_months, 'ERP' AS source_system FROM part",
     "scan_erp_orders": "SELECT CASE WHEN part_number = 'PN-000000' THEN repeat('0', 18) ELSE '' || CAST(part_number[4:] AS INT) END AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
     "scan_erp_work_orders": "SELECT work_order_id, wo_type, aircraft_reg AS equipment_id, opened_date, status FROM work_ ",

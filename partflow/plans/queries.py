@@ -55,7 +55,7 @@ def _master(spark, d):
 
 
 def part_master(spark, d):
-    return rounded(_master(spark, d).drop("shelf_life_months"), 6)
+    return rounded(_master(spark, d), 6)
 
 
 def catalog_coverage(spark, d):
@@ -286,7 +286,7 @@ def latest_scorecard(spark, d):
 
 
 def supplier_trend(spark, d):
-    return views.supplier_trend(_cards(spark, d)).select("supplier_id", "qtr", *[F.round(c, 1).alias(c) for c in ("avg_score", "score_delta_qoq")])
+    return views.supplier_trend(_cards(spark, d)).select("supplier_id", "qtr", *[F.round(c, 1).alias(c) for c in ("avg_score", "avg_otd_pct", "score_delta_qoq")])
 
 
 def single_source_exposure(spark, d):
@@ -299,10 +299,15 @@ def _snapshots(spark, d):
 
 
 def _risk_history(spark, d):
-    """The scorings of three days, each written when it was made, as a run does."""
-    folder = _folder(spark, "history")
+    """The scorings of three days, each written when it was made, as a run does; what no day changes is made once."""
+    folder, same = _folder(spark, "history"), {}
+    for name, df in _inputs(spark, d).items():
+        if name not in ("inventory", "supplier_scores"):
+            df.write.parquet(f"{folder}/{name}")
+            same[name] = spark.read.parquet(f"{folder}/{name}")
     for day in V.SNAPSHOT_DATES:
-        hub.write_results({"risk": _scored(spark, d, day, day)}, folder, day)
+        of_day = same | {"inventory": _inventory(spark, d, day, day), "supplier_scores": _card(spark, d, day)}
+        hub.write_results({"risk": risk.score_risk(day, **of_day)}, folder, day)
     return spark.read.parquet(f"{folder}/risk").drop("run_date")
 
 
@@ -355,6 +360,68 @@ def stream_upsert(spark, d):
     return table.read("last_alert").select("part_number", "alert_id", "score")
 
 
+def replayed_alert_log(spark, d):
+    """The log of a stream of alerts whose micro-batches all come twice."""
+    folder = _folder(spark, "log")
+    log = hub.Hub(spark, f"{folder}/hub", loaded_at=NOW)
+    for run in (1, 2):
+        rows = V.alert_stream_rows(_events(spark, d)).withColumnRenamed("alert_ts", "alerted_at")
+        alerts.upsert_stream(rows, log, "fct_aog_alert_log", ("part_number", "alerted_at"), "alert_id", f"{folder}/{run}")
+    return log.read("fct_aog_alert_log").select("part_number", F.date_format("alerted_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("alerted_at"), "alert_id", "score")
+
+
+def delivered_once(spark, d):
+    """Alerts that a feed delivers twice go on once."""
+    folder, events = _folder(spark, "twice"), V.read(spark, d, "events")
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{folder}/landed")
+    landed = spark.readStream.schema(events.schema).parquet(f"{folder}/landed")
+    out = alerts.without_repeats(V.alert_stream_rows(landed), "alert_id", "alert_ts", "60 days")
+    return alerts.run_available(out, folder).select("part_number", "alert_id", "score")
+
+
+def projected_open_orders(spark, d):
+    """Open orders of which every second has a projected arrival."""
+    arrival = F.when(F.col("po_line") % 2 == 0, F.date_add("promised_date", F.col("po_line").cast("int")))
+    orders = V.purchase_orders(spark, d).withColumn("projected_arrival_date", arrival)
+    return risk.open_orders(orders).select("po_number", "po_line", "part_number", "expected_date")
+
+
+def loaded_tables(spark, d):
+    """Tables of one batch, dimensions first, and what each has then."""
+    table = hub.Hub(spark, _folder(spark, "hub"), "b1", NOW)
+    frames = {
+        "notes": V.customs(spark, d).filter("clearance_status = 'HELD'").select("awb", "po_number"),
+        "fct_work_orders": V.work_orders(spark, d).select("work_order_id", "status"),
+        "dim_parts": V.parts(spark, d).select("part_number", "criticality"),
+    }
+    loaded = table.load_all(frames)
+    rows = [table.read(t).groupBy().agg(F.lit(k).alias("place"), F.lit(t).alias("table"), F.lit(n).cast("long").alias("loaded"), F.count("*").alias("rows")) for k, (t, n) in enumerate(loaded.items())]
+    return stock.union_all(rows)
+
+
+def publication_gate(spark, d):
+    """Whether the given model may be published."""
+    model, _, test = _linear(spark, d)
+    model.metrics = demand.forecast_metrics(model.predict(test)).first().asDict()
+    try:
+        published = demand.publishable(model) is model
+    except ValueError:
+        published = False
+    return test.groupBy().agg(F.lit(published).alias("published"), F.count("*").alias("n_test"))
+
+
+def scan_wms_jdbc(spark, d):
+    """Stock through a database, read by ranges of its amount."""
+    url = f"jdbc:derby:memory:wms{uuid.uuid4().hex};create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    names = {"warehouse_id": "WAREHOUSE", "part_number": "PART_NO", "qty_on_hand": "QTY_OH", "qty_reserved": "QTY_RSV", "qty_quarantine": "QTY_QUAR", "condition_code": "COND", "expiry_date": "EXP_DT", "last_counted": "LAST_CC"}
+    rows = V.inventory(spark, d).select(*[F.col(k).alias(v) for k, v in names.items()])
+    rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="STOCK", **driver).mode("overwrite").save()
+    found = feeds.read_wms_jdbc(spark, url, "STOCK", AS_OF, **driver)
+    return found.groupBy("warehouse_id", "condition_code").agg(F.count("*").alias("n"), F.sum("qty_available").alias("qty_available"), F.max("last_counted").alias("last_counted"))
+
+
 def scan_erp(spark, d):
     folder = _folder(spark, "erp")
     pad = lambda c: F.lpad(F.col(c).cast("string"), 18, "0")
@@ -397,7 +464,7 @@ PAGE = 1000
 
 
 def entry_errors(spark, d):
-    return leadtime.entry_errors(V.purchase_orders(spark, d), AS_OF)
+    return leadtime.written_deliveries(V.purchase_orders(spark, d), AS_OF, _folder(spark, "deliveries"))[1]
 
 
 def catalog_files(spark, d):
@@ -418,8 +485,9 @@ def alert_log(spark, d):
     log, scored = hub.Hub(spark, _folder(spark, "log"), "b1", NOW), _scored(spark, d)
     first = risk.alert_candidates(scored).filter(F.col("criticality") == "NO_GO")
     times = {"first": datetime.datetime(2001, 8, 2, 6), "second": datetime.datetime(2001, 8, 2, 12)}
-    put = lambda rows, at: log.load(rows.select("part_number", F.lit(at).cast("timestamp").alias("alerted_at"), "aog_risk_score"), "fct_aog_alert_log", mode="append")
+    put = lambda rows, at: log.load(rows.select("part_number", F.lit(at).cast("timestamp").alias("alerted_at"), "aog_risk_score"), "fct_aog_alert_log")
     put(first, times["first"])
+    put(first, times["first"])  # a run that is repeated logs nothing twice
     sent = log.read("fct_aog_alert_log")
     if sent is None:
         put(risk.alert_candidates(scored), times["second"])
@@ -545,7 +613,7 @@ QUERIES = [
     supplier_scorecard, normalize_inventory, stock_accuracy, union_inventory, customs_projection, customs_risk, open_orders, aog_factors, aog_risk, recommended_actions, early_warning,
     aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, linear_model, linear_metrics, linear_forecast, nearest_demand, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
     latest_scorecard, supplier_trend, single_source_exposure, risk_heatmap, blocked_work_orders, early_warning_lead, parts_to_rescore, alert_candidates, alert_cooldown_batch,
-    alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
+    alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, replayed_alert_log, delivered_once, projected_open_orders, loaded_tables, publication_gate, scan_wms_jdbc, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
 ]
 
 

@@ -29,13 +29,18 @@ ORDER = {
 WORK = {"AUFNR": "work_order_id", "AUART": "wo_type", "EQUNR": "equipment_id", "ERDAT": "opened_date", "PHAS3": "closed_flag"}
 
 
-def read_extract(spark: SparkSession, folder: str, table: str, fields: dict[str, str]) -> DataFrame:
-    """The named fields of ``<table>.csv`` as strings under their own names, null as empty; ValueError if one is missing."""
+#: The field that holds when an order was changed; extracts to files may lack it.
+CHANGED = {"AEDAT": "changed_date"}
+
+
+def read_extract(spark: SparkSession, folder: str, table: str, fields: dict[str, str], optional: dict[str, str] | None = None) -> DataFrame:
+    """The named fields of ``<table>.csv`` as strings under their own names, null as empty; ValueError if one is missing that isn't optional."""
     df = spark.read.option("header", True).csv(f"{folder}/{table.lower()}.csv")
     missing = [f for f in fields if f not in df.columns]
     if missing:
         raise ValueError(f"{table} lacks {missing}")
-    return df.select(*[F.coalesce(F.col(k), F.lit("")).alias(v) for k, v in fields.items()])
+    there = fields | {k: v for k, v in (optional or {}).items() if k in df.columns}
+    return df.select(*[F.coalesce(F.col(k), F.lit("")).alias(v) for k, v in there.items()])
 
 
 def material_master(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +52,8 @@ def material_master(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchase_orders(spark: SparkSession, folder: str, changed_since=None) -> DataFrame:
-    df = read_extract(spark, folder, "EKPO", ORDER).withColumns(
+    """Order lines. changed_since keeps those whose order was changed since; an extract without the change date is taken whole."""
+    df = read_extract(spark, folder, "EKPO", ORDER, CHANGED).withColumns(
         {
             "part_number": unpadded(F.col("part_number")),
             "quantity": number_or_null(F.col("quantity")),
@@ -56,7 +62,10 @@ def purchase_orders(spark: SparkSession, folder: str, changed_since=None) -> Dat
             "source_system": F.lit("ERP"),
         }
     )
-    return df if changed_since is None else df.filter(F.col("promised_date") >= F.lit(changed_since))
+    if "changed_date" not in df.columns:
+        return df
+    df = df.withColumn("changed_date", compact_date(F.col("changed_date")))
+    return df if changed_since is None else df.filter(F.col("changed_date") >= F.lit(changed_since))
 
 
 def work_orders(spark: SparkSession, folder: str, changed_since=None) -> DataFrame:

@@ -48,16 +48,13 @@ def shuffles(spark: SparkSession) -> int:
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Cuts the lineage: writes the rows to the shared folder and returns a scan of them.
 
-    The shuffle files of the write are deleted with its end, as only the table is read from then on.
+    The shuffle files of the write are deleted with its end, as only the table is read from then on; the setting
+    holds for the session from its first written table on, so that queries side by side don't undo it for each other.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/partflow-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(DROP_SHUFFLES)
     spark.conf.set(DROP_SHUFFLES, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(DROP_SHUFFLES, before)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._partflow_path = path
     return out

@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 
 from partflow.llm.common import table
 
-#: The model is fitted on about this many pages, whatever the corpus, each as it is and in a layout.
-TRAIN_PAGES = 400
+#: The model is fitted on about this many pages of at most so many bytes, whatever the corpus, each as it is and in a layout.
+TRAIN_PAGES, TRAIN_BYTES = 400, 1 << 18
+#: Blocks of a chain in fitting.
+CHAIN = 256
+#: The share of training pages that are seen without the names of classes and without what these say.
+NAMELESS = 0.35
 STEPS, RATE, PENALTY = 250, 0.2, 1e-3
 
 # Element names of HTML.
@@ -42,6 +46,7 @@ BLOCKS = {
 }
 _ENDS_P = re.compile(r"p|h[1-6]|div|ul|ol|dl|table|blockquote|pre|section|article|aside|nav|header|footer|main|form|figure|hr|address|fieldset")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+HELD = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "dt", "dd", "blockquote", "pre"}
 #: Parts of an article that are not its text, by element and by words of class, id and role.
 NOT_MAIN = {"aside", "nav", "form", "footer", "dialog"}
 NOT_MAIN_MARKS = {
@@ -65,6 +70,7 @@ class Block:
     linked: int  # characters inside links
     main: bool  # marked as main text, in labelled pages
     aside: bool  # in an element that is no part of an article's text
+    holder: int  # number of the element that holds it and its like: that around a paragraph, heading, item or cell
 
 
 class _Stack:
@@ -73,19 +79,21 @@ class _Stack:
     def __init__(self, known: set[str] | None):
         self.known, self.open, self.tags, self.marks, self.main, self.aside = known, [], Counter(), Counter(), 0, 0
         self.seen: tuple | None = None
+        self.n = 0  # elements so far
 
     def push(self, tag: str, attributes: str) -> None:
         marks = {w.lower() for x in _MARKS.finditer(attributes) for w in _PARTS.findall(x[2] or x[3] or x[4] or "")}
         aside = tag in NOT_MAIN or not NOT_MAIN_MARKS.isdisjoint(marks)
         marks = marks if self.known is None else marks & self.known
-        item = tag, marks, bool(_LABEL.search(attributes)), aside
+        self.n += 1
+        item = tag, marks, bool(_LABEL.search(attributes)), aside, self.n
         self.open.append(item)
         self.tags[tag] += 1
         self.marks.update(marks)
         self.main, self.aside, self.seen = self.main + item[2], self.aside + aside, None
 
     def pop(self) -> str:
-        tag, marks, main, aside = self.open.pop()
+        tag, marks, main, aside, _ = self.open.pop()
         for counts, names in ((self.tags, (tag,)), (self.marks, marks)):
             for name in names:
                 counts[name] -= 1
@@ -94,6 +102,10 @@ class _Stack:
         self.main, self.aside, self.seen = self.main - main, self.aside - aside, None
         return tag
 
+    def holder(self) -> int:
+        up = 2 if self.open and self.open[-1][0] in HELD else 1
+        return self.open[-up][4] if len(self.open) >= up else 0
+
     def names(self) -> tuple[str, frozenset[str], frozenset[str]]:
         if self.seen is None:
             self.seen = self.open[-1][0] if self.open else "", frozenset(self.tags), frozenset(self.marks)
@@ -115,7 +127,7 @@ def blocks_of(page: str | None, known: set[str] | None = None) -> list[Block]:
         nonlocal linked
         joined = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
         if joined:
-            found.append(Block(joined, *stack.names(), linked, stack.main > 0, stack.aside > 0))
+            found.append(Block(joined, *stack.names(), linked, stack.main > 0, stack.aside > 0, stack.holder()))
         text.clear()
         linked = 0
 
@@ -172,7 +184,10 @@ def blocks_of(page: str | None, known: set[str] | None = None) -> list[Block]:
 
 def features_of(blocks: list[Block]) -> list[list[str]]:
     """The names of each block's features."""
-    out, n = [], len(blocks)
+    out, n, held = [], len(blocks), Counter()
+    for b in blocks:
+        held[b.holder] += len(b.text)
+    most = max(held.values(), default=1)
     for i, b in enumerate(blocks):
         words = b.text.split()
         share = b.linked / max(1, len(b.text))
@@ -190,6 +205,7 @@ def features_of(blocks: list[Block]) -> list[list[str]]:
         if i == n - 1:
             f.append("last")
         f.append(f"place:{4 * i // n}")
+        f.append(f"held:{'most' if held[b.holder] == most else min(3, int(8 * held[b.holder] / most))}")
         if "article" not in b.tags and "main" not in b.tags:
             f.append("no_landmark")
         if b.aside:
@@ -225,47 +241,53 @@ class Field:
 
 
 def fit(pages: list[tuple[list[list[str]], list[int]]], steps: int = STEPS) -> Field:
-    """Fits (features, labels) of pages: gradient ascent on the conditional log-likelihood, all pages at once."""
-    pages = [p for p in pages if p[0]]
-    seen: dict[str, int] = {}
-    for features, _ in pages:
-        for f in {x for b in features for x in b}:
-            seen[f] = seen.get(f, 0) + 1
-    names = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= 3))}
-    longest, n = max((len(f) for f, _ in pages), default=0), len(pages)
-    rows, cols, gold, mask = [], [], np.zeros((n, longest), np.int64), np.zeros((n, longest), bool)
-    for i, (features, labels) in enumerate(pages):
-        gold[i, : len(labels)], mask[i, : len(labels)] = labels, True
-        for t, f in enumerate(features):
-            found = [names[x] for x in f if x in names]
-            rows += [i * longest + t] * len(found)
-            cols += found
-    rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
+    """Fits (features, labels) of pages: gradient ascent on the conditional log-likelihood, all pages at once.
+
+    A page of more than CHAIN blocks is several chains. Chains lie behind each other by place, the longest
+    first, so that place t is one stretch of those that go so far: arrays are as long as there are
+    blocks, and no pass has more than CHAIN steps.
+    """
+    chains = [(f[k : k + CHAIN], y[k : k + CHAIN]) for f, y in pages for k in range(0, len(f), CHAIN)]
+    chains.sort(key=lambda c: -len(c[0]))
+    seen = Counter(x for f, _ in pages for x in {x for b in f for x in b})
+    names = {f: i for i, f in enumerate(sorted(f for f, k in seen.items() if k >= 3))}
+    n, lengths = len(pages), np.array([len(f) for f, _ in chains], np.int64)
+    places = int(lengths.max(initial=0))
+    going = (lengths[None, :] > np.arange(places)[:, None]).sum(axis=1)  # chains that have a place t
+    starts = np.r_[0, np.cumsum(going)].tolist()
+    n_blocks = starts[-1]
+    gold, sizes, cols = np.zeros(n_blocks, np.int64), np.zeros(n_blocks, np.int64), [[] for _ in range(n_blocks)]
+    for i, (features, labels) in enumerate(chains):
+        for t, (f, y) in enumerate(zip(features, labels)):
+            at = starts[t] + i
+            gold[at], cols[at] = y, [names[x] for x in f if x in names]
+            sizes[at] = len(cols[at])
+    rows, cols = np.repeat(np.arange(n_blocks), sizes), np.array([j for x in cols for j in x], np.int64)
     weights = np.zeros(2 * len(names) + 4)
     first, second = np.zeros_like(weights), np.zeros_like(weights)
-    flat = gold.ravel()
-    for step in range(1, steps + 1 if pages else 0):
+    last = np.array([starts[k - 1] + i for i, k in enumerate(lengths.tolist())], np.int64)
+    follows = np.arange(starts[1] if places else 0, n_blocks)  # blocks after another one, and that one
+    before = np.concatenate([starts[t - 1] + np.arange(going[t]) for t in range(1, places)]) if places > 1 else follows[:0]
+    chain = np.concatenate([np.arange(k) for k in going]) if places else follows[:0]
+    for step in range(1, steps + 1 if n_blocks else 0):
         node, pair = weights[:-4].reshape(-1, 2), weights[-4:].reshape(2, 2)
-        s = np.stack([np.bincount(rows, node[cols, k], n * longest) for k in (0, 1)], 1).reshape(n, longest, 2)
-        alpha, beta = np.zeros_like(s), np.zeros_like(s)
-        alpha[:, 0] = s[:, 0]
-        for t in range(1, longest):
-            a = np.logaddexp(alpha[:, t - 1, 0, None] + pair[0], alpha[:, t - 1, 1, None] + pair[1]) + s[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], a, alpha[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            x = beta[:, t + 1] + s[:, t + 1]
-            b = np.logaddexp(x[:, 0, None] + pair[:, 0], x[:, 1, None] + pair[:, 1])
-            beta[:, t] = np.where(mask[:, t + 1, None], b, 0)
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
-        gap = (np.eye(2)[flat].reshape(n, longest, 2) * mask[..., None] - p).reshape(-1, 2)
+        s = np.stack([np.bincount(rows, node[cols, k], n_blocks) for k in (0, 1)], 1)
+        alpha, beta = s.copy(), np.zeros_like(s)
+        for t in range(1, places):
+            x, here = alpha[starts[t - 1] : starts[t - 1] + going[t]], slice(starts[t], starts[t + 1])
+            alpha[here] += np.logaddexp(x[:, 0, None] + pair[0], x[:, 1, None] + pair[1])
+        for t in range(places - 2, -1, -1):
+            after = slice(starts[t + 1], starts[t + 2])
+            x = beta[after] + s[after]
+            beta[starts[t] : starts[t] + going[t + 1]] = np.logaddexp(x[:, 0, None] + pair[:, 0], x[:, 1, None] + pair[:, 1])
+        z = np.logaddexp(alpha[last, 0], alpha[last, 1])
+        gap = np.eye(2)[gold] - np.exp(alpha + beta - z[chain, None])
         g_node = np.stack([np.bincount(cols, gap[rows, k], len(names)) for k in (0, 1)], 1)
-        both = mask[:, 1:]
-        g_pair = np.zeros((2, 2))
+        g_pair, z_follows = np.zeros((2, 2)), z[chain[follows]]
         for a in (0, 1):
             for b in (0, 1):
-                q = np.exp(alpha[:, :-1, a] + pair[a, b] + s[:, 1:, b] + beta[:, 1:, b] - z[:, None])
-                g_pair[a, b] = (((gold[:, :-1] == a) & (gold[:, 1:] == b)) * both).sum() - (q * both).sum()
+                q = np.exp(alpha[before, a] + pair[a, b] + s[follows, b] + beta[follows, b] - z_follows)
+                g_pair[a, b] = ((gold[before] == a) & (gold[follows] == b)).sum() - q.sum()
         g = np.concatenate([g_node.ravel(), g_pair.ravel()]) / n - PENALTY * weights
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         weights = weights + RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8) * (1 - step / (steps + 1))
@@ -348,8 +370,15 @@ def bare_page(texts: list[str], seed: int) -> str:
 def labelled(pages: list[str], seed: int = 1) -> Iterator[tuple[list[list[str]], list[int]]]:
     """Features and labels of the pages with an article element, and of their texts in layouts and bare.
 
-    If no page has an article, blocks of 80 characters or more without links are set in layouts.
+    If no page has an article, blocks of 80 characters or more without links are set in layouts. Of some pages the
+    features that the labels of pages with an article come from are left out, as they are from pages with names in other languages.
     """
+    def page_of(blocks: list[Block], labels: list[bool], rng: random.Random) -> tuple[list[list[str]], list[int]]:
+        features = features_of(blocks)
+        if rng.random() < NAMELESS:
+            features = [[x for x in f if x != "aside" and not x.startswith("mark:")] for f in features]
+        return features, [int(y) for y in labels]
+
     cut = [blocks_of(p) for p in pages]
     spare = [b.text for blocks in cut for b in blocks][:4000]
     marked = [[("article" in b.tags) and not b.aside for b in blocks] for blocks in cut]
@@ -358,21 +387,21 @@ def labelled(pages: list[str], seed: int = 1) -> Iterator[tuple[list[list[str]],
         main = [b.text for b, y in zip(blocks, labels) if y or (not some and len(b.text) >= 80 and not b.linked)]
         if not main:
             continue
-        if some:
-            yield features_of(blocks), [int(y) for y in labels]
         rng = random.Random(seed * 7919 + i)
+        if some:
+            yield page_of(blocks, labels, rng)
         pages_made = [set_in_layout(main, spare, seed * 1_000_003 + i)]
         if i % 3 == 0:
             long = [x for x in main if len(x) >= 80] or main
             pages_made.append(bare_page(rng.sample(long, min(len(long), rng.randint(1, 4))), seed * 1_000_003 + i))
         for page in pages_made:
             made = blocks_of(page)
-            yield features_of(made), [int(b.main) for b in made]
+            yield page_of(made, [b.main for b in made], rng)
 
 
 def sample_pages(pages: DataFrame, about: int = TRAIN_PAGES) -> list[str]:
-    """The html of about so many pages, chosen by hash."""
-    rows = pages.select("html").filter("html is not null")
+    """The html of about so many pages of at most TRAIN_BYTES, chosen by hash."""
+    rows = pages.select("html").filter(F.octet_length("html") <= TRAIN_BYTES)
     n = max(1, rows.count())
     h = F.pmod(F.xxhash64("html"), F.lit(1_000_000))
     chosen = rows.filter(h <= int(1e6 * min(1.0, about / n))).dropDuplicates()

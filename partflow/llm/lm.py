@@ -9,7 +9,7 @@ give the class, those with the vectors of the class's words the word in it. A wo
 has the probability of its class times its smoothed share of the counts of such words.
 
 Both levels learn by noise-contrastive estimation: first on a bounded sample on the driver, then on all
-training documents: each task passes over every STRIDE-th position of the documents that it reads, and the
+training documents: each task passes over all positions of the documents that it reads, and the
 executors' parameters are averaged row by row, weighted by how often a row was used. Scores are
 batched matrix products over all tokens.
 
@@ -19,9 +19,9 @@ blocks, and sends each word of a block once, with the numbers of its documents a
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +35,10 @@ from partflow.llm.language_id import bucket_of
 SMOOTHING = 0.1
 #: Words with a vector of their own: a bound, as the model is broadcast (8192 words: 2 MB).
 MOST_WORDS, LEAST_COUNT, FEATURES = 8192, 20, 32
-#: Noise classes of a batch, noise words of a token, and tokens of a batch.
-NOISE_CLASSES, NOISE_WORDS, BATCH = 32, 6, 4096
-#: The first parameters come from about so many documents; then every STRIDE-th position of all documents is learned.
-SAMPLE_DOCUMENTS, EPOCHS, RATE, STRIDE, LATER_RATE = 1500, 4, 0.15, 4, 0.05
+#: Noise classes of a batch, noise words of a class in it, and tokens of a batch.
+NOISE_CLASSES, NOISE_WORDS, BATCH = 32, 16, 8192
+#: The first parameters come from about so many documents of at most so many bytes; then all positions of all documents are learned.
+SAMPLE_DOCUMENTS, SAMPLE_BYTES, EPOCHS, RATE, LATER_RATE = 1500, 1 << 16, 4, 0.15, 0.05
 BLOCK_TOKENS = 2_000_000
 END_TOKEN = b"\n"  # no word
 
@@ -213,12 +213,13 @@ class Trainer:
         self.used = np.zeros(len(model.rows), np.int64)
         self.upto = np.cumsum(model.vocabulary.share)
         self.class_upto = np.cumsum(model.class_share)
+        self.log_noise = np.log(NOISE_WORDS * model.in_class).astype(np.float32)
 
     def _add(self, first: int, rows: np.ndarray, g: np.ndarray) -> None:
         """A step up the gradients g (with the bias's in the last column) of rows, which may repeat."""
         if not len(rows):
             return
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16) if len(self.model.rows) <= 1 << 16 else rows, kind="stable")  # short numbers sort fast
         starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
         at, n = first + rows[order][starts], np.diff(starts, append=len(rows))
         g = np.add.reduceat(g[order], starts, axis=0)
@@ -240,19 +241,24 @@ class Trainer:
         false = -sigmoid(v @ m.rc[k].T + m.bc[k] - np.log(noise[k]))
         g_v = true[:, None] * m.rc[c] + false @ m.rc[k]
         g_class = np.concatenate([with_one(true[:, None] * v, true), with_one(false.T @ v, false.sum(0))])
-        # Words: each token has noise of its own, from its class.
+        # Words: the noise is shared by the batch's tokens of a class, which lie together.
         own = np.flatnonzero(m.in_class[w] < 1)
-        v_own, w_own = v[own], w[own]
-        low = self.upto[m.vocabulary.cut[c[own]]] - m.vocabulary.share[m.vocabulary.cut[c[own]]]
-        at = low[:, None] + rng.random((len(own), NOISE_WORDS)) * m.class_share[c[own], None]
-        other = np.searchsorted(self.upto, at).clip(m.vocabulary.cut[c[own], None], m.vocabulary.cut[c[own] + 1, None] - 1)
-        noise = (NOISE_WORDS * m.in_class).astype(np.float32)
-        true2 = 1 - sigmoid(np.einsum("ij,ij->i", v_own, m.r[w_own]) + m.b[w_own] - np.log(noise[w_own]))
-        r_other = m.r[other]
-        false2 = -sigmoid(np.einsum("ij,ikj->ik", v_own, r_other) + m.b[other] - np.log(noise[other]))
-        g_v[own] += true2[:, None] * m.r[w_own] + np.einsum("ik,ikj->ij", false2, r_other)
-        all_false = with_one((false2[:, :, None] * v_own[:, None, :]).reshape(-1, d), false2.ravel())
-        g_word = np.concatenate([with_one(true2[:, None] * v_own, true2), all_false])
+        own = own[np.argsort(c[own], kind="stable")]
+        v_own, w_own, cut = v[own], w[own], m.vocabulary.cut
+        there, starts = np.unique(c[own], return_index=True)
+        low = self.upto[cut[there]] - m.vocabulary.share[cut[there]]
+        at = low[:, None] + rng.random((len(there), NOISE_WORDS)) * m.class_share[there, None]
+        other = np.searchsorted(self.upto, at).clip(cut[there, None], cut[there + 1, None] - 1)
+        r_true = m.r[w_own]
+        true2 = 1 - sigmoid(np.einsum("ij,ij->i", v_own, r_true) + m.b[w_own] - self.log_noise[w_own])
+        g_own, all_false = true2[:, None] * r_true, np.zeros((*other.shape, d + 1), np.float32)
+        for j, (a, b) in enumerate(itertools.pairwise([*starts.tolist(), len(own)])):
+            r_other = m.r[other[j]]
+            false2 = -sigmoid(v_own[a:b] @ r_other.T + (m.b[other[j]] - self.log_noise[other[j]]))
+            g_own[a:b] += false2 @ r_other
+            all_false[j, :, :d], all_false[j, :, d] = false2.T @ v_own[a:b], false2.sum(axis=0)
+        g_v[own] += g_own
+        g_word = np.concatenate([with_one(true2[:, None] * v_own, true2), all_false.reshape(-1, d + 1)])
         zero = np.zeros(len(w), np.float32)
         g_q = np.concatenate([with_one(g_v @ m.m1.T, zero), with_one(g_v @ m.m2.T, zero)])
         g_m = np.concatenate([x1.T @ g_v, x2.T @ g_v])
@@ -265,7 +271,7 @@ class Trainer:
 def fit(documents: DataFrame, vocabulary: Vocabulary, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
     """The model of documents (text): a first one from a sample by hash, then all documents, in tasks."""
     spark, n = documents.sparkSession, documents.count()
-    chosen = documents.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) <= int(1e6 * min(1.0, sample_documents / max(1, n))))
+    chosen = documents.filter(F.octet_length("text") <= SAMPLE_BYTES).filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) <= int(1e6 * min(1.0, sample_documents / max(1, n))))
     model = Model(vocabulary)
     known = vocabulary.numbers()
     sample = [tokens_of([x], known, vocabulary.end)[0] for x in sorted(r["text"] or "" for r in chosen.select("text").collect())]
@@ -288,14 +294,13 @@ def fit(documents: DataFrame, vocabulary: Vocabulary, sample_documents: int = SA
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 t, _ = tokens_of([text], known, vocabulary.end)
-                at = np.arange(2 + zlib.crc32(text.encode()) % STRIDE, len(t), STRIDE)
-                held.append(np.stack([t[at - 2], t[at - 1], t[at]]))
-                size += len(at)
+                held.append(np.stack([t[:-2], t[1:-1], t[2:]]))
+                size += len(t) - 2
                 if size >= BATCH:
                     each = np.concatenate(held, axis=1)
                     for first in range(0, size - BATCH + 1, BATCH):
                         trainer.step(*each[:, first : first + BATCH])
-                    held, size = [each[:, size - size % BATCH :]], size % BATCH
+                    held, size = [each[:, size - size % BATCH :].copy()], size % BATCH
         if size:
             trainer.step(*np.concatenate(held, axis=1))
         used = np.flatnonzero(trainer.used)

@@ -14,6 +14,8 @@ and shards stay on the executors.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -36,15 +38,20 @@ def word_count(text: Column) -> Column:
 
 
 def share(sizes: list[int], weights: list[float], total: float, most: float = MOST_TIMES) -> list[float]:
-    """Shares of total by weight, none above ``most`` times its size: the excess goes to the others by weight."""
-    target: dict[int, float] = {}
-    while len(target) < len(sizes):
-        left = total - sum(target.values())
-        open_ = [i for i in range(len(sizes)) if i not in target]
-        weight = sum(weights[i] for i in open_)
-        over = [i for i in open_ if left * weights[i] / weight > most * sizes[i]]
-        target.update({i: float(most * sizes[i]) for i in over} if over else {i: left * weights[i] / weight for i in open_})
-    return [target[i] for i in range(len(sizes))]
+    """Shares of total by weight, none above ``most`` times its size: the excess goes to the others by weight.
+
+    Those with the least size for their weight reach the bound first; once one doesn't, none after it does.
+    """
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i] / weights[i] if weights[i] else math.inf)
+    target, left, weight = [0.0] * len(sizes), total, sum(weights)
+    for at, i in enumerate(order):
+        if not weight or left * weights[i] / weight <= most * sizes[i]:
+            for k in order[at:]:
+                target[k] = left * weights[k] / weight if weight else 0.0
+            break
+        target[i] = float(most * sizes[i])
+        left, weight = left - target[i], weight - weights[i]
+    return target
 
 
 def _halves(have: np.ndarray, first: int, n: int, seed: int) -> list[tuple[np.ndarray, int, int]]:

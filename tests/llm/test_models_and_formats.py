@@ -4,8 +4,10 @@ import collections
 import gzip
 import hashlib
 import io
+import itertools
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -188,6 +190,60 @@ def test_lm_is_normalised_and_beats_unigrams_on_held_out_text(spark):
     assert found.mean() / math.log(10) > np.log10(vocabulary.share[tokens]).mean() + 0.1
 
 
+def test_lm_learns_all_positions_in_several_tasks(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    held = language_id.bucket_of(F.col("doc_id"), 10) == 0
+    words = collections.Counter(w for r in docs.filter(~held).collect() for w in lm.words_of(r.text))
+    top = [(w, n) for w, n in words.most_common() if n >= 20]
+    vocabulary = lm.Vocabulary.of([w for w, _ in top], np.array([n for _, n in top]), sum(words.values()) - sum(n for _, n in top), 900)
+    learned = docs.filter(~held).repartition(5)
+    assert learned.rdd.getNumPartitions() == 5
+    model = lm.fit(learned, vocabulary)
+    tokens, _, found = lm.score_of(model, [r.text for r in docs.filter(held).collect()])
+    assert found.mean() / math.log(10) > np.log10(vocabulary.share[tokens]).mean() + 0.1
+
+    # A step's gradient is that of its sampled objective: of noise-contrastive estimation, by differences.
+    small = lm.Vocabulary.of([b"a", b"b", b"c", b"d", b"e", b"f"], np.array([60, 50, 40, 9, 8, 7]), 5, 6)
+    before, last, w = (np.random.default_rng(k).integers(0, 8, 30) for k in (1, 2, 3))
+    monkeypatch.setattr(lm.Trainer, "_add", lambda self, first, rows, g: sums.__setitem__(slice(first, None), sums[first:] + _summed(rows, g, len(sums) - first)))
+    start = lm.Model(small, seed=5)
+    sums = np.zeros(start.rows.shape)
+    lm.Trainer(start, 0.1, 9).step(before, last, w)
+    rng = np.random.default_rng(0)
+    for _ in range(12):
+        at = rng.integers(0, len(sums)), rng.integers(0, lm.FEATURES)
+        up, down = start.rows.astype(np.float64), start.rows.astype(np.float64)
+        up[at] += 1e-4
+        down[at] -= 1e-4
+        slope = (_objective(lm.Model(small, up), before, last, w, 9) - _objective(lm.Model(small, down), before, last, w, 9)) / 2e-4
+        assert slope == pytest.approx(sums[at], rel=2e-2, abs=2e-3)
+
+
+def _summed(rows, g, n):
+    out = np.zeros((n, g.shape[1]))
+    np.add.at(out, rows, g)
+    return out
+
+
+def _objective(m, before, last, w, seed):
+    """What a step with this seed ascends: classes with noise for the batch, words with noise for each class."""
+    rng, voc = np.random.default_rng(seed), m.vocabulary
+    logit = lambda x: -np.logaddexp(0, -x)
+    v, c = m.q[before] @ m.m1 + m.q[last] @ m.m2, m.class_of[w]
+    k = np.searchsorted(np.cumsum(m.class_share), rng.random(lm.NOISE_CLASSES) * m.class_share.sum())
+    of_class = v @ m.rc.T + m.bc - np.log(lm.NOISE_CLASSES * m.class_share)
+    total = logit(of_class[np.arange(len(w)), c]).sum() + logit(-of_class[:, k]).sum()
+    there = np.unique(c[m.in_class[w] < 1])
+    noise = rng.random((len(there), lm.NOISE_WORDS))
+    of_word = v @ m.r.T + m.b - np.log(lm.NOISE_WORDS * m.in_class)
+    upto = np.cumsum(voc.share)
+    for j, x in enumerate(there):
+        rows = np.flatnonzero(c == x)
+        other = np.searchsorted(upto, upto[voc.cut[x]] - voc.share[voc.cut[x]] + noise[j] * m.class_share[x]).clip(voc.cut[x], voc.cut[x + 1] - 1)
+        total += logit(of_word[rows, w[rows]]).sum() + logit(-of_word[np.ix_(rows, other)]).sum()
+    return total
+
+
 # --- pages
 
 
@@ -455,3 +511,43 @@ def test_null_and_damaged_media_cells(spark):
     packets = matroska.packet_table(df)
     assert packets.columns == ["doc_id", "n_bytes", "track", "timestamp_ns", "offset", "size", "keyframe"]
     assert {r.doc_id for r in packets.collect()} <= {1, 5} and matroska.packet_table(df.limit(0)).count() == 0
+
+
+REMARKS = "".join(f"<div class=eintrag><b>{n}</b><p>{x}</p></div>" for n, x in (("Hans", "Das war ja klar, wieder nichts."), ("Eva", "Danke für den Bericht!"), ("Otto", "Ich fahre jetzt mit dem Rad.")))
+UNSEEN = {
+    "comments in the article": f"<html><body><ul class=leiste>{NAV}</ul><article>{PS}<div class=kommentare><h3>Kommentare</h3>{REMARKS}</div></article><div class=fuss>Impressum</div></body></html>",
+    "names in Spanish": f"<html><body><div class=cabecera><ul>{NAV}</ul></div><div class=cuerpo>{PS}</div><div class=lateral><h4>Mas leidas</h4><ul>{NAV}</ul></div><div class=pie>&copy; 2020 Diario</div></body></html>",
+    "hashed names": f"<html><body><div class=x1a><ul class=z9>{NAV}</ul></div><div class=q7>{PS}</div><div class=k3><ul>{NAV}</ul></div><div class=p0>&copy; Paper 2021. All rights reserved</div></body></html>",
+}
+
+
+@pytest.mark.parametrize("layout", UNSEEN)
+def test_layouts_with_unseen_names(fitted, layout):
+    """Labelled by hand: no name of a class says what a part is, and the comments lie in the article."""
+    blocks = html_extract.blocks_of(UNSEEN[layout])
+    assert [b.text for b, y in zip(blocks, fitted.decode(html_extract.features_of(blocks))) if y] == P
+
+
+def test_fit_finds_the_most_likely_weights_and_takes_long_pages(monkeypatch):
+    rng = np.random.default_rng(2)
+    pages = [([[f"f{k}" for k in range(4) if rng.random() < 0.5] for _ in range(n)], rng.integers(0, 2, n).tolist()) for n in (1, 2, 3, 4, 4, 5, 5, 6, 1, 3)]
+
+    def likelihood(field):
+        total = 0.0
+        for features, labels in pages:
+            s, every = field.scores(features), []
+            for y in itertools.product((0, 1), repeat=len(labels)):
+                every.append(sum(s[i, c] for i, c in enumerate(y)) + sum(field.pair[a, b] for a, b in itertools.pairwise(y)))
+                gold = every[-1] if list(y) == labels else gold if len(every) > 1 else 0.0
+            total += gold - np.logaddexp.reduce(every)
+        return total / len(pages) - html_extract.PENALTY / 2 * ((field.node**2).sum() + (field.pair**2).sum())
+
+    found = html_extract.fit(pages, steps=2000)
+    best = likelihood(found)
+    for _ in range(30):
+        other = html_extract.Field(found.names, found.node + 0.03 * rng.normal(size=found.node.shape), found.pair + 0.03 * rng.normal(size=(2, 2)))
+        assert likelihood(other) <= best + 1e-6
+    long = [([["bias", "own:p"]] * 100_000, [1] * 100_000)]
+    began = time.perf_counter()
+    assert html_extract.fit(pages + long * 3, steps=5).node.shape[1] == 2 and time.perf_counter() - began < 60
+    assert html_extract.fit([]).decode([]) == []

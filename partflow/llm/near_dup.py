@@ -24,6 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ SHINGLE, BANDS, ROWS, PERCENT = 2, 45, 6, 80
 SAMPLES, SKETCH_BITS, DEVIATIONS = 1024, 2048, 5
 #: A block has about so many nodes and shingles at most.
 BLOCK_NODES, BLOCK_SHINGLES = 4096, 1_000_000
-#: Texts that a task hashes at once.
-AT_ONCE = 200
+#: Texts that a task hashes at once, and their bytes (a longer text is hashed alone).
+AT_ONCE, BYTES_AT_ONCE = 200, 1 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -62,7 +63,7 @@ class _Hashes(dict):
     """64-bit hashes of words, kept for the words seen of late."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
@@ -74,6 +75,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in slices of AT_ONCE rows and BYTES_AT_ONCE bytes of text at most, or of one row."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    at, held = 0, 0
+    for k, n in enumerate(size.tolist()):
+        if k > at and (k - at == AT_ONCE or held + n > BYTES_AT_ONCE):
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += n
+    if at < len(size):
+        yield batch.slice(at)
+
+
 def hashed_sets(texts: list[str | None], k: int, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of all texts, one text after the other, and where each begins."""
     words = [words_of(t) for t in texts]
@@ -172,8 +186,7 @@ def signatures(items: DataFrame, k: int, bands: int, rows: int, sketched: bool =
         a, b = _multipliers(ROUNDS if sketched else count)
         hashes = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                part = batch.slice(at, AT_ONCE)
+            for part in _slices(batch):
                 h, starts = hashed_sets(part.column("text").to_pylist(), k, hashes)
                 n = np.diff(starts)
                 sums = np.zeros((part.num_rows, 2), np.uint64)
@@ -202,8 +215,7 @@ def sets_of(texts: DataFrame, k: int) -> DataFrame:
         a, b = _multipliers(ROUNDS)
         hashes = _Hashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                part = batch.slice(at, AT_ONCE)
+            for part in _slices(batch):
                 h, starts = hashed_sets(part.column("text").to_pylist(), k, hashes)
                 shingles = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(h.view(np.int64)))
                 columns = [part.column("node"), shingles, _lists(_odd(_sketched(h, starts, a, b), SKETCH_BITS))]

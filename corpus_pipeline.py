@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm.common import table, text_hash, written
+from partflow.llm.common import drop_written, scratch, table, text_hash, written
 from partflow.llm.decontaminate import contamination
 from partflow.llm.language_id import UNDECIDED, identify
 from partflow.llm.line_dedup import dedup_lines
@@ -71,7 +71,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages on documents. A stage's own tables go when its result is written, and that when the next one's is."""
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch() as tables:
+            docs = written(stage(spark, docs, sf_dir), name)
+            tables.remove(docs)
+        drop_written(*last)
+        last = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

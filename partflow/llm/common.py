@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +59,29 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._partflow_path = path
+    if (inside := _SCRATCH.get()) is not None:
+        inside.append(out)
     return out
 
 
+_SCRATCH: ContextVar[list[DataFrame] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch():
+    """Deletes at its end the tables that were ``written`` inside, but for those that are taken out of the list it gives.
+
+    For a caller that has written its result: an operator's lazy result still reads its tables.
+    """
+    inside: list[DataFrame] = []
+    token = _SCRATCH.set(inside)
+    try:
+        yield inside
+    finally:
+        _SCRATCH.reset(token)
+        drop_written(*inside)
+
+
 def drop_written(*frames: DataFrame) -> None:
     """Deletes tables of ``written`` that nothing will read again."""
     for df in frames:

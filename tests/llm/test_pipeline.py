@@ -1,9 +1,11 @@
 """The pipeline's stages against brute force on a small fixture."""
 
+import pathlib
 import random
 
 import corpus_pipeline
 from partflow.llm import near_dup
+from partflow.llm.common import shared_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -48,7 +50,28 @@ def test_stages(spark, tmp_path):
     assert set(seen["decontaminate"]) == set(seen["near_dedup"]) - hit and (41 in hit or 41 in gone)
     mixed = seen["mix_sources"].values()
     assert all(r.taken == r.size * (r.taken // r.size) and r.taken // r.size in (1, 2, 3) for r in mixed)
+    # Mixing by definition: shares by weight, none above three times its size, the excess shared again.
+    given = list(seen["decontaminate"].values())
+    words = lambda r: len(r.text.split())
+    size = {s: sum(words(r) for r in given if r.source == s) for s in ("s0", "s1", "s2")}
+    target, open_ = {}, dict(zip(size, (1, 2, 3)))
+    while open_:
+        left, weight = sum(size.values()) - sum(target.values()), sum(open_.values())
+        over = [s for s, w in open_.items() if left * w / weight > 3 * size[s]]
+        target |= {s: 3 * size[s] for s in over} if over else {s: left * w / weight for s, w in open_.items()}
+        open_ = {s: w for s, w in open_.items() if s not in target}
+    copies = [(r.doc_id, r.source, r.shard) for r in docs.collect()]
+    for s in size:
+        took = sum(words(seen["decontaminate"][d]) for d, source, _ in copies if source == s)
+        assert target[s] - max(words(r) for r in given if r.source == s) <= took <= target[s] + 1e-6
+    assert all(sum(d == r.doc_id for d, _, _ in copies) <= 3 for r in given) and {d for d, _, _ in copies} <= set(seen["decontaminate"])
+    assert {(r.doc_id, r.text) for r in seen["mix_sources"].values()} <= {(r.doc_id, r.text) for r in given}
+
+    shared = pathlib.Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.iterdir()) if shared.exists() else set()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+    left = [p.name.split("-")[1] for p in set(shared.iterdir()) - before]
+    assert set(left) <= {"decontaminate", "ranges", "blocks", "chosen"}, left  # of all stages the last one's tables and its input
 
 
 def test_stages_on_empty_and_repeated_rows_and_clashing_columns(spark, tmp_path):

@@ -83,12 +83,12 @@ def with_supplier_stock(inventory: DataFrame, live: DataFrame) -> DataFrame:
 def latest_snapshot(df: DataFrame, date: str, scope: DataFrame | None = None) -> DataFrame:
     """The rows of the last date, over all rows or those of the scope's parts.
 
-    The date is an aggregate that joins back as a single row, not a window without partitions.
+    The date is a subquery of one row, not a window without partitions: of a stored table that is partitioned by
+    date, its scan reads no column and that of the rows the last partition alone.
     """
     if scope is not None:
         df = df.join(scope.select("part_number").distinct(), "part_number", "left_semi")
-    last = df.agg(F.max(date).alias("__last"))  # one row
-    return df.join(F.broadcast(last), F.col(date) == F.col("__last"), "left_semi")
+    return df.filter(F.col(date) == df.agg(F.max(date)).scalar())
 
 
 def customs_projection(shipments: DataFrame, as_of: datetime.date) -> DataFrame:

@@ -83,9 +83,9 @@ def single_source_exposure(parts: DataFrame, orders: DataFrame, scorecard: DataF
     return exposed.join(latest, "part_number").select("part_number", "description", "criticality", "unit_cost_usd", "s.*")
 
 
-def risk_heatmap(risk_history: DataFrame, parts: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Risk by chapter and criticality at the last scoring."""
-    now = latest_snapshot(risk_history, "scored_at").select("part_number", "criticality", "risk_band", "aog_risk_score")
+def risk_heatmap(risk_history: DataFrame, parts: DataFrame, rules: Rules = RULES, date: str = "scored_at") -> DataFrame:
+    """Risk by chapter and criticality at the last scoring, by a date that a stored history may be partitioned by."""
+    now = latest_snapshot(risk_history, date).select("part_number", "criticality", "risk_band", "aog_risk_score")
     joined = now.join(parts.select("part_number", "ata_chapter", "ata_chapter_name", "unit_cost_usd"), "part_number")
     at_risk = F.when(F.col("aog_risk_score") >= rules.at_risk_score, F.col("unit_cost_usd")).otherwise(0.0)
     return joined.groupBy("ata_chapter", "ata_chapter_name", "criticality").agg(
@@ -98,13 +98,13 @@ def risk_heatmap(risk_history: DataFrame, parts: DataFrame, rules: Rules = RULES
     )
 
 
-def blocked_work_orders(work_orders: DataFrame, parts: DataFrame, snapshots: DataFrame, risk_history: DataFrame, orders: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Open work orders whose part is short, with the risk of the part and its next receipt.
+def blocked_work_orders(work_orders: DataFrame, parts: DataFrame, snapshots: DataFrame, risk_history: DataFrame, orders: DataFrame, as_of: datetime.date, date: str = "scored_at") -> DataFrame:
+    """Open work orders whose part is short, with the risk of the part at the last date and its next receipt.
 
     The earliest receipt is a grouped minimum of the open orders of a part, dated ones first.
     """
     stock = latest_snapshot(snapshots, "snapshot_date").groupBy("part_number").agg(F.sum("qty_available").alias("stock"))
-    risk = latest_snapshot(risk_history, "scored_at").select("part_number", "aog_risk_score", "risk_band", "primary_driver")
+    risk = latest_snapshot(risk_history, date).select("part_number", "aog_risk_score", "risk_band", "primary_driver")
     receipt = orders.filter("status = 'OPEN'").groupBy("part_number").agg(F.min("promised_date").alias("next_receipt_date"))
     available = F.coalesce("stock", F.lit(0))
     return (

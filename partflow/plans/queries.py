@@ -295,28 +295,31 @@ def single_source_exposure(spark, d):
 
 
 def _snapshots(spark, d):
-    return stock.union_all([_inventory(spark, d, day, day).withColumn("snapshot_date", F.lit(day)) for day in V.SNAPSHOT_DATES])
+    """The stock of three days, stored by day."""
+    folder = _folder(spark, "snapshots")
+    stock.union_all([_inventory(spark, d, day, day).withColumn("snapshot_date", F.lit(day)) for day in V.SNAPSHOT_DATES]).write.partitionBy("snapshot_date").parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def _risk_history(spark, d):
-    """The scorings of three days, each written when it was made, as a run does; what no day changes is made once."""
+    """The scorings of three days, stored by run; what no day changes is made once."""
     folder, same = _folder(spark, "history"), {}
     for name, df in _inputs(spark, d).items():
         if name not in ("inventory", "supplier_scores"):
             df.write.parquet(f"{folder}/{name}")
             same[name] = spark.read.parquet(f"{folder}/{name}")
-    for day in V.SNAPSHOT_DATES:
-        of_day = same | {"inventory": _inventory(spark, d, day, day), "supplier_scores": _card(spark, d, day)}
-        hub.write_results({"risk": risk.score_risk(day, **of_day)}, folder, day)
-    return spark.read.parquet(f"{folder}/risk").drop("run_date")
+    of_day = lambda day: same | {"inventory": _inventory(spark, d, day, day), "supplier_scores": _card(spark, d, day)}
+    days = [risk.score_risk(day, **of_day(day)).withColumn("run_date", F.lit(day)) for day in V.SNAPSHOT_DATES]
+    stock.union_all(days).write.partitionBy("run_date").parquet(f"{folder}/risk")
+    return spark.read.parquet(f"{folder}/risk")
 
 
 def risk_heatmap(spark, d):
-    return views.risk_heatmap(_risk_history(spark, d), V.parts(spark, d))
+    return views.risk_heatmap(_risk_history(spark, d), V.parts(spark, d), date="run_date")
 
 
 def _blocked(spark, d):
-    return views.blocked_work_orders(V.work_orders(spark, d), V.parts(spark, d), _snapshots(spark, d), _risk_history(spark, d), V.purchase_orders(spark, d), AS_OF)
+    return views.blocked_work_orders(V.work_orders(spark, d), V.parts(spark, d), _snapshots(spark, d), _risk_history(spark, d), V.purchase_orders(spark, d), AS_OF, "run_date")
 
 
 def blocked_work_orders(spark, d):

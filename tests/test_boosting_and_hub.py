@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from partflow.operators import boosting, catalog, demand, hub, leadtime
+from partflow.operators import boosting, catalog, demand, hub, leadtime, stock
 from partflow.operators.boosting import Booster
 from partflow.rules import Rules
 from partflow.sources import erp
@@ -201,3 +201,15 @@ def test_entry_errors_come_with_the_deliveries(spark, tmp_path):
     orders = spark.createDataFrame(rows, "order_date date, actual_delivery_date date, promised_date date")
     kept, errors = leadtime.written_deliveries(orders, day(20), str(tmp_path / "d"))
     assert kept.count() == 1 and errors.collect() == leadtime.entry_errors(orders, day(20)).collect() and errors.first().asDict() == {"delivered": 2, "negative_lead_times": 1}
+
+
+def test_the_last_date_of_a_stored_history_is_read_alone(spark, tmp_path):
+    rows = [(dt.date(2024, 1, n), f"P{k}", n * k) for n in (1, 2, 3) for k in range(4)]
+    spark.createDataFrame(rows, "run_date date, part_number string, n int").write.partitionBy("run_date").parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    last = stock.latest_snapshot(stored, "run_date")
+    assert sorted((r.part_number, r.n) for r in last.collect()) == [(f"P{k}", 3 * k) for k in range(4)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan and "Subquery" in plan and "ReadSchema: struct<>" in plan
+    assert stock.latest_snapshot(stored, "run_date", stored.filter("part_number = 'P1'")).first().n == 3
+    assert stock.latest_snapshot(stored.filter("false"), "run_date").count() == 0

@@ -352,6 +352,7 @@ ORACLES = {
     "publication_gate": """SELECT coalesce(nullif(avg(abs(g)) / nullif(avg(abs(z)), 0), 0), 1) < 1 AS published, count(*) AS n_test
       FROM (SELECT greatest((exp(y) - 1) * smearing, 0) - demand_qty AS g, coalesce(lag_1, 0) - demand_qty AS z FROM linear_ , smear_ WHERE tenure_months >= 12 AND month >= DATE '2001-02-01')""",
     "scan_wms_jdbc": "SELECT warehouse_id, condition_code, count(*) AS n, sum(qty_available)::BIGINT AS qty_available, max(last_counted) AS last_counted FROM inventory_ WHERE qty_on_hand > 0 GROUP BY 1, 2",
+    "landed_pages": "SELECT supplier_id, count(*) AS n, sum(quantity) AS qty_available, '2001-08-02 00:00' AS retrieved FROM offers_ GROUP BY 1",
     "scan_erp": "SELECT CASE WHEN p_partkey = 0 THEN repeat('0', 18) ELSE CAST(p_partkey AS VARCHAR) END AS part_number, p_name AS description, p_type AS material_type, p_brand AS material_group, 1.5::DOUBLE AS net_weight_kg, CASE WHEN p_size % 7 <> 0 THEN p_size::DOUBLE END AS shelf_life_months, 'ERP' AS source_system FROM part",
     "scan_erp_orders": "SELECT CASE WHEN part_number = 'PN-000000' THEN repeat('0', 18) ELSE '' || CAST(part_number[4:] AS INT) END AS part_number, count(*) AS n, sum(quantity) AS quantity, max(promised_date) AS last_promised FROM orders_ GROUP BY 1",
     "scan_erp_work_orders": "SELECT work_order_id, wo_type, aircraft_reg AS equipment_id, opened_date, status FROM work_ ",

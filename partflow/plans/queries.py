@@ -535,17 +535,27 @@ def _paged(rows, key, *order):
     return rows.join(F.broadcast(pages), key).withColumn("page", F.pmod(F.xxhash64(*order), F.col("pages"))).drop("pages")
 
 
-def _supplier_pages(spark, d):
-    folder = _folder(spark, "supplier")
+def _supplier_pages(spark, d, suppliers=None, folder=None):
+    """Pages of open orders as offers, of all suppliers or those that a condition picks, written to a folder."""
+    folder = folder or _folder(spark, "supplier")
     item = F.struct(F.col("part_number").alias("partNumber"), F.col("quantity").alias("quantityAvailable"), F.datediff("promised_date", "order_date").cast("double").alias("leadTimeDays"))
     lines = _paged(V.purchase_orders(spark, d).filter("status = 'OPEN'"), "supplier_id", "po_number", "po_line")
     pages = lines.groupBy("supplier_id", "page").agg(F.collect_list(item).alias("i"))
     odd = F.substring("supplier_id", 5, 5).cast("int") % 2 == 1
     pages = pages.select(F.col("supplier_id").alias("supplierId"), F.lit("2001-08-02T02:00:00+02:00").alias("retrievedAt"), F.when(odd, F.col("i")).alias("items"), F.when(~odd, F.col("i")).alias("data"))
-    pages.write.json(folder)
+    (pages if suppliers is None else pages.filter(suppliers)).write.mode("append").json(folder)
     return folder
 
 
+def landed_pages(spark, d):
+    """Two drops of pages, each taken in by a run of a stream that knows what it has read."""
+    folder = _folder(spark, "landed")
+    for odd in (1, 0):
+        _supplier_pages(spark, d, F.substring("supplierId", 5, 5).cast("int") % 2 == odd, f"{folder}/pages")
+        taken = alerts.run_available(feeds.read_availability(spark, f"{folder}/pages", landing=True), folder)
+    return taken.groupBy("supplier_id").agg(F.count("*").alias("n"), F.sum("qty_available").alias("qty_available"), F.date_format(F.max("retrieved_at"), "yyyy-MM-dd HH:mm").alias("retrieved"))
+
+
 def scan_supplier_json(spark, d):
     found = feeds.read_availability(spark, _supplier_pages(spark, d))
     return found.groupBy("supplier_id", "condition_code", F.date_format("retrieved_at", "yyyy-MM-dd HH:mm").alias("retrieved")).agg(F.count("*").alias("n"), F.sum("qty_available").alias("qty_available"), F.min("quoted_lead_time_days").alias("best_lead_time"))
@@ -616,7 +626,7 @@ QUERIES = [
     supplier_scorecard, normalize_inventory, stock_accuracy, union_inventory, customs_projection, customs_risk, open_orders, aog_factors, aog_risk, recommended_actions, early_warning,
     aog_summary, run_kpis, demand_features, demand_profile, naive_forecast_metrics, demand_model, demand_forecast, linear_model, linear_metrics, linear_forecast, nearest_demand, upsert_orders, rollback_batch, scd2_parts, current_parts, parts_by_chapter,
     latest_scorecard, supplier_trend, single_source_exposure, risk_heatmap, blocked_work_orders, early_warning_lead, parts_to_rescore, alert_candidates, alert_cooldown_batch,
-    alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, replayed_alert_log, delivered_once, projected_open_orders, loaded_tables, publication_gate, scan_wms_jdbc, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
+    alert_cooldown_stream, stream_upsert, rescored_parts, source_status, entry_errors, catalog_files, run_results, alert_log, replayed_alert_log, delivered_once, projected_open_orders, loaded_tables, publication_gate, scan_wms_jdbc, landed_pages, scan_erp, scan_erp_orders, scan_erp_work_orders, scan_customs_xml, scan_edi_850, scan_edi_856, scan_supplier_json, scan_order_status, scan_wms,
 ]
 
 

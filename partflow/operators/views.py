@@ -65,7 +65,8 @@ def supplier_trend(snapshots: DataFrame) -> DataFrame:
 def single_source_exposure(parts: DataFrame, orders: DataFrame, scorecard: DataFrame) -> DataFrame:
     """Critical parts with one source whose latest order from a weak supplier names it.
 
-    Tiers are filtered before the latest order is picked. Of orders of a day the largest number wins.
+    Tiers are filtered before the latest order is picked. Of orders of a day the largest number wins, and of parts
+    with one number the smallest row.
     """
     weak = scorecard.filter(F.col("risk_tier").isin("CRITICAL", "WATCH"))
     weak = weak.select("supplier_id", "supplier_name", "composite_score", "risk_tier", "p80_days")
@@ -80,7 +81,8 @@ def single_source_exposure(parts: DataFrame, orders: DataFrame, scorecard: DataF
             ).alias("s")
         )
     )
-    return exposed.join(latest, "part_number").select("part_number", "description", "criticality", "unit_cost_usd", "s.*")
+    exposed = exposed.groupBy("part_number").agg(F.min(F.struct("description", "criticality", "unit_cost_usd")).alias("p"))
+    return exposed.join(latest, "part_number").select("part_number", "p.*", "s.*")
 
 
 def risk_heatmap(risk_history: DataFrame, parts: DataFrame, rules: Rules = RULES, date: str = "scored_at") -> DataFrame:
@@ -101,15 +103,18 @@ def risk_heatmap(risk_history: DataFrame, parts: DataFrame, rules: Rules = RULES
 def blocked_work_orders(work_orders: DataFrame, parts: DataFrame, snapshots: DataFrame, risk_history: DataFrame, orders: DataFrame, as_of: datetime.date, date: str = "scored_at") -> DataFrame:
     """Open work orders whose part is short, with the risk of the part at the last date and its next receipt.
 
-    The earliest receipt is a grouped minimum of the open orders of a part, dated ones first.
+    The earliest receipt is a grouped minimum of the open orders of a part, dated ones first. A work order is one row: of
+    parts with one number the smallest row counts, and the highest risk.
     """
     stock = latest_snapshot(snapshots, "snapshot_date").groupBy("part_number").agg(F.sum("qty_available").alias("stock"))
-    risk = latest_snapshot(risk_history, date).select("part_number", "aog_risk_score", "risk_band", "primary_driver")
+    scored = latest_snapshot(risk_history, date).groupBy("part_number")
+    risk = scored.agg(F.max(F.struct("aog_risk_score", "risk_band", "primary_driver")).alias("r")).select("part_number", "r.*")
+    named = parts.groupBy("part_number").agg(F.min(F.struct("description", "criticality")).alias("p")).select("part_number", "p.*")
     receipt = orders.filter("status = 'OPEN'").groupBy("part_number").agg(F.min("promised_date").alias("next_receipt_date"))
     available = F.coalesce("stock", F.lit(0))
     return (
         work_orders.filter("status = 'OPEN'")
-        .join(parts.select("part_number", "description", "criticality"), "part_number")
+        .join(named, "part_number")
         .join(stock, "part_number", "left")
         .filter(F.col("qty_required") > available)
         .join(risk, "part_number", "left")

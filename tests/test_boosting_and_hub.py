@@ -213,3 +213,15 @@ def test_the_last_date_of_a_stored_history_is_read_alone(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_date" in plan and "Subquery" in plan and "ReadSchema: struct<>" in plan
     assert stock.latest_snapshot(stored, "run_date", stored.filter("part_number = 'P1'")).first().n == 3
     assert stock.latest_snapshot(stored.filter("false"), "run_date").count() == 0
+
+
+def test_sums_of_the_larger_child_are_exactly_what_the_smaller_one_leaves():
+    """Bins without rows hold 0 after the subtraction, so that equal splits stay equal."""
+    rng = np.random.default_rng(2)
+    seen, node = rng.integers(0, 64, (5, 400)).astype(np.uint8), rng.integers(0, 8, 400)
+    weights = [np.round(rng.normal(size=400) * 2.0**20) / 2.0**20 for _ in range(2)]
+    parents = boosting.histograms(seen, node >> 1, weights, 4, 64, None)
+    direct = boosting.histograms(seen, node, weights, 8, 64, None)
+    found = boosting.histograms(seen, node, weights, 8, 64, parents)
+    assert all((a == b).all() for a, b in zip(direct, found, strict=True))
+    assert direct[0].shape == (8, 5, 64) and direct[0][3, 2, 7] == sum(w for w, n, b in zip(weights[0], node, seen[2]) if (n, b) == (3, 7))

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from partflow.functions.columns import clamped, recency_weight, supplier_tier
+from partflow.functions.columns import clamped, recency_weight, round_even, supplier_tier
 from partflow.rules import RULES, Rules
 
 QUANTILES = {"p50_days": 0.50, "p80_days": 0.80, "p95_days": 0.95}
@@ -150,15 +150,15 @@ def supplier_scorecard(orders: DataFrame, as_of: datetime.date, suppliers: DataF
     trend = (1 - (clamped(F.col("trend_days_per_year"), -30.0, 30.0) + 30) / 60) * 100
     card = card.withColumns(
         {
-            "otd_score": F.bround(otd, 1),
-            "consistency_score": F.bround(consistency, 1),
-            "trend_score": F.bround(trend, 1),
+            "otd_score": round_even(otd, 1),
+            "consistency_score": round_even(consistency, 1),
+            "trend_score": round_even(trend, 1),
             # The blend.
-            "composite_score": F.bround(0.55 * otd + 0.30 * consistency + 0.15 * trend, 1),
+            "composite_score": round_even(0.55 * otd + 0.30 * consistency + 0.15 * trend, 1),
         }
     )
     card = card.withColumn("risk_tier", supplier_tier(F.col("composite_score")))
     if suppliers is not None:
         card = card.join(suppliers.select("supplier_id", "supplier_name", "country", "base_lead_time_days"), "supplier_id", "left")
-        card = card.withColumn("contract_gap_days", F.bround(F.col("p80_days") - F.col("base_lead_time_days"), 1))
+        card = card.withColumn("contract_gap_days", round_even(F.col("p80_days") - F.col("base_lead_time_days"), 1))
     return card.orderBy("composite_score", "supplier_id")

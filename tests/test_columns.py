@@ -36,3 +36,12 @@ def test_hours_count_borders(spark):
 
 def test_weights_sum_to_one():
     assert sum(getattr(RULES, f"weight_{f}") for f in ("criticality", "coverage", "replenishment", "supplier", "customs")) == pytest.approx(1)
+
+
+def test_halves_are_rounded_as_in_sql(spark):
+    """19 pieces at a demand of 200 in 79 months last 225.15 days, just below it in doubles: 225.2, as DuckDB's SQL and pandas say."""
+    rows = [(19.0, 200.0 / 79), (20.5, 30.0), (2.5, 3.0), (-0.01, 30.0), (None, 30.0)]
+    df = spark.createDataFrame(rows, "q double, m double").select((F.col("q") / (F.col("m") / 30.0)).alias("x"))
+    got = [r[0] for r in df.select(C.round_even(F.col("x"), 1)).collect()]
+    assert got == [225.2, 20.5, 25.0, 0.0, None]
+    assert str(got[3]) == "0.0"

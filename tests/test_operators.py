@@ -283,3 +283,16 @@ def test_latest_snapshot_and_first_alert(spark):
     assert stock.latest_snapshot(df, "snapshot_date", df.filter("part_number = 'B'")).first().part_number == "B"
     scored = spark.createDataFrame([("A", dt.datetime(2024, 1, 30, 12, 30), "HIGH")], "part_number string, scored_at timestamp, risk_band string")
     assert views.early_warning_lead(scored, df).first().warning_lead_hours == 36
+
+
+def test_the_panel_of_months_is_not_shuffled(spark):
+    """Observed months are gathered by part; what is laid out of them takes the windows' one sort and no further shuffle."""
+    months = [dt.date(2001, m, 1) for m in range(1, 7)]
+    rows = [("a", months[1], 3.0), ("a", months[1], 4.0), ("a", months[5], None), ("b", dt.date(1999, 1, 1), 9.0)]
+    observed = spark.createDataFrame(rows, "part_number string, month date, demand_qty double")
+    history = demand.dense_history(observed, months[0], months[5])
+    got = sorted((r["part_number"], r["month"], r["demand_qty"]) for r in history.collect())
+    want = [("a", m, 0.0) for m in months if m != months[1]] + [("a", months[1], 3.0), ("a", months[1], 4.0)] + [("b", m, 0.0) for m in months]
+    assert got == sorted(want)
+    plan = demand.build_features(history)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1, plan

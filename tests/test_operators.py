@@ -296,3 +296,17 @@ def test_the_panel_of_months_is_not_shuffled(spark):
     assert got == sorted(want)
     plan = demand.build_features(history)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1, plan
+
+
+def test_part_master_sorts_engineering_rows_alone(spark):
+    """Offers and stock are summed by hash; a part without a number is one row of all three sources."""
+    erp = spark.createDataFrame([("P-1", "b"), ("P1", "a"), (None, "x")], "part_number string, description string")
+    for c, t in {"ata_chapter": "string", "criticality": "string", "unit_cost_usd": "double", "shelf_life_months": "int", "repairable_flag": "boolean"}.items():
+        erp = erp.withColumn(c, F.lit(None).cast(t))
+    offers = spark.createDataFrame([("P1", "S1", 2.0, 3.0, 9), ("P1", "S2", 1.0, 4.0, 8), (None, "S1", 5.0, 1.0, 7)], "part_number string, supplier_id string, unit_price_usd double, qty_available double, quoted_lead_time_days int")
+    wms = spark.createDataFrame([("P-1", "W1", 5, 6.0), ("P2", "W1", 1, 2.0)], "part_number string, warehouse_id string, qty_available int, qty_on_hand double")
+    master = catalog.build_part_master(erp, offers, wms)
+    got = {r["part_key"]: (r["erp_part_number"], r["description"], r["best_supplier_price_usd"], r["supplier_count"], r["supplier_qty_available"], r["qty_available"], r["stocking_locations"], r["single_source_flag"]) for r in master.collect()}
+    assert got == {"P1": ("P-1", "b", 1.0, 2, 7.0, 5, 1, False), None: (None, "x", 5.0, 1, 1.0, 0, 0, True), "P2": (None, None, None, 0, 0.0, 1, 1, True)}
+    plan = master._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and not [x for x in plan.split("\n") if "SortAggregate" in x and "offered" in x], plan

@@ -153,7 +153,7 @@ def tokens_of(texts: list[str | None], known: _Known, end: int) -> tuple[np.ndar
     out, starts = [], [0]
     for text in texts:
         words = words_of(text)
-        out += [end, end, *map(known.__getitem__, words), end]
+        out += [end, end, *map(known.get, words, itertools.repeat(known.other)), end]
         starts.append(starts[-1] + len(words) + 3)
     return np.array(out, np.int64), np.array(starts)
 
@@ -178,30 +178,49 @@ class Model:
         self.m1, self.m2 = rows[2 * n + c : 2 * n + c + d, :d], rows[2 * n + c + d :, :d]
 
     def log_probabilities(self, before: np.ndarray, last: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Natural log-probabilities of tokens after (before, last); of a token without a vector, of its class."""
-        of_before, of_last = self.q @ self.m1, self.q @ self.m2
-        out, cut = np.empty(len(token)), self.vocabulary.cut
+        """Natural log-probabilities of tokens after (before, last); of a token without a vector, of its class.
+
+        Of the trigrams and contexts that occur several times in a run of tokens, each is computed once.
+        """
+        n, d, cut = len(self.q), FEATURES, self.vocabulary.cut
+        of_before, of_last = np.ones((n, d + 1), np.float32), np.zeros((n, d + 1), np.float32)
+        np.matmul(self.q, self.m1, out=of_before[:, :d])
+        np.matmul(self.q, self.m2, out=of_last[:, :d])
+        words, classes = self.rows[n : 2 * n], self.rows[2 * n : 2 * n + len(cut) - 1]
+        out = np.empty(len(token))
         for at in range(0, len(token), 65_536):
             part = slice(at, at + 65_536)
-            v, w = of_before[before[part]] + of_last[last[part]], token[part]
-            c = self.class_of[w]
-            got = _chosen(v @ self.rc.T + self.bc, c)
-            order = np.argsort(c, kind="stable")
-            ends = np.searchsorted(c[order], np.arange(len(cut)))
+            key = (before[part].astype(np.int64) * n + last[part]) * n + token[part]  # a broadcast model has less than 2 million tokens
+            order = np.argsort(key)
+            starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+            context, w = np.divmod(key[order[starts]], n)
+            firsts = np.flatnonzero(np.diff(context, prepend=-1))
+            of = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(context)))
+            v = of_before.take(context[firsts] // n, axis=0)
+            v += of_last.take(context[firsts] % n, axis=0)
+            c, got = self.class_of[w], np.empty(len(w))
+            for a in range(0, len(firsts), 2048):
+                upto = firsts[a + 2048] if a + 2048 < len(firsts) else len(w)
+                rows = slice(firsts[a], upto)
+                got[rows] = _chosen(v[a : a + 2048] @ classes.T, of[rows] - a, c[rows])
+            by_class = np.argsort(_short(c, len(cut)), kind="stable")
+            ends = np.searchsorted(c[by_class], np.arange(len(cut)))
             for k in range(len(cut) - 1):
-                rows = order[ends[k] : ends[k + 1]]
+                rows = by_class[ends[k] : ends[k + 1]]
                 if len(rows) and cut[k + 1] - cut[k] > 1:
-                    words = slice(cut[k], cut[k + 1])
-                    got[rows] += _chosen(v[rows] @ self.r[words].T + self.b[words], w[rows] - cut[k])
-            out[part] = got
+                    scores = v.take(of[rows], axis=0) @ words[cut[k] : cut[k + 1]].T
+                    got[rows] += _chosen(scores, np.arange(len(rows)), w[rows] - cut[k])
+            out[at + order] = np.repeat(got, np.diff(starts, append=len(key)))
         return out
 
 
-def _chosen(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The chosen column's log of the softmax of each row."""
-    scores -= scores.max(axis=1, keepdims=True)
-    chosen = scores[np.arange(len(at)), at].astype(np.float64)
-    return chosen - np.log(np.exp(scores, out=scores).sum(axis=1))
+def _chosen(scores: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log of the softmax of rows of scores at (row, column); scores are used up."""
+    if max(scores.max(), -scores.min()) > 60:  # else no exponential over- or underflows
+        scores -= scores.max(axis=1, keepdims=True)
+    chosen = scores[row, column].astype(np.float64)
+    sums = np.exp(scores, out=scores) @ np.ones(scores.shape[1], scores.dtype)
+    return chosen - np.log(sums.astype(np.float64))[row]
 
 
 class Trainer:
@@ -216,56 +235,103 @@ class Trainer:
         self.log_noise = np.log(NOISE_WORDS * model.in_class).astype(np.float32)
 
     def _add(self, first: int, rows: np.ndarray, g: np.ndarray) -> None:
-        """A step up the gradients g (with the bias's in the last column) of rows, which may repeat."""
-        if not len(rows):
-            return
-        order = np.argsort(rows.astype(np.uint16) if len(self.model.rows) <= 1 << 16 else rows, kind="stable")  # short numbers sort fast
-        starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        at, n = first + rows[order][starts], np.diff(starts, append=len(rows))
-        g = np.add.reduceat(g[order], starts, axis=0)
-        self.used[at] += n
+        """A step up the gradients g (with the bias's in the last column) of rows, all different."""
+        at = first + rows
         self.squares[at] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-        self.model.rows[at] += self.rate / np.sqrt(self.squares[at])[:, None] * g
+        self.model.rows[at] += (self.rate / np.sqrt(self.squares[at]))[:, None] * g
 
     def step(self, before: np.ndarray, last: np.ndarray, w: np.ndarray) -> None:
+        """A step on a batch, sorted by token: tokens of a word, and words of a class, then lie together.
+
+        Vectors have a last 1, which meets the bias. What hangs on a token alone is computed once for it: its
+        products with the matrices, and, as these are linear, its gradient from the sum over its places.
+        """
         m, rng = self.model, self.rng
         n, c_n, d = len(m.q), len(m.rc), FEATURES
-        sigmoid = lambda x: 1 / (1 + np.exp(-x.clip(-30, 30)))
-        with_one = lambda x, g: np.concatenate([x, g[:, None]], axis=1)
-        x1, x2 = m.q[before], m.q[last]
-        v, c = x1 @ m.m1 + x2 @ m.m2, m.class_of[w]
+        order = np.argsort(_short(w, n), kind="stable")
+        before, last, w = before[order], last[order], w[order]
+        c, words, classes = m.class_of[w], m.rows[n : 2 * n], m.rows[2 * n : 2 * n + c_n]
+        n_q = np.bincount(before, minlength=n) + np.bincount(last, minlength=n)
+        seen = np.flatnonzero(n_q)
+        place = np.empty(n, np.int64)
+        place[seen] = np.arange(len(seen))
+        q, at_before, at_last = m.q[seen], place[before], place[last]
+        of_before, of_last = np.ones((len(seen), d + 1), np.float32), np.zeros((len(seen), d + 1), np.float32)
+        np.matmul(q, m.m1, out=of_before[:, :d])
+        np.matmul(q, m.m2, out=of_last[:, :d])
+        v = of_before.take(at_before, axis=0)
+        v += of_last.take(at_last, axis=0)
         # Classes: the noise is shared by the batch.
         k = np.searchsorted(self.class_upto, rng.random(NOISE_CLASSES) * self.class_upto[-1])
-        noise = (NOISE_CLASSES * m.class_share).astype(np.float32)
-        true = 1 - sigmoid(np.einsum("ij,ij->i", v, m.rc[c]) + m.bc[c] - np.log(noise[c]))
-        false = -sigmoid(v @ m.rc[k].T + m.bc[k] - np.log(noise[k]))
-        g_v = true[:, None] * m.rc[c] + false @ m.rc[k]
-        g_class = np.concatenate([with_one(true[:, None] * v, true), with_one(false.T @ v, false.sum(0))])
-        # Words: the noise is shared by the batch's tokens of a class, which lie together.
+        log_noise, noise = np.log((NOISE_CLASSES * m.class_share).astype(np.float32)), classes[k]
+        g_v = classes.take(c, axis=0)
+        true = _sigmoid(log_noise[c] - np.einsum("ij,ij->i", v, g_v))
+        g_v *= true[:, None]
+        noise[:, d] -= log_noise[k]
+        false = _sigmoid(v @ noise.T)
+        g_v -= false @ noise
+        g_class, n_class = np.zeros((c_n, d + 1), np.float32), np.bincount(c, minlength=c_n)
+        for of, g in zip(k, false.T @ v):
+            g_class[of] -= g
+        # Words: the noise is shared by the batch's tokens of a class.
         own = np.flatnonzero(m.in_class[w] < 1)
-        own = own[np.argsort(c[own], kind="stable")]
         v_own, w_own, cut = v[own], w[own], m.vocabulary.cut
         there, starts = np.unique(c[own], return_index=True)
+        runs = list(itertools.pairwise([*starts.tolist(), len(own)]))
         low = self.upto[cut[there]] - m.vocabulary.share[cut[there]]
         at = low[:, None] + rng.random((len(there), NOISE_WORDS)) * m.class_share[there, None]
         other = np.searchsorted(self.upto, at).clip(cut[there, None], cut[there + 1, None] - 1)
-        r_true = m.r[w_own]
-        true2 = 1 - sigmoid(np.einsum("ij,ij->i", v_own, r_true) + m.b[w_own] - self.log_noise[w_own])
-        g_own, all_false = true2[:, None] * r_true, np.zeros((*other.shape, d + 1), np.float32)
-        for j, (a, b) in enumerate(itertools.pairwise([*starts.tolist(), len(own)])):
-            r_other = m.r[other[j]]
-            false2 = -sigmoid(v_own[a:b] @ r_other.T + (m.b[other[j]] - self.log_noise[other[j]]))
-            g_own[a:b] += false2 @ r_other
-            all_false[j, :, :d], all_false[j, :, d] = false2.T @ v_own[a:b], false2.sum(axis=0)
+        g_own, noise = words.take(w_own, axis=0), words[other]
+        true2 = _sigmoid(self.log_noise[w_own] - np.einsum("ij,ij->i", v_own, g_own))
+        g_own *= true2[:, None]
+        noise[:, :, d] -= self.log_noise[other]
+        false2 = np.empty((len(own), NOISE_WORDS), np.float32)
+        for j, (a, b) in enumerate(runs):
+            np.matmul(v_own[a:b], noise[j].T, out=false2[a:b])
+        _sigmoid(false2)
+        g_noise = np.empty((*other.shape, d + 1), np.float32)
+        for j, (a, b) in enumerate(runs):
+            g_own[a:b] -= false2[a:b] @ noise[j]
+            np.matmul(-false2[a:b].T, v_own[a:b], out=g_noise[j])
         g_v[own] += g_own
-        g_word = np.concatenate([with_one(true2[:, None] * v_own, true2), all_false.reshape(-1, d + 1)])
-        zero = np.zeros(len(w), np.float32)
-        g_q = np.concatenate([with_one(g_v @ m.m1.T, zero), with_one(g_v @ m.m2.T, zero)])
-        g_m = np.concatenate([x1.T @ g_v, x2.T @ g_v])
-        self._add(2 * n, np.concatenate([c, k]), g_class)
-        self._add(n, np.concatenate([w_own, other.ravel()]), g_word)
-        self._add(0, np.concatenate([before, last]), g_q)
-        self._add(2 * n + c_n, np.arange(2 * d), with_one(g_m, np.zeros(2 * d, np.float32)))
+        v_own *= true2[:, None]
+        r_word = np.concatenate([w_own, other.ravel()])
+        g_word, n_word = _row_sums(r_word, np.concatenate([v_own, g_noise.reshape(-1, d + 1)]), n), np.bincount(r_word, minlength=n)
+        ends = np.searchsorted(c, np.arange(c_n + 1)).tolist()
+        for of in np.flatnonzero(n_class).tolist():
+            part = slice(ends[of], ends[of + 1])
+            g_class[of] += true[part] @ v[part]
+        n_class += np.bincount(k, minlength=c_n)
+        g_v[:, d] = 0
+        g_before, g_last = _row_sums(at_before, g_v, len(seen)), _row_sums(at_last, g_v, len(seen))
+        g_q, g_m = np.zeros((len(seen), d + 1), np.float32), np.concatenate([q.T @ g_before, q.T @ g_last])
+        g_q[:, :d] = g_before[:, :d] @ m.m1.T + g_last[:, :d] @ m.m2.T
+        of_class, of_word = np.flatnonzero(n_class), np.flatnonzero(n_word)
+        steps = (2 * n, of_class, n_class, g_class[of_class]), (n, of_word, n_word, g_word[of_word]), (0, seen, n_q, g_q)
+        for first, rows, times, g in (*steps, (2 * n + c_n, np.arange(2 * d), np.ones(2 * d, np.int64), g_m)):
+            self.used[first + rows] += times[rows]
+            self._add(first, rows, g)
+
+
+def _short(x: np.ndarray, below: int) -> np.ndarray:
+    return x.astype(np.uint16) if below <= 1 << 16 else x  # short numbers sort fast
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _row_sums(at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """The rows of x, summed by their numbers below n; np.add.at is fast in one dimension alone."""
+    k = x.shape[1]
+    out = np.zeros(n * k, x.dtype)
+    np.add.at(out, (at[:, None] * k + np.arange(k)).ravel(), x.ravel())
+    return out.reshape(n, k)
 
 
 def fit(documents: DataFrame, vocabulary: Vocabulary, sample_documents: int = SAMPLE_DOCUMENTS) -> Model:

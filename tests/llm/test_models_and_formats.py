@@ -219,6 +219,52 @@ def test_lm_learns_all_positions_in_several_tasks(spark, monkeypatch):
         assert slope == pytest.approx(sums[at], rel=2e-2, abs=2e-3)
 
 
+def test_lm_computes_a_repeated_trigram_once():
+    rng = np.random.default_rng(2)
+    vocabulary = lm.Vocabulary.of([b"%d" % i for i in range(3000)], np.sort(rng.integers(20, 5000, 3000))[::-1], 900, 400)
+    model, n = lm.Model(vocabulary, seed=4), vocabulary.cut[-1]
+    few, many = rng.integers(0, n, (3, 200))[:, rng.integers(0, 200, 131_072)], rng.integers(0, n, (3, 131_072))
+
+    def seconds(rows):
+        began = time.process_time()
+        model.log_probabilities(*rows)
+        return time.process_time() - began
+
+    # Before, what repeats took as long as what doesn't.
+    assert min(seconds(few) for _ in range(3)) < 0.5 * min(seconds(many) for _ in range(3))
+    for scale in (1, 200):  # with 200, exponentials of raw scores would overflow
+        model.rows *= scale
+        before, last, w = few[:, :300]
+        v, c = model.q[before] @ model.m1 + model.q[last] @ model.m2, model.class_of[w]
+        log_softmax = lambda x: x - np.logaddexp.reduce(x.astype(np.float64), axis=1, keepdims=True)
+        want = log_softmax(v @ model.rc.T + model.bc)[np.arange(300), c]
+        for i in range(300):
+            a, b = vocabulary.cut[c[i]], vocabulary.cut[c[i] + 1]
+            want[i] += log_softmax((v[i] @ model.r[a:b].T + model.b[a:b])[None])[0, w[i] - a]
+        assert model.log_probabilities(*few)[:300] == pytest.approx(want, rel=1e-3, abs=1e-3)
+
+
+def test_lm_counts_the_uses_of_rows_and_adds_up_equal_tokens():
+    vocabulary = lm.Vocabulary.of([b"a", b"b", b"c", b"d", b"e", b"f"], np.array([60, 50, 40, 9, 8, 7]), 5, 6)
+    before, last, w = (np.random.default_rng(k).integers(0, 8, 500) for k in (1, 2, 3))
+    trainer, n = lm.Trainer(lm.Model(vocabulary, seed=5), 0.1, 9), 8
+    trainer.step(before, last, w)
+    assert (trainer.used[:n] == np.bincount(before, minlength=n) + np.bincount(last, minlength=n)).all()
+    classes, own = len(vocabulary.cut) - 1, trainer.model.in_class[w] < 1
+    there = len(np.unique(trainer.model.class_of[w[own]]))
+    assert trainer.used[n : 2 * n].sum() == own.sum() + there * lm.NOISE_WORDS
+    assert trainer.used[2 * n : 2 * n + classes].sum() == 500 + lm.NOISE_CLASSES
+    assert (trainer.used[2 * n + classes :] == 1).all()
+    # Any order of the batch gives the same step.
+    other, order = lm.Trainer(lm.Model(vocabulary, seed=5), 0.1, 9), np.random.default_rng(4).permutation(500)
+    other.step(before[order], last[order], w[order])
+    assert other.model.rows == pytest.approx(trainer.model.rows, abs=1e-5)
+    seen = []
+    trainer._add = lambda first, rows, g: seen.append((first, rows))
+    trainer.step(before, last, w)
+    assert len(seen) == 4 and all(len(np.unique(rows)) == len(rows) for _, rows in seen)  # once a row: rows repeated before
+
+
 def _summed(rows, g, n):
     out = np.zeros((n, g.shape[1]))
     np.add.at(out, rows, g)

@@ -225,3 +225,46 @@ def test_sums_of_the_larger_child_are_exactly_what_the_smaller_one_leaves():
     found = boosting.histograms(seen, node, weights, 8, 64, parents)
     assert all((a == b).all() for a, b in zip(direct, found, strict=True))
     assert direct[0].shape == (8, 5, 64) and direct[0][3, 2, 7] == sum(w for w, n, b in zip(weights[0], node, seen[2]) if (n, b) == (3, 7))
+
+
+def test_the_highest_values_are_told_from_missing_ones():
+    """Values above the last threshold have a bin of their own, which missing ones don't share."""
+    x = np.append(np.arange(640.0), np.full(64, np.nan))[:, None]
+    y = np.where(x[:, 0] >= 630, 50.0, 1.0)
+    made = Booster.fit(x, y, trees=60, rate=0.3, depth=2, seed=1)
+    assert np.allclose(made.predict(np.array([[639.0], [631.0], [np.nan], [3.0]])), [50, 50, 1, 1], rtol=0.3)
+
+
+def test_a_short_column_takes_its_own_bins_alone():
+    """Histograms of columns of any number of bins, one after another, hold what those of equally many bins do."""
+    rng = np.random.default_rng(3)
+    sizes = np.array([3, 64, 2])
+    seen, node = np.array([rng.integers(0, k, 500) for k in sizes]), rng.integers(0, 4, 500)
+    weights = [np.round(rng.normal(size=500) * 2.0**20) / 2.0**20 for _ in range(2)]
+    first = np.cumsum(sizes) - sizes
+    wide = boosting.histograms(seen, node, weights, 4, 64, None)
+    for parents in (None, boosting.histograms(seen, node >> 1, weights, 2, sizes, None)):
+        found = boosting.histograms(seen, node, weights, 4, sizes, parents)
+        assert found.shape == (2, 4, sizes.sum())
+        assert all((found[:, :, a : a + k] == wide[:, :, c, :k]).all() for c, (a, k) in enumerate(zip(first, sizes)))
+
+
+def test_a_table_of_rows_is_predicted_as_each_row_alone(monkeypatch):
+    x, y = counts(4, 300, 5)
+    made = Booster.fit(x, y, trees=20, rate=0.2, depth=4, seed=3)
+    made.threshold[5, 0], made.missing_left[5, 0] = np.inf, False  # all values left, missing ones right
+    assert (made.feature >= 0).sum() > 100 and not made.missing_left.all()
+    alone = []
+    for row in x:
+        total = made.start
+        for t in range(len(made.feature)):
+            node = 0
+            for level in range(4):
+                k = 2**level - 1 + node
+                f = made.feature[t, k]
+                left = f < 0 or (made.missing_left[t, k] if math.isnan(row[f]) else row[f] <= made.threshold[t, k])
+                node = 2 * node + (not left)
+            total += made.value[t, node]
+        alone.append(math.exp(total))
+    monkeypatch.setattr(boosting, "ROWS_OF_TREE", 128)
+    assert np.allclose(made.predict(x), alone, rtol=1e-12)

@@ -268,3 +268,16 @@ def test_a_table_of_rows_is_predicted_as_each_row_alone(monkeypatch):
         alone.append(math.exp(total))
     monkeypatch.setattr(boosting, "ROWS_OF_TREE", 128)
     assert np.allclose(made.predict(x), alone, rtol=1e-12)
+
+
+def test_steps_of_a_forecast_do_not_read_the_history_again(spark, tmp_path):
+    panel(spark, 4, 30).write.parquet(str(tmp_path / "history"))
+    read = []
+
+    class Model:
+        def predict(self, features):
+            read.append(features.inputFiles())
+            return features.withColumn("predicted", F.lit(1.0))
+
+    assert demand.forecast_next(spark.read.parquet(str(tmp_path / "history")), Model()).count() == 12
+    assert len(read) == 3 and all(files and not any("/history/" in f for f in files) for files in read)
